@@ -139,3 +139,373 @@ SELECT 'fct_games' AS table_name, COUNT(*) AS row_count FROM fct_games""")
 def q_export_summary(w):
     return exports.export_summary({"dim_teams": w.table("dim_teams"),
                                    "fct_games": w.table("fct_games")})
+
+
+# ---- data quality -------------------------------------------------------------
+
+from courtside.operators import quality as Q  # noqa: E402
+from courtside.plans import checks as C  # noqa: E402
+
+
+def _nn_sql() -> str:
+    parts = []
+    for model, cols in C.NOT_NULL.items():
+        for c in cols:
+            parts.append(f"SELECT '{model}' AS model, '{c}' AS column_name, "
+                         f"COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_count "
+                         f"FROM {model}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("dq_not_null", _nn_sql())
+def q_dq_not_null(w):
+    return C.not_null_report({"stg_games": w.stg_games(), "stg_teams": w.stg_teams(),
+                              "dim_teams": w.table("dim_teams"),
+                              "fct_games": w.table("fct_games")})
+
+
+@register("dq_unique_game_id", """
+SELECT game_id, COUNT(*) AS n_records FROM stg_games WHERE game_id IS NOT NULL
+GROUP BY game_id HAVING COUNT(*) > 1""")
+def q_dq_unique_game_id(w):
+    return Q.duplicate_keys(w.stg_games(), "game_id")
+
+
+@register("dq_unique_team_id_stg", """
+SELECT team_id, COUNT(*) AS n_records FROM stg_teams WHERE team_id IS NOT NULL
+GROUP BY team_id HAVING COUNT(*) > 1""")
+def q_dq_unique_team_id_stg(w):
+    return Q.duplicate_keys(w.stg_teams(), "team_id")
+
+
+@register("dq_unique_team_id_dim", """
+SELECT team_id, COUNT(*) AS n_records FROM dim_teams_as_written WHERE team_id IS NOT NULL
+GROUP BY team_id HAVING COUNT(*) > 1""")
+def q_dq_unique_team_id_dim(w):
+    """On the dimension as the reference joins it (the contract one is unique by build)."""
+    return Q.duplicate_keys(w.dim_teams_as_written(), "team_id")
+
+
+@register("dq_unique_game_team_id", """
+SELECT game_team_id, COUNT(*) AS n_records FROM fct_games WHERE game_team_id IS NOT NULL
+GROUP BY game_team_id HAVING COUNT(*) > 1""")
+def q_dq_unique_game_team_id(w):
+    return Q.duplicate_keys(w.table("fct_games"), "game_team_id")
+
+
+def _accepted_sql() -> str:
+    parts = []
+    for model, c, vals in C.ACCEPTED:
+        lits = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in vals)
+        parts.append(f"SELECT '{model}' AS model, '{c}' AS column_name, "
+                     f"CAST({c} AS VARCHAR) AS value, COUNT(*) AS row_count, "
+                     f"{c} IN ({lits}) AS is_accepted FROM {model} GROUP BY {c}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("dq_accepted_values", _accepted_sql())
+def q_dq_accepted_values(w):
+    return C.accepted_values_report({"dim_teams": w.table("dim_teams"),
+                                     "fct_games": w.table("fct_games")})
+
+
+def _rel_sql(column: str) -> str:
+    return f"""
+SELECT 'fct_games' AS model, '{column}' AS column_name, COUNT(*) AS checked_rows,
+       COUNT(*) FILTER (WHERE d.team_id IS NULL) AS orphan_rows
+FROM fct_games f LEFT JOIN (SELECT DISTINCT team_id FROM dim_teams) d ON f.{column} = d.team_id
+WHERE f.{column} IS NOT NULL"""
+
+
+@register("dq_relationships_team", _rel_sql("team_id"))
+def q_dq_relationships_team(w):
+    return Q.relationship_summary(w.table("fct_games"), "team_id", w.table("dim_teams"),
+                                  "team_id", "fct_games", w.rows("dim_teams"))
+
+
+@register("dq_relationships_opponent", _rel_sql("opponent_id"))
+def q_dq_relationships_opponent(w):
+    return Q.relationship_summary(w.table("fct_games"), "opponent_id", w.table("dim_teams"),
+                                  "team_id", "fct_games", w.rows("dim_teams"))
+
+
+@register("dq_two_teams", """
+SELECT game_id, COUNT(*) AS team_count FROM fct_games GROUP BY game_id HAVING COUNT(*) != 2""")
+def q_dq_two_teams(w):
+    return C.games_have_two_teams(w.table("fct_games"))
+
+
+@register("dq_rating_zero_sum", """
+SELECT game_id, SUM(elo_change) AS total_elo_change FROM fct_games_placeholder
+GROUP BY game_id HAVING ABS(SUM(elo_change)) > 0.01""")
+def q_dq_rating_zero_sum(w):
+    """On placeholder ratings, where a tie gives both teams the losing rating."""
+    return C.rating_changes_sum_to_zero(
+        warehouse_for(w.spark, w.sf_dir, PLACEHOLDER).fct_games())
+
+
+@register("dq_one_winner", """
+SELECT game_id, CAST(SUM(win_flag) AS BIGINT) AS total_wins FROM fct_games
+GROUP BY game_id HAVING SUM(win_flag) != 1""")
+def q_dq_one_winner(w):
+    return C.one_winner_per_game(w.table("fct_games"))
+
+
+@register("dq_scores_match_outcome", """
+SELECT * FROM fct_games
+WHERE (win_flag = 1 AND score_diff <= 0) OR (win_flag = 0 AND score_diff >= 0)""")
+def q_dq_scores_match_outcome(w):
+    return C.scores_match_outcome(w.table("fct_games"))
+
+
+@register("dq_null_scores", """
+SELECT COUNT(*) FILTER (WHERE status = 'Final') AS final_games,
+       COUNT(*) FILTER (WHERE (home_team_score IS NULL OR visitor_team_score IS NULL)
+                        AND status = 'Final') AS null_score_games
+FROM raw_games""")
+def q_dq_null_scores(w):
+    return C.null_scores(w.raw_games())
+
+
+@register("dq_date_range", """
+SELECT MIN(CAST(date AS DATE)) AS earliest, MAX(CAST(date AS DATE)) AS latest,
+       COUNT(DISTINCT CAST(date AS DATE)) AS unique_dates
+FROM raw_games""")
+def q_dq_date_range(w):
+    return C.date_range(w.raw_games())
+
+
+@register("dq_min_rows", f"""
+SELECT table_name, row_count, CAST({C.MIN_ROW_COUNT} AS BIGINT) AS min_rows,
+       row_count >= {C.MIN_ROW_COUNT} AS passed
+FROM (SELECT 'raw_games' AS table_name, COUNT(*) AS row_count FROM raw_games
+      UNION ALL SELECT 'stg_games', COUNT(*) FROM stg_games
+      UNION ALL SELECT 'fct_games', COUNT(*) FROM fct_games)""")
+def q_dq_min_rows(w):
+    return Q.min_rows({"raw_games": w.raw_games(), "stg_games": w.stg_games(),
+                       "fct_games": w.table("fct_games")}, C.MIN_ROW_COUNT)
+
+
+@register("dq_primary_key", """
+SELECT COUNT(*) AS row_count, COUNT(*) - COUNT(game_id) AS null_keys,
+       (SELECT COUNT(*) FROM (SELECT game_id FROM raw_games WHERE game_id IS NOT NULL
+                              GROUP BY game_id HAVING COUNT(*) > 1)) AS duplicate_keys
+FROM raw_games""")
+def q_dq_primary_key(w):
+    return Q.primary_key_profile(w.raw_games(), "game_id")
+
+
+# ---- metrics ------------------------------------------------------------------
+
+from courtside.plans import metrics as M  # noqa: E402
+
+_METRIC_SQL = {
+    "win_rate": ("CAST(SUM(win_flag) AS DOUBLE) * 100.0 / COUNT(*)", "score_for IS NOT NULL"),
+    "avg_point_diff": ("AVG(score_diff)", None),
+    "elo_change_season": ("SUM(elo_change)", None),
+    "upset_rate": ("CAST(SUM(CASE WHEN performance_vs_expectation IN ('Major Upset', "
+                   "'Minor Upset') THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / COUNT(*)", None),
+    "home_advantage": (
+        "CAST(SUM(CASE WHEN game_location = 'HOME' THEN win_flag ELSE 0 END) AS DOUBLE) * 100.0 / "
+        "NULLIF(SUM(CASE WHEN game_location = 'HOME' THEN 1 ELSE 0 END), 0) - "
+        "CAST(SUM(CASE WHEN game_location = 'AWAY' THEN win_flag ELSE 0 END) AS DOUBLE) * 100.0 / "
+        "NULLIF(SUM(CASE WHEN game_location = 'AWAY' THEN 1 ELSE 0 END), 0)",
+        "adjusted_game_location <> 'NEUTRAL'"),
+}
+
+
+def _metric_sql(name: str, grain: str) -> str:
+    spec = M.METRICS[name]
+    expr, where = _METRIC_SQL[name]
+    dims = ", ".join(spec.dimensions)
+    return (f"SELECT CAST(date_trunc('{grain}', game_date) AS DATE) AS period_start, {dims}, "
+            f"{expr} AS {name} FROM fct_games {'WHERE ' + where if where else ''} "
+            f"GROUP BY 1, {dims}")
+
+
+def _register_metric(name: str, grain: str, key: str) -> None:
+    @register(key, _metric_sql(name, grain))
+    def q(w):
+        return M.evaluate(w.table("fct_games"), name, grain)
+
+
+for _name, _spec in M.METRICS.items():
+    for _i, _grain in enumerate(_spec.time_grains):
+        _register_metric(_name, _grain, f"metric_{_name}" if _i == 0 else
+                         f"metric_{_name}_{_grain}")
+
+
+# ---- dashboard ----------------------------------------------------------------
+
+from courtside.plans import dashboard as D  # noqa: E402
+
+O.CTES["games_df"] = """
+SELECT f.game_date, f.season, t.team_name, t.conference, f.win_flag, f.score_diff,
+       f.elo_pre, f.elo_post, f.elo_change, f.game_location, f.playoff
+FROM fct_games f JOIN dim_teams t ON f.team_id = t.team_id"""
+O.CTES["win_rates_df"] = """
+SELECT team_name, season, CAST(SUM(win_flag) AS BIGINT) AS wins, COUNT(*) AS games,
+       ROUND(SUM(win_flag) / COUNT(*) * 100, 2) AS win_rate
+FROM games_df GROUP BY team_name, season"""
+O.CTES["rating_change_df"] = """
+SELECT team_name, season,
+       MIN(elo_pre) FILTER (WHERE game_date = d0) AS elo_pre,
+       MAX(elo_post) FILTER (WHERE game_date = d1) AS elo_post,
+       SUM(elo_change) AS elo_change,
+       MAX(elo_post) FILTER (WHERE game_date = d1) - MIN(elo_pre) FILTER (WHERE game_date = d0)
+           AS total_change
+FROM (SELECT *, MIN(game_date) OVER (PARTITION BY team_name, season) AS d0,
+             MAX(game_date) OVER (PARTITION BY team_name, season) AS d1 FROM games_df)
+GROUP BY team_name, season"""
+O.CTES["location_df"] = """
+SELECT team_name, game_location AS location, CAST(SUM(win_flag) AS BIGINT) AS wins,
+       COUNT(*) AS games, AVG(score_diff) AS avg_diff,
+       ROUND(SUM(win_flag) / COUNT(*) * 100, 2) AS win_rate
+FROM games_df GROUP BY team_name, game_location"""
+
+
+def _games(w):
+    fct, dim, n = _marts(w)
+    return D.games_filtered(fct, dim, n)
+
+
+@register("teams_by_conference", """
+SELECT team_id, team_name, conference, is_active, historical_win_rate, avg_elo_rating,
+       peak_elo_rating, total_games FROM dim_teams ORDER BY team_name""")
+def q_teams_by_conference(w):
+    return D.teams_by_conference(w.table("dim_teams"))
+
+
+@register("conference_list", "SELECT DISTINCT conference FROM dim_teams ORDER BY conference")
+def q_conference_list(w):
+    return D.conference_list(w.table("dim_teams"))
+
+
+@register("season_list", "SELECT DISTINCT season FROM games_df ORDER BY season DESC LIMIT 3")
+def q_season_list(w):
+    return D.season_list(_games(w))
+
+
+@register("default_teams", "SELECT team_name FROM dim_teams ORDER BY team_name LIMIT 5")
+def q_default_teams(w):
+    return D.default_teams(w.table("dim_teams"))
+
+
+@register("games_filtered", "SELECT * FROM games_df ORDER BY game_date DESC")
+def q_games_filtered(w):
+    return _games(w).orderBy(F.desc_nulls_last("game_date"))
+
+
+@register("dash_win_rates", "SELECT * FROM win_rates_df")
+def q_dash_win_rates(w):
+    return D.win_rates(_games(w))
+
+
+@register("dash_best_season", """
+SELECT * FROM win_rates_df ORDER BY win_rate DESC, team_name, season LIMIT 1""")
+def q_dash_best_season(w):
+    return D.best_season(D.win_rates(_games(w)))
+
+
+@register("dash_summary", """
+SELECT AVG(win_rate) AS avg_win_rate, CAST(SUM(games) AS BIGINT) AS total_games,
+       COUNT(DISTINCT team_name) AS teams_analyzed FROM win_rates_df""")
+def q_dash_summary(w):
+    return D.rates_summary(D.win_rates(_games(w)))
+
+
+@register("team_rating_series", """
+SELECT team_name, game_date, elo_post FROM games_df ORDER BY team_name, game_date""")
+def q_team_rating_series(w):
+    return D.rating_series(_games(w))
+
+
+@register("season_rating_change", "SELECT * FROM rating_change_df")
+def q_season_rating_change(w):
+    return D.season_rating_change(_games(w))
+
+
+@register("season_rating_pivot", """
+SELECT * FROM (PIVOT (SELECT team_name, season, total_change FROM rating_change_df)
+               ON season USING first(total_change) GROUP BY team_name)""")
+def q_season_rating_pivot(w):
+    return D.season_rating_pivot(D.season_rating_change(_games(w)), w.seasons())
+
+
+@register("point_diff_stats", """
+SELECT team_name, ROUND(AVG(score_diff), 2) AS average, ROUND(STDDEV_SAMP(score_diff), 2) AS std_dev,
+       MIN(score_diff) AS worst_loss, MAX(score_diff) AS best_win,
+       ROUND(MEDIAN(score_diff), 2) AS median
+FROM games_df GROUP BY team_name""")
+def q_point_diff_stats(w):
+    return D.point_diff_stats(_games(w))
+
+
+@register("box_stats", """
+SELECT team_name, playoff, MIN(score_diff) AS min_diff,
+       PERCENTILE_CONT(0.25) WITHIN GROUP (ORDER BY score_diff) AS q1_diff,
+       PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY score_diff) AS median_diff,
+       PERCENTILE_CONT(0.75) WITHIN GROUP (ORDER BY score_diff) AS q3_diff,
+       MAX(score_diff) AS max_diff
+FROM games_df GROUP BY team_name, playoff""")
+def q_box_stats(w):
+    return D.box_stats(_games(w))
+
+
+@register("location_stats", "SELECT * FROM location_df")
+def q_location_stats(w):
+    return D.location_stats(_games(w))
+
+
+@register("home_advantage_pivot", """
+SELECT team_name,
+       MAX(win_rate) FILTER (WHERE location = 'HOME') AS home_win_rate,
+       MAX(win_rate) FILTER (WHERE location = 'AWAY') AS away_win_rate,
+       MAX(win_rate) FILTER (WHERE location = 'HOME') - MAX(win_rate) FILTER (WHERE location = 'AWAY')
+           AS home_advantage
+FROM location_df GROUP BY team_name""")
+def q_home_advantage_pivot(w):
+    return D.home_advantage_pivot(D.location_stats(_games(w)))
+
+
+# ---- date functions --------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from courtside.functions import dates as FD  # noqa: E402
+
+
+@register("season_of_date", f"""
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date, {O.season_sql('o_orderdate')} AS season
+FROM orders""")
+def q_season_of_date(w):
+    o = w.source("orders")
+    return o.select("o_orderkey", F.to_date("o_orderdate").alias("order_date"),
+                    FD.season_of_date(F.col("o_orderdate")).alias("season"))
+
+
+@register("season_bounds", """
+SELECT season, CAST(CAST(season AS VARCHAR) || '-10-01' AS DATE) AS season_start,
+       CAST(CAST(season + 1 AS VARCHAR) || '-06-30' AS DATE) AS season_end,
+       COUNT(*) AS games,
+       COUNT(*) FILTER (WHERE game_date < CAST(CAST(season AS VARCHAR) || '-10-01' AS DATE)
+                        OR game_date > CAST(CAST(season + 1 AS VARCHAR) || '-06-30' AS DATE))
+           AS games_outside
+FROM stg_games GROUP BY season""")
+def q_season_bounds(w):
+    g = w.stg_games()
+    start, end = FD.season_start_date(F.col("season")), FD.season_end_date(F.col("season"))
+    out = (g.groupBy("season").agg(
+        F.count(F.lit(1)).alias("games"),
+        F.count_if((F.col("game_date") < start) | (F.col("game_date") > end)).alias("games_outside")))
+    return out.select("season", start.alias("season_start"), end.alias("season_end"), "games",
+                      "games_outside")
+
+
+@register("days_between", f"""
+SELECT o_orderkey, CAST(date_diff('day', o_orderdate, TIMESTAMP '{O.AS_OF} 00:00:00') AS BIGINT) AS days_to_as_of
+FROM orders""")
+def q_days_between(w):
+    o = w.source("orders")
+    return o.select("o_orderkey", FD.days_between(F.col("o_orderdate"),
+                                                  F.lit(w.params.as_of)).alias("days_to_as_of"))

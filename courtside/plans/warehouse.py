@@ -100,6 +100,14 @@ class Warehouse:
     def rows(self, name: str) -> int:
         return self._write(name).rows
 
+    def seasons(self) -> list[int]:
+        """Distinct seasons of the written fact (a handful of values; pivot columns)."""
+        if not hasattr(self, "_seasons"):
+            f = self.table("fct_games")
+            self._seasons = sorted(r[0] for r in f.select("season").distinct().collect()
+                                   if r[0] is not None)
+        return self._seasons
+
     def build(self) -> dict[str, int]:
         return {n: self.rows(n) for n in ("dim_teams", "fct_games")}
 
