@@ -509,3 +509,182 @@ def q_days_between(w):
     o = w.source("orders")
     return o.select("o_orderkey", FD.days_between(F.col("o_orderdate"),
                                                   F.lit(w.params.as_of)).alias("days_to_as_of"))
+
+
+# ---- sources and sinks --------------------------------------------------------------
+
+from courtside import schemas as S  # noqa: E402
+from courtside.functions.bands import conference_of  # noqa: E402
+from courtside.session import scratch_path  # noqa: E402
+from courtside.sources import api_pages as AP  # noqa: E402
+from courtside.sources import csv_tables as CSV  # noqa: E402
+from courtside.sources import snapshots as SN  # noqa: E402
+from courtside.streaming import landing as ST  # noqa: E402
+
+def _range_bounds(w):
+    import datetime as dt
+    end = dt.datetime.combine(w.params.as_of, dt.time())
+    return end - dt.timedelta(days=w.params.fetch_days), end
+
+
+def _games_in_range(w) -> DataFrame:
+    start, end = _range_bounds(w)
+    return w.raw_games().filter(F.col("date").between(F.lit(start), F.lit(end)))
+
+
+def _landing_csv(w) -> str:
+    """raw.games written once as a CSV snapshot (the fetch step's output)."""
+    def make():
+        base = scratch_path(w.spark, "landing-csv")
+        SN.write_snapshot(w.raw_games(), base, "nba_games", "19000101_000000")
+        return base
+    return w.once("landing_csv", make)
+
+
+_DAYS = O.P.fetch_days
+# A CSV load turns empty fields into NULL (the empty `time` included).
+O.CTES["raw_games_loaded"] = "SELECT * REPLACE (NULLIF(time, '') AS time) FROM raw_games"
+_RANGE_SQL = (f"SELECT * FROM raw_games WHERE date BETWEEN TIMESTAMP '{O.AS_OF} 00:00:00' "
+              f"- INTERVAL {_DAYS} DAY AND TIMESTAMP '{O.AS_OF} 00:00:00'")
+
+
+@register("raw_games", "SELECT * FROM raw_games_loaded")
+def q_raw_games(w):
+    """Typed CSV load of the games snapshot (header, empty = NULL, fail fast)."""
+    return CSV.read_games(w.spark, f"{_landing_csv(w)}/nba_games/{SN.SNAPSHOT_COL}=19000101_000000")
+
+
+@register("games_in_range", _RANGE_SQL)
+def q_games_in_range(w):
+    """Games dated within the fetch window ending at as_of."""
+    return _games_in_range(w)
+
+
+@register("latest_snapshot", _RANGE_SQL.replace("FROM raw_games", "FROM raw_games_loaded"))
+def q_latest_snapshot(w):
+    """Two fetches land as snapshots (older games, then the last window); read the latest."""
+    def make():
+        base = scratch_path(w.spark, "landing-snapshots")
+        start, _ = _range_bounds(w)
+        SN.write_snapshot(w.raw_games().filter(F.col("date") < F.lit(start)), base,
+                          "nba_games", "20010101_030000")
+        SN.write_snapshot(_games_in_range(w), base, "nba_games", "20010801_030000")
+        return base
+    base = w.once("landing_snapshots", make)
+    return SN.read_latest(w.spark, base, "nba_games", S.RAW_GAMES)
+
+
+@register("latest_season", "SELECT MAX(season) AS latest_season FROM raw_games")
+def q_latest_season(w):
+    return w.raw_games().agg(F.max("season").alias("latest_season"))
+
+
+@register("seed_aliases", """
+SELECT t.team_code, COALESCE(a.team_name, t.team_code) AS team_name,
+       COALESCE(a.current_team_code, t.team_code) AS current_team_code,
+       COALESCE(a.current_team_code, t.team_code) AS team_id,
+       (SELECT COUNT(*) FROM team_aliases s WHERE s.team_code = t.team_code) AS alias_rows
+FROM all_teams t LEFT JOIN team_aliases a ON t.team_code = a.team_code""")
+def q_seed_aliases(w):
+    """Every team code in the games with its alias resolution and seed row count."""
+    from courtside.plans.models import all_teams, name_codes
+    from courtside.operators.joins import lookup_join
+    codes = all_teams(w.stg_games())
+    named = name_codes(codes, w.resolved_aliases(), w.alias_rows)
+    counts = w.aliases().groupBy("team_code").agg(F.count(F.lit(1)).alias("alias_rows"))
+    j = lookup_join(named, counts, "team_code", "left", small_rows=w.alias_rows)
+    return j.select("team_code", "team_name", "current_team_code", "team_id",
+                    F.coalesce("alias_rows", F.lit(0)).cast("bigint").alias("alias_rows"))
+
+
+def _pages(w, key: str, items_fn) -> str:
+    def make():
+        path = scratch_path(w.spark, f"landing-pages-{key}")
+        AP.pack_pages(items_fn()).write.mode("overwrite").text(path)
+        return path
+    return w.once(f"pages_{key}", make)
+
+
+_FLAT_GAMES_SQL = """
+SELECT game_id, strftime(date, '%Y-%m-%dT%H:%M:%S.000Z') AS date, home_team_id,
+       home_team_abbreviation, home_team_name, home_team_score, visitor_team_id,
+       visitor_team_abbreviation, visitor_team_name, visitor_team_score, period, postseason,
+       season, status, time
+FROM raw_games"""
+
+
+@register("api_games_flatten", _FLAT_GAMES_SQL)
+def q_api_games_flatten(w):
+    """Games packed into 100-item JSON pages, re-read with the page schema and flattened."""
+    path = _pages(w, "games", lambda: AP.game_items(w.raw_games()))
+    return AP.flatten_games(AP.read_pages(w.spark, path, S.GAMES_PAGE))
+
+
+def _team_rows(w) -> DataFrame:
+    g = w.raw_games()
+    sides = g.select(F.explode(F.array(
+        F.struct(F.col("home_team_id").alias("id"), F.col("home_team_abbreviation").alias("abbreviation"),
+                 F.col("home_team_name").alias("full_name")),
+        F.struct(F.col("visitor_team_id").alias("id"),
+                 F.col("visitor_team_abbreviation").alias("abbreviation"),
+                 F.col("visitor_team_name").alias("full_name")))).alias("t")).select("t.*").distinct()
+    from courtside.operators.joins import lookup_join
+    nation = w.source("nation").select(F.col("n_nationkey").alias("id"), "n_regionkey")
+    region = w.source("region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    t = lookup_join(sides, nation, "id", "left")
+    t = lookup_join(t, region, "n_regionkey", "left")
+    return t.select(F.col("id").cast("long").alias("key"), F.struct(
+        "id", "abbreviation", F.col("r_name").alias("city"),
+        conference_of(F.col("abbreviation"), w.params.eastern, w.params.western).alias("conference"),
+        F.col("r_name").alias("division"), "full_name",
+        F.col("abbreviation").alias("name")).alias("item"))
+
+
+@register("api_teams_flatten", f"""
+SELECT DISTINCT s.id AS team_id, s.abbreviation, r.r_name AS city,
+       CASE WHEN s.abbreviation IN ({O.EAST}) THEN 'Eastern'
+            WHEN s.abbreviation IN ({O.WEST}) THEN 'Western' ELSE 'Historical' END AS conference,
+       r.r_name AS division, s.full_name, s.abbreviation AS name
+FROM (SELECT home_team_id AS id, home_team_abbreviation AS abbreviation, home_team_name AS full_name FROM raw_games
+      UNION SELECT visitor_team_id, visitor_team_abbreviation, visitor_team_name FROM raw_games) s
+LEFT JOIN nation n ON s.id = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
+def q_api_teams_flatten(w):
+    """Teams seen in the games, as API team pages, re-read and flattened."""
+    path = _pages(w, "teams", lambda: _team_rows(w))
+    return AP.flatten_teams(AP.read_pages(w.spark, path, S.TEAMS_PAGE))
+
+
+@register("api_games_stream", "SELECT * FROM raw_games")
+def q_api_games_stream(w):
+    """Landed game pages ingested by a file-source stream (availableNow) into a table."""
+    def make():
+        pages = _pages(w, "games", lambda: AP.game_items(w.raw_games()))
+        table = scratch_path(w.spark, "stream-raw-games")
+        q = ST.ingest_game_pages(w.spark, pages, table, scratch_path(w.spark, "stream-ckpt"))
+        q.awaitTermination()
+        return table
+    return ST.read_ingested(w.spark, w.once("stream_games", make))
+
+
+@register("export_preview", """
+SELECT *, (SELECT COUNT(*) FROM (SELECT t.team_name, f.season FROM fct_games f
+           JOIN dim_teams t ON f.team_id = t.team_id GROUP BY 1, 2)) AS total_rows
+FROM (SELECT t.team_name, f.season, COUNT(*) AS games_played,
+             CAST(SUM(f.win_flag) AS BIGINT) AS wins,
+             ROUND(CAST(SUM(f.win_flag) AS DOUBLE) * 100.0 / COUNT(*), 2) AS win_rate,
+             ROUND(AVG(f.score_diff), 2) AS avg_point_diff
+      FROM fct_games f JOIN dim_teams t ON f.team_id = t.team_id
+      GROUP BY t.team_name, f.season)
+ORDER BY season DESC, win_rate DESC, team_name LIMIT 100""")
+def q_export_preview(w):
+    """The win-rate export written as CSV, read back: first 100 rows and the total."""
+    def make():
+        base = scratch_path(w.spark, "exports")
+        SN.write_snapshot(exports.team_win_rates(*_marts(w)), base, "team_win_rates")
+        return base
+    base = w.once("exports", make)
+    schema = exports.team_win_rates(*_marts(w)).schema
+    df = SN.read_latest(w.spark, base, "team_win_rates", schema)
+    return SN.preview(df, [F.desc_nulls_last("season"), F.desc_nulls_last("win_rate"),
+                           F.asc_nulls_last("team_name")])

@@ -31,7 +31,7 @@ class Warehouse:
         self.spark, self.sf_dir, self.profile, self.params = spark, sf_dir, profile, params
         self._written: dict[str, WrittenTable] = {}
         self._alias_rows: int | None = None
-        self._lock = threading.Lock()
+        self._lock = threading.RLock()
 
     # ---- sources ------------------------------------------------------------
     def source(self, name: str) -> DataFrame:
@@ -100,6 +100,15 @@ class Warehouse:
     def rows(self, name: str) -> int:
         return self._write(name).rows
 
+    def once(self, key: str, make):
+        """Run ``make()`` once per warehouse (written landing data, exports)."""
+        with self._lock:
+            if not hasattr(self, "_once"):
+                self._once = {}
+            if key not in self._once:
+                self._once[key] = make()
+            return self._once[key]
+
     def seasons(self) -> list[int]:
         """Distinct seasons of the written fact (a handful of values; pivot columns)."""
         if not hasattr(self, "_seasons"):
