@@ -58,8 +58,7 @@ def q_all_teams(w):
 
 @register("team_activity", "SELECT * FROM team_activity")
 def q_team_activity(w):
-    from courtside.plans.models import team_activity
-    return team_activity(w.stg_games(), w.resolved_aliases(), w.alias_rows)
+    return w.team_activity()
 
 
 @register("stg_teams", "SELECT * FROM stg_teams")

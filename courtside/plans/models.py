@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtside.functions import bands
@@ -114,68 +114,87 @@ def all_teams(games: DataFrame) -> DataFrame:
     return distinct_codes(games, ["home_team", "away_team"], "team_code")
 
 
-def _side_activity(games: DataFrame) -> DataFrame:
-    """Per (code, season): first and last date and game count; tiny after map-side agg."""
-    sides = explode_sides(games, [], {
-        "HOME": {"team_code": F.col("home_team"), "game_date": F.col("game_date"),
-                 "season": F.col("season")},
-        "AWAY": {"team_code": F.col("away_team"), "game_date": F.col("game_date"),
-                 "season": F.col("season")},
+def side_summary(games: DataFrame) -> DataFrame:
+    """Per (team code, season): everything the team models need, in one scan.
+
+    Each game becomes its home and away rows. Activity counts both rows (as
+    the reference's UNION ALL does); the performance measures skip the away
+    row of a game whose two codes are equal, because the reference's
+    ``code = home OR code = away`` join matches such a game once. The
+    result has at most codes x seasons rows whatever the number of games,
+    and Spark aggregates it partially before the shuffle, so a team or
+    season holding a large share of the games costs no more than any other.
+    """
+    sides = explode_sides(games, ["game_date", "season"], {
+        "HOME": {"team_code": F.col("home_team"), "win": F.col("home_win_flag"),
+                 "elo_post": F.col("home_elo_post"), "same": F.lit(False)},
+        "AWAY": {"team_code": F.col("away_team"), "win": F.col("away_win_flag"),
+                 "elo_post": F.col("away_elo_post"),
+                 "same": F.coalesce(F.col("home_team") == F.col("away_team"), F.lit(False))},
     })
+    counted = ~F.col("same")
+    elo = F.when(counted, F.col("elo_post"))
     return sides.groupBy("team_code", "season").agg(
         F.min("game_date").alias("first_game_date"),
         F.max("game_date").alias("last_game_date"),
-        F.count(F.lit(1)).alias("games"))
+        F.count(F.lit(1)).alias("games"),
+        F.count_if(counted).alias("perf_games"),
+        F.sum(F.when(counted, F.col("win")).otherwise(0)).alias("wins"),
+        F.sum(elo).alias("elo_sum"),
+        F.count(elo).alias("elo_cnt"),
+        F.max(elo).alias("elo_max"))
+
 
+def _named(summary: DataFrame, resolved: DataFrame, alias_rows: int) -> DataFrame:
+    """Summary rows with team_name, current_team_code and the canonical team_id."""
+    j = lookup_join(summary, resolved, "team_code", "left", small_rows=alias_rows)
+    cur = F.coalesce(resolved["current_team_code"], F.col("team_code"))
+    return j.select(summary["*"],
+                    F.coalesce(resolved["team_name"], F.col("team_code")).alias("team_name"),
+                    cur.alias("current_team_code"), cur.alias("team_id"))
 
-def team_activity(games: DataFrame, resolved: DataFrame, alias_rows: int) -> DataFrame:
+
+def _activity_aggs() -> list:
+    return [F.min("first_game_date").alias("first_game_date"),
+            F.max("last_game_date").alias("last_game_date"),
+            F.countDistinct("season").alias("seasons_played"),
+            F.sum("games").cast("bigint").alias("total_games")]
+
+
+def _performance_aggs() -> list:
+    return [F.sum("perf_games").cast("bigint").alias("games_analyzed"),
+            F.sum("wins").cast("bigint").alias("total_wins"),
+            (F.sum("elo_sum") / F.nullif(F.sum("elo_cnt"), F.lit(0))).alias("avg_elo_rating"),
+            F.max("elo_max").alias("peak_elo_rating")]
+
+
+def team_activity(summary: DataFrame, resolved: DataFrame, alias_rows: int) -> DataFrame:
     """Per canonical team id: first / last game, distinct seasons, games (home + away)."""
-    per = _side_activity(games)
-    named = lookup_join(per, resolved.select("team_code", "current_team_code"), "team_code",
-                        "left", small_rows=alias_rows)
-    return (named.withColumn("team_id", F.coalesce("current_team_code", "team_code"))
-            .groupBy("team_id").agg(
-                F.min("first_game_date").alias("first_game_date"),
-                F.max("last_game_date").alias("last_game_date"),
-                F.countDistinct("season").alias("seasons_played"),
-                F.sum("games").cast("bigint").alias("total_games")))
-
-
-def stg_teams(games: DataFrame, resolved: DataFrame, alias_rows: int,
+    return _named(summary, resolved, alias_rows).groupBy("team_id").agg(*_activity_aggs())
+
+
+def team_performance(summary: DataFrame, resolved: DataFrame, alias_rows: int) -> DataFrame:
+    """Games, wins and ratings per team id over every game any of its codes played."""
+    return _named(summary, resolved, alias_rows).groupBy("team_id").agg(*_performance_aggs())
+
+
+def stg_teams(summary: DataFrame, resolved: DataFrame, alias_rows: int,
               as_of: dt.date) -> DataFrame:
-    """One row per team code with its canonical id, names and the id's activity."""
-    per = _side_activity(games)
-    codes = per.select("team_code").distinct()
-    named = name_codes(codes, resolved, alias_rows)
-    activity = team_activity(games, resolved, alias_rows)
-    return (named.join(activity, "team_id", "inner")
-            .withColumn("is_active", bands.is_active("last_game_date", as_of))
-            .select(*STG_TEAMS_COLUMNS).distinct())
-
-
-def team_performance(games: DataFrame, resolved: DataFrame, alias_rows: int) -> DataFrame:
-    """Wins and ratings per team id over every game any of its codes played.
-
-    The reference joins teams to games on ``code = home OR code = away`` (a
-    nested-loop join). Here each game becomes its home and away rows and is
-    joined on equality; a game whose two codes are equal matches the OR once,
-    so its away row is dropped.
+    """One row per team code with its canonical id, names and the id's activity.
+
+    The id's activity is a window over the (code, season) summary - a few
+    rows per team - so codes and activity come from a single scan.
     """
-    sides = explode_sides(games, [], {
-        "HOME": {"team_code": F.col("home_team"), "win": F.col("home_win_flag"),
-                 "elo_post": F.col("home_elo_post"), "same": F.lit(False)},
-        "AWAY": {"team_code": F.col("away_team"), "win": F.col("away_win_flag"),
-                 "elo_post": F.col("away_elo_post"),
-                 "same": F.col("home_team") == F.col("away_team")},
-    }).filter(~F.col("same"))
-    named = lookup_join(sides, resolved.select("team_code", "current_team_code"),
-                        "team_code", "left", small_rows=alias_rows)
-    return (named.withColumn("team_id", F.coalesce("current_team_code", "team_code"))
-            .groupBy("team_id").agg(
-                F.count(F.lit(1)).alias("games_analyzed"),
-                F.sum("win").cast("bigint").alias("total_wins"),
-                F.avg("elo_post").alias("avg_elo_rating"),
-                F.max("elo_post").alias("peak_elo_rating")))
+    w = Window.partitionBy("team_id")
+    n = _named(summary, resolved, alias_rows)
+    return n.select(
+        "team_id", "team_code", "team_name", "current_team_code",
+        F.min("first_game_date").over(w).alias("first_game_date"),
+        F.max("last_game_date").over(w).alias("last_game_date"),
+        F.size(F.collect_set("season").over(w)).cast("bigint").alias("seasons_played"),
+        F.sum("games").over(w).cast("bigint").alias("total_games"),
+    ).distinct().withColumn("is_active", bands.is_active("last_game_date", as_of)) \
+        .select(*STG_TEAMS_COLUMNS)
 
 
 def _dim_measures(perf_cols) -> list:
@@ -188,32 +207,26 @@ def _dim_measures(perf_cols) -> list:
     ]
 
 
-def dim_teams(teams: DataFrame, performance: DataFrame, eastern, western) -> DataFrame:
-    """Team dimension, exactly one row per team id.
+def dim_teams(summary: DataFrame, resolved: DataFrame, alias_rows: int, as_of: dt.date,
+              eastern, western) -> DataFrame:
+    """Team dimension, exactly one row per team id, in one aggregation.
 
-    When several codes share an id, the row of the code equal to the id
-    names the team (else the smallest code); everything else is per id.
+    When several codes share an id, the code equal to the id names the team
+    (else the smallest code); activity and performance are per id.
     """
     pick = F.min_by(F.struct("team_name", "current_team_code"),
                     F.struct(F.col("team_code") != F.col("team_id"), F.col("team_code")))
-    one = (teams.groupBy("team_id").agg(
-        pick.alias("nm"),
-        F.first("first_game_date").alias("first_game_date"),
-        F.first("last_game_date").alias("last_game_date"),
-        F.first("seasons_played").alias("seasons_played"),
-        F.first("total_games").alias("total_games"),
-        F.first("is_active").alias("is_active")))
-    p = performance.alias("p")
-    j = one.join(p, "team_id", "left")
-    return j.select(
+    per = (_named(summary, resolved, alias_rows).groupBy("team_id")
+           .agg(pick.alias("nm"), *_activity_aggs(), *_performance_aggs()))
+    return per.select(
         "team_id",
         F.col("nm.team_name").alias("team_name"),
         F.col("nm.current_team_code").alias("current_team_code"),
         bands.conference_of(F.col("team_id"), eastern, western).alias("conference"),
         "first_game_date", "last_game_date", "seasons_played", "total_games",
-        *_dim_measures((F.col("p.total_wins"), F.col("p.games_analyzed"),
-                        F.col("p.avg_elo_rating"), F.col("p.peak_elo_rating"))),
-        "is_active",
+        *_dim_measures((F.col("total_wins"), F.col("games_analyzed"),
+                        F.col("avg_elo_rating"), F.col("peak_elo_rating"))),
+        bands.is_active("last_game_date", as_of).alias("is_active"),
     ).select(*DIM_TEAMS_COLUMNS)
 
 

@@ -22,7 +22,7 @@ from courtside.plans import checks as C
 from courtside.plans import exports, models
 from courtside.sources import snapshots
 from courtside.sources.csv_tables import optional, read_aliases
-from courtside.sources.fixture import DEFAULT_PARAMS, FixtureParams
+from courtside.sources.fixture import DEFAULT_PARAMS, FixtureParams, alias_frame
 
 log = logging.getLogger(__name__)
 
@@ -73,14 +73,15 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
 
     # staging (views) and marts (tables)
     aliases = (read_aliases(spark, aliases_path) if aliases_path else
-               spark.createDataFrame(list(params.aliases), schemas.TEAM_ALIASES))
+               alias_frame(spark, params))
     alias_rows = bounded_row_count(aliases)
     resolved = models.resolve_aliases(aliases)
     stg_games = models.stg_games(elo)
-    stg_teams = models.stg_teams(stg_games, resolved, alias_rows, params.activity_as_of)
-    perf = models.team_performance(stg_games, resolved, alias_rows)
+    summary = models.side_summary(stg_games)
+    stg_teams = models.stg_teams(summary, resolved, alias_rows, params.activity_as_of)
     now = F.current_timestamp().alias("last_updated")
-    dim = _overwrite(models.dim_teams(stg_teams, perf, params.eastern, params.western)
+    dim = _overwrite(models.dim_teams(summary, resolved, alias_rows, params.activity_as_of,
+                                      params.eastern, params.western)
                      .select("*", now), f"{out}/marts/dim_teams")
     fct = _overwrite(models.fct_games(stg_games, resolved, alias_rows).select("*", now),
                      f"{out}/marts/fct_games", partition_by=["season"])

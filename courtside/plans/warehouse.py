@@ -62,17 +62,25 @@ class Warehouse:
     def stg_games(self) -> DataFrame:
         return models.stg_games(self.raw_elo())
 
+    def side_summary(self) -> DataFrame:
+        return models.side_summary(self.stg_games())
+
     def stg_teams(self) -> DataFrame:
-        return models.stg_teams(self.stg_games(), self.resolved_aliases(), self.alias_rows,
+        return models.stg_teams(self.side_summary(), self.resolved_aliases(), self.alias_rows,
                                 self.params.activity_as_of)
 
+    def team_activity(self) -> DataFrame:
+        return models.team_activity(self.side_summary(), self.resolved_aliases(),
+                                    self.alias_rows)
+
     def team_performance(self) -> DataFrame:
-        return models.team_performance(self.stg_games(), self.resolved_aliases(),
+        return models.team_performance(self.side_summary(), self.resolved_aliases(),
                                        self.alias_rows)
 
     def dim_teams(self) -> DataFrame:
-        return models.dim_teams(self.stg_teams(), self.team_performance(),
-                                self.params.eastern, self.params.western)
+        return models.dim_teams(self.side_summary(), self.resolved_aliases(), self.alias_rows,
+                                self.params.activity_as_of, self.params.eastern,
+                                self.params.western)
 
     def dim_teams_as_written(self) -> DataFrame:
         return models.dim_teams_as_written(self.stg_teams(), self.team_performance(),

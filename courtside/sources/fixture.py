@@ -43,10 +43,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than the session has cores.
+
+    A small input stored as one row group is read by one task, and all the
+    per-row work above it would stay in that task. Only then is the scan
+    round-robin repartitioned (deterministic on retry, since Spark sorts
+    before a round-robin shuffle); a large input already has at least as
+    many splits as cores and is left alone, so no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def _base_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").select(
+    orders = spread(read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-        "o_orderpriority")
+        "o_orderpriority"))
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     g = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
     hk = F.col("c_nationkey")
@@ -124,6 +139,13 @@ def rated_elo(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def inline_rows(spark: SparkSession, rows, columns) -> DataFrame:
+    """A small literal table built in the JVM (no Python-side row conversion)."""
+    structs = [F.struct(*[F.lit(v).cast("string").alias(c) for v, c in zip(r, columns)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def alias_frame(spark: SparkSession, params: FixtureParams = DEFAULT_PARAMS) -> DataFrame:
-    from courtside.schemas import TEAM_ALIASES
-    return spark.createDataFrame(list(params.aliases), TEAM_ALIASES)
+    """The alias seed rows (team_code, team_name, current_team_code)."""
+    return inline_rows(spark, params.aliases, ["team_code", "team_name", "current_team_code"])
