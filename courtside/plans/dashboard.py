@@ -86,12 +86,16 @@ def season_rating_change(games: DataFrame) -> DataFrame:
     """Per team and season: rating before the first game, after the last, and the sum
     of changes. Games on the same first (last) date tie; the smaller first
     (larger last) rating wins, so the result never depends on row order."""
-    first_key = F.struct("game_date", "elo_pre")
-    last_key = F.struct("game_date", "elo_post")
-    return (games.groupBy("team_name", "season").agg(
-        F.min_by("elo_pre", first_key).alias("elo_pre"),
-        F.max_by("elo_post", last_key).alias("elo_post"),
-        F.sum("elo_change").alias("elo_change"))
+    # Two hash aggregations: per day first (partial, map-side), then per
+    # season with the date as a primitive ordering key - a struct key would
+    # force a sort-based aggregation over every game.
+    daily = games.groupBy("team_name", "season", "game_date").agg(
+        F.min("elo_pre").alias("day_pre"), F.max("elo_post").alias("day_post"),
+        F.sum("elo_change").alias("day_change"))
+    return (daily.groupBy("team_name", "season").agg(
+        F.min_by("day_pre", "game_date").alias("elo_pre"),
+        F.max_by("day_post", "game_date").alias("elo_post"),
+        F.sum("day_change").alias("elo_change"))
         .withColumn("total_change", F.col("elo_post") - F.col("elo_pre")))
 
 
