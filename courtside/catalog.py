@@ -42,7 +42,7 @@ def _marts(w: Warehouse):
 @register("raw_elo", "SELECT * FROM elo_placeholder")
 def q_raw_elo(w: Warehouse) -> DataFrame:
     """Completed games with the reference's placeholder ratings."""
-    return warehouse_for(w.spark, w.sf_dir, PLACEHOLDER).raw_elo()
+    return warehouse_for(w.spark, w.sf_dir, PLACEHOLDER).derive_raw_elo()
 
 
 @register("stg_games", "SELECT * FROM stg_games")

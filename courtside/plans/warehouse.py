@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from courtside.operators.joins import bounded_row_count
 from courtside.plans import models
+from courtside.session import app_id
 from courtside.sources import fixture
 from courtside.sources.fixture import DEFAULT_PARAMS, FixtureParams
 from courtside.sources.tables import WrittenTable, write_and_read
@@ -38,9 +39,15 @@ class Warehouse:
         return fixture.read_table(self.spark, self.sf_dir, name)
 
     def raw_games(self) -> DataFrame:
-        return fixture.raw_games(self.spark, self.sf_dir)
+        """``raw.games``: loaded once (full refresh), then read as a table."""
+        return self.table("raw_games")
 
     def raw_elo(self) -> DataFrame:
+        """``raw.elo``: derived once per load (CTAS), then read as a table."""
+        return self.table("raw_elo")
+
+    def derive_raw_elo(self) -> DataFrame:
+        """The ``raw.elo`` derivation itself (lazy)."""
         if self.profile == RATED:
             return fixture.rated_elo(self.spark, self.sf_dir)
         return models.raw_elo(self.raw_games())
@@ -89,11 +96,20 @@ class Warehouse:
     def fct_games(self) -> DataFrame:
         return models.fct_games(self.stg_games(), self.resolved_aliases(), self.alias_rows)
 
-    # ---- marts (written once per session) ----------------------------------------
+    # ---- tables (written once per session) ---------------------------------------
     def _write(self, name: str) -> WrittenTable:
         with self._lock:
             if name not in self._written:
-                if name == "fct_games":
+                if name == "raw_games" and self.profile != RATED:
+                    # one raw load per input folder, whatever the rating profile
+                    self._written[name] = warehouse_for(self.spark, self.sf_dir)._write(name)
+                elif name == "raw_games":
+                    self._written[name] = write_and_read(
+                        fixture.raw_games(self.spark, self.sf_dir), f"raw/{name}")
+                elif name == "raw_elo":
+                    self._written[name] = write_and_read(self.derive_raw_elo(),
+                                                         f"raw/{name}-{self.profile}")
+                elif name == "fct_games":
                     self._written[name] = write_and_read(self.fct_games(), f"marts/{name}",
                                                          partition_by=["season"])
                 elif name == "dim_teams":
@@ -126,6 +142,9 @@ class Warehouse:
         return self._seasons
 
     def build(self) -> dict[str, int]:
+        """Load the raw tables and write both marts; returns mart row counts."""
+        self.table("raw_games")
+        self.table("raw_elo")
         return {n: self.rows(n) for n in ("dim_teams", "fct_games")}
 
 
@@ -135,7 +154,7 @@ _CACHE_LOCK = threading.Lock()
 
 def warehouse_for(spark: SparkSession, sf_dir: str, profile: str = RATED) -> Warehouse:
     """The session's warehouse for an input folder (marts are written once)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), profile)
+    key = (app_id(spark), sf_dir.rstrip("/"), profile)
     with _CACHE_LOCK:
         if key not in _CACHE:
             _CACHE[key] = Warehouse(spark, sf_dir, profile)

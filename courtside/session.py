@@ -45,7 +45,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.conf.get("spark.master", None) or ""
+    return master.startswith("local")
+
+
+def app_id(spark: SparkSession) -> str:
+    """The application id (works for classic and Connect sessions)."""
+    return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -56,26 +62,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cluster a machine-local folder would not survive losing that machine,
     so an unset folder is an error there.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no context on the client)
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
+        if configured:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir() or configured
+    elif configured:
+        return configured
     if not _is_local(spark):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(HDFS/S3/ABFS) that every executor can reach")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="courtside-ckpt-"))
-    return sc.getCheckpointDir()
+    local = tempfile.mkdtemp(prefix="courtside-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir()
+    spark.conf.set("spark.checkpoint.dir", local)
+    return local
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path below the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    app = spark.sparkContext.applicationId
+    app = app_id(spark)
     leaf = "/".join(p.strip("/") for p in parts if p)
     return f"{base}/courtside/{app}/{leaf}-{uuid.uuid4().hex[:8]}"

@@ -52,10 +52,12 @@ def spread(df: DataFrame) -> DataFrame:
     before a round-robin shuffle); a large input already has at least as
     many splits as cores and is left alone, so no shuffle is added at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (Spark Connect: leave the layout to the planner)
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _base_games(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,11 +19,18 @@ from courtside.session import scratch_path
 class WrittenTable:
     path: str
     df: DataFrame
-    rows: int
+    _rows: int | None = None
+
+    @property
+    def rows(self) -> int:
+        """Row count, read from the Parquet footers on first use."""
+        if self._rows is None:
+            self._rows = self.df.count()
+        return self._rows
 
 
 def write_and_read(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                   count: bool = True) -> WrittenTable:
+                   count: bool = False) -> WrittenTable:
     """Write ``df`` as Parquet under the shared folder and return it read back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
@@ -32,5 +39,7 @@ def write_and_read(df: DataFrame, name: str, partition_by: list[str] | None = No
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     back = spark.read.schema(df.schema).parquet(path).select(*df.columns)
-    rows = back.count() if count else -1
-    return WrittenTable(path, back, rows)
+    table = WrittenTable(path, back)
+    if count:
+        table.rows  # noqa: B018
+    return table
