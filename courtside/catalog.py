@@ -407,7 +407,8 @@ def q_dash_best_season(w):
 
 
 @register("dash_summary", """
-SELECT AVG(win_rate) AS avg_win_rate, CAST(SUM(games) AS BIGINT) AS total_games,
+SELECT AVG(CAST(ROUND(win_rate * 100) AS BIGINT)) / 100 AS avg_win_rate,
+       CAST(SUM(games) AS BIGINT) AS total_games,
        COUNT(DISTINCT team_name) AS teams_analyzed FROM win_rates_df""")
 def q_dash_summary(w):
     return D.rates_summary(D.win_rates(_games(w)))

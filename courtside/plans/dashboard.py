@@ -64,6 +64,12 @@ def win_rates(games: DataFrame) -> DataFrame:
     return g.withColumn("win_rate", F.round(F.col("wins") / F.col("games") * 100, 2))
 
 
+def download_win_rates(rates: DataFrame, path: str) -> None:
+    """The win-rate table as a CSV download (header, one file per task)."""
+    from courtside.sources.csv_tables import write_csv
+    write_csv(rates, path)
+
+
 def best_season(rates: DataFrame) -> DataFrame:
     """The top (team, season) by win rate; ties go to the first in (team, season) order."""
     return rates.orderBy(F.desc_nulls_last("win_rate"), F.asc_nulls_last("team_name"),
@@ -71,7 +77,10 @@ def best_season(rates: DataFrame) -> DataFrame:
 
 
 def rates_summary(rates: DataFrame) -> DataFrame:
-    return rates.agg(F.avg("win_rate").alias("avg_win_rate"),
+    """Mean win rate, total games, teams. Rates are whole hundredths, so the mean
+    is taken over integer hundredths: an exact sum, whatever the addition order."""
+    hundredths = F.round(F.col("win_rate") * 100).cast("long")
+    return rates.agg((F.avg(hundredths) / 100).alias("avg_win_rate"),
                      F.sum("games").cast("bigint").alias("total_games"),
                      F.countDistinct("team_name").alias("teams_analyzed"))
 

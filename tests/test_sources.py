@@ -108,3 +108,38 @@ def test_pack_pages_round_trip(spark, scratch):
     assert max(sizes) <= 100 and sum(sizes) == g.count()
     totals = {r[0] for r in pages.select("meta.total_pages").collect()}
     assert totals == {len(sizes)}
+
+
+def test_player_stats_and_allelo_csv(spark, scratch):
+    p = os.path.join(scratch, "ps")
+    os.makedirs(p)
+    cols = ["player_id", "season", "games_played", "min"] + schemas.PLAYER_STAT_COLUMNS
+    with open(os.path.join(p, "a.csv"), "w") as f:
+        f.write(",".join(cols) + "\n" + "7,2024,3,31:20," + ",".join(["1.5"] * 18) + "\n")
+    r = CSV.read_player_stats(spark, p).first()
+    assert r["min"] == "31:20" and r.pts == 1.5 and r.player_id == 7
+    a = os.path.join(scratch, "allelo")
+    os.makedirs(a)
+    with open(os.path.join(a, "a.csv"), "w") as f:
+        f.write(",".join(f.name for f in schemas.RAW_NBAALLELO.fields) + "\n"
+                "1,g1,NBA,1/1/1947,Knicks,Celtics,1300.0,1310.0,40.0,BOS,1300.0,1290.0,H,W,0.64,\n")
+    r = CSV.read_nbaallelo(spark, a).first()
+    assert r.game_location == "H" and r.notes is None and r.forecast == 0.64
+
+
+def test_expected_columns_check(spark):
+    from courtside.operators.quality import missing_columns
+    from courtside.plans.checks import EXPECTED_COLUMNS
+    elo = spark.createDataFrame([], schemas.RAW_ELO)
+    assert missing_columns(elo, EXPECTED_COLUMNS["elo"]) == []
+    allelo = spark.createDataFrame([], schemas.RAW_NBAALLELO)
+    assert missing_columns(allelo, EXPECTED_COLUMNS["nbaallelo"]) == ["team", "elo"]
+
+
+def test_win_rates_download(spark, scratch):
+    from courtside.plans import dashboard as D
+    rates = spark.createDataFrame([("A", 2000, 2, 3, 66.67)],
+                                  "team_name string, season int, wins long, games long, win_rate double")
+    D.download_win_rates(rates, f"{scratch}/dl")
+    back = CSV.read_csv(spark, f"{scratch}/dl", rates.schema).collect()
+    assert [tuple(r) for r in back] == [("A", 2000, 2, 3, 66.67)]
