@@ -16,3 +16,33 @@ def test_pipeline_end_to_end(spark, scratch):
     assert names == set(res.exports)
     fct = spark.read.parquet(f"{scratch}/out/marts/fct_games")
     assert "last_updated" in fct.columns and "season" in fct.columns
+
+
+def test_pages_to_exports_like_the_smoke_run(spark, scratch):
+    """Landed team and game pages -> typed raw snapshots -> pipeline -> exports."""
+    import json
+    import os
+
+    from courtside import schemas
+    from courtside.sources import api_pages as AP
+
+    pages = f"{scratch}/pages"
+    os.makedirs(pages)
+    game = {"id": 1001, "date": "2024-01-15T00:00:00.000Z",
+            "home_team": {"id": 1, "abbreviation": "LAL", "full_name": "Los Angeles Lakers"},
+            "home_team_score": 110,
+            "visitor_team": {"id": 2, "abbreviation": "BOS", "full_name": "Boston Celtics"},
+            "visitor_team_score": 105, "period": 4, "postseason": False, "season": 2024,
+            "status": "Final", "time": ""}
+    with open(f"{pages}/games.json", "w") as f:
+        f.write(json.dumps({"data": [game], "meta": {"current_page": 1, "total_pages": 1}}))
+    games = AP.typed_games(AP.flatten_games(AP.read_pages(spark, pages, schemas.GAMES_PAGE)))
+    land = f"{scratch}/landing"
+    SN.write_snapshot(games, land, "nba_games", "20240116_030000")
+    res = run_pipeline(spark, land, f"{scratch}/out", stamp="20240116_040000")
+    assert res.row_counts == {"dim_teams": 2, "fct_games": 2}
+    assert res.checks["one_winner_per_game"] == 0 and res.checks["elo_changes_sum_to_zero"] == 0
+    rates = SN.read_latest(spark, f"{scratch}/out/exports", "team_win_rates",
+                           "team_name string, season int, games_played long, wins long, "
+                           "win_rate double, avg_point_diff double").collect()
+    assert sorted((r.team_name, r.win_rate) for r in rates) == [("BOS", 0.0), ("LAL", 100.0)]
