@@ -28,6 +28,15 @@ log = logging.getLogger(__name__)
 
 RAW_INPUTS = {"nba_teams": schemas.RAW_TEAMS, "nba_games": schemas.RAW_GAMES,
               "nba_player_stats": schemas.RAW_PLAYER_STATS}
+# Declared primary keys: a load with a NULL or repeated key aborts.
+PRIMARY_KEYS = {"nba_teams": "team_id", "nba_games": "game_id"}
+
+
+def enforce_primary_key(df: DataFrame, key: str, table: str) -> None:
+    p = Q.primary_key_profile(df, key).first()
+    if p.null_keys or p.duplicate_keys:
+        raise Q.QualityError(f"{table}: primary key {key} has {p.null_keys} NULL and "
+                             f"{p.duplicate_keys} repeated values; load aborted")
 
 
 @dataclass
@@ -48,7 +57,8 @@ def _overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
                  params: FixtureParams = DEFAULT_PARAMS, aliases_path: str | None = None,
-                 fail_on: tuple = (), stamp: str | None = None) -> PipelineResult:
+                 fail_on: tuple = (), stamp: str | None = None,
+                 enforce_keys: bool = True) -> PipelineResult:
     """Run every stage; ``fail_on`` names checks that abort the run before export.
 
     ``landing_dir`` holds CSV snapshots (``nba_games``, ``nba_teams``,
@@ -64,6 +74,8 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
         df = optional(snapshots.read_latest, spark, landing_dir, name, schema, what=name)
         if df is None:
             continue
+        if enforce_keys and name in PRIMARY_KEYS:
+            enforce_primary_key(df, PRIMARY_KEYS[name], name)
         raw[name] = _overwrite(df, f"{out}/raw/{name}")
         res.paths[f"raw/{name}"] = f"{out}/raw/{name}"
     if "nba_games" not in raw:

@@ -27,10 +27,10 @@ def read_pages(spark: SparkSession, path: str, page_schema: T.StructType,
     return reader.schema(schema).json(path)
 
 
-def _items(pages: DataFrame) -> DataFrame:
+def _items(pages: DataFrame, keep=()) -> DataFrame:
     if CORRUPT in pages.columns:
         pages = pages.filter(F.col(CORRUPT).isNull())
-    return pages.select(F.explode("data").alias("g"))
+    return pages.select(F.explode("data").alias("g"), *keep)
 
 
 def flatten_teams(pages: DataFrame) -> DataFrame:
@@ -40,9 +40,12 @@ def flatten_teams(pages: DataFrame) -> DataFrame:
         "g.division", "g.full_name", "g.name")
 
 
-def flatten_games(pages: DataFrame) -> DataFrame:
-    """15 game columns from the nested home/visitor team structs; missing time = ''."""
-    return _items(pages).select(
+def flatten_games(pages: DataFrame, keep=()) -> DataFrame:
+    """15 game columns from the nested home/visitor team structs; missing time = ''.
+
+    ``keep`` names page-level columns to carry onto every row.
+    """
+    return _items(pages, keep).select(
         F.col("g.id").alias("game_id"),
         F.col("g.date").alias("date"),
         F.col("g.home_team.id").alias("home_team_id"),
@@ -58,6 +61,7 @@ def flatten_games(pages: DataFrame) -> DataFrame:
         F.col("g.season").alias("season"),
         F.col("g.status").alias("status"),
         F.coalesce(F.col("g.time"), F.lit("")).alias("time"),
+        *keep,
     )
 
 
@@ -67,10 +71,11 @@ def flatten_player_stats(pages: DataFrame) -> DataFrame:
                                   for f in schemas.API_PLAYER_STAT.fields])
 
 
-def typed_games(flat: DataFrame) -> DataFrame:
+def typed_games(flat: DataFrame, keep=()) -> DataFrame:
     """Flattened games with the ISO date string parsed to a timestamp (raw.games types)."""
     return flat.withColumn("date", F.to_timestamp("date")).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.RAW_GAMES.fields])
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.RAW_GAMES.fields],
+        *keep)
 
 
 # ---- writing pages (landing data for tests and the round-trip queries) --------

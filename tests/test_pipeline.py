@@ -46,3 +46,13 @@ def test_pages_to_exports_like_the_smoke_run(spark, scratch):
                            "team_name string, season int, games_played long, wins long, "
                            "win_rate double, avg_point_diff double").collect()
     assert sorted((r.team_name, r.win_rate) for r in rates) == [("BOS", 0.0), ("LAL", 100.0)]
+
+
+def test_load_aborts_on_repeated_primary_key(spark, scratch):
+    import pytest
+    from courtside.operators.quality import QualityError
+    g = raw_games(spark, "/root/testdata/sf0.001")
+    land = f"{scratch}/landing"
+    SN.write_snapshot(g.unionByName(g.limit(1)), land, "nba_games")
+    with pytest.raises(QualityError):
+        run_pipeline(spark, land, f"{scratch}/out")
