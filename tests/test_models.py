@@ -107,5 +107,7 @@ def test_no_nested_loop_or_cartesian_in_model_plans(spark):
 def test_fact_scan_is_pruned(spark):
     from courtside.plans.warehouse import Warehouse
     w = Warehouse(spark, "/root/testdata/sf0.001")
-    plan = w.fct_games()._jdf.queryExecution().executedPlan().toString()
+    plan = w.derive_raw_elo()._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int>" in plan
+    summary = w.side_summary()._jdf.queryExecution().executedPlan().toString()
+    assert "elo1_pre" not in summary  # the summary reads only the columns it aggregates
