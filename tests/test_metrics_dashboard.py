@@ -54,3 +54,16 @@ def test_dashboard_aggregates(spark):
     one = g.filter("game_location = 'HOME'")
     st = D.point_diff_stats(one).first()
     assert st.std_dev is None and st.median == 5.0  # one game: stddev NULL
+
+
+def test_conference_selector_and_default_teams(spark):
+    dim = spark.createDataFrame(
+        [("B", "Bee", "Eastern"), ("A", "Ay", "Western"), ("C", "Cee", "Eastern"),
+         ("D", "Dee", "Eastern")], "team_id string, team_name string, conference string") \
+        .withColumn("is_active", F.lit(True)).withColumn("historical_win_rate", F.lit(50.0)) \
+        .withColumn("avg_elo_rating", F.lit(1500.0)).withColumn("peak_elo_rating", F.lit(1510.0)) \
+        .withColumn("total_games", F.lit(10).cast("long"))
+    east = [r.team_name for r in D.teams_by_conference(dim, "Eastern").collect()]
+    assert east == ["Bee", "Cee", "Dee"]
+    assert [r.team_name for r in D.default_teams(dim, "All", 2).collect()] == ["Ay", "Bee"]
+    assert [r.conference for r in D.conference_list(dim).collect()] == ["Eastern", "Western"]
