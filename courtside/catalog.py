@@ -536,7 +536,7 @@ def _landing_csv(w) -> str:
     """raw.games written once as a CSV snapshot (the fetch step's output)."""
     def make():
         base = scratch_path(w.spark, "landing-csv")
-        SN.write_snapshot(w.raw_games(), base, "nba_games", "19000101_000000")
+        SN.write_snapshot(w.raw_games(), base, "games", "19000101_000000")
         return base
     return w.once("landing_csv", make)
 
@@ -551,7 +551,7 @@ _RANGE_SQL = (f"SELECT * FROM raw_games WHERE date BETWEEN TIMESTAMP '{O.AS_OF}
 @register("raw_games", "SELECT * FROM raw_games_loaded")
 def q_raw_games(w):
     """Typed CSV load of the games snapshot (header, empty = NULL, fail fast)."""
-    return CSV.read_games(w.spark, f"{_landing_csv(w)}/nba_games/{SN.SNAPSHOT_COL}=19000101_000000")
+    return CSV.read_games(w.spark, f"{_landing_csv(w)}/games/{SN.SNAPSHOT_COL}=19000101_000000")
 
 
 @register("games_in_range", _RANGE_SQL)
@@ -567,11 +567,11 @@ def q_latest_snapshot(w):
         base = scratch_path(w.spark, "landing-snapshots")
         start, _ = _range_bounds(w)
         SN.write_snapshot(w.raw_games().filter(F.col("date") < F.lit(start)), base,
-                          "nba_games", "20010101_030000")
-        SN.write_snapshot(_games_in_range(w), base, "nba_games", "20010801_030000")
+                          "games", "20010101_030000")
+        SN.write_snapshot(_games_in_range(w), base, "games", "20010801_030000")
         return base
     base = w.once("landing_snapshots", make)
-    return SN.read_latest(w.spark, base, "nba_games", S.RAW_GAMES)
+    return SN.read_latest(w.spark, base, "games", S.RAW_GAMES)
 
 
 @register("latest_season", "SELECT MAX(season) AS latest_season FROM raw_games")

@@ -28,7 +28,7 @@ ACCEPTED = [
 MIN_ROW_COUNT = 1000
 EXPECTED_COLUMNS = {
     "elo": ["date", "team1", "team2", "elo1_pre", "elo2_pre", "elo1_post", "elo2_post"],
-    "nbaallelo": ["date", "team", "elo", "game_id"],
+    "alltime_ratings": ["date", "team", "elo", "game_id"],
 }
 RATING_ZERO_SUM_TOLERANCE = 0.01
 # ---- end of fixed values ----------------------------------------------------

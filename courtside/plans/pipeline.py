@@ -26,10 +26,10 @@ from courtside.sources.fixture import DEFAULT_PARAMS, FixtureParams, alias_frame
 
 log = logging.getLogger(__name__)
 
-RAW_INPUTS = {"nba_teams": schemas.RAW_TEAMS, "nba_games": schemas.RAW_GAMES,
-              "nba_player_stats": schemas.RAW_PLAYER_STATS}
+RAW_INPUTS = {"teams": schemas.RAW_TEAMS, "games": schemas.RAW_GAMES,
+              "player_stats": schemas.RAW_PLAYER_STATS}
 # Declared primary keys: a load with a NULL or repeated key aborts.
-PRIMARY_KEYS = {"nba_teams": "team_id", "nba_games": "game_id"}
+PRIMARY_KEYS = {"teams": "team_id", "games": "game_id"}
 
 
 def enforce_primary_key(df: DataFrame, key: str, table: str) -> None:
@@ -61,8 +61,8 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
                  enforce_keys: bool = True) -> PipelineResult:
     """Run every stage; ``fail_on`` names checks that abort the run before export.
 
-    ``landing_dir`` holds CSV snapshots (``nba_games``, ``nba_teams``,
-    ``nba_player_stats``); a missing input is skipped with a warning.
+    ``landing_dir`` holds CSV snapshots (``games``, ``teams``,
+    ``player_stats``); a missing input is skipped with a warning.
     """
     out = out_dir.rstrip("/")
     res = PipelineResult()
@@ -78,10 +78,10 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
             enforce_primary_key(df, PRIMARY_KEYS[name], name)
         raw[name] = _overwrite(df, f"{out}/raw/{name}")
         res.paths[f"raw/{name}"] = f"{out}/raw/{name}"
-    if "nba_games" not in raw:
+    if "games" not in raw:
         log.warning("no games snapshot: nothing to model")
         return res
-    elo = _overwrite(models.raw_elo(raw["nba_games"]), f"{out}/raw/elo")
+    elo = _overwrite(models.raw_elo(raw["games"]), f"{out}/raw/elo")
 
     # staging (views) and marts (tables)
     aliases = (read_aliases(spark, aliases_path) if aliases_path else

@@ -39,7 +39,7 @@ RAW_ELO = _struct(
 
 # Declared source with no loader; types are not given, so strings except the
 # obvious numerics.
-RAW_NBAALLELO = _struct(
+RAW_ALLTIME_RATINGS = _struct(
     ("gameorder", _L), ("game_id", _S), ("lg_id", _S), ("date", _S), ("franch_id", _S),
     ("opp_franch", _S), ("elo_i", _D), ("elo_n", _D), ("win_equiv", _D), ("opp_id", _S),
     ("opp_elo_i", _D), ("opp_elo_n", _D), ("game_location", _S), ("game_result", _S),

@@ -42,9 +42,9 @@ def read_aliases(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.TEAM_ALIASES)
 
 
-def read_nbaallelo(spark: SparkSession, path: str) -> DataFrame:
+def read_alltime_ratings(spark: SparkSession, path: str) -> DataFrame:
     """Reader for the declared all-time ratings source (no loader exists for it)."""
-    return read_csv(spark, path, schemas.RAW_NBAALLELO)
+    return read_csv(spark, path, schemas.RAW_ALLTIME_RATINGS)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

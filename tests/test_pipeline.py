@@ -5,10 +5,10 @@ from courtside.sources.fixture import raw_games
 
 def test_pipeline_end_to_end(spark, scratch):
     land = f"{scratch}/landing"
-    SN.write_snapshot(raw_games(spark, "/root/testdata/sf0.001"), land, "nba_games")
+    SN.write_snapshot(raw_games(spark, "/root/testdata/sf0.001"), land, "games")
     res = run_pipeline(spark, land, f"{scratch}/out", stamp="20240101_030000")
     assert res.row_counts["fct_games"] > 0 and res.row_counts["dim_teams"] > 0
-    assert "raw/nba_teams" not in res.paths  # missing input skipped
+    assert "raw/teams" not in res.paths  # missing input skipped
     assert res.checks["relationships_team"] == 0
     assert res.checks["elo_changes_sum_to_zero"] > 0  # placeholder ties break zero-sum
     assert set(res.exports) == {"team_win_rates", "elo_trends", "point_diff_by_season"}
@@ -38,7 +38,7 @@ def test_pages_to_exports_like_the_smoke_run(spark, scratch):
         f.write(json.dumps({"data": [game], "meta": {"current_page": 1, "total_pages": 1}}))
     games = AP.typed_games(AP.flatten_games(AP.read_pages(spark, pages, schemas.GAMES_PAGE)))
     land = f"{scratch}/landing"
-    SN.write_snapshot(games, land, "nba_games", "20240116_030000")
+    SN.write_snapshot(games, land, "games", "20240116_030000")
     res = run_pipeline(spark, land, f"{scratch}/out", stamp="20240116_040000")
     assert res.row_counts == {"dim_teams": 2, "fct_games": 2}
     assert res.checks["one_winner_per_game"] == 0 and res.checks["elo_changes_sum_to_zero"] == 0
@@ -53,6 +53,6 @@ def test_load_aborts_on_repeated_primary_key(spark, scratch):
     from courtside.operators.quality import QualityError
     g = raw_games(spark, "/root/testdata/sf0.001")
     land = f"{scratch}/landing"
-    SN.write_snapshot(g.unionByName(g.limit(1)), land, "nba_games")
+    SN.write_snapshot(g.unionByName(g.limit(1)), land, "games")
     with pytest.raises(QualityError):
         run_pipeline(spark, land, f"{scratch}/out")

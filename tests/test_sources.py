@@ -89,12 +89,12 @@ def test_missing_input_is_skipped(spark, scratch):
 def test_snapshots_latest_pointer(spark, scratch):
     a = spark.createDataFrame([(1, "old")], "team_id int, abbreviation string")
     b = spark.createDataFrame([(2, "new")], "team_id int, abbreviation string")
-    SN.write_snapshot(a, scratch, "nba_teams", "20240101_000000")
-    SN.write_snapshot(b, scratch, "nba_teams", "20240102_000000")
-    assert SN.latest_stamp(spark, scratch, "nba_teams") == "20240102_000000"
-    got = SN.read_latest(spark, scratch, "nba_teams", a.schema).collect()
+    SN.write_snapshot(a, scratch, "teams", "20240101_000000")
+    SN.write_snapshot(b, scratch, "teams", "20240102_000000")
+    assert SN.latest_stamp(spark, scratch, "teams") == "20240102_000000"
+    got = SN.read_latest(spark, scratch, "teams", a.schema).collect()
     assert [tuple(r) for r in got] == [(2, "new")]
-    assert [r.name for r in SN.list_latest(spark, scratch).collect()] == ["nba_teams"]
+    assert [r.name for r in SN.list_latest(spark, scratch).collect()] == ["teams"]
     pv = SN.preview(b, [F.col("team_id")], 100).first()
     assert pv.total_rows == 1
 
@@ -121,9 +121,9 @@ def test_player_stats_and_allelo_csv(spark, scratch):
     a = os.path.join(scratch, "allelo")
     os.makedirs(a)
     with open(os.path.join(a, "a.csv"), "w") as f:
-        f.write(",".join(f.name for f in schemas.RAW_NBAALLELO.fields) + "\n"
+        f.write(",".join(f.name for f in schemas.RAW_ALLTIME_RATINGS.fields) + "\n"
                 "1,g1,NBA,1/1/1947,Knicks,Celtics,1300.0,1310.0,40.0,BOS,1300.0,1290.0,H,W,0.64,\n")
-    r = CSV.read_nbaallelo(spark, a).first()
+    r = CSV.read_alltime_ratings(spark, a).first()
     assert r.game_location == "H" and r.notes is None and r.forecast == 0.64
 
 
@@ -132,8 +132,8 @@ def test_expected_columns_check(spark):
     from courtside.plans.checks import EXPECTED_COLUMNS
     elo = spark.createDataFrame([], schemas.RAW_ELO)
     assert missing_columns(elo, EXPECTED_COLUMNS["elo"]) == []
-    allelo = spark.createDataFrame([], schemas.RAW_NBAALLELO)
-    assert missing_columns(allelo, EXPECTED_COLUMNS["nbaallelo"]) == ["team", "elo"]
+    allelo = spark.createDataFrame([], schemas.RAW_ALLTIME_RATINGS)
+    assert missing_columns(allelo, EXPECTED_COLUMNS["alltime_ratings"]) == ["team", "elo"]
 
 
 def test_win_rates_download(spark, scratch):
