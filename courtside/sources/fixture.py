@@ -145,7 +145,7 @@ def inline_rows(spark: SparkSession, rows, columns) -> DataFrame:
     """A small literal table built in the JVM (no Python-side row conversion)."""
     structs = [F.struct(*[F.lit(v).cast("string").alias(c) for v, c in zip(r, columns)])
                for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
 def alias_frame(spark: SparkSession, params: FixtureParams = DEFAULT_PARAMS) -> DataFrame:

@@ -35,8 +35,9 @@ def write_snapshot(df: DataFrame, base_dir: str, name: str, stamp: str | None =
     path = f"{base_dir.rstrip('/')}/{name}"
     write_csv(df, f"{path}/{SNAPSHOT_COL}={stamp}", mode="overwrite")
     spark = df.sparkSession
-    (spark.createDataFrame([(name, stamp, path)], _POINTER_SCHEMA).coalesce(1)
-     .write.mode("overwrite").json(f"{path}/{POINTER}"))
+    pointer = spark.range(0, 1, 1, 1).select(F.lit(name).alias("name"), F.lit(stamp).alias(SNAPSHOT_COL),
+                                    F.lit(path).alias("path"))
+    pointer.write.mode("overwrite").json(f"{path}/{POINTER}")
     return stamp
 
 

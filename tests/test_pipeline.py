@@ -6,7 +6,7 @@ from courtside.sources.fixture import raw_games
 def test_pipeline_end_to_end(spark, scratch):
     land = f"{scratch}/landing"
     SN.write_snapshot(raw_games(spark, "/root/testdata/sf0.001"), land, "games")
-    res = run_pipeline(spark, land, f"{scratch}/out", stamp="20240101_030000")
+    res = run_pipeline(spark, land, f"{scratch}/out", stamp="20240101_030000", fail_on=())
     assert res.row_counts["fct_games"] > 0 and res.row_counts["dim_teams"] > 0
     assert "raw/teams" not in res.paths  # missing input skipped
     assert res.checks["relationships_team"] == 0
@@ -48,6 +48,18 @@ def test_pages_to_exports_like_the_smoke_run(spark, scratch):
     assert sorted((r.team_name, r.win_rate) for r in rates) == [("BOS", 0.0), ("LAL", 100.0)]
 
 
+def test_failing_check_stops_before_export(spark, scratch):
+    import os
+
+    import pytest
+    from courtside.operators.quality import QualityError
+    land = f"{scratch}/landing"
+    SN.write_snapshot(raw_games(spark, "/root/testdata/sf0.001"), land, "games")
+    with pytest.raises(QualityError, match="elo_changes_sum_to_zero|unique|one_winner|scores"):
+        run_pipeline(spark, land, f"{scratch}/out")
+    assert not os.path.exists(f"{scratch}/out/exports")
+
+
 def test_load_aborts_on_repeated_primary_key(spark, scratch):
     import pytest
     from courtside.operators.quality import QualityError
