@@ -7,13 +7,28 @@ feature itself (a top-k list, a preview).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from courtside import oracle_sql as O
-from courtside.plans import exports
+from courtside import schemas as S
+from courtside.functions import dates as FD
+from courtside.functions.bands import conference_of
+from courtside.operators import quality as Q
+from courtside.operators.joins import lookup_join
+from courtside.plans import checks as C
+from courtside.plans import dashboard as D
+from courtside.plans import exports, models
+from courtside.plans import metrics as M
 from courtside.plans.warehouse import PLACEHOLDER, Warehouse, warehouse_for
+from courtside.session import scratch_path
+from courtside.sources import api_pages as AP
+from courtside.sources import csv_tables as CSV
+from courtside.sources import snapshots as SN
+from courtside.streaming import landing as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,8 +67,7 @@ def q_stg_games(w):
 
 @register("all_teams", "SELECT * FROM all_teams")
 def q_all_teams(w):
-    from courtside.plans.models import all_teams
-    return all_teams(w.stg_games())
+    return models.all_teams(w.stg_games())
 
 
 @register("team_activity", "SELECT * FROM team_activity")
@@ -142,8 +156,6 @@ def q_export_summary(w):
 
 # ---- data quality -------------------------------------------------------------
 
-from courtside.operators import quality as Q  # noqa: E402
-from courtside.plans import checks as C  # noqa: E402
 
 
 def _nn_sql() -> str:
@@ -296,7 +308,6 @@ def q_dq_primary_key(w):
 
 # ---- metrics ------------------------------------------------------------------
 
-from courtside.plans import metrics as M  # noqa: E402
 
 _METRIC_SQL = {
     "win_rate": ("CAST(SUM(win_flag) AS DOUBLE) * 100.0 / COUNT(*)", "score_for IS NOT NULL"),
@@ -336,7 +347,6 @@ for _name, _spec in M.METRICS.items():
 
 # ---- dashboard ----------------------------------------------------------------
 
-from courtside.plans import dashboard as D  # noqa: E402
 
 O.CTES["games_df"] = """
 SELECT f.game_date, f.season, t.team_name, t.conference, f.win_flag, f.score_diff,
@@ -470,9 +480,7 @@ def q_home_advantage_pivot(w):
 
 # ---- date functions --------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
 
-from courtside.functions import dates as FD  # noqa: E402
 
 
 @register("season_of_date", f"""
@@ -513,16 +521,8 @@ def q_days_between(w):
 
 # ---- sources and sinks --------------------------------------------------------------
 
-from courtside import schemas as S  # noqa: E402
-from courtside.functions.bands import conference_of  # noqa: E402
-from courtside.session import scratch_path  # noqa: E402
-from courtside.sources import api_pages as AP  # noqa: E402
-from courtside.sources import csv_tables as CSV  # noqa: E402
-from courtside.sources import snapshots as SN  # noqa: E402
-from courtside.streaming import landing as ST  # noqa: E402
 
 def _range_bounds(w):
-    import datetime as dt
     end = dt.datetime.combine(w.params.as_of, dt.time())
     return end - dt.timedelta(days=w.params.fetch_days), end
 
@@ -587,10 +587,8 @@ SELECT t.team_code, COALESCE(a.team_name, t.team_code) AS team_name,
 FROM all_teams t LEFT JOIN team_aliases a ON t.team_code = a.team_code""")
 def q_seed_aliases(w):
     """Every team code in the games with its alias resolution and seed row count."""
-    from courtside.plans.models import all_teams, name_codes
-    from courtside.operators.joins import lookup_join
-    codes = all_teams(w.stg_games())
-    named = name_codes(codes, w.resolved_aliases(), w.alias_rows)
+    codes = models.all_teams(w.stg_games())
+    named = models.name_codes(codes, w.resolved_aliases(), w.alias_rows)
     counts = w.aliases().groupBy("team_code").agg(F.count(F.lit(1)).alias("alias_rows"))
     j = lookup_join(named, counts, "team_code", "left", small_rows=w.alias_rows)
     return j.select("team_code", "team_name", "current_team_code", "team_id",
@@ -628,7 +626,6 @@ def _team_rows(w) -> DataFrame:
         F.struct(F.col("visitor_team_id").alias("id"),
                  F.col("visitor_team_abbreviation").alias("abbreviation"),
                  F.col("visitor_team_name").alias("full_name")))).alias("t")).select("t.*").distinct()
-    from courtside.operators.joins import lookup_join
     nation = w.source("nation").select(F.col("n_nationkey").alias("id"), "n_regionkey")
     region = w.source("region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     t = lookup_join(sides, nation, "id", "left")
