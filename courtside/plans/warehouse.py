@@ -141,6 +141,15 @@ class Warehouse:
                                    if r[0] is not None)
         return self._seasons
 
+    def refresh(self) -> None:
+        """Forget written tables and cached lookups (after the inputs changed)."""
+        with self._lock:
+            self._written.clear()
+            self._alias_rows = None
+            for attr in ("_once", "_seasons"):
+                if hasattr(self, attr):
+                    delattr(self, attr)
+
     def build(self) -> dict[str, int]:
         """Load the raw tables and write both marts; returns mart row counts."""
         self.table("raw_games")

@@ -113,7 +113,10 @@ def pack_pages(items: DataFrame, page_size: int = 100) -> DataFrame:
         "rn", F.row_number().over(w))
     pages = (numbered.groupBy("block", F.floor((F.col("rn") - 1) / page_size).alias("sub"))
              .agg(F.sort_array(F.collect_list(F.struct("key", "item"))).alias("entries")))
-    total = pages.agg(F.count(F.lit(1)).cast("int")).scalar()
+    # pages per key range = ceil(rows / page_size): one partial aggregation
+    # over the items, not a second run of the window above
+    per_block = items.groupBy(block.alias("block")).agg(F.count(F.lit(1)).alias("n"))
+    total = per_block.agg(F.sum(F.ceil(F.col("n") / page_size)).cast("int")).scalar()
     return pages.select(F.to_json(F.struct(
         F.transform("entries", lambda e: e["item"]).alias("data"),
         F.struct(F.col("block").cast("int").alias("current_page"),
