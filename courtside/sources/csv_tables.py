@@ -62,6 +62,6 @@ def optional(loader, *args, what: str = "input"):
         return df
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            log.warning("missing %s %s: skipped", what, args[-1] if args else "")
+            log.warning("missing input %s: skipped", what)
             return None
         raise
