@@ -56,7 +56,8 @@ class Warehouse:
         return fixture.alias_frame(self.spark, self.params)
 
     def resolved_aliases(self) -> DataFrame:
-        return models.resolve_aliases(self.aliases())
+        """One alias row per code, resolved once and read as a (tiny) table."""
+        return self.table("aliases")
 
     @property
     def alias_rows(self) -> int:
@@ -109,6 +110,9 @@ class Warehouse:
                 elif name == "raw_elo":
                     self._written[name] = write_and_read(self.derive_raw_elo(),
                                                          f"raw/{name}-{self.profile}")
+                elif name == "aliases":
+                    self._written[name] = write_and_read(
+                        models.resolve_aliases(self.aliases()).coalesce(1), "seeds/aliases")
                 elif name == "fct_games":
                     self._written[name] = write_and_read(self.fct_games(), f"marts/{name}",
                                                          partition_by=["season"])
