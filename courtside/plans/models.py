@@ -232,21 +232,24 @@ def dim_teams(summary: DataFrame, resolved: DataFrame, alias_rows: int, as_of: d
 
 def dim_teams_as_written(teams: DataFrame, performance: DataFrame, eastern,
                          western) -> DataFrame:
-    """The dimension exactly as the reference joins it (kept for parity checks).
+    """The dimension with the reference's row multiplicity (kept for parity checks).
 
-    Codes sharing an id give several base rows, and the per-code conference
-    lookup joined on the id multiplies them again (n codes -> n*n rows).
+    Codes sharing an id give several base rows, and the reference then joins
+    a per-code conference lookup on the id, so each of an id's n rows comes
+    out n times. The conference is a function of the id, so the same result
+    is produced by repeating each row n times - no self-join on the id.
     """
-    tc = teams.select("team_id", bands.conference_of(F.col("team_id"), eastern,
-                                                     western).alias("conference"))
+    copies = F.count(F.lit(1)).over(Window.partitionBy("team_id"))
     p = performance.alias("p")
-    j = teams.join(p, "team_id", "left").join(tc, "team_id", "left")
+    j = teams.withColumn("_copies", copies).join(p, "team_id", "left")
     return j.select(
-        "team_id", "team_name", "current_team_code", "conference", "first_game_date",
-        "last_game_date", "seasons_played", "total_games",
+        "team_id", "team_name", "current_team_code",
+        bands.conference_of(F.col("team_id"), eastern, western).alias("conference"),
+        "first_game_date", "last_game_date", "seasons_played", "total_games",
         *_dim_measures((F.col("p.total_wins"), F.col("p.games_analyzed"),
                         F.col("p.avg_elo_rating"), F.col("p.peak_elo_rating"))),
         "is_active",
+        F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"),
     ).select(*DIM_TEAMS_COLUMNS)
 
 
