@@ -50,7 +50,7 @@ TEAM_ALIASES = _struct(("team_code", _S), ("team_name", _S), ("current_team_code
 # ---- API pages (landed JSON) -------------------------------------------
 
 _TEAM_REF = _struct(("id", _I), ("abbreviation", _S), ("full_name", _S))
-PAGE_META = _struct(("current_page", _I), ("total_pages", _I))
+PAGE_META = _struct(("current_page", _L), ("total_pages", _I))
 
 API_TEAM = _struct(("id", _I), ("abbreviation", _S), ("city", _S), ("conference", _S),
                    ("division", _S), ("full_name", _S), ("name", _S))

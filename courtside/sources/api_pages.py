@@ -7,7 +7,7 @@ page's array into rows without leaving the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,23 +101,24 @@ def game_items(raw_games: DataFrame) -> DataFrame:
 def pack_pages(items: DataFrame, page_size: int = 100) -> DataFrame:
     """(key, item) rows -> one JSON page per line, at most ``page_size`` items each.
 
-    Pages are formed per key range (key div page_size) and split again by
-    row number inside the range, so a page never exceeds ``page_size`` items
-    even when keys repeat (with a unique key, as a primary key is, a range
-    holds at most ``page_size`` rows). ``current_page`` is the key range;
-    ``total_pages`` comes from a scalar subquery, not a driver round trip.
+    Pages are cut from each input partition in row order, so a page never
+    spans two partitions and never holds more than ``page_size`` items,
+    however the keys repeat; grouping on (partition, page) then gathers at
+    most ``page_size`` rows per group. Items inside a page are sorted by key.
+    ``current_page`` is a unique page id (partition * 2^31 + page number);
+    ``total_pages`` is sum(ceil(rows / page_size)) over partitions, a
+    scalar subquery on a partial count.
     """
-    block = F.floor(F.col("key") / page_size)
-    w = Window.partitionBy("block").orderBy("key")
-    numbered = items.select(block.alias("block"), "key", "item").withColumn(
-        "rn", F.row_number().over(w))
-    pages = (numbered.groupBy("block", F.floor((F.col("rn") - 1) / page_size).alias("sub"))
+    part = F.spark_partition_id()
+    pos = F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)
+    paged = items.select("key", "item", part.alias("part"),
+                         F.floor(pos / page_size).alias("local"))
+    pages = (paged.groupBy("part", "local")
              .agg(F.sort_array(F.collect_list(F.struct("key", "item"))).alias("entries")))
-    # pages per key range = ceil(rows / page_size): one partial aggregation
-    # over the items, not a second run of the window above
-    per_block = items.groupBy(block.alias("block")).agg(F.count(F.lit(1)).alias("n"))
-    total = per_block.agg(F.sum(F.ceil(F.col("n") / page_size)).cast("int")).scalar()
+    per_part = paged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    total = per_part.agg(F.sum(F.ceil(F.col("n") / page_size)).cast("int")).scalar()
+    page_id = F.col("part").cast("long") * (1 << 31) + F.col("local") + 1
     return pages.select(F.to_json(F.struct(
         F.transform("entries", lambda e: e["item"]).alias("data"),
-        F.struct(F.col("block").cast("int").alias("current_page"),
-                 total.alias("total_pages")).alias("meta"))).alias("value"))
+        F.struct(page_id.alias("current_page"), total.alias("total_pages")).alias("meta")))
+        .alias("value"))

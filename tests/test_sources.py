@@ -143,3 +143,14 @@ def test_win_rates_download(spark, scratch):
     D.download_win_rates(rates, f"{scratch}/dl")
     back = CSV.read_csv(spark, f"{scratch}/dl", rates.schema).collect()
     assert [tuple(r) for r in back] == [("A", 2000, 2, 3, 66.67)]
+
+
+def test_pack_pages_bounded_with_repeated_keys(spark, scratch):
+    items = spark.range(0, 1000, 1, 4).select(F.lit(7).cast("long").alias("key"),
+                                             F.struct(F.col("id").alias("id")).alias("item"))
+    AP.pack_pages(items, 100).write.text(f"{scratch}/p")
+    schema = "data array<struct<id:bigint>>, meta struct<current_page:bigint,total_pages:int>"
+    pages = spark.read.schema(schema).json(f"{scratch}/p")
+    sizes = [r[0] for r in pages.select(F.size("data")).collect()]
+    assert max(sizes) <= 100 and sum(sizes) == 1000
+    assert pages.select("meta.current_page").distinct().count() == len(sizes)
