@@ -35,6 +35,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("landing")
     p.add_argument("out")
     p.add_argument("--aliases", default=None, help="alias seed CSV")
+    p.add_argument("--layout", choices=("snapshots", "flat"), default="snapshots",
+                   help="snapshot folders with a pointer, or timestamped <name>_<stamp>.csv files")
     p.add_argument("--report-only", action="store_true",
                    help="report failing checks instead of stopping before export")
     i = sub.add_parser("ingest")
@@ -57,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "pipeline":
         from courtside.plans.pipeline import run_pipeline
         res = run_pipeline(spark, args.landing, args.out, aliases_path=args.aliases,
-                           fail_on=() if args.report_only else "all")
+                           fail_on=() if args.report_only else "all", layout=args.layout)
         print(json.dumps({"row_counts": res.row_counts, "checks": res.checks,
                           "exports": res.exports, "paths": res.paths}))
     elif args.cmd == "ingest":

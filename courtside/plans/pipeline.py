@@ -58,13 +58,15 @@ def _overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None)
 def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
                  params: FixtureParams = DEFAULT_PARAMS, aliases_path: str | None = None,
                  fail_on: tuple | str = "all", stamp: str | None = None,
-                 enforce_keys: bool = True) -> PipelineResult:
+                 enforce_keys: bool = True, layout: str = "snapshots") -> PipelineResult:
     """Run every stage; a failing check named in ``fail_on`` (default: every
     check) aborts the run before export, as a failing data test stops the
     reference's export; ``fail_on=()`` reports only.
 
     ``landing_dir`` holds CSV snapshots (``games``, ``teams``,
-    ``player_stats``); a missing input is skipped with a warning.
+    ``player_stats``): ``layout="snapshots"`` for snapshot folders with a
+    latest pointer, ``layout="flat"`` for timestamped ``<name>_<stamp>.csv``
+    files. A missing input is skipped with a warning.
     """
     out = out_dir.rstrip("/")
     res = PipelineResult()
@@ -72,8 +74,9 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
 
     # raw layer (full refresh)
     raw = {}
+    reader = {"snapshots": snapshots.read_latest, "flat": snapshots.read_latest_flat}[layout]
     for name, schema in RAW_INPUTS.items():
-        df = optional(snapshots.read_latest, spark, landing_dir, name, schema, what=name)
+        df = optional(reader, spark, landing_dir, name, schema, what=name)
         if df is None:
             continue
         if enforce_keys and name in PRIMARY_KEYS:

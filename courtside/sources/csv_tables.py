@@ -65,3 +65,6 @@ def optional(loader, *args, what: str = "input"):
             log.warning("missing input %s: skipped", what)
             return None
         raise
+    except FileNotFoundError:
+        log.warning("missing input %s: skipped", what)
+        return None

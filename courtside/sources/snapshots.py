@@ -65,3 +65,25 @@ def preview(df: DataFrame, order_by: list, n: int = 100) -> DataFrame:
     """First ``n`` rows in a total order, each carrying the dataset's row count."""
     total = df.agg(F.count(F.lit(1))).scalar()
     return df.orderBy(*order_by).limit(n).withColumn("total_rows", total)
+
+
+def latest_flat_file(spark: SparkSession, raw_dir: str, name: str) -> str | None:
+    """Newest ``<name>_YYYYMMDD_HHMMSS.csv`` in a folder of timestamped files.
+
+    The listing is a Spark file scan that selects only ``path`` (no file
+    content is read); the stamp sorts chronologically as text.
+    """
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", f"{name}_*.csv")
+             .load(raw_dir).select("path"))
+    stamp = F.regexp_extract("path", rf"{name}_(\d{{8}}_\d{{6}})\.csv$", 1)
+    row = files.filter(stamp != "").agg(F.max_by("path", stamp)).first()
+    return row[0] if row else None
+
+
+def read_latest_flat(spark: SparkSession, raw_dir: str, name: str,
+                     schema: T.StructType) -> DataFrame:
+    """The newest timestamped CSV of ``name`` (the layout a fetch step leaves behind)."""
+    path = latest_flat_file(spark, raw_dir, name)
+    if path is None:
+        raise FileNotFoundError(f"Path does not exist: no {name}_*.csv under {raw_dir}")
+    return read_csv(spark, path, schema)

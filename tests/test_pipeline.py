@@ -68,3 +68,21 @@ def test_load_aborts_on_repeated_primary_key(spark, scratch):
     SN.write_snapshot(g.unionByName(g.limit(1)), land, "games")
     with pytest.raises(QualityError):
         run_pipeline(spark, land, f"{scratch}/out")
+
+
+def test_flat_timestamped_landing(spark, scratch):
+    import os
+    import shutil
+
+    from courtside.sources.csv_tables import write_csv
+    land = f"{scratch}/raw"
+    os.makedirs(land)
+    g = raw_games(spark, "/root/testdata/sf0.001")
+    for stamp, df in (("20240101_030000", g.limit(10)), ("20240102_030000", g)):
+        tmp = f"{scratch}/tmp_{stamp}"
+        write_csv(df.coalesce(1), tmp)
+        part = [f for f in os.listdir(tmp) if f.endswith(".csv")][0]
+        shutil.copy(f"{tmp}/{part}", f"{land}/games_{stamp}.csv")
+    assert SN.latest_flat_file(spark, land, "games").endswith("games_20240102_030000.csv")
+    res = run_pipeline(spark, land, f"{scratch}/out", layout="flat", fail_on=())
+    assert res.row_counts["fct_games"] == 2 * g.filter("status = 'Final'").count()
