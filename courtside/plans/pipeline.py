@@ -20,7 +20,7 @@ from courtside.operators import quality as Q
 from courtside.operators.joins import bounded_row_count
 from courtside.plans import checks as C
 from courtside.plans import exports, models
-from courtside.sources import snapshots
+from courtside.sources import api_pages, snapshots
 from courtside.sources.csv_tables import optional, read_aliases
 from courtside.sources.fixture import DEFAULT_PARAMS, FixtureParams, alias_frame
 
@@ -66,7 +66,8 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
     ``landing_dir`` holds CSV snapshots (``games``, ``teams``,
     ``player_stats``): ``layout="snapshots"`` for snapshot folders with a
     latest pointer, ``layout="flat"`` for timestamped ``<name>_<stamp>.csv``
-    files. A missing input is skipped with a warning.
+    files, ``layout="pages"`` for landed API JSON pages in ``<name>/``
+    folders. A missing input is skipped with a warning.
     """
     out = out_dir.rstrip("/")
     res = PipelineResult()
@@ -74,7 +75,8 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
 
     # raw layer (full refresh)
     raw = {}
-    reader = {"snapshots": snapshots.read_latest, "flat": snapshots.read_latest_flat}[layout]
+    reader = {"snapshots": snapshots.read_latest, "flat": snapshots.read_latest_flat,
+              "pages": api_pages.read_landed}[layout]
     for name, schema in RAW_INPUTS.items():
         df = optional(reader, spark, landing_dir, name, schema, what=name)
         if df is None:

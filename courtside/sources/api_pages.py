@@ -78,6 +78,25 @@ def typed_games(flat: DataFrame, keep=()) -> DataFrame:
         *keep)
 
 
+def read_landed(spark: SparkSession, pages_dir: str, name: str,
+                schema: T.StructType | None = None) -> DataFrame:
+    """``<pages_dir>/<name>`` pages as a typed raw table (games, teams, player_stats).
+
+    Games and teams fail fast on a bad page; player statistics keep the
+    good pages (PERMISSIVE), as the fetch step keeps what it read.
+    """
+    path = f"{pages_dir.rstrip('/')}/{name}"
+    if name == "games":
+        return typed_games(flatten_games(read_pages(spark, path, schemas.GAMES_PAGE)))
+    if name == "teams":
+        flat = flatten_teams(read_pages(spark, path, schemas.TEAMS_PAGE))
+        return flat.select(*[F.col(f.name).cast(f.dataType) for f in schemas.RAW_TEAMS.fields])
+    if name == "player_stats":
+        return flatten_player_stats(read_pages(spark, path, schemas.PLAYER_STATS_PAGE,
+                                               mode="PERMISSIVE"))
+    raise KeyError(name)
+
+
 # ---- writing pages (landing data for tests and the round-trip queries) --------
 
 def game_items(raw_games: DataFrame) -> DataFrame:

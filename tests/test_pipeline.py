@@ -86,3 +86,12 @@ def test_flat_timestamped_landing(spark, scratch):
     assert SN.latest_flat_file(spark, land, "games").endswith("games_20240102_030000.csv")
     res = run_pipeline(spark, land, f"{scratch}/out", layout="flat", fail_on=())
     assert res.row_counts["fct_games"] == 2 * g.filter("status = 'Final'").count()
+
+
+def test_pages_landing(spark, scratch):
+    from courtside.sources import api_pages as AP
+    g = raw_games(spark, "/root/testdata/sf0.001")
+    AP.pack_pages(AP.game_items(g)).write.text(f"{scratch}/pages/games")
+    res = run_pipeline(spark, f"{scratch}/pages", f"{scratch}/out", layout="pages", fail_on=())
+    assert res.row_counts["fct_games"] == 2 * g.filter("status = 'Final'").count()
+    assert "raw/teams" not in res.paths
