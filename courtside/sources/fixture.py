@@ -61,10 +61,16 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def _base_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(read_table(spark, sf_dir, "orders").select(
+    return games_from_orders(read_table(spark, sf_dir, "orders"),
+                             read_table(spark, sf_dir, "customer"))
+
+
+def games_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Orders joined to their customers' nations, as game rows (fixture mapping)."""
+    orders = spread(orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
         "o_orderpriority"))
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    customer = customer.select("c_custkey", "c_nationkey")
     g = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
     hk = F.col("c_nationkey")
     vk = (F.col("c_nationkey") + 1 + F.col("o_orderkey") % 24) % 25
