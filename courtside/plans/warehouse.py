@@ -38,18 +38,26 @@ class Warehouse:
     def source(self, name: str) -> DataFrame:
         return fixture.read_table(self.spark, self.sf_dir, name)
 
+    def landed_games(self) -> DataFrame:
+        """The joined game rows, loaded once (full refresh) and read as a table.
+
+        Both raw tables are projections of it, so the orders-customer join -
+        the only full shuffle of the input - runs once per load.
+        """
+        return self.table("landed_games")
+
     def raw_games(self) -> DataFrame:
-        """``raw.games``: loaded once (full refresh), then read as a table."""
-        return self.table("raw_games")
+        """``raw.games`` over the loaded rows."""
+        return fixture.raw_games_from(self.landed_games())
 
     def raw_elo(self) -> DataFrame:
-        """``raw.elo``: derived once per load (CTAS), then read as a table."""
-        return self.table("raw_elo")
+        """``raw.elo`` for this warehouse's rating profile."""
+        return self.derive_raw_elo()
 
     def derive_raw_elo(self) -> DataFrame:
-        """The ``raw.elo`` derivation itself (lazy)."""
+        """The ``raw.elo`` derivation (lazy, no join)."""
         if self.profile == RATED:
-            return fixture.rated_elo(self.spark, self.sf_dir)
+            return fixture.rated_elo_from(self.landed_games())
         return models.raw_elo(self.raw_games())
 
     def aliases(self) -> DataFrame:
@@ -101,15 +109,12 @@ class Warehouse:
     def _write(self, name: str) -> WrittenTable:
         with self._lock:
             if name not in self._written:
-                if name == "raw_games" and self.profile != RATED:
+                if name == "landed_games" and self.profile != RATED:
                     # one raw load per input folder, whatever the rating profile
                     self._written[name] = warehouse_for(self.spark, self.sf_dir)._write(name)
-                elif name == "raw_games":
+                elif name == "landed_games":
                     self._written[name] = write_and_read(
-                        fixture.raw_games(self.spark, self.sf_dir), f"raw/{name}")
-                elif name == "raw_elo":
-                    self._written[name] = write_and_read(self.derive_raw_elo(),
-                                                         f"raw/{name}-{self.profile}")
+                        fixture.base_games(self.spark, self.sf_dir), f"raw/{name}")
                 elif name == "aliases":
                     self._written[name] = write_and_read(
                         models.resolve_aliases(self.aliases()).coalesce(1), "seeds/aliases")
@@ -155,9 +160,8 @@ class Warehouse:
                     delattr(self, attr)
 
     def build(self) -> dict[str, int]:
-        """Load the raw tables and write both marts; returns mart row counts."""
-        self.table("raw_games")
-        self.table("raw_elo")
+        """Load the raw rows and write both marts; returns mart row counts."""
+        self.table("landed_games")
         return {n: self.rows(n) for n in ("dim_teams", "fct_games")}
 
 

@@ -91,9 +91,18 @@ def _code(k) -> F.Column:
     return F.concat(F.lit("NATION_"), k.cast("string"))
 
 
+def base_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined game rows every raw table is projected from (one join pass)."""
+    return _base_games(spark, sf_dir)
+
+
 def raw_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw.games`` (API layout) for every order."""
-    g = _base_games(spark, sf_dir)
+    return raw_games_from(_base_games(spark, sf_dir))
+
+
+def raw_games_from(g: DataFrame) -> DataFrame:
+    """``raw.games`` as a projection of :func:`base_games` rows."""
     return g.select(
         F.col("game_id"),
         F.col("o_orderdate").cast("timestamp").alias("date"),
@@ -120,7 +129,12 @@ def rated_elo(spark: SparkSession, sf_dir: str) -> DataFrame:
     change = 64 * (result - probability), post = pre + change. All values are
     exact binary fractions, so sums do not depend on addition order.
     """
-    g = _base_games(spark, sf_dir).filter(F.col("status") == "Final")
+    return rated_elo_from(_base_games(spark, sf_dir))
+
+
+def rated_elo_from(base: DataFrame) -> DataFrame:
+    """Rated ``raw.elo`` as a projection of :func:`base_games` rows."""
+    g = base.filter(F.col("status") == "Final")
     hk, vk = F.col("hk"), F.col("vk")
     pre1 = (1500 + (hk - 12) * 8).cast("double")
     pre2 = (1500 + (vk - 12) * 8).cast("double")

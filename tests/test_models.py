@@ -107,7 +107,9 @@ def test_no_nested_loop_or_cartesian_in_model_plans(spark):
 def test_fact_scan_is_pruned(spark):
     from courtside.plans.warehouse import Warehouse
     w = Warehouse(spark, "/root/testdata/sf0.001")
-    plan = w.derive_raw_elo()._jdf.queryExecution().executedPlan().toString()
+    from courtside.sources.fixture import base_games
+    plan = base_games(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int>" in plan
+    assert "o_clerk" not in plan and "o_comment" not in plan
     summary = w.side_summary()._jdf.queryExecution().executedPlan().toString()
     assert "elo1_pre" not in summary  # the summary reads only the columns it aggregates
