@@ -50,18 +50,38 @@ def accepted_values_report(models: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def per_game_summary(fct: DataFrame) -> DataFrame:
+    """Rows, rating-change sum and wins per game: the input of all three per-game
+    rules, so they cost one shuffle of the fact together (map-side combined)."""
+    return fct.groupBy("game_id").agg(
+        F.count(F.lit(1)).alias("team_count"),
+        F.sum("elo_change").alias("total_elo_change"),
+        F.sum("win_flag").cast("bigint").alias("total_wins"))
+
+
+def two_teams_violations(per_game: DataFrame) -> DataFrame:
+    return per_game.filter(F.col("team_count") != 2).select("game_id", "team_count")
+
+
+def zero_sum_violations(per_game: DataFrame) -> DataFrame:
+    return per_game.filter(F.abs("total_elo_change") > RATING_ZERO_SUM_TOLERANCE).select(
+        "game_id", "total_elo_change")
+
+
+def one_winner_violations(per_game: DataFrame) -> DataFrame:
+    return per_game.filter(F.col("total_wins") != 1).select("game_id", "total_wins")
+
+
 def games_have_two_teams(fct: DataFrame) -> DataFrame:
-    return Q.group_rule(fct, "game_id", F.count(F.lit(1)), "team_count", lambda n: n != 2)
+    return two_teams_violations(per_game_summary(fct))
 
 
 def rating_changes_sum_to_zero(fct: DataFrame) -> DataFrame:
-    return Q.group_rule(fct, "game_id", F.sum("elo_change"), "total_elo_change",
-                        lambda s: F.abs(s) > RATING_ZERO_SUM_TOLERANCE)
+    return zero_sum_violations(per_game_summary(fct))
 
 
 def one_winner_per_game(fct: DataFrame) -> DataFrame:
-    return Q.group_rule(fct, "game_id", F.sum("win_flag").cast("bigint"), "total_wins",
-                        lambda s: s != 1)
+    return one_winner_violations(per_game_summary(fct))
 
 
 def scores_match_outcome(fct: DataFrame) -> DataFrame:
