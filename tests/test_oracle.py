@@ -45,11 +45,17 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
+SQL_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+            "date": "DATE", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
-    d_cols, d_rows = [d[0] for d in cur.description], cur.fetchall()
+    rel = con.sql(E.oracle_sql()[name])
+    d_cols, d_rows = rel.columns, rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    s_types = {f.name: SQL_TYPE.get(f.dataType.simpleString()) for f in df.schema.fields}
+    assert s_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert _rows(s_cols, s_rows) == _rows(d_cols, d_rows)
