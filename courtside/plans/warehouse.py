@@ -1,11 +1,14 @@
-"""Wires sources to models and holds the materialised marts of one input folder.
-
-Models are lazy DataFrames. The two marts (``dim_teams``, ``fct_games``) are
-tables, as in the reference: they are written once per session to the
-shared checkpoint folder (the fact partitioned by season) and read back, so
-reports read Parquet with pushdown and pruning instead of re-deriving the
-marts, and the dimension's row count - needed before broadcasting it - is a
-footer read.
+"""Wires sources to models and holds the written tables of one input folder.
+
+Three things are written once per session to the shared checkpoint folder
+and read back: the loaded game rows (the orders-customer join, the only
+full shuffle of the input, runs once; ``raw.games`` and ``raw.elo`` are
+projections of it), the resolved alias seed, and the two marts
+(``dim_teams``, ``fct_games`` partitioned by season), which are tables as in
+the reference. Staging models stay lazy (views). Reports therefore read
+Parquet with pushdown and pruning instead of re-deriving the marts, a lost
+executor costs a re-read rather than a rebuild, and the dimension's row
+count - needed before broadcasting it - is a footer read.
 """
 
 from __future__ import annotations
