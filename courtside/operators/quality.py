@@ -46,16 +46,27 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, count_col: str = "n
 
 
 def accepted_values(df: DataFrame, column: str, accepted: Iterable, model: str) -> DataFrame:
-    """Value profile: (model, column_name, value, row_count, is_accepted).
+    """Value profile of one column: (model, column_name, value, row_count, is_accepted)."""
+    return accepted_values_many(df, [(column, accepted)], model)
 
-    Violations are the rows with ``is_accepted = false``; a NULL value is
-    neither accepted nor rejected (``is_accepted`` is NULL), as in SQL.
+
+def accepted_values_many(df: DataFrame, specs: Sequence[tuple], model: str) -> DataFrame:
+    """Value profiles of several columns of one table in a single pass.
+
+    Each row becomes one (column, value, accepted) triple per checked column
+    and the triples are counted (combined map-side), so the table is scanned
+    once however many columns are checked. Violations are the rows with
+    ``is_accepted = false``; a NULL value is neither accepted nor rejected
+    (``is_accepted`` is NULL), as in SQL.
     """
-    c = F.col(column)
-    return (df.groupBy(c.alias("__v")).agg(F.count(F.lit(1)).alias("row_count"))
-            .select(F.lit(model).alias("model"), F.lit(column).alias("column_name"),
-                    F.col("__v").cast("string").alias("value"), "row_count",
-                    F.col("__v").isin(list(accepted)).alias("is_accepted")))
+    triples = F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                 F.col(c).cast("string").alias("value"),
+                                 F.col(c).isin(list(acc)).alias("is_accepted"))
+                        for c, acc in specs])
+    return (df.select(F.inline(triples))
+            .groupBy("column_name", "value", "is_accepted").agg(F.count(F.lit(1)).alias("row_count"))
+            .select(F.lit(model).alias("model"), "column_name", "value", "row_count",
+                    "is_accepted"))
 
 
 def _parent_keys(parent: DataFrame, parent_col: str) -> DataFrame:

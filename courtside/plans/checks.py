@@ -43,7 +43,12 @@ def not_null_report(models: dict[str, DataFrame]) -> DataFrame:
 
 
 def accepted_values_report(models: dict[str, DataFrame]) -> DataFrame:
-    parts = [Q.accepted_values(models[m], c, vals, m) for m, c, vals in ACCEPTED if m in models]
+    """All accepted-value checks, one scan per table."""
+    by_model: dict[str, list] = {}
+    for m, c, vals in ACCEPTED:
+        if m in models:
+            by_model.setdefault(m, []).append((c, vals))
+    parts = [Q.accepted_values_many(models[m], specs, m) for m, specs in by_model.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
