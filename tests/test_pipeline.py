@@ -95,3 +95,14 @@ def test_pages_landing(spark, scratch):
     res = run_pipeline(spark, f"{scratch}/pages", f"{scratch}/out", layout="pages", fail_on=())
     assert res.row_counts["fct_games"] == 2 * g.filter("status = 'Final'").count()
     assert "raw/teams" not in res.paths
+
+
+def test_command_line_pipeline(spark, scratch, capsys):
+    import json
+
+    from courtside.__main__ import main
+    land = f"{scratch}/landing"
+    SN.write_snapshot(raw_games(spark, "/root/testdata/sf0.001"), land, "games")
+    assert main(["pipeline", land, f"{scratch}/out", "--report-only"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["row_counts"]["dim_teams"] == 24 and "team_win_rates" in out["exports"]
