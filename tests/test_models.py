@@ -113,3 +113,16 @@ def test_fact_scan_is_pruned(spark):
     assert "o_clerk" not in plan and "o_comment" not in plan
     summary = w.side_summary()._jdf.queryExecution().executedPlan().toString()
     assert "elo1_pre" not in summary  # the summary reads only the columns it aggregates
+
+
+def test_running_sum_two_pass_scan_matches_window(spark):
+    # force the range-partitioned path: tiny thresholds, a hot key with many days
+    rows = [("hot", dt.date(2001, 1, 1) + dt.timedelta(days=i % 200), float(i % 11) if i % 13 else None)
+            for i in range(900)]
+    rows += [("cold", dt.date(2001, 1, 1) + dt.timedelta(days=i), None) for i in range(3)]
+    rows += [("cold", dt.date(2001, 2, 1), 2.0)]
+    df = spark.createDataFrame(rows, "t string, d date, v double")
+    fast = running_sum(df, ["t"], "d", "v", "c", window_max_rows=10, rows_per_range=37)
+    plain = running_sum_window(df, ["t"], "d", "v", "c")
+    key = lambda r: (r.t, r.d, -1.0 if r.v is None else r.v, -1.0 if r.c is None else r.c)
+    assert sorted(fast.collect(), key=key) == sorted(plain.collect(), key=key)
