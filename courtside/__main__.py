@@ -2,6 +2,7 @@
 
   pipeline  LANDING OUT     latest CSV snapshots -> raw -> marts -> checks -> exports
   ingest    PAGES TABLE CKPT  landed API pages -> raw games table (stream, availableNow)
+  report    NAME OUT         an export, dashboard aggregate or metric over a run's marts
   bench     [SF_DIR]         the benchmark (same as bench.py)
 
 The session comes from the environment (spark-submit / spark-defaults); only
@@ -43,6 +44,11 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("pages")
     i.add_argument("table")
     i.add_argument("checkpoint")
+    r = sub.add_parser("report")
+    r.add_argument("name", help="export, dashboard aggregate or metric name")
+    r.add_argument("out", help="a pipeline output folder")
+    r.add_argument("--grain", default=None, help="metric time grain")
+    r.add_argument("--rows", type=int, default=20, help="rows to print")
     b = sub.add_parser("bench")
     b.add_argument("sf_dir", nargs="?", default=None)
     args = ap.parse_args(argv)
@@ -62,6 +68,9 @@ def main(argv: list[str] | None = None) -> int:
                            fail_on=() if args.report_only else "all", layout=args.layout)
         print(json.dumps({"row_counts": res.row_counts, "checks": res.checks,
                           "exports": res.exports, "paths": res.paths}))
+    elif args.cmd == "report":
+        from courtside.plans.pipeline import report
+        report(spark, args.out, args.name, grain=args.grain).show(args.rows, truncate=False)
     elif args.cmd == "ingest":
         from courtside.streaming.landing import ingest_game_pages
         q = ingest_game_pages(spark, args.pages, args.table, args.checkpoint)

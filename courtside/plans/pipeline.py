@@ -153,3 +153,36 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
      .write.mode("overwrite").text(f"{export_dir}/export_summary"))
     res.paths["exports"] = export_dir
     return res
+
+
+def load_marts(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame, int]:
+    """The marts a pipeline run wrote: (fct_games, dim_teams, dim row count)."""
+    out = out_dir.rstrip("/")
+    fct = spark.read.parquet(f"{out}/marts/fct_games")
+    dim = spark.read.parquet(f"{out}/marts/dim_teams")
+    return fct, dim, bounded_row_count(dim)
+
+
+def report(spark: SparkSession, out_dir: str, name: str, as_of=None, grain: str | None = None,
+           params: FixtureParams = DEFAULT_PARAMS) -> DataFrame:
+    """A named report over a pipeline's marts: an export, a dashboard aggregate or a metric."""
+    from courtside.plans import dashboard as D
+    from courtside.plans import metrics as M
+    fct, dim, n = load_marts(spark, out_dir)
+    games = lambda: D.games_filtered(fct, dim, n)
+    named = {
+        "team_win_rates": lambda: exports.team_win_rates(fct, dim, n),
+        "elo_trends": lambda: exports.elo_trends(fct, dim, as_of or params.as_of, n),
+        "point_diff_by_season": lambda: exports.point_diff_by_season(fct, dim, n),
+        "teams_by_conference": lambda: D.teams_by_conference(dim),
+        "win_rates": lambda: D.win_rates(games()),
+        "season_rating_change": lambda: D.season_rating_change(games()),
+        "point_diff_stats": lambda: D.point_diff_stats(games()),
+        "box_stats": lambda: D.box_stats(games()),
+        "home_advantage": lambda: D.home_advantage_pivot(D.location_stats(games())),
+    }
+    if name in named:
+        return named[name]()
+    if name in M.METRICS:
+        return M.evaluate(fct, name, grain or M.METRICS[name].time_grains[0])
+    raise KeyError(f"unknown report {name!r}; known: {sorted(named) + sorted(M.METRICS)}")

@@ -106,3 +106,14 @@ def test_command_line_pipeline(spark, scratch, capsys):
     assert main(["pipeline", land, f"{scratch}/out", "--report-only"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["row_counts"]["dim_teams"] == 24 and "team_win_rates" in out["exports"]
+
+
+def test_reports_over_pipeline_marts(spark, scratch):
+    from courtside.plans.pipeline import report
+    land = f"{scratch}/landing"
+    SN.write_snapshot(raw_games(spark, "/root/testdata/sf0.001"), land, "games")
+    run_pipeline(spark, land, f"{scratch}/out", fail_on=())
+    rates = report(spark, f"{scratch}/out", "team_win_rates")
+    assert rates.count() > 0 and "win_rate" in rates.columns
+    assert report(spark, f"{scratch}/out", "win_rate", grain="year").count() > 0
+    assert "home_advantage" in report(spark, f"{scratch}/out", "home_advantage").columns
