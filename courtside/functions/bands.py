@@ -8,12 +8,25 @@ from pyspark.sql import functions as F
 from courtside.functions.util import col_of
 
 # ---- fixed values: labels and thresholds that must equal the reference ----
-OUTCOME_LABELS = ("Blowout Win", "Comfortable Win", "Close Win", "Tie",
-                  "Close Loss", "Comfortable Loss", "Blowout Loss")
-PERFORMANCE_LABELS = ("Major Upset", "Minor Upset", "Major Upset Loss",
-                      "Minor Upset Loss", "Expected Result")
-IMPACT_LABELS = ("High Impact", "Medium Impact", "Low Impact")
-UPSET_WIN_LABELS = ("Major Upset", "Minor Upset")
+# Point differential: the first band whose lower bound the differential
+# exceeds; exactly 0 is a tie; anything else (or unknown) the last label.
+WIN_BANDS = ((20, "Blowout Win"), (10, "Comfortable Win"), (0, "Close Win"))
+TIE_LABEL = "Tie"
+LOSS_BANDS = ((-10, "Close Loss"), (-20, "Comfortable Loss"))
+WORST_LABEL = "Blowout Loss"
+# Win probability vs result: a win below the bound, or a loss above it.
+UPSET_WIN_BANDS = ((0.3, "Major Upset"), (0.45, "Minor Upset"))
+UPSET_LOSS_BANDS = ((0.7, "Major Upset Loss"), (0.55, "Minor Upset Loss"))
+EXPECTED_LABEL = "Expected Result"
+# Absolute rating change above the bound.
+IMPACT_BANDS = ((30, "High Impact"), (20, "Medium Impact"))
+LOW_IMPACT_LABEL = "Low Impact"
+OUTCOME_LABELS = (*[l for _, l in WIN_BANDS], TIE_LABEL, *[l for _, l in LOSS_BANDS],
+                  WORST_LABEL)
+PERFORMANCE_LABELS = (*[l for _, l in UPSET_WIN_BANDS], *[l for _, l in UPSET_LOSS_BANDS],
+                      EXPECTED_LABEL)
+IMPACT_LABELS = (*[l for _, l in IMPACT_BANDS], LOW_IMPACT_LABEL)
+UPSET_WIN_LABELS = tuple(l for _, l in UPSET_WIN_BANDS)
 # Default conference membership by team code.
 EASTERN_CODES = ("BOS", "BKN", "NYK", "PHI", "TOR", "CHI", "CLE", "DET", "IND", "MIL",
                  "ATL", "CHA", "MIA", "ORL", "WAS")
@@ -33,26 +46,35 @@ def bool_flag(c) -> Column:
     return F.when(col_of(c), 1).otherwise(0)
 
 
+def first_match(rules, default) -> Column:
+    """The label of the first (condition, label) rule that holds, else ``default``.
+
+    A NULL condition does not hold, so unknown inputs fall through to the default.
+    """
+    out = None
+    for cond, label in rules:
+        out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
+    return F.lit(default) if out is None else out.otherwise(F.lit(default))
+
+
 def outcome_band(score_diff) -> Column:
     d = col_of(score_diff)
-    win_big, win_mid, win_close, tie, loss_close, loss_mid, loss_big = OUTCOME_LABELS
-    return (F.when(d > 20, win_big).when(d > 10, win_mid).when(d > 0, win_close)
-            .when(d == 0, tie).when(d > -10, loss_close).when(d > -20, loss_mid)
-            .otherwise(loss_big))
+    rules = [(d > bound, label) for bound, label in WIN_BANDS]
+    rules.append((d == 0, TIE_LABEL))
+    rules += [(d > bound, label) for bound, label in LOSS_BANDS]
+    return first_match(rules, WORST_LABEL)
 
 
 def performance_vs_expectation(win, win_probability) -> Column:
     w, p = col_of(win), col_of(win_probability)
-    major, minor, major_loss, minor_loss, expected = PERFORMANCE_LABELS
-    return (F.when((w == 1) & (p < 0.3), major).when((w == 1) & (p < 0.45), minor)
-            .when((w == 0) & (p > 0.7), major_loss).when((w == 0) & (p > 0.55), minor_loss)
-            .otherwise(expected))
+    rules = [((w == 1) & (p < bound), label) for bound, label in UPSET_WIN_BANDS]
+    rules += [((w == 0) & (p > bound), label) for bound, label in UPSET_LOSS_BANDS]
+    return first_match(rules, EXPECTED_LABEL)
 
 
 def game_impact(rating_change) -> Column:
     a = F.abs(col_of(rating_change))
-    high, medium, low = IMPACT_LABELS
-    return F.when(a > 30, high).when(a > 20, medium).otherwise(low)
+    return first_match([(a > bound, label) for bound, label in IMPACT_BANDS], LOW_IMPACT_LABEL)
 
 
 def adjusted_location(neutral, location) -> Column:
