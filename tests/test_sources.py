@@ -122,7 +122,7 @@ def test_player_stats_and_allelo_csv(spark, scratch):
     os.makedirs(a)
     with open(os.path.join(a, "a.csv"), "w") as f:
         f.write(",".join(f.name for f in schemas.RAW_ALLTIME_RATINGS.fields) + "\n"
-                "1,g1,NBA,1/1/1947,Knicks,Celtics,1300.0,1310.0,40.0,BOS,1300.0,1290.0,H,W,0.64,\n")
+                "1,g1,LG,1/1/1947,Knicks,Celtics,1300.0,1310.0,40.0,BOS,1300.0,1290.0,H,W,0.64,\n")
     r = CSV.read_alltime_ratings(spark, a).first()
     assert r.game_location == "H" and r.notes is None and r.forecast == 0.64
 
