@@ -132,6 +132,8 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
         res.checks[name] = n
         if n and (fail_on == "all" or name in fail_on):
             Q.assert_empty(name, violations)
+    # informational: seed codes listed more than once (resolved to one row each)
+    res.checks["alias_duplicates (report only)"] = models.alias_duplicates(aliases).count()
 
     # exports: timestamped CSV + latest pointer, then the summary
     export_dir = f"{out}/exports"

@@ -117,3 +117,15 @@ def test_reports_over_pipeline_marts(spark, scratch):
     assert rates.count() > 0 and "win_rate" in rates.columns
     assert report(spark, f"{scratch}/out", "win_rate", grain="year").count() > 0
     assert "home_advantage" in report(spark, f"{scratch}/out", "home_advantage").columns
+
+
+def test_pipeline_with_the_alias_seed_file(spark, scratch):
+    import os
+    seed = os.path.join(os.path.dirname(os.path.dirname(__file__)), "courtside", "seeds",
+                        "team_aliases.csv")
+    land = f"{scratch}/landing"
+    SN.write_snapshot(raw_games(spark, "/root/testdata/sf0.001"), land, "games")
+    res = run_pipeline(spark, land, f"{scratch}/out", aliases_path=seed, fail_on=())
+    assert res.checks["alias_duplicates (report only)"] == 3  # Nets, Hornets, Royals
+    assert res.row_counts["fct_games"] == 2 * raw_games(spark, "/root/testdata/sf0.001") \
+        .filter("status = 'Final'").count()
