@@ -126,3 +126,16 @@ def test_running_sum_two_pass_scan_matches_window(spark):
     plain = running_sum_window(df, ["t"], "d", "v", "c")
     key = lambda r: (r.t, r.d, -1.0 if r.v is None else r.v, -1.0 if r.c is None else r.c)
     assert sorted(fast.collect(), key=key) == sorted(plain.collect(), key=key)
+
+
+def test_two_pass_running_totals_on_the_trend_input(spark):
+    """The range-partitioned path on real fact rows (sf0.01), forced by small thresholds."""
+    from courtside.plans.warehouse import warehouse_for
+    w = warehouse_for(spark, "/root/testdata/sf0.01")
+    fct, dim = w.table("fct_games"), w.table("dim_teams")
+    rows = fct.join(dim.select("team_id", "team_name"), "team_id").select(
+        "team_name", "game_date", "elo_change")
+    fast = running_sum(rows, ["team_name"], "game_date", "elo_change", "c",
+                       window_max_rows=100, rows_per_range=250)
+    plain = running_sum_window(rows, ["team_name"], "game_date", "elo_change", "c")
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, plain.collect()))
