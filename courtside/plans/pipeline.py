@@ -102,7 +102,8 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
     dim = _overwrite(models.dim_teams(summary, resolved, alias_rows, params.activity_as_of,
                                       params.eastern, params.western)
                      .select("*", now), f"{out}/marts/dim_teams")
-    fct = _overwrite(models.fct_games(stg_games, resolved, alias_rows).select("*", now),
+    fct = _overwrite(models.fct_games(stg_games, resolved, alias_rows).select("*", now)
+                     .hint("rebalance", "season"),  # full files per season, hot ones split
                      f"{out}/marts/fct_games", partition_by=["season"])
     dim_rows = dim.count()
     res.row_counts.update(dim_teams=dim_rows, fct_games=fct.count())

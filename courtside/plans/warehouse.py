@@ -122,8 +122,13 @@ class Warehouse:
                     self._written[name] = write_and_read(
                         models.resolve_aliases(self.aliases()).coalesce(1), "seeds/aliases")
                 elif name == "fct_games":
-                    self._written[name] = write_and_read(self.fct_games(), f"marts/{name}",
-                                                         partition_by=["season"])
+                    # rebalance on the partition column: AQE sizes each write task
+                    # to the advisory bytes within one season (splitting a hot
+                    # season), so each season gets a few full files instead of
+                    # one small file per input task
+                    self._written[name] = write_and_read(
+                        self.fct_games().hint("rebalance", "season"), f"marts/{name}",
+                        partition_by=["season"])
                 elif name == "dim_teams":
                     self._written[name] = write_and_read(self.dim_teams(), f"marts/{name}")
                 else:
