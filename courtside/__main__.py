@@ -48,6 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("name", help="export, dashboard aggregate or metric name")
     r.add_argument("out", help="a pipeline output folder")
     r.add_argument("--grain", default=None, help="metric time grain")
+    r.add_argument("--as-of", default=None, help="'today' for date windows (YYYY-MM-DD)")
     r.add_argument("--rows", type=int, default=20, help="rows to print")
     b = sub.add_parser("bench")
     b.add_argument("sf_dir", nargs="?", default=None)
@@ -70,7 +71,10 @@ def main(argv: list[str] | None = None) -> int:
                           "exports": res.exports, "paths": res.paths}))
     elif args.cmd == "report":
         from courtside.plans.pipeline import report
-        report(spark, args.out, args.name, grain=args.grain).show(args.rows, truncate=False)
+        import datetime as dt
+        as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
+        report(spark, args.out, args.name, as_of=as_of, grain=args.grain).show(
+            args.rows, truncate=False)
     elif args.cmd == "ingest":
         from courtside.streaming.landing import ingest_game_pages
         q = ingest_game_pages(spark, args.pages, args.table, args.checkpoint)
