@@ -67,3 +67,13 @@ def test_conference_selector_and_default_teams(spark):
     assert east == ["Bee", "Cee", "Dee"]
     assert [r.team_name for r in D.default_teams(dim, "All", 2).collect()] == ["Ay", "Bee"]
     assert [r.conference for r in D.conference_list(dim).collect()] == ["Eastern", "Western"]
+
+
+def test_metric_dimension_subset_and_extra_filter(spark):
+    f = _fct(spark)
+    one = M.evaluate(f, "win_rate", "year", ["team_id"]).collect()
+    assert len(one) == 1 and abs(one[0].win_rate - 200.0 / 3) < 1e-9
+    assert one[0].asDict().keys() == {"period_start", "team_id", "win_rate"}
+    home = M.evaluate(f, "win_rate", "year", ["team_id"],
+                      [M.MetricFilter("game_location", "=", "HOME")]).first()
+    assert home.win_rate == 100.0
