@@ -173,6 +173,18 @@ def team_activity(summary: DataFrame, resolved: DataFrame, alias_rows: int) -> D
     return _named(summary, resolved, alias_rows).groupBy("team_id").agg(*_activity_aggs())
 
 
+def stg_teams_as_written(summary: DataFrame, aliases: DataFrame, alias_rows: int,
+                         as_of: dt.date) -> DataFrame:
+    """``stg_teams`` over the unresolved seed, with the reference's fan-out.
+
+    A code listed n times in the seed matches n alias rows, so each of its
+    game sides is counted once per row (under each row's team id), as the
+    reference's join does. Kept for parity; the contract models use
+    :func:`resolve_aliases` first.
+    """
+    return stg_teams(summary, aliases, alias_rows, as_of)
+
+
 def team_performance(summary: DataFrame, resolved: DataFrame, alias_rows: int) -> DataFrame:
     """Games, wins and ratings per team id over every game any of its codes played."""
     return _named(summary, resolved, alias_rows).groupBy("team_id").agg(*_performance_aggs())

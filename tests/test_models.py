@@ -139,3 +139,21 @@ def test_two_pass_running_totals_on_the_trend_input(spark):
                        window_max_rows=100, rows_per_range=250)
     plain = running_sum_window(rows, ["team_name"], "game_date", "elo_change", "c")
     assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_stg_teams_as_written_fans_out_over_duplicate_codes(spark):
+    seed = read_aliases(spark, SEED)
+    rows = [("2001-01-02", "Hornets", "Nets", 100, 90), ("2001-02-02", "Kings", "Hornets", 99, 98)]
+    games = models.stg_games(elo_rows(spark, rows))
+    summary = models.side_summary(games)
+    n = bounded_row_count(seed)
+    written = {(r.team_code, r.team_id): r for r in
+               models.stg_teams_as_written(summary, seed, n, AS_OF).collect()}
+    # Hornets -> Hornets (1 seed row) and Pelicans (2 seed rows): its 2 sides count
+    # once under Hornets and twice under Pelicans
+    assert written[("Hornets", "Hornets")].total_games == 2
+    assert written[("Hornets", "Pelicans")].total_games == 4
+    contract = {(r.team_code, r.team_id): r for r in
+                models.stg_teams(summary, models.resolve_aliases(seed), n, AS_OF).collect()}
+    assert contract[("Hornets", "Hornets")].total_games == 2
+    assert ("Hornets", "Pelicans") not in contract
