@@ -42,13 +42,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.struct(F.lit(0).alias("_"), *carry).alias("_carry"),
         text.alias("_text"), F.octet_length(text).alias("_len"),
-        F.xxhash64(fold(F.left(text, F.lit(PREFIX_CHARS)))).alias("_prefix"))
+        # length and prefix in one key: grouping by it needs rows dealt anew after the join
+        # on the length, so AQE may split a length that very many rows share
+        F.xxhash64(F.octet_length(text), fold(F.left(text, F.lit(PREFIX_CHARS)))).alias("_start"))
     lengths = rows.groupBy("_len").count().where("count > 1").select("_len")
-    prefixes = (rows.select("_len", "_prefix").join(lengths, "_len", "left_semi")
-                .groupBy("_len", "_prefix").count().where("count > 1")
-                .select("_len", "_prefix", F.lit(True).alias("_shared")))
+    starts = (rows.select("_len", "_start").join(lengths, "_len", "left_semi")
+              .groupBy("_start").count().where("count > 1")
+              .select("_start", F.lit(True).alias("_shared")))
     hashed = written(
-        rows.join(prefixes, ["_len", "_prefix"], "left").select(
+        rows.join(starts, "_start", "left").select(
             "doc_id", "_carry",
             F.when(F.col("_shared"), F.sha2(fold(F.col("_text")), 256)).alias("_full"),
             F.monotonically_increasing_id().alias("_row")), "exact-hashed")
