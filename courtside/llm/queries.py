@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from courtside.llm import decontaminate, exact_dedup, sharding
+from courtside.llm import decontaminate, exact_dedup, setsketch, sharding
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op9_minhash_neardup": setsketch.op9_minhash_neardup,
     "op10_sharding": sharding.op10_sharding,
 }
 
 SQL = {
     "op1_decontaminate": decontaminate.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
+    "op9_minhash_neardup": setsketch.SQL,
 }
