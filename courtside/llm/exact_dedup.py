@@ -45,19 +45,22 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         # length and prefix in one key: grouping by it needs rows dealt anew after the join
         # on the length, so AQE may split a length that very many rows share
         F.xxhash64(F.octet_length(text), fold(F.left(text, F.lit(PREFIX_CHARS)))).alias("_start"))
-    lengths = rows.groupBy("_len").count().where("count > 1").select("_len")
-    starts = (rows.select("_len", "_start").join(lengths, "_len", "left_semi")
-              .groupBy("_start").count().where("count > 1")
-              .select("_start", F.lit(True).alias("_shared")))
+    # each group table is written: AQE splits a hot key only if a join reads both sides from
+    # a shuffle, not from an aggregate
+    lengths = written(rows.groupBy("_len").count().where("count > 1").select("_len"),
+                      "exact-lengths")
+    starts = written(rows.select("_len", "_start").join(lengths, "_len", "left_semi")
+                     .groupBy("_start").count().where("count > 1")
+                     .select("_start", F.lit(True).alias("_shared")), "exact-starts")
     hashed = written(
         rows.join(starts, "_start", "left").select(
             "doc_id", "_carry",
             F.when(F.col("_shared"), F.sha2(fold(F.col("_text")), 256)).alias("_full"),
             F.monotonically_increasing_id().alias("_row")), "exact-hashed")
-    groups = (hashed.where(F.col("_full").isNotNull()).groupBy("_full")
-              .agg(F.max(F.struct("doc_id", "_row")).alias("_keep"),
-                   F.count(F.lit(1)).alias("_n"))
-              .where("_n > 1"))
+    groups = written(hashed.where(F.col("_full").isNotNull()).groupBy("_full")
+                     .agg(F.max(F.struct("doc_id", "_row")).alias("_keep"),
+                          F.count(F.lit(1)).alias("_n"))
+                     .where("_n > 1"), "exact-groups")
     shared = hashed.where(F.col("_full").isNotNull()).join(groups, "_full", "left")
     alone = hashed.where(F.col("_full").isNull()).select(
         "*", F.lit(None).cast(groups.schema["_keep"].dataType).alias("_keep"),
