@@ -44,8 +44,9 @@ def stratified_shards(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED,
     n = max(1, rows.count())
     tie = ["_key", "doc_id", "text_crc32"]
     ranked = numbered(rows, ["_stratum", *tie], "_i", "shard-ranked")
-    strata = ranked.groupBy("_stratum").agg(F.min("_i").alias("_first"),
-                                            F.count(F.lit(1)).alias("_rows"))
+    # written, so that AQE may split the rows of a hot stratum in the join below
+    strata = written(ranked.groupBy("_stratum").agg(F.min("_i").alias("_first"),
+                                                    F.count(F.lit(1)).alias("_rows")), "shard-strata")
     frac = (2 * (F.col("_i") - F.col("_first")) + 1) / (2 * F.col("_rows"))
     mixed = (ranked.join(strata, same(ranked, strata, ["_stratum"]))
              .select(ranked["*"], frac.alias("_frac")))
