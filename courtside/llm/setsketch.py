@@ -14,10 +14,12 @@ similarity J, so they can be banded.
    class (map-side combined), so copies of any number cost one row from here.
 2. Every ``ROWS`` registers form a band. With 40 bands of 4, a pair at J = 0.75
    shares no band with probability (1 - 0.75^4)^40 = 2.5e-7, less above that.
-3. Within a band bucket only components count, so pairs are made as stars: all
-   classes of a bucket against one hub, not all pairs. Links found merge
-   components; buckets that still hold several components get further hubs,
-   and what is left between different components in one bucket is then
+3. Shingles that no other class in any bucket has bound a class's similarity
+   to all others exactly; classes and pairs that cannot reach 0.75 go, with no
+   pair made. Within a bucket only components count, so pairs are made as
+   stars: all classes of a bucket against one hub, not all pairs. Links found
+   merge components; buckets that still hold several components get further
+   hubs, and what is left between different components in one bucket is then
    compared pair by pair. No pair of one bucket is left out that could join two
    components, so the components equal those of all candidate pairs.
 4. A candidate pair is dropped by its sketches when a similarity of 0.75 or
@@ -42,7 +44,9 @@ from courtside.llm.components import components
 SHINGLE, NUM, DEN = 5, 75, 100
 REGISTERS, ROWS = 160, 4
 BASE, RATE, TOP = 1.001, 20.0, 65534
-STAR_ROUNDS = 6
+#: Pairs are made bucket by bucket once this many a bucket member, or fewer, are open; until then,
+#: and for so many rounds at most, as stars. Neither changes which components are found.
+PAIRS_A_MEMBER, STAR_ROUNDS = 256, 6
 #: A pair is dropped by its sketches below this log likelihood ratio.
 MARGIN = 16.0
 #: Shingles handled at once (bounds a worker's memory).
@@ -198,14 +202,30 @@ class _Linker:
         rows = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
         keys = classes.join(wanted, "node", "left_semi").select("node", "doc_id", "text_hash")
         keys = written(keys, "near-wanted")
-        if keys.count() * 32 <= BROADCAST_BYTES:
+        n = keys.count()
+        if n * 32 <= BROADCAST_BYTES:
             keys = F.broadcast(keys)
         texts = rows.join(keys, same(rows, keys, ["doc_id", "text_hash"])).select("node", "text")
         # repeated rows give a class's text more than once: any one will do
         self.sets = written(texts.mapInArrow(_sets, "node bigint, shingles array<bigint>"),
-                            "near-sets").dropDuplicates(["node"])
+                            "near-sets")
+        if self.sets.count() > n:
+            self.sets = written(self.sets.dropDuplicates(["node"]), "near-sets")
         self.regs = classes.select("node", "n", "regs")
 
+    def shareable(self) -> DataFrame:
+        """(node, k): how many shingles each wanted class has that another one has too.
+
+        No class shares more with any other, so k bounds the similarity of
+        every pair exactly, before any pair is made.
+        """
+        alone = (self.sets.select("node", F.explode("shingles").alias("s")).groupBy("s")
+                 .agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1")
+                 .groupBy("node").agg(F.count(F.lit(1)).alias("own")))
+        return written(self.sets.select("node", F.size("shingles").cast("bigint").alias("size"))
+                       .join(alone, "node", "left").select(
+            "node", (F.col("size") - F.coalesce("own", F.lit(0))).alias("k")), "near-shareable")
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets are similar enough; each pair once."""
         a = self.regs.toDF("a", "n_a", "regs_a")
@@ -251,36 +271,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "first.n", "first.regs"), "near-classes")
 
     bands = _bands(classes)
-    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("members"),
-                                      F.min("node").alias("hub")).where("members > 1")
-    buckets = written(bands.join(shared, "key").select("key", "node", "n", "hub"), "near-buckets")
-    wanted = buckets.select("node").distinct()
-    linker = _Linker(docs, classes, wanted)
-
-    tested = written(buckets.where("node <> hub").select(
-        F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
-    links = written(linker.links(tested), "near-links")
-    budget = 2 * max(1, wanted.count())
-    for turn in range(1, STAR_ROUNDS + 1):
-        label = components(links, f"near-{turn}")
-        placed = _open_buckets(buckets, label)
-        crossing = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
+    # group tables are written: AQE splits a hot key only if a join reads both sides from a
+    # shuffle, not from an aggregate
+    shared = written(bands.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+                     .where("members > 1").select("key"), "near-shared")
+    together = written(bands.join(shared, "key").select("key", "node", "n"), "near-together")
+    linker = _Linker(docs, classes, together.select("node").distinct())
+    buckets = written(together.join(linker.shareable(), "node").where(
+        F.col("k") * DEN >= F.col("n") * NUM).select("key", "node", "n", "k"), "near-buckets")
+
+    label, tested = None, None
+    budget = PAIRS_A_MEMBER * max(1, buckets.count())
+    for turn in range(STAR_ROUNDS + 1):
+        placed = buckets.withColumn("comp", F.col("node")) if label is None else buckets.join(
+            label, "node", "left").select(*buckets.columns, F.coalesce("root", "node").alias("comp"))
+        placed = _open_buckets(written(placed, "near-placed"))
+        inside = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
             F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
-        left = crossing.agg(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2)).first()[0] or 0
-        if left == 0:
-            break
-        rest = left <= budget or turn == STAR_ROUNDS
+        left = inside.agg(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2)).first()[0] or 0
+        rest = turn > 0 and (left <= budget or turn == STAR_ROUNDS)
         pairs = _all_crossing(placed) if rest else _star(placed, turn)
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        links = links.union(written(linker.links(pairs), "near-links"))
-        tested = tested.union(pairs)
-        if rest:
-            label = components(links, "near-last")
+        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = written(pairs, "near-pairs")
+        links = linker.links(pairs)
+        label = components(links, "near-0") if label is None else _merged(label, links, f"near-{turn}")
+        if rest or left == 0:
             break
+        tested = pairs if tested is None else tested.union(pairs)
 
     member = classes.join(label, "node", "left").select(
         "set_key", "least_id", F.coalesce("root", "node").alias("root"))
-    least = member.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    member = written(member, "near-members")
+    least = written(member.groupBy("root").agg(F.min("least_id").alias("component_id")), "near-least")
     found = member.join(least, "root").select("set_key", "component_id")
     return sketches.join(found, "set_key", "left").select(
         "doc_id", "text_hash", F.col("n").alias("n_shingles"), "row",
@@ -288,31 +310,52 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .alias("component_id"))
 
 
-def _open_buckets(buckets: DataFrame, label: DataFrame) -> DataFrame:
-    """(key, node, n, comp) of the buckets that hold more than one component."""
-    placed = buckets.join(label, "node", "left").select(
-        "key", "node", "n", F.coalesce("root", "node").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(
-        "lo <> hi").select("key")
+def _open_buckets(placed: DataFrame) -> DataFrame:
+    """The rows of the buckets that hold more than one component."""
+    mixed = written(placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                    .where("lo <> hi").select("key"), "near-mixed")
     return written(placed.join(mixed, "key", "left_semi"), "near-open")
 
 
+def _merged(label: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """The components of ``label`` joined by further links."""
+    def root(c: str) -> DataFrame:
+        return label.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    between = links.join(root("a"), "a", "left").join(root("b"), "b", "left").select(
+        F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).distinct()
+    more = components(between, name).toDF("node", "to")
+    old = label.toDF("old", "root").join(more, F.col("root") == F.col("node"), "left").select(
+        F.col("old").alias("node"), F.coalesce("to", "root").alias("root"))
+    new = more.join(label.select("node"), "node", "left_anti").toDF("node", "root")
+    return written(old.unionByName(new), name)
+
+
+def _may_link(k_a: str, n_a: str, k_b: str, n_b: str):
+    """Whether the similarity can reach 0.75 if at most the smaller of k_a and k_b is shared."""
+    most = F.least(k_a, k_b)
+    return most * DEN >= (F.col(n_a) + F.col(n_b) - most) * NUM
+
+
 def _star(placed: DataFrame, turn: int) -> DataFrame:
-    """Every class of an open bucket against a hub that changes with ``turn``."""
-    hubs = placed.groupBy("key").agg(F.min(F.struct(
-        F.xxhash64(F.lit(turn), "node").alias("r"), "node", "comp")).alias("h")).select(
-        "key", F.col("h.node").alias("hub"), F.col("h.comp").alias("hub_comp"))
-    return placed.join(hubs, "key").where("comp <> hub_comp").select(
+    """Every class of an open bucket against one hub: first the class with the smallest share of
+    shingles of its own (the likeliest to be what others were copied from), then any."""
+    first = (F.lit(1.0) - F.col("k") / F.col("n")) if turn == 0 else F.xxhash64(F.lit(turn), "node")
+    hubs = written(placed.groupBy("key").agg(F.min(F.struct(
+        first.alias("first"), "node", "n", "k", "comp")).alias("h")).select(
+        "key", F.col("h.node").alias("hub"), F.col("h.n").alias("n_h"), F.col("h.k").alias("k_h"),
+        F.col("h.comp").alias("comp_h")), "near-hubs")
+    return placed.join(hubs, "key").where(
+        (F.col("comp") != F.col("comp_h")) & _may_link("k", "n", "k_h", "n_h")).select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
 def _all_crossing(placed: DataFrame) -> DataFrame:
     """Every pair of classes of one bucket that lie in different components and may be similar."""
-    x = placed.toDF("key", "a", "n_a", "comp_a")
-    y = placed.toDF("key", "b", "n_b", "comp_b")
+    x = placed.toDF("key", "a", "n_a", "k_a", "comp_a")
+    y = placed.toDF("key", "b", "n_b", "k_b", "comp_b")
     return x.join(y, "key").where(
         (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b"))
-        & (F.least("n_a", "n_b") * DEN >= F.greatest("n_a", "n_b") * NUM)).select("a", "b").distinct()
+        & _may_link("k_a", "n_a", "k_b", "n_b")).select("a", "b").distinct()
 
 
 def op9_minhash_neardup(spark, sf_dir: str) -> DataFrame:
