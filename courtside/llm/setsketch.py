@@ -49,6 +49,8 @@ BASE, RATE, TOP = 1.001, 20.0, 65534
 PAIRS_A_MEMBER, STAR_ROUNDS = 256, 6
 #: A pair is dropped by its sketches below this log likelihood ratio.
 MARGIN = 16.0
+#: Bits of a set's parity map (bit i: whether an odd number of shingles hash to i).
+BITS = 1024
 #: Shingles handled at once (bounds a worker's memory).
 CHUNK = 1 << 15
 
@@ -150,8 +152,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
             sets = [shingle_hashes(t, hashes).view(np.int64) for t in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))],
-                                             names=["node", "shingles"])
+            odd = [np.bincount(s & (BITS - 1), minlength=BITS) & 1 for s in sets]
+            bits = [np.packbits(x.astype(np.uint8)).view(np.int64) for x in odd]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(sets, pa.list_(pa.int64())),
+                 pa.array(bits, pa.list_(pa.int64()))], names=["node", "shingles", "bits"])
 
 
 def joint_log_likelihood(greater, smaller, equal, n_a, n_b, grid: np.ndarray) -> np.ndarray:
@@ -207,24 +212,26 @@ class _Linker:
             keys = F.broadcast(keys)
         texts = rows.join(keys, same(rows, keys, ["doc_id", "text_hash"])).select("node", "text")
         # repeated rows give a class's text more than once: any one will do
-        self.sets = written(texts.mapInArrow(_sets, "node bigint, shingles array<bigint>"),
+        self.sets = written(texts.mapInArrow(_sets, "node bigint, shingles array<bigint>, bits array<bigint>"),
                             "near-sets")
         if self.sets.count() > n:
             self.sets = written(self.sets.dropDuplicates(["node"]), "near-sets")
         self.regs = classes.select("node", "n", "regs")
 
     def shareable(self) -> DataFrame:
-        """(node, k): how many shingles each wanted class has that another one has too.
+        """(node, k, bits): how many shingles each wanted class has that another one has too.
 
         No class shares more with any other, so k bounds the similarity of
-        every pair exactly, before any pair is made.
+        every pair exactly, before any pair is made. So do the parity maps
+        ``bits``: two sets differ in as many shingles as their maps in bits, or more.
         """
         alone = (self.sets.select("node", F.explode("shingles").alias("s")).groupBy("s")
                  .agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1")
                  .groupBy("node").agg(F.count(F.lit(1)).alias("own")))
-        return written(self.sets.select("node", F.size("shingles").cast("bigint").alias("size"))
+        return written(self.sets.select("node", "bits", F.size("shingles").cast("bigint").alias("size"))
                        .join(alone, "node", "left").select(
-            "node", (F.col("size") - F.coalesce("own", F.lit(0))).alias("k")), "near-shareable")
+            "node", "bits", (F.col("size") - F.coalesce("own", F.lit(0))).alias("k")),
+            "near-shareable")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets are similar enough; each pair once."""
@@ -236,7 +243,8 @@ class _Linker:
             sized.select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
             .mapInArrow(_likely, "a bigint, b bigint, n_a bigint, n_b bigint, estimate double"),
             "near-likely")
-        sa, sb = self.sets.toDF("a", "set_a"), self.sets.toDF("b", "set_b")
+        sets = self.sets.select("node", "shingles")
+        sa, sb = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
         both = F.size(F.array_intersect("set_a", "set_b")).cast("bigint")
         return (likely.join(sb, "b").join(sa, "a").withColumn("both", both)
                 .where(F.col("both") * DEN >= (F.col("n_a") + F.col("n_b") - F.col("both")) * NUM)
@@ -278,7 +286,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     together = written(bands.join(shared, "key").select("key", "node", "n"), "near-together")
     linker = _Linker(docs, classes, together.select("node").distinct())
     buckets = written(together.join(linker.shareable(), "node").where(
-        F.col("k") * DEN >= F.col("n") * NUM).select("key", "node", "n", "k"), "near-buckets")
+        F.col("k") * DEN >= F.col("n") * NUM).select("key", "node", "n", "k", "bits"), "near-buckets")
 
     label, tested = None, None
     budget = PAIRS_A_MEMBER * max(1, buckets.count())
@@ -330,10 +338,18 @@ def _merged(label: DataFrame, links: DataFrame, name: str) -> DataFrame:
     return written(old.unionByName(new), name)
 
 
-def _may_link(k_a: str, n_a: str, k_b: str, n_b: str):
-    """Whether the similarity can reach 0.75 if at most the smaller of k_a and k_b is shared."""
-    most = F.least(k_a, k_b)
-    return most * DEN >= (F.col(n_a) + F.col(n_b) - most) * NUM
+def _may_link(a: str, b: str):
+    """Whether the similarity can reach 0.75 by the bounds of :meth:`_Linker.shareable`.
+
+    The sides' columns are n, k, bits with the endings ``a`` and ``b``.
+    """
+    n = F.col(f"n{a}") + F.col(f"n{b}")
+    differ = F.lit(0)
+    for i in range(BITS // 64):
+        differ = differ + F.bit_count(F.col(f"bits{a}")[i].bitwiseXOR(F.col(f"bits{b}")[i]))
+    most = F.least(f"k{a}", f"k{b}")
+    # the cheap bound first; with d differing shingles the similarity is (n - d) / (n + d)
+    return (most * DEN >= (n - most) * NUM) & ((n - differ) * DEN >= (n + differ) * NUM)
 
 
 def _star(placed: DataFrame, turn: int) -> DataFrame:
@@ -341,21 +357,21 @@ def _star(placed: DataFrame, turn: int) -> DataFrame:
     shingles of its own (the likeliest to be what others were copied from), then any."""
     first = (F.lit(1.0) - F.col("k") / F.col("n")) if turn == 0 else F.xxhash64(F.lit(turn), "node")
     hubs = written(placed.groupBy("key").agg(F.min(F.struct(
-        first.alias("first"), "node", "n", "k", "comp")).alias("h")).select(
+        first.alias("first"), "node", "n", "k", "bits", "comp")).alias("h")).select(
         "key", F.col("h.node").alias("hub"), F.col("h.n").alias("n_h"), F.col("h.k").alias("k_h"),
-        F.col("h.comp").alias("comp_h")), "near-hubs")
+        F.col("h.bits").alias("bits_h"), F.col("h.comp").alias("comp_h")), "near-hubs")
     return placed.join(hubs, "key").where(
-        (F.col("comp") != F.col("comp_h")) & _may_link("k", "n", "k_h", "n_h")).select(
+        (F.col("comp") != F.col("comp_h")) & _may_link("", "_h")).select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
 def _all_crossing(placed: DataFrame) -> DataFrame:
     """Every pair of classes of one bucket that lie in different components and may be similar."""
-    x = placed.toDF("key", "a", "n_a", "k_a", "comp_a")
-    y = placed.toDF("key", "b", "n_b", "k_b", "comp_b")
+    x = placed.toDF("key", "a", "n_a", "k_a", "bits_a", "comp_a")
+    y = placed.toDF("key", "b", "n_b", "k_b", "bits_b", "comp_b")
     return x.join(y, "key").where(
         (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b"))
-        & _may_link("k_a", "n_a", "k_b", "n_b")).select("a", "b").distinct()
+        & _may_link("_a", "_b")).select("a", "b").distinct()
 
 
 def op9_minhash_neardup(spark, sf_dir: str) -> DataFrame:
