@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from courtside.llm import decontaminate, exact_dedup, setsketch, sharding
+from courtside.llm import decontaminate, exact_dedup, setsketch, sharding, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op9_minhash_neardup": setsketch.op9_minhash_neardup,
     "op10_sharding": sharding.op10_sharding,
 }
