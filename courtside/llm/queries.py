@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from courtside.llm import decontaminate, exact_dedup, setsketch, sharding, toxicity
+from courtside.llm import decontaminate, exact_dedup, setsketch, sharding, toxicity, unigram, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_sentencepiece": unigram.op2_sentencepiece,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op6_warc": warc.op6_warc,
     "op9_minhash_neardup": setsketch.op9_minhash_neardup,
     "op10_sharding": sharding.op10_sharding,
 }
@@ -15,5 +17,6 @@ QUERIES = {
 SQL = {
     "op1_decontaminate": decontaminate.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
+    "op6_warc": warc.SQL,
     "op9_minhash_neardup": setsketch.SQL,
 }
