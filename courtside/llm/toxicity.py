@@ -289,16 +289,19 @@ _SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p
 
 def sample(docs: DataFrame, labels: DataFrame,
            bound: int = SAMPLE) -> tuple[list[str], list[int], float]:
-    """At most ``bound`` labelled training rows of each class, chosen by a hash of the text,
+    """At most ``bound`` labelled training rows of each class, chosen by a hash of the id (which is no input of a score),
     and the share of toxic ones among all labelled training rows."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
-        labels.select("doc_id", "toxic").where(F.col("toxic").isNotNull()), "doc_id").where(
-        ~held_out(F.col("doc_id")))
+    rows = labels.select("doc_id", "toxic").where(
+        F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     texts, toxic = [], []
     for y in (0, 1):
-        part = (rows.where(F.col("toxic") == y).orderBy(F.xxhash64("text"), "text").limit(bound)
-                .select("text").collect())
-        texts += [r[0] for r in part]
+        # ids first, so that no text is sorted or shuffled
+        ids = (rows.where(F.col("toxic") == y).select("doc_id", F.xxhash64("doc_id").alias("h"))
+               .orderBy("h", "doc_id").limit(bound).select("doc_id").distinct())
+        part = docs.join(F.broadcast(ids), "doc_id").select(
+            "doc_id", F.coalesce("text", F.lit("")).alias("text")).limit(2 * bound).collect()
+        part.sort(key=lambda r: (r[0], r[1]))
+        texts += [r[1] for r in part]
         toxic += [y] * len(part)
     order = np.random.Generator(np.random.PCG64(7)).permutation(len(texts))
     share = rows.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
