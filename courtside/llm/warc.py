@@ -49,9 +49,12 @@ def build_dictionary(records: list[bytes]) -> bytes:
 
 def sample_records(pages: DataFrame) -> list[bytes]:
     """Records of a bounded sample of pages, chosen by a hash (at most SAMPLE_BYTES bytes in all)."""
-    rows = (pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn(
+        "h", F.xxhash64("page_id", "html"))
+    chosen = rows.select("h").orderBy("h").limit(SAMPLE_ROWS).distinct()  # hashes only are sorted
+    rows = (rows.join(F.broadcast(chosen), "h")
             .withColumn("html", F.left("html", F.lit(SAMPLE_BYTES // SAMPLE_ROWS)))
-            .orderBy(F.xxhash64("html"), "html").limit(SAMPLE_ROWS).collect())
+            .limit(SAMPLE_ROWS).collect())
     return [record(r["page_id"], r["url"], r["html"].encode("utf-8", "replace"), "", "response", None)
             for r in rows]
 
@@ -226,8 +229,8 @@ def archive_pages(pages: DataFrame) -> tuple[DataFrame, str]:
 
 def op6_warc(spark, sf_dir: str) -> DataFrame:
     manifest, folder = archive_pages(read(spark, sf_dir, "pages"))
-    # a row an archive: dealt out by name, so that archives are read side by side
-    return read_archives(manifest.repartition(F.col("archive")), folder).drop("archive")
+    # a row an archive, each in a task of its own
+    return read_archives(manifest.repartition(max(1, manifest.count())), folder).drop("archive")
 
 
 SQL = """
