@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from courtside.llm import decontaminate, exact_dedup, setsketch, sharding, toxicity, unigram, warc
+from courtside.llm import decontaminate, exact_dedup, kneser_ney, setsketch, sharding, toxicity, unigram, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_toxicity": toxicity.op4_toxicity,
     "op6_warc": warc.op6_warc,
+    "op8_kneser_ney": kneser_ney.op8_kneser_ney,
     "op9_minhash_neardup": setsketch.op9_minhash_neardup,
     "op10_sharding": sharding.op10_sharding,
 }
