@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from courtside.llm import decontaminate, exact_dedup, kneser_ney, setsketch, sharding, toxicity, unigram, warc
+from courtside.llm import (decontaminate, exact_dedup, kneser_ney, licences, setsketch, sharding,
+                           token_counts, toxicity, unigram, warc)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_sentencepiece": unigram.op2_sentencepiece,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_token_counts": token_counts.op5_token_counts,
     "op6_warc": warc.op6_warc,
+    "op7_licence_scan": licences.op7_licence_scan,
     "op8_kneser_ney": kneser_ney.op8_kneser_ney,
     "op9_minhash_neardup": setsketch.op9_minhash_neardup,
     "op10_sharding": sharding.op10_sharding,
