@@ -42,7 +42,7 @@ START, END = b"\x20s", b"\x20e"   # no word holds a blank
 #: Tokens a task gathers before it packs them (bounds a worker's memory).
 GATHER = 2_000_000
 #: Bytes of documents (as Spark's files have them) for each shard of bigrams.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 
 _P, _Q = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F  # odd, so that products can be undone
 _Q_INV = pow(_Q, -1, 1 << 64)
@@ -89,7 +89,10 @@ def _blocks(v: np.ndarray, w: np.ndarray, shards: int):
     for s in range(shards):
         a, b = cut[s], cut[s + 1]
         if b > a:
-            yield s, int(b - a), _pack(keys[a:b], v[a:b], counts[a:b])
+            # by first word, whose hashes then pack to almost nothing; second words follow from keys
+            by_v = np.argsort(v[a:b], kind="stable")
+            first_words, second = v[a:b][by_v], pair_words(keys[a:b][by_v], v[a:b][by_v])
+            yield s, int(b - a), _pack(first_words, second, counts[a:b][by_v])
 
 
 BLOCK = "shard int, n bigint, data binary"
@@ -138,15 +141,16 @@ def _sums(key: np.ndarray, *values: np.ndarray):
 def merge_shards(blocks: DataFrame, folder: str) -> DataFrame:
     """Write each shard's sorted keys and counts; rows of what follows for its words."""
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ks, vs, cs = [], [], []
+        vs, ws, cs = [], [], []
         for batch in batches:
             for n, data in zip(batch.column("n").to_pylist(), batch.column("data").to_pylist()):
                 raw = zstandard.ZstdDecompressor().decompress(data)
-                ks.append(np.frombuffer(raw, np.uint64, n))
-                vs.append(np.frombuffer(raw, np.uint64, n, 8 * n))
+                vs.append(np.frombuffer(raw, np.uint64, n))
+                ws.append(np.frombuffer(raw, np.uint64, n, 8 * n))
                 cs.append(np.frombuffer(raw, np.uint32, n, 16 * n))
-        k, v, c = np.concatenate(ks), np.concatenate(vs), np.concatenate(cs).astype(np.int64)
-        ks.clear(), vs.clear(), cs.clear()
+        v, c = np.concatenate(vs), np.concatenate(cs).astype(np.int64)
+        k = pair_keys(v, np.concatenate(ws))
+        vs.clear(), ws.clear(), cs.clear()
         order = np.argsort(k, kind="stable")
         k, v, c = k[order], v[order], c[order]
         first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
