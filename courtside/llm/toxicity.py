@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from courtside.llm.common import read
 
 #: At most this many labelled training rows of each class are fitted on.
-SAMPLE = 1000
+SAMPLE = 700
 THRESHOLD = 0.3
 FEATURES = 1 << 18
 BLOCK = 128
