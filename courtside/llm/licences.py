@@ -72,10 +72,10 @@ def canonical(text: Column) -> Column:
     """The canonical form of a text (empty for null)."""
     t = F.lower(F.coalesce(text, F.lit("")))
     t = F.regexp_replace(t, COPYRIGHT_LINE, " ")
-    spelled = t
+    spelled = F.regexp_replace(t, r"\s+", " ")
     for variant, usual in SPELLINGS:
         spelled = F.replace(spelled, F.lit(variant), F.lit(usual))
-    some = "|".join(sorted({v for v, _ in SPELLINGS}))
+    some = "|".join(sorted({v.replace(" ", r"\s+") for v, _ in SPELLINGS}))
     t = F.when(t.rlike(some), spelled).otherwise(t)  # few texts have a variant
     return F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))
 

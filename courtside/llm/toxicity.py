@@ -163,7 +163,8 @@ def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Field
     here = float(np.clip(np.mean(toxic) if toxic else 0.0, 1e-4, 1 - 1e-4))
     share = here if share is None else float(np.clip(share, 1e-4, 1 - 1e-4))
     logit = lambda x: np.log(x / (1 - x))
-    halves = [[i for i in range(len(texts)) if i % 2 == k] for k in (0, 1)]
+    by_class = [[i for i, y in enumerate(toxic) if y == c] for c in (0, 1)]
+    halves = [sorted(by_class[0][k::2] + by_class[1][k::2]) for k in (0, 1)]
     if any(len({toxic[i] for i in h}) < 2 for h in halves):
         field = _fit_words([], [])
         field.doc[0] = logit(share)
