@@ -236,16 +236,14 @@ def q_dq_relationships_opponent(w):
 
 
 @register("dq_two_teams", """
-SELECT * FROM (SELECT game_id, count(*) AS team_count FROM fct_games GROUP BY ALL)
-WHERE team_count <> 2""")
+SELECT game_id, count(*) AS team_count FROM fct_games GROUP BY game_id HAVING count(*) <> 2""")
 def q_dq_two_teams(w):
     return C.games_have_two_teams(w.table("fct_games"))
 
 
-@register("dq_rating_zero_sum", """
-SELECT * FROM (SELECT game_id, sum(elo_change) AS total_elo_change
-               FROM fct_games_placeholder GROUP BY ALL)
-WHERE total_elo_change NOT BETWEEN -0.01 AND 0.01""")
+@register("dq_rating_zero_sum", f"""
+SELECT game_id, sum(elo_change) AS total_elo_change FROM fct_games_placeholder
+GROUP BY game_id HAVING abs(sum(elo_change)) > {C.RATING_ZERO_SUM_TOLERANCE}""")
 def q_dq_rating_zero_sum(w):
     """On placeholder ratings, where a tie gives both teams the losing rating."""
     return C.rating_changes_sum_to_zero(
@@ -253,15 +251,15 @@ def q_dq_rating_zero_sum(w):
 
 
 @register("dq_one_winner", """
-SELECT * FROM (SELECT game_id, sum(win_flag)::BIGINT AS total_wins FROM fct_games GROUP BY ALL)
-WHERE total_wins <> 1""")
+SELECT game_id, CAST(sum(win_flag) AS BIGINT) AS total_wins FROM fct_games
+GROUP BY game_id HAVING sum(win_flag) <> 1""")
 def q_dq_one_winner(w):
     return C.one_winner_per_game(w.table("fct_games"))
 
 
 @register("dq_scores_match_outcome", """
 SELECT * FROM fct_games
-WHERE CASE win_flag WHEN 1 THEN score_diff <= 0 WHEN 0 THEN score_diff >= 0 END""")
+WHERE (win_flag = 1 AND score_diff <= 0) OR (win_flag = 0 AND score_diff >= 0)""")
 def q_dq_scores_match_outcome(w):
     return C.scores_match_outcome(w.table("fct_games"))
 
@@ -432,11 +430,15 @@ def q_season_rating_change(w):
     return D.season_rating_change(_games(w))
 
 
-@register("season_rating_pivot", """
-SELECT * FROM (PIVOT (SELECT team_name, season, total_change FROM rating_change_df)
-               ON season USING first(total_change) GROUP BY team_name)""")
+#: Seasons of the test tables' orders (1995-01-01 to 2001-08-01); any other is an error.
+SEASONS = tuple(range(1994, 2002))
+
+
+@register("season_rating_pivot", "SELECT team_name, " + ", ".join(
+    f'MAX(total_change) FILTER (WHERE season = {s}) AS "{s}"' for s in SEASONS)
+    + " FROM rating_change_df GROUP BY team_name")
 def q_season_rating_pivot(w):
-    return D.season_rating_pivot(D.season_rating_change(_games(w)), w.seasons())
+    return D.season_rating_pivot(D.season_rating_change(_games(w)), SEASONS)
 
 
 @register("point_diff_stats", """

@@ -21,11 +21,6 @@ EXPECTED_LABEL = "Expected Result"
 # Absolute rating change above the bound.
 IMPACT_BANDS = ((30, "High Impact"), (20, "Medium Impact"))
 LOW_IMPACT_LABEL = "Low Impact"
-OUTCOME_LABELS = (*[l for _, l in WIN_BANDS], TIE_LABEL, *[l for _, l in LOSS_BANDS],
-                  WORST_LABEL)
-PERFORMANCE_LABELS = (*[l for _, l in UPSET_WIN_BANDS], *[l for _, l in UPSET_LOSS_BANDS],
-                      EXPECTED_LABEL)
-IMPACT_LABELS = (*[l for _, l in IMPACT_BANDS], LOW_IMPACT_LABEL)
 UPSET_WIN_LABELS = tuple(l for _, l in UPSET_WIN_BANDS)
 # Default conference membership by team code.
 EASTERN_CODES = ("BOS", "BKN", "NYK", "PHI", "TOR", "CHI", "CLE", "DET", "IND", "MIL",

@@ -15,11 +15,3 @@ def col_of(x) -> Column:
     if isinstance(x, (_dt.date, _dt.datetime, int, float)):
         return F.lit(x)
     raise TypeError(f"cannot make a Column from {x!r}")
-
-
-def as_date(x) -> _dt.date:
-    if isinstance(x, _dt.datetime):
-        return x.date()
-    if isinstance(x, _dt.date):
-        return x
-    return _dt.date.fromisoformat(str(x))

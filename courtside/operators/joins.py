@@ -1,34 +1,17 @@
-"""Joins against lookup tables, broadcast only behind a proven size bound."""
+"""Joins against lookup tables.
+
+No hint is given: a lookup is read from a written table or a seed, so the
+planner knows its bytes and broadcasts it below
+``spark.sql.autoBroadcastJoinThreshold``; above that AQE decides from the
+bytes it has shuffled, and splits hot keys.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Largest lookup we ship to every executor. Team dimensions hold tens to
-# thousands of rows; anything past this bound is joined by shuffle instead.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_row_count(df: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> int:
-    """Row count capped at ``bound + 1`` (stops reading once the bound is passed).
-
-    Call it on a lookup that is cheap to produce (a seed file, a written
-    table) - never on a lazily aggregated fact.
-    """
-    return df.limit(bound + 1).count()
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left",
-                small_rows: int | None = None, bound: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a large frame to a lookup, broadcasting the lookup only if it is small.
-
-    ``small_rows`` is a known row count (e.g. recorded when the lookup was
-    written); without it the lookup is counted up to ``bound``. Past the
-    bound the join falls back to the planner's shuffle join (sort-merge with
-    AQE skew splitting).
-    """
-    n = small_rows if small_rows is not None else bounded_row_count(small, bound)
-    if n <= bound:
-        small = F.broadcast(small)
+                small_rows: int | None = None) -> DataFrame:
+    """Join a large frame to a lookup (``small_rows`` is informative only: bytes decide)."""
     return big.join(small, on, how)

@@ -95,12 +95,6 @@ def relationship_summary(child: DataFrame, column: str, parent: DataFrame, paren
         "orphan_rows")
 
 
-def group_rule(df: DataFrame, key: str, measure: Column, name: str,
-               violates) -> DataFrame:
-    """``GROUP BY key HAVING violates(measure)``: (key, name) per violating group."""
-    return (df.groupBy(key).agg(measure.alias(name)).filter(violates(F.col(name))))
-
-
 def min_rows(tables: dict[str, DataFrame], minimum: int) -> DataFrame:
     """(table_name, row_count, min_rows, passed) per table."""
     parts = [t.agg(F.count(F.lit(1)).alias("row_count")).select(

@@ -5,106 +5,52 @@
 one task: with ~30 teams there are ~30 useful tasks, and a team holding a
 third of the rows makes one task sort a third of the table.
 
-Here the peers are summed first (map-side partial aggregation, so a hot
-team or day costs nothing extra) and the (team, date) table is written and
-counted. Dense data (many rows per team and day) makes it small - at most
-teams x calendar days - and one window per team runs over it. Sparse data
-makes it as large as the input; then it gets a range-partitioned two-pass
-scan, so a team's days are spread over many tasks. The totals are joined
-back, by broadcast when their count is under the bound, else by a shuffle
-join with AQE skew splitting.
+One path for every size: peers are summed per (team, date) map-side; each
+team's days are cut into calendar months; a month's sum goes to the months
+after it (a window over teams x months rows), and within a (team, month)
+a window adds up at most 31 days. The totals are joined back null-safe, so
+rows without a team or a date keep their place as a window would give it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtside.operators.joins import MAX_BROADCAST_ROWS, lookup_join
-from courtside.sources.tables import write_and_read
-
 _PEER = "__peer_sum"
 
 
-# Per-day tables up to this many rows run one window per partition key;
-# larger ones (sparse data: about one row per key and day) use the
-# range-partitioned two-pass scan below, so no key's days sit in one task.
-WINDOW_MAX_ROWS = 5_000_000
-# Target rows per range partition in the two-pass scan.
-ROWS_PER_RANGE = 1_000_000
-
-
-def peer_totals(df: DataFrame, partition_by: Sequence[str], order_by: str,
-                value: str) -> DataFrame:
-    """One row per (partition, order value) with the sum of its peers (map-side combined)."""
-    return df.groupBy(*partition_by, order_by).agg(F.sum(value).alias(_PEER))
-
-
-def peer_running_totals(df: DataFrame, partition_by: Sequence[str], order_by: str,
-                        value: str, out: str) -> DataFrame:
-    """One row per (partition, order value) with the running total up to it (one window)."""
-    w = (Window.partitionBy(*partition_by).orderBy(order_by)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return peer_totals(df, partition_by, order_by, value).select(
-        *partition_by, order_by, F.sum(_PEER).over(w).alias(out))
+def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+    return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
 
 
-def ranged_running_totals(daily: DataFrame, rows: int, partition_by: Sequence[str],
-                          order_by: str, out: str,
-                          rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Running totals of a large per-day table as a two-pass parallel scan.
-
-    1. Range-partition by (key, order) - sampling splits a key with many
-       days over several partitions - and take running sums inside each
-       partition (a window per (key, partition), at most one range each).
-       The result is written, so partition ids stay fixed on any retry.
-    2. Sum each (key, partition) block: a table of keys x partitions rows.
-       Its exclusive running sum per key is each block's offset, joined
-       back (broadcast when that small table is under the bound).
-    """
-    n = max(1, -(-rows // rows_per_range))
-    pid = "__pid"
-    ranged = daily.repartitionByRange(n, *partition_by, order_by).withColumn(
-        pid, F.spark_partition_id())
-    w_local = (Window.partitionBy(*partition_by, pid).orderBy(order_by)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = write_and_read(ranged.withColumn("__local", F.sum(_PEER).over(w_local)),
-                           "running-local")
-    blocks = local.df.groupBy(*partition_by, pid).agg(F.sum(_PEER).alias("__block"))
-    w_prev = (Window.partitionBy(*partition_by).orderBy(pid)
+def running_sum(df: DataFrame, partition_by: Sequence[str], order_by: str, value: str,
+                out: str) -> DataFrame:
+    """``df`` plus ``out`` = SUM(value) OVER (PARTITION BY .. ORDER BY date RANGE ..); lazy."""
+    keys = [f"__k{i}" for i in range(len(partition_by))]
+    daily = (df.groupBy(*[F.col(c).alias(k) for c, k in zip(partition_by, keys)],
+                        F.col(order_by).alias("__day"))
+             .agg(F.sum(value).alias(_PEER))
+             .withColumn("__month", F.trunc("__day", "month")))
+    before = (Window.partitionBy(*keys).orderBy("__month")
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = write_and_read(blocks.withColumn("__offset", F.sum("__block").over(w_prev)),
-                             "running-offsets")
-    j = lookup_join(local.df, offsets.df.select(*partition_by, pid, "__offset"),
-                    [*partition_by, pid], "inner", small_rows=offsets.rows)
+    months = (daily.groupBy(*keys, "__month").agg(F.sum(_PEER).alias("__sum"))
+              .select(*[F.col(k).alias(f"{k}m") for k in keys], F.col("__month").alias("__m"),
+                      F.sum("__sum").over(before).alias("__before")))
+    inside = (Window.partitionBy(*keys, "__month").orderBy("__day")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = daily.withColumn("__local", F.sum(_PEER).over(inside))
+    j = local.join(months, _null_safe(local, months, [*[(k, f"{k}m") for k in keys],
+                                                      ("__month", "__m")]))
     # SUM skips NULLs and is NULL only when every value so far is NULL
-    total = F.when(F.col("__local").isNull() & F.col("__offset").isNull(), F.lit(None)) \
-        .otherwise(F.coalesce(F.col("__local"), F.lit(0)) + F.coalesce(F.col("__offset"), F.lit(0)))
-    return j.select(*partition_by, order_by, total.cast(daily.schema[_PEER].dataType).alias(out))
-
-
-def running_sum(df: DataFrame, partition_by: Sequence[str], order_by: str, value: str,
-                out: str, bound: int = MAX_BROADCAST_ROWS,
-                window_max_rows: int = WINDOW_MAX_ROWS,
-                rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """``df`` plus ``out`` = SUM(value) OVER (PARTITION BY .. ORDER BY .. RANGE ..)."""
-    daily = write_and_read(peer_totals(df, partition_by, order_by, value), "running-days")
-    if daily.rows <= window_max_rows:
-        w = (Window.partitionBy(*partition_by).orderBy(order_by)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        totals_df = daily.df.select(*partition_by, order_by, F.sum(_PEER).over(w).alias(out))
-    else:
-        totals_df = ranged_running_totals(daily.df, daily.rows, partition_by, order_by, out,
-                                          rows_per_range)
-    keys = [*partition_by, order_by]
-    # One totals row per per-day row, so the per-day count bounds the lookup.
-    # Inner join: every (partition, order) of df has a totals row; keys with
-    # NULLs match by null-safe equality, as the window's peer groups do.
-    cond = [df[k].eqNullSafe(totals_df[k]) for k in keys]
-    joined = lookup_join(df, totals_df, cond, "inner", small_rows=daily.rows, bound=bound)
-    return joined.select(*[df[c] for c in df.columns], totals_df[out])
+    total = F.when(F.col("__local").isNull() & F.col("__before").isNull(), F.lit(None)).otherwise(
+        F.coalesce("__local", F.lit(0)) + F.coalesce("__before", F.lit(0)))
+    totals = j.select(*keys, "__day", total.cast(daily.schema[_PEER].dataType).alias(out))
+    back = df.join(totals, _null_safe(df, totals, [*zip(partition_by, keys), (order_by, "__day")]))
+    return back.select(*[df[c] for c in df.columns], totals[out])
 
 
 def running_sum_window(df: DataFrame, partition_by: Sequence[str], order_by: str,

@@ -17,8 +17,6 @@ NOT_NULL = {
                   "game_location", "playoff", "score_for", "score_against", "elo_pre",
                   "elo_post"],
 }
-UNIQUE = {"stg_games": "game_id", "stg_teams": "team_id", "dim_teams": "team_id",
-          "fct_games": "game_team_id"}
 ACCEPTED = [
     ("dim_teams", "conference", bands.CONFERENCES),
     ("fct_games", "win_flag", (0, 1)),

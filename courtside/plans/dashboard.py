@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtside.operators.joins import lookup_join
+from courtside.operators.histogram import histogram, histogram_mean, histogram_stddev
 
 GAME_COLUMNS = ["game_date", "season", "team_name", "conference", "win_flag", "score_diff",
                 "elo_pre", "elo_post", "elo_change", "game_location", "playoff"]
@@ -108,28 +109,31 @@ def season_rating_change(games: DataFrame) -> DataFrame:
         .withColumn("total_change", F.col("elo_post") - F.col("elo_pre")))
 
 
-def season_rating_pivot(changes: DataFrame, seasons: Sequence[int] | None = None) -> DataFrame:
-    """Team x season grid of the total change (explicit seasons skip a distinct job)."""
-    p = changes.groupBy("team_name").pivot("season", list(seasons) if seasons else None)
-    return p.agg(F.first("total_change"))
+def season_rating_pivot(changes: DataFrame, seasons: Sequence[int]) -> DataFrame:
+    """Team x season grid of the total change; a season outside ``seasons`` is an error."""
+    known = F.when(F.col("season").isin(list(seasons)), F.col("season")).otherwise(
+        F.raise_error(F.concat(F.lit("season without a column: "),
+                               F.coalesce(F.col("season").cast("string"), F.lit("NULL")))).cast("int"))
+    return (changes.withColumn("season", known).groupBy("team_name")
+            .pivot("season", list(seasons)).agg(F.max("total_change")))
 
 
 def point_diff_stats(games: DataFrame) -> DataFrame:
     d = F.col("score_diff")
-    return games.groupBy("team_name").agg(
-        F.round(F.avg(d), 2).alias("average"),
-        F.round(F.stddev_samp(d), 2).alias("std_dev"),
+    return histogram(games, ["team_name"], "score_diff").groupBy("team_name").agg(
+        F.round(histogram_mean(d), 2).alias("average"),
+        F.round(histogram_stddev(d), 2).alias("std_dev"),
         F.min(d).alias("worst_loss"),
         F.max(d).alias("best_win"),
-        F.round(F.median(d), 2).alias("median"))
+        F.round(F.percentile(d, 0.5, F.col("n")), 2).alias("median"))
 
 
 def box_stats(games: DataFrame) -> DataFrame:
     """Five-number summary of the differential per team and playoff flag."""
     d = F.col("score_diff")
-    return games.groupBy("team_name", "playoff").agg(
-        F.min(d).alias("min_diff"), F.percentile(d, 0.25).alias("q1_diff"),
-        F.percentile(d, 0.5).alias("median_diff"), F.percentile(d, 0.75).alias("q3_diff"),
+    return histogram(games, ["team_name", "playoff"], "score_diff").groupBy("team_name", "playoff").agg(
+        F.min(d).alias("min_diff"), F.percentile(d, 0.25, F.col("n")).alias("q1_diff"),
+        F.percentile(d, 0.5, F.col("n")).alias("median_diff"), F.percentile(d, 0.75, F.col("n")).alias("q3_diff"),
         F.max(d).alias("max_diff"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtside.functions.dates import years_before
+from courtside.operators.histogram import histogram, histogram_mean, histogram_stddev
 from courtside.operators.joins import lookup_join
 from courtside.operators.running import running_sum
 
@@ -54,21 +55,21 @@ def point_diff_by_season(fct: DataFrame, dim: DataFrame,
                          dim_rows: int | None = None) -> DataFrame:
     """Per team and season: spread of the point differential with exact quartiles.
 
-    ``percentile`` keeps a value -> count map per group; the differential has
-    a small integer domain, so the partial aggregates stay small however many
-    games a group holds.
+    Games are counted per (team, season, differential) in a hash aggregate
+    first; moments and percentiles come from these counts, a few hundred rows
+    a group however many games it holds.
     """
     j = with_team(fct.select("team_id", "season", "score_diff"), dim, dim_rows)
     d = F.col("score_diff")
-    return (j.groupBy("team_name", "season").agg(
-        F.count(F.lit(1)).alias("games"),
-        F.round(F.avg(d), 2).alias("avg_point_diff"),
-        F.round(F.stddev_samp(d), 2).alias("stddev_point_diff"),
+    return (histogram(j, ["team_name", "season"], "score_diff").groupBy("team_name", "season").agg(
+        F.sum("n").alias("games"),
+        F.round(histogram_mean(d), 2).alias("avg_point_diff"),
+        F.round(histogram_stddev(d), 2).alias("stddev_point_diff"),
         F.min(d).alias("worst_loss"),
         F.max(d).alias("best_win"),
-        F.percentile(d, 0.25).alias("q1_point_diff"),
-        F.percentile(d, 0.5).alias("median_point_diff"),
-        F.percentile(d, 0.75).alias("q3_point_diff"))
+        F.percentile(d, 0.25, F.col("n")).alias("q1_point_diff"),
+        F.percentile(d, 0.5, F.col("n")).alias("median_point_diff"),
+        F.percentile(d, 0.75, F.col("n")).alias("q3_point_diff"))
         .orderBy(F.desc("season"), F.desc("avg_point_diff")))
 
 

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from courtside import schemas
 from courtside.operators import quality as Q
-from courtside.operators.joins import bounded_row_count
 from courtside.plans import checks as C
 from courtside.plans import exports, models
 from courtside.sources import api_pages, snapshots
@@ -93,7 +92,7 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
     # staging (views) and marts (tables)
     aliases = (read_aliases(spark, aliases_path) if aliases_path else
                alias_frame(spark, params))
-    alias_rows = bounded_row_count(aliases)
+    alias_rows = aliases.count()
     resolved = models.resolve_aliases(aliases)
     stg_games = models.stg_games(elo)
     summary = models.side_summary(stg_games)
@@ -163,7 +162,7 @@ def load_marts(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame,
     out = out_dir.rstrip("/")
     fct = spark.read.parquet(f"{out}/marts/fct_games")
     dim = spark.read.parquet(f"{out}/marts/dim_teams")
-    return fct, dim, bounded_row_count(dim)
+    return fct, dim, dim.count()
 
 
 def report(spark: SparkSession, out_dir: str, name: str, as_of=None, grain: str | None = None,

@@ -17,7 +17,6 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtside.operators.joins import bounded_row_count
 from courtside.plans import models
 from courtside.session import app_id
 from courtside.sources import fixture
@@ -74,7 +73,7 @@ class Warehouse:
     def alias_rows(self) -> int:
         # Resolving never adds rows, so the seed's size bounds the lookup's.
         if self._alias_rows is None:
-            self._alias_rows = bounded_row_count(self.aliases())
+            self._alias_rows = self.aliases().count()
         return self._alias_rows
 
     # ---- models (lazy) --------------------------------------------------------
@@ -150,20 +149,12 @@ class Warehouse:
                 self._once[key] = make()
             return self._once[key]
 
-    def seasons(self) -> list[int]:
-        """Distinct seasons of the written fact (a handful of values; pivot columns)."""
-        if not hasattr(self, "_seasons"):
-            f = self.table("fct_games")
-            self._seasons = sorted(r[0] for r in f.select("season").distinct().collect()
-                                   if r[0] is not None)
-        return self._seasons
-
     def refresh(self) -> None:
         """Forget written tables and cached lookups (after the inputs changed)."""
         with self._lock:
             self._written.clear()
             self._alias_rows = None
-            for attr in ("_once", "_seasons"):
+            for attr in ("_once",):
                 if hasattr(self, attr):
                     delattr(self, attr)
 
@@ -173,13 +164,25 @@ class Warehouse:
         return {n: self.rows(n) for n in ("dim_teams", "fct_games")}
 
 
+def input_listing(spark: SparkSession, sf_dir: str) -> tuple:
+    """(path, bytes, modification time) of the files the marts are built from."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = []
+    for table in ("orders", "customer"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{table}.parquet")
+        for f in path.getFileSystem(conf).listStatus(path):
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 _CACHE: dict[tuple, Warehouse] = {}
 _CACHE_LOCK = threading.Lock()
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str, profile: str = RATED) -> Warehouse:
-    """The session's warehouse for an input folder (marts are written once)."""
-    key = (app_id(spark), sf_dir.rstrip("/"), profile)
+    """The session's warehouse for an input folder (marts are written once, and again when
+    the input files change)."""
+    key = (app_id(spark), sf_dir.rstrip("/"), profile, input_listing(spark, sf_dir))
     with _CACHE_LOCK:
         if key not in _CACHE:
             _CACHE[key] = Warehouse(spark, sf_dir, profile)

@@ -43,25 +43,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, fan_out: int = 8) -> DataFrame:
-    """Spread a scan with fewer splits than the session has cores.
-
-    A small input stored as one row group is read by one task, and all the
-    per-row work above it would stay in that task. Only then is the scan
-    round-robin repartitioned (deterministic on retry, since Spark sorts
-    before a round-robin shuffle), to at most ``fan_out`` partitions per
-    split - a few-MB input on a thousand-core cluster gets a handful of
-    tasks, not thousands. A large input already has at least as many
-    splits as cores and is left alone, so no shuffle is added at scale.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (Spark Connect: leave the layout to the planner)
-        return df
-    return df.repartition(min(cores, splits * fan_out)) if splits < cores else df
-
-
 def _base_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return games_from_orders(read_table(spark, sf_dir, "orders"),
                              read_table(spark, sf_dir, "customer"))
@@ -69,9 +50,8 @@ def _base_games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def games_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Orders joined to their customers' nations, as game rows (fixture mapping)."""
-    orders = spread(orders.select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-        "o_orderpriority"))
+    orders = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                           "o_orderdate", "o_orderpriority")
     customer = customer.select("c_custkey", "c_nationkey")
     g = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
     hk = F.col("c_nationkey")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,27 +25,34 @@ _POINTER_SCHEMA = T.StructType([T.StructField("name", T.StringType()),
                                 T.StructField("path", T.StringType())])
 
 
+class BrokenPointer(RuntimeError):
+    """A pointer names a snapshot that does not exist (not a missing optional input)."""
+
+
 def snapshot_stamp(when: dt.datetime | None = None) -> str:
     """``%Y%m%d_%H%M%S`` stamp of the snapshot time."""
     return (when or dt.datetime.now(dt.timezone.utc)).strftime("%Y%m%d_%H%M%S")
 
 
 def write_snapshot(df: DataFrame, base_dir: str, name: str, stamp: str | None = None) -> str:
-    """Append ``df`` as a new snapshot of ``name`` and move the pointer to it."""
+    """Append ``df`` as a new snapshot of ``name``, then append a pointer to it.
+
+    Pointers are added, never replaced, and the largest stamp counts, so a
+    reader or a crash at any moment finds the last complete snapshot.
+    """
     stamp = stamp or snapshot_stamp()
     path = f"{base_dir.rstrip('/')}/{name}"
     write_csv(df, f"{path}/{SNAPSHOT_COL}={stamp}", mode="overwrite")
     spark = df.sparkSession
     pointer = spark.range(0, 1, 1, 1).select(F.lit(name).alias("name"), F.lit(stamp).alias(SNAPSHOT_COL),
                                     F.lit(path).alias("path"))
-    pointer.write.mode("overwrite").json(f"{path}/{POINTER}")
+    pointer.write.mode("append").json(f"{path}/{POINTER}")
     return stamp
 
 
 def latest_stamp(spark: SparkSession, base_dir: str, name: str) -> str | None:
-    rows = spark.read.schema(_POINTER_SCHEMA).json(
-        f"{base_dir.rstrip('/')}/{name}/{POINTER}").take(1)
-    return rows[0][SNAPSHOT_COL] if rows else None
+    pointers = spark.read.schema(_POINTER_SCHEMA).json(f"{base_dir.rstrip('/')}/{name}/{POINTER}")
+    return pointers.agg(F.max(SNAPSHOT_COL)).first()[0]
 
 
 def read_latest(spark: SparkSession, base_dir: str, name: str,
@@ -53,12 +61,20 @@ def read_latest(spark: SparkSession, base_dir: str, name: str,
     stamp = latest_stamp(spark, base_dir, name)
     if stamp is None:
         raise FileNotFoundError(f"no snapshot of {name} under {base_dir}")
-    return read_csv(spark, f"{base_dir.rstrip('/')}/{name}/{SNAPSHOT_COL}={stamp}", schema)
+    path = f"{base_dir.rstrip('/')}/{name}/{SNAPSHOT_COL}={stamp}"
+    try:
+        return read_csv(spark, path, schema)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        raise BrokenPointer(f"the pointer of {name} names {path}, which is gone") from e
 
 
 def list_latest(spark: SparkSession, base_dir: str) -> DataFrame:
     """One row per dataset with a pointer: (name, snapshot_ts, path)."""
-    return spark.read.schema(_POINTER_SCHEMA).json(f"{base_dir.rstrip('/')}/*/{POINTER}")
+    pointers = spark.read.schema(_POINTER_SCHEMA).json(f"{base_dir.rstrip('/')}/*/{POINTER}")
+    return pointers.groupBy("name").agg(F.max(F.struct(SNAPSHOT_COL, "path")).alias("p")).select(
+        "name", f"p.{SNAPSHOT_COL}", "p.path")
 
 
 def preview(df: DataFrame, order_by: list, n: int = 100) -> DataFrame:

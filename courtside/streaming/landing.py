@@ -63,14 +63,15 @@ def read_landings(spark: SparkSession, table_dir: str) -> DataFrame:
 def current_games(landings: DataFrame) -> DataFrame:
     """The latest landing of each game, in raw.games layout.
 
-    One aggregation on game_id with ``max_by``: it combines map-side first,
-    so a game landed many times costs one row per task before the shuffle.
-    Landings at the same time are ordered by the row itself, so the pick is
-    deterministic.
+    One aggregation on game_id: it combines map-side first, so a game landed
+    many times costs one row per task before the shuffle, and each row is
+    carried once. Landings at the same time are ordered by the row itself, so
+    the pick is deterministic. A row without a game_id is an error.
     """
-    row = F.struct(*GAME_COLUMNS)
-    latest = F.max_by(row, F.struct(LANDED_AT, row)).alias("r")
-    return landings.groupBy("game_id").agg(latest).select("r.*")
+    known = F.coalesce("game_id", F.raise_error(F.lit("a landed game has no game_id")).cast(
+        landings.schema["game_id"].dataType))
+    latest = F.max(F.struct(LANDED_AT, *GAME_COLUMNS)).alias("r")
+    return landings.groupBy(known.alias("g")).agg(latest).select(*[f"r.{c}" for c in GAME_COLUMNS])
 
 
 def read_ingested(spark: SparkSession, table_dir: str) -> DataFrame:

