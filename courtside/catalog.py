@@ -368,6 +368,10 @@ SELECT team_name, game_location AS location, CAST(SUM(win_flag) AS BIGINT) AS wi
 FROM games_df GROUP BY team_name, game_location"""
 
 
+#: Seasons of the test tables' orders (1995-01-01 to 2001-08-01); any other is an error.
+SEASONS = tuple(range(1994, 2002))
+
+
 def _games(w):
     fct, dim, n = _marts(w)
     return D.games_filtered(fct, dim, n)
@@ -397,7 +401,37 @@ def q_default_teams(w):
 
 @register("games_filtered", "SELECT * FROM games_df ORDER BY game_date DESC")
 def q_games_filtered(w):
-    return _games(w).orderBy(F.desc_nulls_last("game_date"))
+    # the team breaks ties, so that a date's rows can be range-partitioned
+    return _games(w).orderBy(F.desc_nulls_last("game_date"), "team_name")
+
+
+#: A dashboard selection: some teams and the three latest seasons.
+SELECTED_TEAMS = ("NATION_1", "NATION_7", "NATION_12", "Nation Three")
+SELECTED_SEASONS = SEASONS[-3:]
+_SELECTED = (f"team_name IN ({', '.join(repr(t) for t in SELECTED_TEAMS)}) "
+             f"AND season IN ({', '.join(map(str, SELECTED_SEASONS))})")
+
+
+def _selected_games(w):
+    fct, dim, n = _marts(w)
+    return D.games_filtered(fct, dim, n, SELECTED_TEAMS, SELECTED_SEASONS)
+
+
+@register("games_filtered_selected", f"SELECT * FROM games_df WHERE {_SELECTED}")
+def q_games_filtered_selected(w):
+    return _selected_games(w)
+
+
+@register("dash_win_rates_selected", f"SELECT * FROM win_rates_df WHERE {_SELECTED}")
+def q_dash_win_rates_selected(w):
+    return D.win_rates(_selected_games(w))
+
+
+@register("teams_in_conference", """
+SELECT team_id, team_name, conference, is_active, historical_win_rate, avg_elo_rating,
+       peak_elo_rating, total_games FROM dim_teams WHERE conference = 'Eastern'""")
+def q_teams_in_conference(w):
+    return D.teams_by_conference(w.table("dim_teams"), "Eastern")
 
 
 @register("dash_win_rates", "SELECT * FROM win_rates_df")
@@ -430,10 +464,6 @@ def q_season_rating_change(w):
     return D.season_rating_change(_games(w))
 
 
-#: Seasons of the test tables' orders (1995-01-01 to 2001-08-01); any other is an error.
-SEASONS = tuple(range(1994, 2002))
-
-
 @register("season_rating_pivot", "SELECT team_name, " + ", ".join(
     f'MAX(total_change) FILTER (WHERE season = {s}) AS "{s}"' for s in SEASONS)
     + " FROM rating_change_df GROUP BY team_name")
@@ -578,6 +608,22 @@ def q_latest_season(w):
     return w.raw_games().agg(F.max("season").alias("latest_season"))
 
 
+@register("seed_scan", """
+SELECT t.team_code, COALESCE(a.team_name, t.team_code) AS team_name,
+       COALESCE(a.current_team_code, t.team_code) AS current_team_code
+FROM all_teams t LEFT JOIN team_aliases a ON t.team_code = a.team_code""")
+def q_seed_scan(w):
+    """A seed of every team code, landed as CSV and scanned with the seed's schema."""
+    def make():
+        path = scratch_path(w.spark, "landing-seed")
+        rows = models.all_teams(w.stg_games()).join(w.aliases(), "team_code", "left").select(
+            "team_code", F.coalesce("team_name", "team_code").alias("team_name"),
+            F.coalesce("current_team_code", "team_code").alias("current_team_code"))
+        CSV.write_csv(rows, path)
+        return path
+    return CSV.read_aliases(w.spark, w.once("landing_seed", make))
+
+
 @register("seed_aliases", """
 SELECT t.team_code, COALESCE(a.team_name, t.team_code) AS team_name,
        COALESCE(a.current_team_code, t.team_code) AS current_team_code,

@@ -89,7 +89,7 @@ def rates_summary(rates: DataFrame) -> DataFrame:
 def rating_series(games: DataFrame) -> DataFrame:
     """Each team's post-game rating in date order (one sort, no per-team loop)."""
     return games.select("team_name", "game_date", "elo_post").orderBy(
-        F.asc_nulls_last("team_name"), F.asc_nulls_last("game_date"))
+        F.asc_nulls_last("team_name"), F.asc_nulls_last("game_date"), "elo_post")
 
 
 def season_rating_change(games: DataFrame) -> DataFrame:

@@ -47,8 +47,8 @@ def elo_trends(fct: DataFrame, dim: DataFrame, as_of: dt.date, dim_rows: int | N
     j = with_team(f, dim, dim_rows).drop("team_id")
     out = running_sum(j, ["team_name"], "game_date", "elo_change", "cumulative_elo_change")
     return out.select("team_name", "game_date", "season", "elo_pre", "elo_post", "elo_change",
-                      "cumulative_elo_change").orderBy(F.asc_nulls_last("team_name"),
-                                                       F.asc_nulls_last("game_date"))
+                      "cumulative_elo_change").orderBy(
+        F.asc_nulls_last("team_name"), F.asc_nulls_last("game_date"), "elo_pre", "elo_post")
 
 
 def point_diff_by_season(fct: DataFrame, dim: DataFrame,
