@@ -44,6 +44,8 @@ class PipelineResult:
     row_counts: dict = field(default_factory=dict)
     checks: dict = field(default_factory=dict)
     exports: dict = field(default_factory=dict)
+    rejected: dict = field(default_factory=dict)        # landed pages set aside, by input
+    failed_exports: dict = field(default_factory=dict)  # what stopped an export, by name
 
 
 def _overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -84,6 +86,14 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
             enforce_primary_key(df, PRIMARY_KEYS[name], name)
         raw[name] = _overwrite(df, f"{out}/raw/{name}")
         res.paths[f"raw/{name}"] = f"{out}/raw/{name}"
+    if layout == "pages" and "player_stats" in raw:
+        pages = api_pages.read_pages(spark, f"{landing_dir.rstrip('/')}/player_stats",
+                                     schemas.PLAYER_STATS_PAGE, mode="PERMISSIVE")
+        bad = _overwrite(api_pages.rejected_pages(pages), f"{out}/quarantine/player_stats")
+        res.rejected["player_stats"] = bad.count()
+        if res.rejected["player_stats"]:
+            log.warning("%d player pages are no valid pages: see %s/quarantine/player_stats",
+                        res.rejected["player_stats"], out)
     if "games" not in raw:
         log.warning("no games snapshot: nothing to model")
         return res
@@ -143,8 +153,12 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
         "point_diff_by_season": exports.point_diff_by_season(fct, dim, dim_rows),
     }
     for name, df in reports.items():
-        snapshots.write_snapshot(df, export_dir, name, stamp)
-        res.exports[name] = snapshots.read_latest(spark, export_dir, name, df.schema).count()
+        try:
+            snapshots.write_snapshot(df, export_dir, name, stamp)
+            res.exports[name] = snapshots.read_latest(spark, export_dir, name, df.schema).count()
+        except Exception as e:  # noqa: BLE001  (one failing export is reported; the others go on)
+            log.error("export %s failed: %s", name, e)
+            res.failed_exports[name] = str(e)
     summary = {
         "export_timestamp": dt.datetime.now(dt.timezone.utc).isoformat(),
         "warehouse_type": "Spark",

@@ -33,6 +33,13 @@ def _items(pages: DataFrame, keep=()) -> DataFrame:
     return pages.select(F.explode("data").alias("g"), *keep)
 
 
+def rejected_pages(pages: DataFrame) -> DataFrame:
+    """The pages of a PERMISSIVE read that are no valid page, as landed."""
+    # a raw JSON scan must read a data column beside the rejected text
+    return pages.filter(F.col(CORRUPT).isNotNull()).select(
+        F.col(CORRUPT).alias("page"), F.col("data").isNotNull().alias("partly_read"))
+
+
 def flatten_teams(pages: DataFrame) -> DataFrame:
     """7 team columns; ``id`` becomes ``team_id``."""
     return _items(pages).select(

@@ -53,6 +53,8 @@ def test_player_stats_keep_good_pages(spark, scratch):
         f.write(json.dumps(good) + "\n{not json\n")
     pages = AP.read_pages(spark, scratch, schemas.PLAYER_STATS_PAGE, mode="PERMISSIVE")
     rows = AP.flatten_player_stats(pages).collect()
+    bad = [r.page for r in AP.rejected_pages(pages).collect()]
+    assert bad == ["{not json"]
     assert len(rows) == 1 and rows[0]["min"] == "31:20" and len(rows[0]) == 22
 
 
@@ -154,3 +156,19 @@ def test_pack_pages_bounded_with_repeated_keys(spark, scratch):
     sizes = [r[0] for r in pages.select(F.size("data")).collect()]
     assert max(sizes) <= 100 and sum(sizes) == 1000
     assert pages.select("meta.current_page").distinct().count() == len(sizes)
+
+
+def test_broken_pointer_is_no_missing_input(spark, scratch):
+    import pytest
+
+    from courtside.sources import snapshots as SN
+    from courtside.sources.csv_tables import optional
+    df = spark.createDataFrame([(1,)], "a int")
+    SN.write_snapshot(df, scratch, "games", "20010101_000000")
+    SN.write_snapshot(df, scratch, "games", "20010102_000000")
+    assert SN.latest_stamp(spark, scratch, "games") == "20010102_000000"
+    (spark.range(1).selectExpr("'games' AS name", "'20990101_000000' AS snapshot_ts", "'x' AS path")
+     .write.mode("append").json(f"{scratch}/games/{SN.POINTER}"))
+    with pytest.raises(SN.BrokenPointer):
+        optional(SN.read_latest, spark, scratch, "games", df.schema)
+    assert optional(SN.read_latest, spark, scratch, "absent", df.schema) is None
