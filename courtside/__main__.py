@@ -36,7 +36,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("landing")
     p.add_argument("out")
     p.add_argument("--aliases", default=None, help="alias seed CSV")
-    p.add_argument("--layout", choices=("snapshots", "flat", "pages"), default="snapshots",
+    p.add_argument("--layout", choices=("snapshots", "flat", "pages", "table"), default="snapshots",
                    help="snapshot folders with a pointer, or timestamped <name>_<stamp>.csv files")
     p.add_argument("--report-only", action="store_true",
                    help="report failing checks instead of stopping before export")

@@ -19,6 +19,7 @@ from courtside.functions import dates as FD
 from courtside.functions.bands import conference_of
 from courtside.operators import quality as Q
 from courtside.operators.joins import lookup_join
+from courtside.operators.unpivot import explode_sides
 from courtside.plans import checks as C
 from courtside.plans import dashboard as D
 from courtside.plans import exports, models
@@ -28,6 +29,7 @@ from courtside.session import scratch_path
 from courtside.sources import api_pages as AP
 from courtside.sources import csv_tables as CSV
 from courtside.sources import snapshots as SN
+from courtside.sources.fixture import inline_rows
 from courtside.streaming import landing as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +102,34 @@ def q_fct_games(w):
     return w.fct_games()
 
 
+def _repeated(w) -> tuple[DataFrame, int]:
+    """The alias seed with codes listed more than once, as a shipped seed may have them."""
+    return inline_rows(w.spark, O.REPEATED, ["team_code", "team_name", "current_team_code"]), len(O.REPEATED)
+
+
+@register("stg_teams_as_written", "SELECT * FROM stg_teams_repeated")
+def q_stg_teams_as_written(w):
+    """The team model over a seed that repeats codes, with the fan-out of a plain join."""
+    return models.stg_teams_as_written(w.side_summary(), *_repeated(w), w.params.activity_as_of)
+
+
+@register("fct_games_as_written", "SELECT * FROM fct_games_repeated")
+def q_fct_games_as_written(w):
+    """The fact over that team model: a game of a repeated code has more than two rows."""
+    teams, n = q_stg_teams_as_written(w), 2 * len(O.REPEATED)
+    return models.fct_games(w.stg_games(), teams, n)
+
+
+@register("dq_two_teams_as_written", """
+SELECT game_id, COUNT(DISTINCT team_id) AS team_count, COUNT(*) AS row_count
+FROM fct_games_repeated GROUP BY game_id HAVING COUNT(DISTINCT team_id) <> 2 OR COUNT(*) <> 2""")
+def q_dq_two_teams_as_written(w):
+    """Games of that fact that break the two-teams rule."""
+    per = q_fct_games_as_written(w).groupBy("game_id").agg(
+        F.countDistinct("team_id").alias("team_count"), F.count(F.lit(1)).alias("row_count"))
+    return per.where("team_count <> 2 OR row_count <> 2")
+
+
 # ---- exports ------------------------------------------------------------------
 
 O.CTES["win_rates_export"] = """
@@ -464,6 +494,18 @@ def q_season_rating_change(w):
     return D.season_rating_change(_games(w))
 
 
+@register("season_rating_change_as_written", """
+SELECT team_name, season, MIN(elo_pre) FILTER (WHERE game_date = d1) AS elo_pre,
+       MAX(elo_post) FILTER (WHERE game_date = d0) AS elo_post, SUM(elo_change) AS elo_change,
+       MAX(elo_post) FILTER (WHERE game_date = d0) - MIN(elo_pre) FILTER (WHERE game_date = d1)
+           AS total_change
+FROM (SELECT *, MIN(game_date) OVER (PARTITION BY team_name, season) AS d0,
+             MAX(game_date) OVER (PARTITION BY team_name, season) AS d1 FROM games_df)
+GROUP BY team_name, season""")
+def q_season_rating_change_as_written(w):
+    return D.season_rating_change_as_written(_games(w))
+
+
 @register("season_rating_pivot", "SELECT team_name, " + ", ".join(
     f'MAX(total_change) FILTER (WHERE season = {s}) AS "{s}"' for s in SEASONS)
     + " FROM rating_change_df GROUP BY team_name")
@@ -682,7 +724,7 @@ def _team_rows(w) -> DataFrame:
         F.col("abbreviation").alias("name")).alias("item"))
 
 
-@register("api_teams_flatten", f"""
+O.CTES["flat_teams"] = f"""
 SELECT DISTINCT s.id AS team_id, s.abbreviation, r.r_name AS city,
        CASE WHEN s.abbreviation IN ({O.EAST}) THEN 'Eastern'
             WHEN s.abbreviation IN ({O.WEST}) THEN 'Western' ELSE 'Historical' END AS conference,
@@ -690,13 +732,108 @@ SELECT DISTINCT s.id AS team_id, s.abbreviation, r.r_name AS city,
 FROM (SELECT home_team_id AS id, home_team_abbreviation AS abbreviation, home_team_name AS full_name FROM raw_games
       UNION SELECT visitor_team_id, visitor_team_abbreviation, visitor_team_name FROM raw_games) s
 LEFT JOIN nation n ON s.id = n.n_nationkey
-LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+
+@register("api_teams_flatten", "SELECT * FROM flat_teams")
 def q_api_teams_flatten(w):
     """Teams seen in the games, as API team pages, re-read and flattened."""
     path = _pages(w, "teams", lambda: _team_rows(w))
     return AP.flatten_teams(AP.read_pages(w.spark, path, S.TEAMS_PAGE))
 
 
+@register("raw_teams", "SELECT * FROM flat_teams")
+def q_raw_teams(w):
+    """Typed CSV load of the teams snapshot."""
+    def make():
+        base = scratch_path(w.spark, "landing-teams")
+        SN.write_snapshot(q_api_teams_flatten(w), base, "teams", "19000101_000000")
+        return base
+    base = w.once("landing_teams", make)
+    return CSV.read_teams(w.spark, f"{base}/teams/{SN.SNAPSHOT_COL}=19000101_000000")
+
+
+def _player_rows(w) -> DataFrame:
+    """Player season lines: a supplier is a player, a year of its lineitems a season. The i-th
+    figure sums the quantities of every 18th line, over 64: exact binary fractions."""
+    line = F.col("l_orderkey") + F.col("l_linenumber")
+    return w.source("lineitem").groupBy(
+        F.col("l_suppkey").cast("int").alias("player_id"),
+        F.year("l_shipdate").alias("season")).agg(
+        F.count(F.lit(1)).cast("int").alias("games_played"),
+        F.concat(F.floor(F.sum("l_quantity") / F.count(F.lit(1))).cast("string"), F.lit(":30")).alias("min"),
+        *[(F.sum(F.when(line % len(S.PLAYER_STAT_COLUMNS) == i, F.col("l_quantity")).otherwise(0.0)) / 64).alias(c)
+          for i, c in enumerate(S.PLAYER_STAT_COLUMNS)])
+
+
+O.CTES["player_seasons"] = f"""
+SELECT CAST(l_suppkey AS INTEGER) AS player_id, CAST(year(l_shipdate) AS INTEGER) AS season,
+       CAST(COUNT(*) AS INTEGER) AS games_played,
+       CAST(CAST(floor(SUM(l_quantity) / COUNT(*)) AS BIGINT) AS VARCHAR) || ':30' AS min,
+       {", ".join(f"SUM(CASE WHEN (l_orderkey + l_linenumber) % {len(S.PLAYER_STAT_COLUMNS)} = {i} "
+                  f"THEN l_quantity ELSE 0.0 END) / 64 AS {c}"
+                  for i, c in enumerate(S.PLAYER_STAT_COLUMNS))}
+FROM lineitem GROUP BY l_suppkey, year(l_shipdate)"""
+
+
+@register("raw_player_stats", "SELECT * FROM player_seasons")
+def q_raw_player_stats(w):
+    """Typed CSV load of the player statistics snapshot."""
+    def make():
+        base = scratch_path(w.spark, "landing-players")
+        SN.write_snapshot(_player_rows(w), base, "player_stats", "19000101_000000")
+        return base
+    base = w.once("landing_players", make)
+    return CSV.read_player_stats(w.spark, f"{base}/player_stats/{SN.SNAPSHOT_COL}=19000101_000000")
+
+
+@register("api_player_stats_flatten", "SELECT * FROM player_seasons")
+def q_api_player_stats_flatten(w):
+    """Player seasons packed into JSON pages, re-read permissively and flattened."""
+    path = _pages(w, "player_stats", lambda: _player_rows(w).select(
+        F.struct("player_id", "season").alias("key"),
+        F.struct(*[f.name for f in S.API_PLAYER_STAT.fields]).alias("item")))
+    return AP.flatten_player_stats(AP.read_pages(w.spark, path, S.PLAYER_STATS_PAGE, mode="PERMISSIVE"))
+
+
+@register("alltime_ratings", """
+SELECT 2 * game_id + side AS gameorder,
+       CAST(game_id AS VARCHAR) AS game_id, 'NBA' AS lg_id, strftime(date, '%Y-%m-%d') AS date,
+       franch_id, opp_franch, elo_i, elo_n, CAST(NULL AS DOUBLE) AS win_equiv, opp_franch AS opp_id,
+       opp_elo_i, opp_elo_n, game_location, CASE WHEN score > other THEN 'W' WHEN score < other THEN 'L' END AS game_result,
+       forecast, CAST(NULL AS VARCHAR) AS notes
+FROM (SELECT game_id, date, 1 AS side, team1 AS franch_id, team2 AS opp_franch, elo1_pre AS elo_i,
+             elo1_post AS elo_n, elo2_pre AS opp_elo_i, elo2_post AS opp_elo_n,
+             CASE WHEN neutral = 1 THEN 'N' ELSE 'H' END AS game_location, score1 AS score,
+             score2 AS other, elo_prob1 AS forecast FROM elo
+      UNION ALL
+      SELECT game_id, date, 2, team2, team1, elo2_pre, elo2_post, elo1_pre, elo1_post,
+             CASE WHEN neutral = 1 THEN 'N' ELSE 'A' END, score2, score1, elo_prob2 FROM elo)""")
+def q_alltime_ratings(w):
+    """Both sides of every rated game, landed as CSV in the all-time layout and read with its schema."""
+    def make():
+        path = scratch_path(w.spark, "landing-alltime")
+        sides = explode_sides(w.raw_elo(), ["game_id", "date", "neutral"], {
+            "H": {"side": F.lit(1), "at": F.lit("H"), "franch_id": F.col("team1"), "opp_franch": F.col("team2"),
+                  "elo_i": F.col("elo1_pre"), "elo_n": F.col("elo1_post"), "opp_elo_i": F.col("elo2_pre"),
+                  "opp_elo_n": F.col("elo2_post"), "diff": F.col("score1") - F.col("score2"),
+                  "forecast": F.col("elo_prob1")},
+            "A": {"side": F.lit(2), "at": F.lit("A"), "franch_id": F.col("team2"), "opp_franch": F.col("team1"),
+                  "elo_i": F.col("elo2_pre"), "elo_n": F.col("elo2_post"), "opp_elo_i": F.col("elo1_pre"),
+                  "opp_elo_n": F.col("elo1_post"), "diff": F.col("score2") - F.col("score1"),
+                  "forecast": F.col("elo_prob2")}})
+        CSV.write_csv(sides.select(
+            (2 * F.col("game_id") + F.col("side")).alias("gameorder"), F.col("game_id").cast("string").alias("game_id"),
+            F.lit("NBA").alias("lg_id"), F.date_format("date", "yyyy-MM-dd").alias("date"), "franch_id",
+            "opp_franch", "elo_i", "elo_n", F.lit(None).cast("double").alias("win_equiv"),
+            F.col("opp_franch").alias("opp_id"), "opp_elo_i", "opp_elo_n",
+            F.when(F.col("neutral") == 1, "N").otherwise(F.col("at")).alias("game_location"),
+            F.when(F.col("diff") > 0, "W").when(F.col("diff") < 0, "L").alias("game_result"), "forecast",
+            F.lit(None).cast("string").alias("notes")), path)
+        return path
+    return CSV.read_alltime_ratings(w.spark, w.once("landing_alltime", make))
+
+
 @register("api_games_stream", "SELECT * FROM raw_games")
 def q_api_games_stream(w):
     """Landed game pages ingested by a file-source stream (availableNow) into a table."""
@@ -709,6 +846,34 @@ def q_api_games_stream(w):
     return ST.read_ingested(w.spark, w.once("stream_games", make))
 
 
+@register("export_listing", f"""
+SELECT * FROM (VALUES
+    ('team_win_rates', '20010801_030000', (SELECT COUNT(*) FROM win_rates_export)),
+    ('elo_trends', '20010801_030000', (SELECT COUNT(*) FROM fct_games JOIN dim_teams USING (team_id)
+                                       WHERE game_date >= DATE '{O.TREND_START}')),
+    ('point_diff_by_season', '20010801_030000', (SELECT COUNT(*) FROM (
+        SELECT DISTINCT team_name, season FROM fct_games JOIN dim_teams USING (team_id))))
+) v(name, snapshot_ts, row_count)""")
+def q_export_listing(w):
+    """All exports written as CSV snapshots (two of one), listed with the rows of their latest."""
+    fct, dim, n = _marts(w)
+    reports = {"team_win_rates": exports.team_win_rates(fct, dim, n),
+               "elo_trends": exports.elo_trends(fct, dim, w.params.as_of, n),
+               "point_diff_by_season": exports.point_diff_by_season(fct, dim, n)}
+
+    def make():
+        base = scratch_path(w.spark, "export-listing")
+        SN.write_snapshot(reports["team_win_rates"], base, "team_win_rates", "20010731_030000")
+        for name, df in reports.items():
+            SN.write_snapshot(df, base, name, "20010801_030000")
+        return base
+    base = w.once("export_listing", make)
+    counts = exports.export_summary({name: SN.read_latest(w.spark, base, name, df.schema)
+                                     for name, df in reports.items()})
+    return SN.list_latest(w.spark, base).join(counts.withColumnRenamed("table_name", "name"), "name").select(
+        "name", SN.SNAPSHOT_COL, "row_count")
+
+
 @register("export_preview", """
 SELECT *, (SELECT count(*) FROM win_rates_export) AS total_rows
 FROM win_rates_export

@@ -109,6 +109,20 @@ def season_rating_change(games: DataFrame) -> DataFrame:
         .withColumn("total_change", F.col("elo_post") - F.col("elo_pre")))
 
 
+def season_rating_change_as_written(games: DataFrame) -> DataFrame:
+    """The change as the dashboard's first/last over rows in descending date order give it:
+    the rating before the last game and the one after the first. Ties of a date go to the
+    smaller rating before and the larger one after it."""
+    daily = games.groupBy("team_name", "season", "game_date").agg(
+        F.min("elo_pre").alias("day_pre"), F.max("elo_post").alias("day_post"),
+        F.sum("elo_change").alias("day_change"))
+    return (daily.groupBy("team_name", "season").agg(
+        F.max_by("day_pre", "game_date").alias("elo_pre"),
+        F.min_by("day_post", "game_date").alias("elo_post"),
+        F.sum("day_change").alias("elo_change"))
+        .withColumn("total_change", F.col("elo_post") - F.col("elo_pre")))
+
+
 def season_rating_pivot(changes: DataFrame, seasons: Sequence[int]) -> DataFrame:
     """Team x season grid of the total change; a season outside ``seasons`` is an error."""
     known = F.when(F.col("season").isin(list(seasons)), F.col("season")).otherwise(

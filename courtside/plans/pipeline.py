@@ -19,9 +19,11 @@ from courtside import schemas
 from courtside.operators import quality as Q
 from courtside.plans import checks as C
 from courtside.plans import exports, models
+from courtside.plans.warehouse import dated
 from courtside.sources import api_pages, snapshots
 from courtside.sources.csv_tables import optional, read_aliases
 from courtside.sources.fixture import DEFAULT_PARAMS, FixtureParams, alias_frame
+from courtside.streaming import landing
 
 log = logging.getLogger(__name__)
 
@@ -44,6 +46,7 @@ class PipelineResult:
     row_counts: dict = field(default_factory=dict)
     checks: dict = field(default_factory=dict)
     exports: dict = field(default_factory=dict)
+    profile: dict = field(default_factory=dict)         # of the load
     rejected: dict = field(default_factory=dict)        # landed pages set aside, by input
     failed_exports: dict = field(default_factory=dict)  # what stopped an export, by name
 
@@ -56,10 +59,38 @@ def _overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def _read_pages(spark: SparkSession, landing_dir: str, name: str, schema) -> DataFrame:
+    """Landed pages; of games and teams that landed more than once the latest page counts."""
+    path = f"{landing_dir.rstrip('/')}/{name}"
+    if name == "games":
+        return landing.landed_games(spark, path)
+    df = api_pages.read_landed(spark, landing_dir, name, schema)
+    return df.distinct() if name == "teams" else df  # equal rows only: a changed team trips its key
+
+
+def _read_table(spark: SparkSession, landing_dir: str, name: str, schema) -> DataFrame:
+    """The tables that the page stream ingested; teams and players come as snapshots."""
+    if name == "games":
+        return landing.read_ingested(spark, f"{landing_dir.rstrip('/')}/{name}")
+    return snapshots.read_latest(spark, landing_dir, name, schema)
+
+
+def load_profile(games: DataFrame, teams: DataFrame | None) -> dict:
+    """Completed games without a score, the range and number of dates, and the teams."""
+    day = F.to_date("date")
+    no_score = F.col("home_team_score").isNull() | F.col("visitor_team_score").isNull()
+    row = games.agg(F.count(F.lit(1)).alias("games"),
+                    F.count_if(no_score & (F.col("status") == "Final")).alias("null_scores"),
+                    F.min(day).alias("earliest"), F.max(day).alias("latest"),
+                    F.countDistinct(day).alias("unique_dates")).first().asDict()
+    return row | {"teams": teams.count() if teams is not None else None}
+
+
 def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
                  params: FixtureParams = DEFAULT_PARAMS, aliases_path: str | None = None,
                  fail_on: tuple | str = "all", stamp: str | None = None,
-                 enforce_keys: bool = True, layout: str = "snapshots") -> PipelineResult:
+                 enforce_keys: bool = True, layout: str = "snapshots",
+                 min_rows: int = C.MIN_ROW_COUNT) -> PipelineResult:
     """Run every stage; a failing check named in ``fail_on`` (default: every
     check) aborts the run before export, as a failing data test stops the
     reference's export; ``fail_on=()`` reports only.
@@ -68,7 +99,9 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
     ``player_stats``): ``layout="snapshots"`` for snapshot folders with a
     latest pointer, ``layout="flat"`` for timestamped ``<name>_<stamp>.csv``
     files, ``layout="pages"`` for landed API JSON pages in ``<name>/``
-    folders. A missing input is skipped with a warning.
+    folders, ``layout="table"`` for a ``games`` table that the page stream
+    ingested. A missing input is skipped with a warning. The result's
+    ``profile`` describes the load; tables below ``min_rows`` rows are reported.
     """
     out = out_dir.rstrip("/")
     res = PipelineResult()
@@ -77,7 +110,7 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
     # raw layer (full refresh)
     raw = {}
     reader = {"snapshots": snapshots.read_latest, "flat": snapshots.read_latest_flat,
-              "pages": api_pages.read_landed}[layout]
+              "pages": _read_pages, "table": _read_table}[layout]
     for name, schema in RAW_INPUTS.items():
         df = optional(reader, spark, landing_dir, name, schema, what=name)
         if df is None:
@@ -97,6 +130,10 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
     if "games" not in raw:
         log.warning("no games snapshot: nothing to model")
         return res
+    res.profile = load_profile(raw["games"], raw.get("teams"))
+    log.info("load: %s", res.profile)
+    if res.profile["null_scores"]:
+        log.warning("%d completed games without scores", res.profile["null_scores"])
     elo = _overwrite(models.raw_elo(raw["games"]), f"{out}/raw/elo")
 
     # staging (views) and marts (tables)
@@ -112,8 +149,7 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
                                       params.eastern, params.western)
                      .select("*", now), f"{out}/marts/dim_teams")
     fct = _overwrite(models.fct_games(stg_games, resolved, alias_rows).select("*", now)
-                     .hint("rebalance", "season"),  # full files per season, hot ones split
-                     f"{out}/marts/fct_games", partition_by=["season"])
+                     .transform(dated, "game_date", "season"), f"{out}/marts/fct_games", partition_by=["season"])
     dim_rows = dim.count()
     res.row_counts.update(dim_teams=dim_rows, fct_games=fct.count())
 
@@ -143,6 +179,10 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
         if n and (fail_on == "all" or name in fail_on):
             Q.assert_empty(name, violations)
     # informational: seed codes listed more than once (resolved to one row each)
+    # informational: codes that share an id (dim_teams has one row an id), small tables
+    res.checks["unique_team_id_stg (report only)"] = Q.duplicate_keys(stg_teams, "team_id").count()
+    res.checks["min_rows (report only)"] = sum(
+        n < min_rows for n in (res.profile["games"], res.row_counts["fct_games"]))
     res.checks["alias_duplicates (report only)"] = models.alias_duplicates(aliases).count()
 
     # exports: timestamped CSV + latest pointer, then the summary
@@ -165,7 +205,8 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
         "database_path": out,
         "exports": [{"table": t, "row_count": n} for t, n in res.row_counts.items()],
     }
-    (spark.range(0, 1, 1, 1).select(F.lit(json.dumps(summary)).alias("value"))
+    # a JSON array of records, as a table of one record
+    (spark.range(0, 1, 1, 1).select(F.lit(json.dumps([summary])).alias("value"))
      .write.mode("overwrite").text(f"{export_dir}/export_summary"))
     res.paths["exports"] = export_dir
     return res

@@ -16,6 +16,7 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from courtside.plans import models
 from courtside.session import app_id
@@ -26,6 +27,13 @@ from courtside.sources.tables import WrittenTable, write_and_read
 RATED, PLACEHOLDER = "rated", "placeholder"
 
 
+def dated(df: DataFrame, day: str, *by: str) -> DataFrame:
+    """``df`` as it is written: a file holds few months of a value of ``by``, its days in order,
+    so that the statistics of files and row groups prune a date window. AQE sizes the files."""
+    return (df.withColumn("_month", F.trunc(day, "month")).hint("rebalance", *by, "_month")
+            .sortWithinPartitions(*by, day).drop("_month"))
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, profile: str = RATED,
                  params: FixtureParams = DEFAULT_PARAMS):
@@ -116,7 +124,8 @@ class Warehouse:
                     self._written[name] = warehouse_for(self.spark, self.sf_dir)._write(name)
                 elif name == "landed_games":
                     self._written[name] = write_and_read(
-                        fixture.base_games(self.spark, self.sf_dir), f"raw/{name}")
+                        dated(fixture.base_games(self.spark, self.sf_dir), "o_orderdate"),
+                        f"raw/{name}")
                 elif name == "aliases":
                     self._written[name] = write_and_read(
                         models.resolve_aliases(self.aliases()).coalesce(1), "seeds/aliases")
@@ -124,9 +133,9 @@ class Warehouse:
                     # rebalance on the partition column: AQE sizes each write task
                     # to the advisory bytes within one season (splitting a hot
                     # season), so each season gets a few full files instead of
-                    # one small file per input task
+                    # one small file per input task; months stay together
                     self._written[name] = write_and_read(
-                        self.fct_games().hint("rebalance", "season"), f"marts/{name}",
+                        dated(self.fct_games(), "game_date", "season"), f"marts/{name}",
                         partition_by=["season"])
                 elif name == "dim_teams":
                     self._written[name] = write_and_read(self.dim_teams(), f"marts/{name}")

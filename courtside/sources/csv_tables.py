@@ -23,6 +23,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
              mode: str = "FAILFAST") -> DataFrame:
     return (spark.read.schema(schema).option("header", True).option("sep", ",")
             .option("nullValue", "").option("emptyValue", "").option("mode", mode)
+            .option("enforceSchema", False)  # a header that differs from the schema is an error
             .option("timestampFormat", ISO_TS).csv(path))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from courtside import schemas
-from courtside.sources.api_pages import flatten_games, typed_games
+from courtside.sources.api_pages import flatten_games, read_pages, typed_games
 
 LANDED_AT = "landed_at"
 GAME_COLUMNS = [f.name for f in schemas.RAW_GAMES.fields]
@@ -60,6 +60,13 @@ def read_landings(spark: SparkSession, table_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(table_dir).select(*GAME_COLUMNS, LANDED_AT)
 
 
+def landed_games(spark: SparkSession, pages_dir: str) -> DataFrame:
+    """The current games of a folder of landed pages (batch): overlapping landings are no error."""
+    pages = read_pages(spark, pages_dir, schemas.GAMES_PAGE).withColumn(
+        LANDED_AT, F.col("_metadata.file_modification_time"))
+    return current_games(typed_games(flatten_games(pages, keep=[LANDED_AT]), keep=[LANDED_AT]))
+
+
 def current_games(landings: DataFrame) -> DataFrame:
     """The latest landing of each game, in raw.games layout.
 

@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from courtside.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["region", "nation", "customer", "orders"]
+TABLES = ["region", "nation", "customer", "orders", "lineitem"]
 
 
 def _norm(v):

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from courtside.plans.pipeline import run_pipeline
 from courtside.sources import snapshots as SN
 from courtside.sources.fixture import raw_games
@@ -129,3 +131,41 @@ def test_pipeline_with_the_alias_seed_file(spark, scratch):
     assert res.checks["alias_duplicates (report only)"] == 3  # Nets, Hornets, Royals
     assert res.row_counts["fct_games"] == 2 * raw_games(spark, "/root/testdata/sf0.001") \
         .filter("status = 'Final'").count()
+
+
+def test_overlapping_page_landings_end_with_every_export(spark, scratch):
+    """Two fetches land overlapping games; the later page of a game counts, from pages and stream."""
+    import os
+    import time
+
+    from courtside.sources import api_pages as AP
+    from courtside.streaming import landing as ST
+    g = raw_games(spark, "/root/testdata/sf0.001").where("status = 'Final'").orderBy("game_id")
+    n, again = g.count(), g.limit(40).withColumn("home_team_score", F.lit(200))
+    AP.pack_pages(AP.game_items(g)).write.text(f"{scratch}/pages/games")
+    for f in os.listdir(f"{scratch}/pages/games"):
+        os.utime(f"{scratch}/pages/games/{f}", (time.time() - 3600,) * 2)
+    AP.pack_pages(AP.game_items(again)).write.mode("append").text(f"{scratch}/pages/games")
+
+    res = run_pipeline(spark, f"{scratch}/pages", f"{scratch}/out", layout="pages", fail_on=())
+    assert res.profile["games"] == n and not res.failed_exports and len(res.exports) == 3
+    raw = spark.read.parquet(f"{scratch}/out/raw/games")
+    assert raw.where("home_team_score = 200").count() == 40
+
+    ST.ingest_game_pages(spark, f"{scratch}/pages/games", f"{scratch}/tables/games",
+                         f"{scratch}/ckpt").awaitTermination()
+    res2 = run_pipeline(spark, f"{scratch}/tables", f"{scratch}/out2", layout="table", fail_on=())
+    assert res2.profile == res.profile and res2.row_counts == res.row_counts
+
+
+def test_profile_of_a_load(spark, scratch):
+    land = f"{scratch}/landing"
+    g = raw_games(spark, "/root/testdata/sf0.001")
+    no_score = F.when(F.col("status") != "Final", F.col("home_team_score"))
+    SN.write_snapshot(g.withColumn("home_team_score", F.when(
+        F.col("game_id") % 2 == 0, F.col("home_team_score")).otherwise(no_score)), land, "games")
+    res = run_pipeline(spark, land, f"{scratch}/out", fail_on=(), min_rows=10 ** 9)
+    odd = g.where("game_id % 2 = 1 AND status = 'Final'").count()
+    assert res.profile["null_scores"] == odd > 0 and res.profile["teams"] is None
+    assert res.profile["games"] == g.count()
+    assert res.checks["min_rows (report only)"] == 2

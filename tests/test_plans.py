@@ -74,3 +74,29 @@ def test_running_sum_with_a_hot_team(spark):
     # windows run per (team, month) and over the months, never over a whole team's rows
     specs = [line for line in plan.splitlines() if " Window [" in f" {line}"]
     assert specs and all("__day" in x and "__month" in x or "__before" in x for x in specs)
+
+
+def test_dated_files_prune_a_window(spark, scratch):
+    """Files of the fact hold few months each, so a date window overlaps few of them."""
+    import pyarrow.dataset as ds
+    from courtside.plans.warehouse import dated
+    # as on a large cluster: more partitions than months, each large enough to stay
+    conf = {"spark.sql.shuffle.partitions": "96", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    w = warehouse_for(spark, SF)
+    w.build()
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        dated(w.fct_games(), "game_date", "season").write.partitionBy("season").parquet(f"{scratch}/fct")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    spans = []
+    for f in ds.dataset(f"{scratch}/fct", partitioning="hive").get_fragments():
+        d = f.to_table(columns=["game_date"])["game_date"].to_pylist()
+        assert d == sorted(d)
+        spans.append((d[0], d[-1]))
+    assert len(spans) > 20
+    narrow = [s for s in spans if (s[1] - s[0]).days < 200]
+    assert len(narrow) > len(spans) / 2  # a season has 365 days

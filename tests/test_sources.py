@@ -172,3 +172,17 @@ def test_broken_pointer_is_no_missing_input(spark, scratch):
     with pytest.raises(SN.BrokenPointer):
         optional(SN.read_latest, spark, scratch, "games", df.schema)
     assert optional(SN.read_latest, spark, scratch, "absent", df.schema) is None
+
+
+def test_csv_header_must_match_the_schema(spark, scratch):
+    import pytest
+    from courtside.sources.csv_tables import read_teams, write_csv
+    rows = spark.createDataFrame([(1, "A", "x", "East", "d", "Full", "n")],
+                                 "team_id int, abbreviation string, city string, conference string, "
+                                 "division string, full_name string, name string")
+    write_csv(rows, f"{scratch}/good")
+    assert read_teams(spark, f"{scratch}/good").count() == 1
+    write_csv(rows.select("team_id", "city", "abbreviation", "conference", "division", "full_name",
+                          "name"), f"{scratch}/swapped")
+    with pytest.raises(Exception, match="header|schema|MALFORMED"):
+        read_teams(spark, f"{scratch}/swapped").collect()
