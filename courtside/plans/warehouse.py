@@ -28,10 +28,12 @@ RATED, PLACEHOLDER = "rated", "placeholder"
 
 
 def dated(df: DataFrame, day: str, *by: str) -> DataFrame:
-    """``df`` as it is written: a file holds few months of a value of ``by``, its days in order,
-    so that the statistics of files and row groups prune a date window. AQE sizes the files."""
-    return (df.withColumn("_month", F.trunc(day, "month")).hint("rebalance", *by, "_month")
-            .sortWithinPartitions(*by, day).drop("_month"))
+    """``df`` as it is written: days in order, so that the statistics of row groups and pages
+    prune a date window. With ``by``, a file also holds few months of a value of ``by`` (AQE
+    sizes the files); without, rows stay where they are and nothing is shuffled."""
+    if by:
+        df = df.withColumn("_month", F.trunc(day, "month")).hint("rebalance", *by, "_month")
+    return df.sortWithinPartitions(*by, day).drop("_month")
 
 
 class Warehouse:

@@ -100,3 +100,11 @@ def test_dated_files_prune_a_window(spark, scratch):
     assert len(spans) > 20
     narrow = [s for s in spans if (s[1] - s[0]).days < 200]
     assert len(narrow) > len(spans) / 2  # a season has 365 days
+
+
+def test_loading_in_date_order_shuffles_nothing(spark):
+    from courtside.plans.warehouse import dated
+    from courtside.sources.fixture import read_table
+    orders = read_table(spark, SF, "orders").select("o_orderkey", "o_orderdate")
+    plan = _plan(dated(orders, "o_orderdate"))
+    assert "Sort [o_orderdate" in plan and "Exchange" not in plan
