@@ -1,22 +1,29 @@
-"""Interpolated modified Kneser-Ney language model (order 2), counted in Spark.
-
-Counting. Each task packs the bigrams of its training texts into blocks, one
-for each shard of the key space (a bigram's 64-bit key is an invertible mix of
-its words' hashes, so equal bigrams share a shard and a hot word's bigrams are
-spread over all shards). A shard's blocks are merged into a sorted array of
-keys and one of counts, written as files below spark.checkpoint.dir. From the
-merged bigrams follow, summed by word in Spark: how often a word is a context
-with how many continuations of count 1, 2, 3 and more, and how many different
-words a word follows.
-
-Model. With the discounts D1, D2, D3+ of the count-of-counts n1..n4,
-
-    p(w | v) = max(c(vw) - D(c(vw)), 0) / c(v.) + gamma(v) p1(w)
-    gamma(v) = (D1 N1(v.) + D2 N2(v.) + D3 N3+(v.)) / c(v.)
+"""Interpolated modified Kneser-Ney language model of any order from 2, counted in Spark.
+
+Counting. Each task packs the n-grams of its training texts (each text after
+order - 1 start tokens) into blocks, one for each shard of the key space: a
+bigram's 64-bit key is a mix of its words' hashes, a longer one's of its
+prefix's key and its last word. Bigrams are dealt by their own key, so a
+hot word's are spread over all shards, longer ones by their prefix, so all that
+follows one context meets. A shard's blocks are merged and written as a sorted
+array of keys and counts below spark.checkpoint.dir; from it follow the blocks
+of the next shorter n-grams: in how many n-grams each is the suffix (its
+continuation count, which takes the place of its count below the highest
+order), and as a context the sum of the counts that follow and how many are 1,
+2, 3 and more. Of contexts followed by one n-gram of count 1, all but those of
+a start token, nothing is kept: every known n-gram is such a context unless
+other figures are stored, but for those that end a text, which no token follows.
+
+Model. With the discounts D1, D2, D3+ of the count-of-counts n1..n4 of each
+order, h the words before w and h' those without the first,
+
+    p(w | h) = max(c(hw) - D(c(hw)), 0) / c(h.) + gamma(h) p(w | h')
+    gamma(h) = (D1 N1(h.) + D2 N2(h.) + D3 N3+(h.)) / c(h.)
     p1(w)    = max(N1+(.w) - E(N1+(.w)), 0) / N1+(..) + g0 / (V + 1)
 
-where E and g0 are the discounts and their mass for the continuation counts
-and V + 1 counts the distinct training tokens and one unknown token.
+with p(w | h) = p(w | h') for an unknown h, where E and g0 are the discounts
+and their mass for the words' continuation counts and V + 1 counts the distinct
+training tokens and one unknown token.
 
 Scoring. Workers memory-map the sorted arrays and look the tokens of whole
 texts up by binary search; nothing but the documents is shuffled or sent.
@@ -41,12 +48,12 @@ from courtside.llm.setsketch import WordHashes
 START, END = b"\x20s", b"\x20e"   # no word holds a blank
 #: Tokens a task gathers before it packs them (bounds a worker's memory).
 GATHER = 2_000_000
-#: Bytes of documents (as Spark's files have them) for each shard of bigrams.
+#: Bytes of documents (as Spark's files have them) for each shard of n-grams.
 SHARD_BYTES = 8 << 20
+#: Words of the registered model's longest n-grams.
+ORDER = 3
 
-_P, _Q = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F  # odd, so that products can be undone
-_Q_INV = pow(_Q, -1, 1 << 64)
-P, Q, Q_INV = np.uint64(_P), np.uint64(_Q), np.uint64(_Q_INV)
+P, Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd, so that products lose nothing
 S32 = np.uint64(32)
 
 
@@ -55,13 +62,6 @@ def pair_keys(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return (k ^ (k >> S32)) * Q
 
 
-def pair_words(keys: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """The second words of bigrams, from their keys and first words."""
-    k = keys * Q_INV
-    k = k ^ (k >> S32)
-    return k * Q_INV - v * P
-
-
 def tokens(text: str | None) -> list[bytes]:
     """Words in lower case (A-Z only), split at ASCII white space, and the end."""
     return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
@@ -72,122 +72,235 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> S32) * np.uint64(shards) >> S32).astype(np.int64)
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    raw = b"".join(x.tobytes() for x in arrays)
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+def gram_keys(words: list[np.ndarray]) -> np.ndarray:
+    """Keys of n-grams given as a column for each place; of single words their hashes."""
+    key = words[0]
+    for w in words[1:]:
+        key = pair_keys(key, w)
+    return key
+
+
+def gram_shards(prefix: np.ndarray, keys: np.ndarray, level: int, shards: int) -> np.ndarray:
+    return shard_of(keys if level == 2 else prefix, shards)
+
+
+def _starts(key: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
 
 
-def _blocks(v: np.ndarray, w: np.ndarray, shards: int):
-    """(shard, rows, packed columns) of the distinct bigrams of a run of tokens."""
-    keys = pair_keys(v, w)
+def _merge(words: list[np.ndarray], values: list[np.ndarray]):
+    """Sorted keys of the distinct n-grams, their words and the sums of their values."""
+    keys = gram_keys(words)
     order = np.argsort(keys, kind="stable")
-    keys, v = keys[order], v[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    counts = np.diff(np.append(first, len(keys))).astype(np.uint32)
-    keys, v = keys[first], v[first]
-    cut = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
-    for s in range(shards):
-        a, b = cut[s], cut[s + 1]
-        if b > a:
-            # by first word, whose hashes then pack to almost nothing; second words follow from keys
-            by_v = np.argsort(v[a:b], kind="stable")
-            first_words, second = v[a:b][by_v], pair_words(keys[a:b][by_v], v[a:b][by_v])
-            yield s, int(b - a), _pack(first_words, second, counts[a:b][by_v])
+    keys = keys[order]
+    first = _starts(keys)
+    at = order[first]
+    return keys[first], [w[at] for w in words], [
+        np.add.reduceat(v[order], first) if len(first) else v for v in values]
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones, ...: they pack better than whole values."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _unplanes(raw: bytes, kind: str, n: int, at: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel()
+
+
+def _pack(words: list[np.ndarray], values: list[np.ndarray]) -> tuple[int, int, str, bytes]:
+    """Rows, different words, types and packed columns of a block: the words as ids, in their order."""
+    known, ids = np.unique(np.concatenate(words), return_inverse=True)
+    ids = ids.astype(np.min_scalar_type(len(known))).reshape(len(words), -1)
+    order = np.lexsort(ids[::-1])
+    columns = [*[i[order] for i in ids], *[v[order].astype(np.min_scalar_type(int(v.max()))) for v in values]]
+    raw = known.tobytes() + b"".join(map(_planes, columns))
+    return (len(order), len(known), "".join(c.dtype.char for c in columns),
+            zstandard.ZstdCompressor(level=1).compress(raw))
+
 
+def _unpack(n: int, known: int, kinds: str, data: bytes, level: int):
+    """Words and values (of type int64) of a block."""
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    words, at, columns = np.frombuffer(raw, np.uint64, known), 8 * known, []
+    for kind in kinds:
+        columns.append(_unplanes(raw, kind, n, at))
+        at += n * np.dtype(kind).itemsize
+    return [words[c] for c in columns[:level]], [c.astype(np.int64) for c in columns[level:]]
 
-BLOCK = "shard int, n bigint, data binary"
+
+BLOCK = ("shard int, n bigint, known bigint, kinds string, data binary, "
+         "file string, level int, sizes array<bigint>")
 WORDS = "word bigint, count bigint, as_context bigint, n1 bigint, n2 bigint, n3 bigint, follows bigint"
+MERGED = WORDS + ", shard int, file string, level int, sizes array<bigint>"
+
+
+def _rows(schema: str, n: int, /, **columns) -> pa.RecordBatch:
+    """A batch of the columns of ``schema``; those not given are null."""
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(),
+             "array<bigint>": pa.list_(pa.int64())}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f], kinds[k]) if f in columns else pa.nulls(n, kinds[k]) for f, k in fields],
+        names=[f for f, _ in fields])
+
+
+def _blocks(words: list[np.ndarray], values: list[np.ndarray], shards: int) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of ``words`` and the sums of their values, a block for each shard."""
+    keys, words, values = _merge(words, values)
+    if not len(keys):
+        return
+    shard = gram_shards(gram_keys(words[:-1]), keys, len(words), shards)
+    order = np.argsort(shard, kind="stable")
+    cut = np.searchsorted(shard[order], np.arange(shards + 1))
+    found = []
+    for s in range(shards):
+        if cut[s + 1] > cut[s]:
+            own = order[cut[s]:cut[s + 1]]
+            found.append((s, *_pack([w[own] for w in words], [v[own] for v in values])))
+    yield _rows(BLOCK, len(found), **{c: [f[i] for f in found]
+                                      for i, c in enumerate(("shard", "n", "known", "kinds", "data"))})
 
 
-def bigram_blocks(texts: DataFrame, shards: int) -> DataFrame:
+def gram_blocks(texts: DataFrame, shards: int, order: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        start = hashes[START]
-        vs, ws, held = [], [], 0
+        start = np.uint64(hashes[START])
+        before = np.full(order - 1, start)
+        ws, held = [], 0
 
         def flush():
             nonlocal held
-            found = list(_blocks(np.concatenate(vs), np.concatenate(ws), shards))
-            vs.clear(), ws.clear()
+            run = np.concatenate(ws)
+            ws.clear()
             held = 0
-            return pa.RecordBatch.from_arrays(
-                [pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.int64()),
-                 pa.array([f[2] for f in found], pa.binary())], names=["shard", "n", "data"])
+            whole = np.flatnonzero(run[order - 1:] != start)
+            yield from _blocks([run[whole + i] for i in range(order)], [np.ones(len(whole), np.int64)], shards)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 for t in batch.column(0).slice(at, 256).to_pylist():
                     words = tokens(t)
-                    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-                    vs.append(np.concatenate([[np.uint64(start)], w[:-1]]))
-                    ws.append(w)
-                    held += len(w)
+                    ws += [before, np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))]
+                    held += len(words)
                     if held >= GATHER:
-                        yield flush()
+                        yield from flush()
         if held:
-            yield flush()
+            yield from flush()
 
     return texts.mapInArrow(run, BLOCK)
 
 
 def _sums(key: np.ndarray, *values: np.ndarray):
-    """Distinct keys and the sums of each of ``values`` by key."""
+    """Where each distinct key is and the sums of each of ``values`` by key."""
     order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return key[first], [np.add.reduceat(v[order], first) for v in values]
-
+    first = _starts(key[order])
+    return order[first], [np.add.reduceat(v[order], first) if len(first) else v for v in values]
+
+
+def _write_grams(folder: str, name: str, keys: np.ndarray, counts: np.ndarray, contexts: list[np.ndarray]) -> list[int]:
+    """Write a shard as `Grams` reads it: counts over 254 and contexts' figures apart from the rest."""
+    large = np.flatnonzero(counts >= 255)
+    stored = np.flatnonzero(contexts[0] > 0) if contexts else np.empty(0, np.int64)
+    figures = np.column_stack([c[stored] for c in contexts]) if contexts else np.empty((0, 4), np.int64)
+    figures = figures.astype(np.min_scalar_type(int(figures.max())) if figures.size else np.uint8)
+    store, path = filesystem(folder)
+    store.create_dir(path, recursive=True)
+    with store.open_output_stream(f"{path}/{name}") as out:
+        for x in (keys, large, counts[large], figures, stored.astype(np.uint32),
+                  np.minimum(counts, 255).astype(np.uint8)):
+            for at in range(0, len(x), 1 << 20):
+                out.write(x[at:at + (1 << 20)].tobytes())
+    return [len(keys), len(large), len(stored), figures.itemsize]
+
+
+class Grams:
+    """A memory-mapped shard of n-grams."""
+
+    def __init__(self, folder: str, name: str, sizes: list[int]):
+        raw, at = memory_map(folder, name, np.uint8), 0
+        n, large, stored, size = sizes[:4]
+
+        def part(kind, length):
+            nonlocal at
+            out = raw[at:at + np.dtype(kind).itemsize * length].view(kind)
+            at += out.nbytes
+            return out
+
+        self.keys, self.large, self.values = part(np.uint64, n), part(np.int64, large), part(np.int64, large)
+        self.figures = part(f"u{size}", 4 * stored).reshape(-1, 4)
+        self.stored, self.counts = part(np.uint32, stored), part(np.uint8, n)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of sorted keys, and as contexts their sum and numbers of counts 1, 2, 3 and more."""
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        hit = self.keys[at] == wanted
+        counts = np.where(hit, self.counts[at], 0).astype(np.int64)
+        large = np.flatnonzero(counts == 255)
+        if len(large):
+            counts[large] = self.values[np.searchsorted(self.large, at[large])]
+        contexts = hit[:, None] * np.array([1, 1, 0, 0])
+        if len(self.stored):
+            place = np.minimum(np.searchsorted(self.stored, at), len(self.stored) - 1)
+            own = np.flatnonzero(hit & (self.stored[place] == at))
+            contexts[own] = self.figures[place[own]]
+        return counts, contexts
+
+
+def merge_shards(blocks: DataFrame, folder: str, level: int, order: int, shards: int) -> DataFrame:
+    """Write each shard's sorted n-grams of ``level`` words; blocks of the n-grams one word shorter.
+
+    At level 2 rows of what follows for single words. Rows that name files go along.
+    """
+    out_schema = BLOCK if level > 2 else MERGED
 
-def merge_shards(blocks: DataFrame, folder: str) -> DataFrame:
-    """Write each shard's sorted keys and counts; rows of what follows for its words."""
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vs, ws, cs = [], [], []
+        shard, parts = key[0].as_py(), []
         for batch in batches:
-            for n, data in zip(batch.column("n").to_pylist(), batch.column("data").to_pylist()):
-                raw = zstandard.ZstdDecompressor().decompress(data)
-                vs.append(np.frombuffer(raw, np.uint64, n))
-                ws.append(np.frombuffer(raw, np.uint64, n, 8 * n))
-                cs.append(np.frombuffer(raw, np.uint32, n, 16 * n))
-        v, c = np.concatenate(vs), np.concatenate(cs).astype(np.int64)
-        k = pair_keys(v, np.concatenate(ws))
-        vs.clear(), ws.clear(), cs.clear()
-        order = np.argsort(k, kind="stable")
-        k, v, c = k[order], v[order], c[order]
-        first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-        c = np.add.reduceat(c, first)
-        k, v = k[first], v[first]
-        w = pair_words(k, v)
-        store, path = filesystem(folder)
-        store.create_dir(path, recursive=True)
-        name = f"pairs-{key[0].as_py()}-{uuid.uuid4().hex}"
-        for end, data in ((".keys", k), (".counts", np.minimum(c, 2 ** 32 - 1).astype(np.uint32))):
-            with store.open_output_stream(f"{path}/{name}{end}") as out:
-                for at in range(0, len(data), 1 << 20):
-                    out.write(data[at:at + (1 << 20)].tobytes())
-        one = np.ones(len(k), np.int64)
-        cv, (ctx, n1, n2, n3) = _sums(v, c, (c == 1).astype(np.int64), (c == 2).astype(np.int64),
-                                      (c >= 3).astype(np.int64))
-        cw, (cnt, fol) = _sums(w, c, one)
-        zero_v, zero_w = np.zeros(len(cv), np.int64), np.zeros(len(cw), np.int64)
+            for r in batch.to_pylist():
+                if r["file"] is not None:
+                    yield _rows(out_schema, 1, **{c: [r[c]] for c in ("shard", "file", "level", "sizes")})
+                else:
+                    parts.append(_unpack(r["n"], r["known"], r["kinds"], r["data"], level))
+        if not parts:
+            return
+        words = [np.concatenate([p[0][i] for p in parts]) for i in range(level)]
+        values = [np.concatenate([p[1][i] for p in parts]) for i in range(len(parts[0][1]))]
+        parts.clear()
+        keys, words, values = _merge(words, values)
+        # the highest order has counts only, the others continuation counts, counts and figures as contexts
+        c, raw, contexts = values[0], values[0 if level == order else 1], values[2:]
+        name = f"grams-{level}-{shard}-{uuid.uuid4().hex}"
+        sizes = _write_grams(folder, name, keys, c, contexts)
+        coc = [int((c == i).sum()) for i in (1, 2, 3, 4)]
+        yield _rows(out_schema, 1, shard=[shard], file=[name], level=[level], sizes=[[*sizes, *coc]])
+        del keys, values, contexts
+        seen = np.flatnonzero(c)  # the others are contexts only, of start tokens
+        words, c, raw = [w[seen] for w in words], c[seen], raw[seen]
+        one = np.ones(len(c), np.int64)
+        before, figures = _sums(gram_keys(words[:-1]), c, *[x.astype(np.int64) for x in (c == 1, c == 2, c >= 3)])
+        if level > 2:
+            told = (figures[0] > 1) | (words[0][before] == np.uint64(WordHashes()[START]))
+            before, figures = before[told], [f[told] for f in figures]
+            zero_c, zero_s = np.zeros(len(before), np.int64), np.zeros(len(c), np.int64)
+            yield from _blocks(
+                [np.concatenate([a, b[before]]) for a, b in zip(words[1:], words[:-1])],
+                [np.concatenate(x) for x in ((one, zero_c), (raw, zero_c), *[(zero_s, f) for f in figures])],
+                shards)
+            return
+        last, (count, follows) = _sums(words[1], raw, one)
+        zero_v, zero_w = np.zeros(len(before), np.int64), np.zeros(len(last), np.int64)
         columns = [np.concatenate(x) for x in (
-            (cv.view(np.int64), cw.view(np.int64)), (zero_v, cnt), (ctx, zero_w), (n1, zero_w),
-            (n2, zero_w), (n3, zero_w), (zero_v, fol))]
-        coc = np.array([(c == i).sum() for i in (1, 2, 3, 4)], np.int64)
+            (words[0][before].view(np.int64), words[1][last].view(np.int64)), (zero_v, count),
+            *[(f, zero_w) for f in figures], (zero_v, follows))]
+        names = [f.split()[0] for f in WORDS.split(", ")]
         for at in range(0, len(columns[0]), 200_000):
             part = [x[at:at + 200_000] for x in columns]
-            n = len(part[0])
-            yield pa.RecordBatch.from_arrays(
-                [*[pa.array(x) for x in part], pa.nulls(n, pa.string()), pa.nulls(n, pa.list_(pa.int64())),
-                 pa.array(np.full(n, key[0].as_py(), np.int32))], names=SHARD_NAMES)
-        yield pa.RecordBatch.from_arrays(
-            [*[pa.nulls(1, pa.int64())] * 7, pa.array([name]),
-             pa.array([[len(k), *coc.tolist()]], pa.list_(pa.int64())),
-             pa.array([key[0].as_py()], pa.int32())], names=SHARD_NAMES)
-
-    return blocks.groupBy("shard").applyInArrow(run, WORDS + ", file string, sizes array<bigint>, shard int")
+            yield _rows(out_schema, len(part[0]), **dict(zip(names, part)))
 
-
-SHARD_NAMES = [x.split()[0] for x in (WORDS + ", file string, sizes array<bigint>, shard int").split(", ")]
+    return blocks.groupBy("shard").applyInArrow(run, out_schema)
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -203,10 +316,11 @@ def discounts(n: list[int]) -> np.ndarray:
 @dataclass
 class Model:
     folder: str
-    pairs: list[tuple[str, int, int]]   # file, shard, length
+    order: int
+    grams: list[tuple[str, int, int, list[int]]]  # file, level, shard, sizes
     words: list[tuple[str, int, int]]   # file, shard, length
     shards: int
-    pair_discount: np.ndarray
+    gram_discounts: dict[int, np.ndarray]  # by level
     word_discount: np.ndarray
     train_tokens: int
     distinct: int
@@ -240,24 +354,30 @@ def write_words(words: DataFrame, folder: str, shards: int) -> DataFrame:
         run, "file string, shard int, n bigint")
 
 
-def train(texts: DataFrame, shards: int) -> Model:
+def train(texts: DataFrame, shards: int, order: int = 2) -> Model:
     """Count ``texts`` (one column) and write the model; the sizes and discounts come back."""
+    if order < 2:
+        raise ValueError(f"order {order}: the shortest n-grams are bigrams")
     spark = texts.sparkSession
     folder = shared_folder(spark, "ngrams")
-    out = written(merge_shards(bigram_blocks(texts, shards), folder), "ngram-shards")
-    files = out.where(F.col("file").isNotNull()).select("file", "shard", "sizes").collect()  # a row a shard
+    merged = gram_blocks(texts, shards, order)
+    for level in range(order, 1, -1):
+        merged = merge_shards(merged, folder, level, order, shards)
+    out = written(merged, "ngram-shards")
+    files = out.where(F.col("file").isNotNull()).select("file", "level", "shard", "sizes").collect()  # a row a file
     words = written(out.where(F.col("word").isNotNull()).groupBy("word").agg(
         *[F.sum(c).alias(c) for c in ("count", "as_context", "n1", "n2", "n3", "follows")]), "ngram-words")
     follow = F.col("follows")
     total = words.agg(F.sum("count"), F.count(F.when(F.col("count") > 0, 1)), F.sum("follows"),
                       *[F.count(F.when(follow == i, 1)) for i in (1, 2, 3, 4)],
                       F.count(F.when(follow >= 3, 1))).first()
-    pair_d = discounts([sum(f["sizes"][i] for f in files) for i in (1, 2, 3, 4)])
+    gram_d = {k: discounts([sum(f["sizes"][i] for f in files if f["level"] == k) for i in (4, 5, 6, 7)])
+              for k in range(2, order + 1)}
     word_d = discounts([total[3], total[4], total[5], total[6]])
     mass = word_d[1] * total[3] + word_d[2] * total[4] + word_d[3] * total[7]
     named = written(write_words(words, folder, shards), "ngram-files").collect()       # a row a file
-    return Model(folder, [(f["file"], f["shard"], f["sizes"][0]) for f in files],
-                 [(r["file"], r["shard"], r["n"]) for r in named], shards, pair_d, word_d, total[0] or 0,
+    return Model(folder, order, [(f["file"], f["level"], f["shard"], f["sizes"]) for f in files],
+                 [(r["file"], r["shard"], r["n"]) for r in named], shards, gram_d, word_d, total[0] or 0,
                  total[1] or 0, total[2] or 0, float(mass))
 
 
@@ -266,8 +386,7 @@ class Lookup:
 
     def __init__(self, model: Model):
         self.m = model
-        self.pairs = {s: (memory_map(model.folder, f + ".keys", np.uint64),
-                          memory_map(model.folder, f + ".counts", np.uint32)) for f, s, _ in model.pairs}
+        self.grams = {(k, s): Grams(model.folder, f, sizes) for f, k, s, sizes in model.grams}
         self.words = {s: (memory_map(model.folder, f + ".keys", np.uint64),
                           memory_map(model.folder, f + ".stats", np.int64).reshape(-1, 6))
                       for f, s, _ in model.words}
@@ -277,16 +396,18 @@ class Lookup:
         at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
         return at, keys[at] == wanted
 
-    def pair_counts(self, wanted: np.ndarray) -> np.ndarray:
-        """Counts of sorted distinct keys."""
-        out = np.zeros(len(wanted), np.int64)
-        cut = np.searchsorted(shard_of(wanted, self.m.shards), np.arange(self.m.shards + 1))
-        for s, (keys, counts) in self.pairs.items():
-            a, b = cut[s], cut[s + 1]
-            if b > a and len(keys):
-                at, hit = self._find(keys, wanted[a:b])
-                out[a:b] = np.where(hit, counts[at], 0)
-        return out
+    def gram_counts(self, level: int, prefix: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of n-grams and their figures as contexts, as `Grams.find` gives them."""
+        keys, at, place = np.unique(keys, return_index=True, return_inverse=True)
+        shard = gram_shards(prefix[at], keys, level, self.m.shards)
+        order = np.argsort(shard, kind="stable")
+        cut = np.searchsorted(shard[order], np.arange(self.m.shards + 1))
+        counts, contexts = np.zeros(len(keys), np.int64), np.zeros((len(keys), 4), np.int64)
+        for s in np.unique(shard).tolist():
+            if grams := self.grams.get((level, s)):
+                own = order[cut[s]:cut[s + 1]]
+                counts[own], contexts[own] = grams.find(keys[own])
+        return counts[place], contexts[place]
 
     def word_stats(self, wanted: np.ndarray) -> np.ndarray:
         """count, as_context, n1, n2, n3, follows of sorted distinct words."""
@@ -305,22 +426,27 @@ class Lookup:
         sizes = np.array([len(s) for s in split])
         w = np.fromiter((hashes[x] for s in split for x in s), np.uint64, int(sizes.sum()))
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        v = np.concatenate([w[:1], w[:-1]])
-        v[first] = hashes[START]
-        both, place = np.unique(np.concatenate([w, v]), return_inverse=True)
+        m = self.m
+        inside = np.arange(len(w)) - np.repeat(first, sizes)  # a token's place in its text
+        back = [w]  # the words 0, 1, ... before each token
+        for i in range(1, m.order):
+            back.append(np.where(inside < i, np.uint64(hashes[START]), np.roll(w, i)))
+        both, place = np.unique(np.concatenate(back[:2]), return_inverse=True)
         stats = self.word_stats(both)
         pw, pv = place[:len(w)], place[len(w):]
-        keys, pk = np.unique(pair_keys(v, w), return_inverse=True)
-        c = self.pair_counts(keys)[pk]
-        m = self.m
         count, follow = stats[pw, 0], stats[pw, 5]
         vocabulary = m.distinct + 1
-        low = (np.maximum(follow - m.word_discount[np.minimum(follow, 3)], 0) / max(1, m.follow_total)
-               + (m.word_mass / m.follow_total if m.follow_total else 1.0) / vocabulary)
-        ctx = stats[pv, 1]
-        d = m.pair_discount
-        gamma = (d[1] * stats[pv, 2] + d[2] * stats[pv, 3] + d[3] * stats[pv, 4]) / np.maximum(ctx, 1)
-        p = np.where(ctx > 0, np.maximum(c - d[np.minimum(c, 3)], 0) / np.maximum(ctx, 1) + gamma * low, low)
+        p = (np.maximum(follow - m.word_discount[np.minimum(follow, 3)], 0) / max(1, m.follow_total)
+             + (m.word_mass / m.follow_total if m.follow_total else 1.0) / vocabulary)
+        contexts = stats[pv, 1:5]
+        for level in range(2, m.order + 1):
+            prefix = gram_keys(back[level - 1:0:-1])
+            if level > 2:
+                contexts = self.gram_counts(level - 1, gram_keys(back[level - 1:1:-1]), prefix)[1]
+            c = self.gram_counts(level, prefix, pair_keys(prefix, w))[0]
+            d, total = m.gram_discounts[level], np.maximum(contexts[:, 0], 1)
+            p = np.where(contexts[:, 0] > 0, np.maximum(c - d[np.minimum(c, 3)], 0) / total
+                         + contexts[:, 1:] @ d[1:] / total * p, p)
         base = np.log10((count + 1) / (m.train_tokens + vocabulary))
         return (sizes, np.add.reduceat((count > 0).astype(np.int64), first),
                 np.add.reduceat(base, first), np.add.reduceat(np.log10(p), first))
@@ -362,14 +488,14 @@ def held_out(doc_id):
 
 
 def shard_count(docs: DataFrame) -> int:
-    """Shards in proportion to the texts' bytes, so that one shard's bigrams fit a task."""
+    """Shards in proportion to the texts' bytes, so that one shard's n-grams fit a task."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return max(4, -(-size // SHARD_BYTES))
 
 
 def op8_kneser_ney(spark, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    model = train(docs.where(~held_out(F.col("doc_id"))).select("text"), shard_count(docs))
+    model = train(docs.where(~held_out(F.col("doc_id"))).select("text"), shard_count(docs), ORDER)
     return score_documents(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.train_tokens).cast("bigint").alias("train_tokens"), "base_score", "score",

@@ -346,6 +346,61 @@ def test_kneser_ney(spark, docs, none):
     assert kneser_ney.score_documents(docs, untrained).count() == len(TEXTS)
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
+@pytest.mark.parametrize("texts", [
+    ["a b a b c", "a b b", None, "", "c a B", "a b", "b a b a b c a b a", "a b c a b b"] + ["the end"] * 300,
+    ["a"], [""], ["a b c"]])
+def test_kneser_ney_order(spark, docs, none, order, texts):
+    model = kneser_ney.train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), 4, order)
+    start = (kneser_ney.START,) * (order - 1)
+    seen = [kneser_ney.tokens(t) for t in texts]
+    vocabulary = sorted({w for s in seen for w in s})
+    counts = {order: {}}
+    for s in seen:
+        for i in range(len(s)):
+            gram = (*start, *s)[i:i + order]
+            counts[order][gram] = counts[order].get(gram, 0) + 1
+    for k in range(order - 1, 0, -1):  # in how many different n-grams each is the suffix
+        counts[k] = {}
+        for gram in counts[k + 1]:
+            counts[k][gram[1:]] = counts[k].get(gram[1:], 0) + 1
+    discounts, after = {}, {}
+    for k, found in counts.items():
+        discounts[k] = kneser_ney.discounts([sum(c == i for c in found.values()) for i in (1, 2, 3, 4)])
+        for gram, c in found.items():
+            after.setdefault(gram[:-1], []).append(c)
+
+    def p(h, w):
+        k = len(h) + 1
+        if h not in after:
+            return p(h[1:], w)
+        c, d, total = counts[k].get((*h, w), 0), discounts[k], sum(after[h])
+        below = p(h[1:], w) if h else 1 / (len(vocabulary) + 1)
+        return max(c - d[min(c, 3)], 0) / total + sum(d[min(x, 3)] for x in after[h]) / total * below
+
+    def histories(s):
+        return [(*start, *s)[i:i + order - 1] for i in range(len(s))]
+    for h in {h for s in seen for h in histories(s)} | {(b"zz",) * (order - 1)}:
+        assert math.isclose(sum(p(h, w) for w in vocabulary) + p(h, b"unseen"), 1.0, abs_tol=1e-9)
+    asked = [*texts, "a b zz a b c a b", "b b b a", "zz zz", "the the end end"]
+    rows = kneser_ney.score_documents(spark.createDataFrame(list(enumerate(asked)), "doc_id bigint, text string"),
+                                      model).collect()
+    assert len(rows) == len(asked)
+    for r in rows:
+        s = kneser_ney.tokens(asked[r.doc_id])
+        assert math.isclose(r.score, sum(math.log10(p(h, w)) for h, w in zip(histories(s), s)), rel_tol=1e-9)
+    assert kneser_ney.score_documents(docs, kneser_ney.train(none.select("text"), 4, order)).count() == len(TEXTS)
+
+
+def test_kneser_ney_registered_order(spark):
+    got = {r.doc_id: r.score for r in QUERIES["op8_kneser_ney"](spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    train = docs.where(~kneser_ney.held_out(docs.doc_id)).select("text")
+    assert kneser_ney.ORDER >= 3
+    want = kneser_ney.score_documents(docs, kneser_ney.train(train, 5, kneser_ney.ORDER)).collect()
+    assert len(got) == len(want) and all(math.isclose(got[r.doc_id], r.score, rel_tol=1e-9) for r in want)
+
+
 def test_token_counts(docs, none):
     count = token_counts.Counter(token_counts.load_ranks())
     r = random.Random(1)
