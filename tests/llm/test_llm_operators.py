@@ -439,6 +439,37 @@ def test_licences(spark, docs, none):
     assert licences.scan(df, known.where("1 = 0")).where("licence IS NOT NULL").count() == 0
 
 
+def test_licence_notices(spark, none):
+    mit, known = licences.KNOWN["MIT"], licences.known_licences(spark)
+    with open(f"{licences.TEXTS_DIR}/Apache-2.0.txt", encoding="utf-8") as f:
+        apache = f.read()
+    want = {
+        1: ("Some prose.\nReleased under the MIT License.", None, ["notice:MIT"]),
+        2: ("// Licensed under the\r\n// Apache License, Version 2.0\r\n//\r\n// prose", None, ["notice:Apache-2.0"]),
+        3: ("one\nThis work is licensed under the GNU General Public License, version 3.\n\nLicence: CC-BY-NC 4.0\ntwo",
+            None, ["notice:CC-BY-NC-4.0", "notice:GPL-3.0"]),
+        4: ("prose before\n\n" + mit + "\n\nprose after", None, ["part:MIT"]),
+        5: (apache, "Apache-2.0", ["part:Apache-2.0"]), 6: (mit.partition("\n\n")[2], "MIT", ["part:MIT"]),
+        7: ("the permission to speak of a license", None, []), 8: (None, None, []), 9: ("", None, []),
+        10: ("Not released under the MIT License.", None, []),
+    }
+    rows = [(i, t) for i, (t, _, _) in want.items()] + [(1, want[1][0])]
+    got = licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), known).collect()
+    assert len(got) == len(rows)
+    assert all((r.licence, r.notices) == want[r.doc_id][1:] for r in got)
+    own = spark.createDataFrame([("mine", "Free for all."), ("mine", "Other\n\nFree for all, says the permission " + "x" * 60)],
+                                "licence string, text string")
+    found = licences.scan(spark.createDataFrame([(1, "a\nfree for all\nb")], "doc_id bigint, text string"), own)
+    assert [r.notices for r in found.collect()] == [["mine"]]
+    given = {r.doc_id: r.notices for r in QUERIES["op7_licence_scan"](spark, SF).collect()}
+    lines = {"Licensed under the Apache License, Version 2.0.", "Licensed under CC BY-NC 4.0.",
+             "Released under the MIT License.",
+             "This work is licensed under the GNU General Public License, version 3."}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    has = {r.doc_id for r in docs if lines & set((r.text or "").split("\n"))}
+    assert has and {i for i, n in given.items() if n} == has
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, name):
     import duckdb
