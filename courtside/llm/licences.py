@@ -124,7 +124,15 @@ ANCHORS = ("licens", "released", "distribut", "available", "published", "permiss
 #: A paragraph of a licence of so many characters (canonical) tells it, if no other known licence has it.
 PART_CHARS = 60
 
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\s*(?:\(c\)|©|\d{4}|<)|\(c\)\s|©|all rights reserved)[^\n]*$"
+# Fixed value: words after `copyright` where a line of a licence's own text begins with it, not a name.
+_NO_NAME = ("notices?|holders?|owners?|ownership|licen[sc]\\w*|and|or|disclaimers?|interests?|laws?|on|in|treat\\w+|"
+            "statements?|permissions?|of|if|is|are|was|as|to|for|at|that|which|with|doctrines?|protect\\w+|claims?|acts?|"
+            "rights?|infring\\w+|status|terms|information|file|the\\s+(?:software|library|program|work|package)")
+#: Lines that name who holds the copyright: `copyright` before a sign, a year or a name, a bare (c) before a year only.
+COPYRIGHT_LINE = (
+    r"(?m)^[^\p{L}\p{N}©\n]*(?:(?:portions\s+)?copyright(?:[ \t]*[:,]?[ \t]*(?:\(c\)|©|[<\[{]|\d{4})"
+    r"|[ \t]*:?[ \t]+(?!(?:" + _NO_NAME + r")\b)[\p{L}\p{N}])"
+    r"|\(c\)[ \t]*(?:copyright[ \t]*)?\d{4}|©|all rights reserved)[^\n]*$")
 
 
 def canonical(text: Column) -> Column:

@@ -470,6 +470,34 @@ def test_licence_notices(spark, none):
     assert has and {i for i, n in given.items() if n} == has
 
 
+def test_licence_copyright_lines(spark):
+    import textwrap
+
+    isc = licences.KNOWN["ISC"]
+    lines = ["Copyright (c) 2001 Somebody", "Copyright Jane Doe 2020", "Copyright Jane Doe", "Copyright The X Authors",
+             "Portions Copyright (c) 1999 Somebody", "portions copyright Jane Doe", "COPYRIGHT 2020, JANE DOE",
+             " * Copyright: Jane Doe", "(c) 2020 Jane Doe", "© Jane Doe", "Copyright <year> <owner>"]
+    copies = {("ISC", line): line + "\n\n" + isc for line in lines}
+    for name in ("Apache-2.0", "MPL-2.0", "CC0-1.0"):
+        with open(f"{licences.TEXTS_DIR}/{name}.txt", encoding="utf-8") as f:
+            text = f.read()
+        for width in (*range(30, 90, 7), 10 ** 6):
+            copies[name, width] = "\n\n".join(
+                p if p.lstrip().startswith("Copyright [")
+                else textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in text.split("\n\n"))
+    copies["MIT", 0] = licences.KNOWN["MIT"].replace("the above copyright", "the above\ncopyright").replace(
+        "OR COPYRIGHT HOLDERS", "OR\nCOPYRIGHT HOLDERS")
+    names = list(copies)
+    known = spark.createDataFrame(
+        [(n, t) for n, several in licences.known_texts().items() for t in several], "licence string, text string")
+    df = spark.createDataFrame([(i, copies[k]) for i, k in enumerate(names)], "doc_id bigint, text string")
+    got = {names[r.doc_id]: r.licence for r in licences.scan(df, known).collect()}
+    assert {k for k in names if got[k] != k[0]} == set()
+    items = "the following:\n(c) You must keep all notices\nand more"
+    kept = spark.createDataFrame([(items,)], "text string").select(licences.canonical(licences.F.col("text"))).first()[0]
+    assert kept == "the following c you must keep all notices and more"
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, name):
     import duckdb
