@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from courtside.llm import (decontaminate, exact_dedup, kneser_ney, licences, setsketch, sharding,
+from courtside.llm import (bpe, decontaminate, exact_dedup, kneser_ney, licences, setsketch, sharding,
                            token_counts, toxicity, unigram, warc)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_kneser_ney": kneser_ney.op8_kneser_ney,
     "op9_minhash_neardup": setsketch.op9_minhash_neardup,
     "op10_sharding": sharding.op10_sharding,
+    "op13_byte_bpe": bpe.op13_byte_bpe,
 }
 
 SQL = {
