@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from courtside.llm import (bpe, decontaminate, exact_dedup, kneser_ney, licences, setsketch, sharding,
-                           token_counts, toxicity, unigram, warc)
+from courtside.llm import (bpe, decontaminate, exact_dedup, kneser_ney, licences, repair, setsketch,
+                           sharding, token_counts, toxicity, unigram, warc, whitening)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_kneser_ney": kneser_ney.op8_kneser_ney,
     "op9_minhash_neardup": setsketch.op9_minhash_neardup,
     "op10_sharding": sharding.op10_sharding,
+    "op11_conversation_repair": repair.op11_conversation_repair,
+    "op12_whitening": whitening.op12_whitening,
     "op13_byte_bpe": bpe.op13_byte_bpe,
 }
 
@@ -24,4 +26,5 @@ SQL = {
     "op3_exact_dedup": exact_dedup.SQL,
     "op6_warc": warc.SQL,
     "op9_minhash_neardup": setsketch.SQL,
+    "op11_conversation_repair": repair.SQL,
 }
