@@ -332,8 +332,8 @@ summed AS (SELECT named.*, xor(4294967295, list_reduce(list_prepend(4294967295,
 rows_left AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
   CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
   unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy FROM summed WHERE fault <> 0),
-placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
-  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS seen,
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
   rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ending FROM rows_left),
 judged AS (SELECT *, CASE WHEN ending = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
   WHEN right(ending, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault, substr(role, 1, 1) AS initial FROM placed),
