@@ -1,8 +1,9 @@
 """Command line: ``python -m courtside <command>`` (or via spark-submit).
 
   pipeline  LANDING OUT     latest CSV snapshots -> raw -> marts -> checks -> exports
-  ingest    PAGES TABLE CKPT  landed API pages -> raw games table (stream, availableNow)
-  report    NAME OUT         an export, dashboard aggregate or metric over a run's marts
+  ingest    PAGES TABLE CKPT  landed API pages -> raw games table (stream, availableNow);
+                            --current games|teams|player_stats: the latest landing of each key
+  report    NAME OUT        an export, dashboard aggregate or metric over a run's marts
   bench     [SF_DIR]         the benchmark (same as bench.py)
 
 The session comes from the environment (spark-submit / spark-defaults); only
@@ -36,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("landing")
     p.add_argument("out")
     p.add_argument("--aliases", default=None, help="alias seed CSV")
-    p.add_argument("--layout", choices=("snapshots", "flat", "pages", "table"), default="snapshots",
+    p.add_argument("--layout", choices=("snapshots", "flat", "pages", "table", "state"), default="snapshots",
                    help="snapshot folders with a pointer, or timestamped <name>_<stamp>.csv files")
     p.add_argument("--report-only", action="store_true",
                    help="report failing checks instead of stopping before export")
@@ -44,11 +45,16 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("pages")
     i.add_argument("table")
     i.add_argument("checkpoint")
+    i.add_argument("--current", choices=("games", "teams", "player_stats"), default=None,
+                   help="keep the latest landing of each key of this input, not every landing of games")
     r = sub.add_parser("report")
     r.add_argument("name", help="export, dashboard aggregate or metric name")
     r.add_argument("out", help="a pipeline output folder")
     r.add_argument("--grain", default=None, help="metric time grain")
     r.add_argument("--as-of", default=None, help="'today' for date windows (YYYY-MM-DD)")
+    r.add_argument("--teams", nargs="*", default=None, help="team names to keep")
+    r.add_argument("--seasons", nargs="*", type=int, default=None, help="seasons to keep")
+    r.add_argument("--conference", default="All")
     r.add_argument("--rows", type=int, default=20, help="rows to print")
     b = sub.add_parser("bench")
     b.add_argument("sf_dir", nargs="?", default=None)
@@ -67,17 +73,21 @@ def main(argv: list[str] | None = None) -> int:
         from courtside.plans.pipeline import run_pipeline
         res = run_pipeline(spark, args.landing, args.out, aliases_path=args.aliases,
                            fail_on=() if args.report_only else "all", layout=args.layout)
-        print(json.dumps({"row_counts": res.row_counts, "checks": res.checks,
-                          "exports": res.exports, "paths": res.paths}))
+        print(json.dumps({"row_counts": res.row_counts, "checks": res.checks, "exports": res.exports,
+                          "failed_exports": res.failed_exports, "rejected": res.rejected,
+                          "profile": res.profile, "paths": res.paths}, default=str))
+        return 1 if res.failed_exports else 0
     elif args.cmd == "report":
         from courtside.plans.pipeline import report
         import datetime as dt
         as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
-        report(spark, args.out, args.name, as_of=as_of, grain=args.grain).show(
-            args.rows, truncate=False)
+        report(spark, args.out, args.name, as_of=as_of, grain=args.grain, teams=args.teams,
+               seasons=args.seasons, conference=args.conference).show(args.rows, truncate=False)
     elif args.cmd == "ingest":
         from courtside.streaming.landing import ingest_game_pages
-        q = ingest_game_pages(spark, args.pages, args.table, args.checkpoint)
+        from courtside.streaming.state import ingest_current
+        q = (ingest_current(spark, args.pages, args.table, args.checkpoint, args.current) if args.current else
+             ingest_game_pages(spark, args.pages, args.table, args.checkpoint))
         q.awaitTermination()
         print(json.dumps({"batches": len(q.recentProgress)}))
     return 0

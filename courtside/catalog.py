@@ -31,6 +31,7 @@ from courtside.sources import csv_tables as CSV
 from courtside.sources import snapshots as SN
 from courtside.sources.fixture import inline_rows
 from courtside.streaming import landing as ST
+from courtside.streaming import state as ST_STATE
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,7 +155,7 @@ FROM fct_games f JOIN dim_teams d USING (team_id)
 WHERE f.game_date >= DATE '{O.TREND_START}'""")
 def q_elo_trends(w):
     fct, dim, n = _marts(w)
-    return exports.elo_trends(fct, dim, w.params.as_of, n)
+    return exports.elo_trends(fct, dim, w.params.as_of, n, dates=w.season_dates())
 
 
 @register("point_diff_by_season", """
@@ -226,7 +227,7 @@ def q_dq_unique_team_id_dim(w):
 SELECT game_team_id, COUNT(*) AS n_records FROM fct_games WHERE game_team_id IS NOT NULL
 GROUP BY game_team_id HAVING COUNT(*) > 1""")
 def q_dq_unique_game_team_id(w):
-    return Q.duplicate_keys(w.table("fct_games"), "game_team_id")
+    return Q.duplicate_text_keys(w.table("fct_games"), "game_team_id")
 
 
 def _accepted_sql() -> str:
@@ -277,7 +278,7 @@ GROUP BY game_id HAVING abs(sum(elo_change)) > {C.RATING_ZERO_SUM_TOLERANCE}""")
 def q_dq_rating_zero_sum(w):
     """On placeholder ratings, where a tie gives both teams the losing rating."""
     return C.rating_changes_sum_to_zero(
-        warehouse_for(w.spark, w.sf_dir, PLACEHOLDER).fct_games())
+        warehouse_for(w.spark, w.sf_dir, PLACEHOLDER).table("fct_games"))
 
 
 @register("dq_one_winner", """
@@ -291,7 +292,7 @@ def q_dq_one_winner(w):
 SELECT * FROM fct_games
 WHERE (win_flag = 1 AND score_diff <= 0) OR (win_flag = 0 AND score_diff >= 0)""")
 def q_dq_scores_match_outcome(w):
-    return C.scores_match_outcome(w.table("fct_games"))
+    return C.scores_match_outcome(w.table("fct_games")).select(*S.FCT_GAMES_COLUMNS)
 
 
 @register("dq_null_scores", """
@@ -334,24 +335,13 @@ def q_dq_primary_key(w):
 # ---- metrics ------------------------------------------------------------------
 
 
-_METRIC_SQL = {
-    "win_rate": ("CAST(SUM(win_flag) AS DOUBLE) * 100.0 / COUNT(*)", "score_for IS NOT NULL"),
-    "avg_point_diff": ("AVG(score_diff)", None),
-    "elo_change_season": ("SUM(elo_change)", None),
-    "upset_rate": ("CAST(SUM(CASE WHEN performance_vs_expectation IN ('Major Upset', "
-                   "'Minor Upset') THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / COUNT(*)", None),
-    "home_advantage": (
-        "CAST(SUM(CASE WHEN game_location = 'HOME' THEN win_flag ELSE 0 END) AS DOUBLE) * 100.0 / "
-        "NULLIF(SUM(CASE WHEN game_location = 'HOME' THEN 1 ELSE 0 END), 0) - "
-        "CAST(SUM(CASE WHEN game_location = 'AWAY' THEN win_flag ELSE 0 END) AS DOUBLE) * 100.0 / "
-        "NULLIF(SUM(CASE WHEN game_location = 'AWAY' THEN 1 ELSE 0 END), 0)",
-        "adjusted_game_location <> 'NEUTRAL'"),
-}
-
-
 def _metric_sql(name: str, grain: str) -> str:
     spec = M.METRICS[name]
-    expr, where = _METRIC_SQL[name]
+    call = {"average": "AVG({})", "sum": "SUM({})", "derived": "{}"}[spec.calculation_method]
+    expr = call.format(spec.expression.replace("100.0", "CAST(100.0 AS DOUBLE)"))
+    # the fact of this SQL labels neutral games and has no flag of its own
+    known = {"is_not_null": "{} IS NOT NULL", "=": "CASE adjusted_game_location WHEN 'NEUTRAL' THEN 1 ELSE 0 END = 0"}
+    where = " AND ".join(known[f.operator].format(f.field) for f in spec.filters)
     dims = ", ".join(spec.dimensions)
     return (f"SELECT CAST(date_trunc('{grain}', game_date) AS DATE) AS period_start, {dims}, "
             f"{expr} AS {name} FROM fct_games {'WHERE ' + where if where else ''} "
@@ -398,8 +388,8 @@ SELECT team_name, game_location AS location, CAST(SUM(win_flag) AS BIGINT) AS wi
 FROM games_df GROUP BY team_name, game_location"""
 
 
-#: Seasons of the test tables' orders (1995-01-01 to 2001-08-01); any other is an error.
-SEASONS = tuple(range(1994, 2002))
+#: Seasons of the test tables' completed games (1995-01-01 to 2001-08-01), for the SQL.
+SEASONS = tuple(range(1994, 2001))
 
 
 def _games(w):
@@ -510,7 +500,9 @@ def q_season_rating_change_as_written(w):
     f'MAX(total_change) FILTER (WHERE season = {s}) AS "{s}"' for s in SEASONS)
     + " FROM rating_change_df GROUP BY team_name")
 def q_season_rating_pivot(w):
-    return D.season_rating_pivot(D.season_rating_change(_games(w)), SEASONS)
+    """A column for each season that the written fact has a folder of."""
+    seasons = sorted(s for s, _ in w.season_dates() if s is not None)
+    return D.season_rating_pivot(D.season_rating_change(_games(w)), seasons)
 
 
 @register("point_diff_stats", """
@@ -599,8 +591,7 @@ def _range_bounds(w):
 
 
 def _games_in_range(w) -> DataFrame:
-    start, end = _range_bounds(w)
-    return w.raw_games().filter(F.col("date").between(F.lit(start), F.lit(end)))
+    return w.raw_games(*_range_bounds(w))
 
 
 def _landing_csv(w) -> str:
@@ -846,6 +837,59 @@ def q_api_games_stream(w):
     return ST.read_ingested(w.spark, w.once("stream_games", make))
 
 
+def _landings(w, name: str, first: Callable[[], DataFrame], second: Callable[[], DataFrame]) -> str:
+    """The keyed table of an input after two overlapping landings, each streamed on its own."""
+    def make():
+        pages, table, mark = (scratch_path(w.spark, f"{kind}-{name}") for kind in ("landings", "current", "mark"))
+        for items in (first, second):
+            AP.pack_pages(items()).write.mode("append").text(pages)
+            ST_STATE.ingest_current(w.spark, pages, table, mark, name).awaitTermination()
+        return table
+    return w.once(f"current_{name}", make)
+
+
+@register("api_games_current", "SELECT * FROM raw_games")
+def q_api_games_current(w):
+    """Games of the last window landed without scores, then the whole window again with them."""
+    start, end = _range_bounds(w)
+    recent = F.col("date").between(F.lit(start), F.lit(end))
+
+    def scheduled():
+        g = w.raw_games()
+        open_ = {c: F.when(recent, F.lit(None).cast("int")).otherwise(F.col(c))
+                 for c in ("home_team_score", "visitor_team_score")}
+        return AP.game_items(g.withColumns(open_ | {"status": F.when(recent, "Scheduled").otherwise(F.col("status"))}))
+
+    table = _landings(w, "games", scheduled, lambda: AP.game_items(w.raw_games(start, end)))
+    return ST_STATE.current(w.spark, table, "games")
+
+
+@register("api_teams_current", "SELECT * FROM flat_teams")
+def q_api_teams_current(w):
+    """All teams landed without their division, then again with it."""
+    item = F.col("item")
+    table = _landings(w, "teams", lambda: _team_rows(w).withColumn("item", item.withField("division", F.lit("?"))),
+                      lambda: _team_rows(w))
+    return ST_STATE.current(w.spark, table, "teams")
+
+
+@register("api_players_current", "SELECT * FROM player_seasons")
+def q_api_players_current(w):
+    """All player seasons, the last one unfinished; then the last one again, finished."""
+    rows = lambda: _player_rows(w)
+    last = lambda: rows().agg(F.max("season")).scalar()
+    items = lambda df: df.select(F.struct("player_id", "season").alias("key"),
+                                 F.struct(*S.API_PLAYER_STAT.fieldNames()).alias("item"))
+
+    def unfinished():
+        late = F.col("season") == last()
+        return items(rows().withColumn("games_played", F.when(late, F.col("games_played") - 1)
+                                       .otherwise(F.col("games_played")).cast("int")))
+
+    table = _landings(w, "player_stats", unfinished, lambda: items(rows().where(F.col("season") == last())))
+    return ST_STATE.current(w.spark, table, "player_stats")
+
+
 @register("export_listing", f"""
 SELECT * FROM (VALUES
     ('team_win_rates', '20010801_030000', (SELECT COUNT(*) FROM win_rates_export)),

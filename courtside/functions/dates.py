@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,6 +36,20 @@ def years_before(as_of, years: int) -> Column:
     return F.add_months(F.to_date(col_of(as_of)), -12 * years)
 
 
+def years_before_day(day: dt.date, years: int) -> dt.date:
+    """:func:`years_before` of a known day."""
+    first = day.replace(year=day.year - years, day=1)
+    return next(first.replace(day=d) for d in range(day.day, 0, -1) if _is_day(first, d))
+
+
+def _is_day(month: dt.date, day: int) -> bool:
+    try:
+        month.replace(day=day)
+    except ValueError:
+        return False
+    return True
+
+
 def game_id_date_part(d) -> Column:
     """``REPLACE(CAST(date AS VARCHAR), '-', '')`` - the date part of a staged game id."""
     return F.replace(col_of(d).cast("string"), F.lit("-"), F.lit(""))

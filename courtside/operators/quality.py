@@ -6,12 +6,13 @@ aggregation pass per table, however many columns are checked.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtside.operators.joins import lookup_join
+from courtside.sources.tables import write_and_read
 
 
 def null_counts(df: DataFrame, columns: Sequence[str], model: str) -> DataFrame:
@@ -45,6 +46,21 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, count_col: str = "n
             .filter(F.col(count_col) > 1))
 
 
+def duplicate_text_keys(df: DataFrame, key: str, count_col: str = "n_records",
+                        digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """:func:`duplicate_keys` of a long text key, by refinement.
+
+    Rows are counted by an 8-byte hash of the key first, so that is all the
+    shuffle carries. Only rows whose hash occurs twice (repeated keys and colliding
+    ones) are counted by the key itself; these hashes are written, so the planner knows
+    how few they are.
+    """
+    keyed = df.filter(F.col(key).isNotNull()).select(F.col(key), digest(F.col(key)).alias("__hash"))
+    twice = write_and_read(keyed.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+                           .select("__hash"), "quality/hashes").df
+    return duplicate_keys(keyed.join(twice, "__hash", "left_semi"), key, count_col)
+
+
 def accepted_values(df: DataFrame, column: str, accepted: Iterable, model: str) -> DataFrame:
     """Value profile of one column: (model, column_name, value, row_count, is_accepted)."""
     return accepted_values_many(df, [(column, accepted)], model)

@@ -124,7 +124,7 @@ def season_rating_change_as_written(games: DataFrame) -> DataFrame:
 
 
 def season_rating_pivot(changes: DataFrame, seasons: Sequence[int]) -> DataFrame:
-    """Team x season grid of the total change; a season outside ``seasons`` is an error."""
+    """Team x season grid of the total change; a season outside ``seasons`` (a null one too) is an error."""
     known = F.when(F.col("season").isin(list(seasons)), F.col("season")).otherwise(
         F.raise_error(F.concat(F.lit("season without a column: "),
                                F.coalesce(F.col("season").cast("string"), F.lit("NULL")))).cast("int"))

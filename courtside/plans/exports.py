@@ -1,7 +1,7 @@
 """The exported reports: win rates, rating trends, point differential, summary.
 
 All of them join the fact to the team dimension; the dimension is
-broadcast only when its recorded row count is under the bound.
+broadcast when its bytes are below the session's threshold.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from courtside.functions import dates as FD
 from courtside.functions.dates import years_before
 from courtside.operators.histogram import histogram, histogram_mean, histogram_stddev
 from courtside.operators.joins import lookup_join
@@ -35,13 +36,28 @@ def team_win_rates(fct: DataFrame, dim: DataFrame, dim_rows: int | None = None)
         .orderBy(F.desc("season"), F.desc("win_rate")))
 
 
+def season_dates(fct: DataFrame) -> list[tuple]:
+    """(season, last game date) of each season of the fact: a row a season."""
+    return [(r.season, r.latest) for r in fct.groupBy("season").agg(F.max("game_date").alias("latest")).collect()]
+
+
+def in_seasons_since(fct: DataFrame, start: dt.date, dates: list[tuple]) -> DataFrame:
+    """``fct`` without the seasons whose last game was before ``start``: a partition filter."""
+    late = [s for s, latest in dates if latest is not None and latest >= start]
+    known = F.col("season").isin([s for s in late if s is not None])
+    return fct.filter(known | F.col("season").isNull() if None in late else known)
+
+
 def elo_trends(fct: DataFrame, dim: DataFrame, as_of: dt.date, dim_rows: int | None = None,
-               years: int = 2) -> DataFrame:
+               years: int = 2, dates: list[tuple] | None = None) -> DataFrame:
     """Per team and game, the running rating change since the window start.
 
     The date filter runs before the window, as in the reference (moving it
-    after would change every running total).
+    after would change every running total). With ``dates`` (`season_dates`) only
+    seasons that reach into the window are opened.
     """
+    if dates is not None:
+        fct = in_seasons_since(fct, FD.years_before_day(as_of, years), dates)
     f = fct.select("team_id", "game_date", "season", "elo_pre", "elo_post", "elo_change") \
         .filter(F.col("game_date") >= years_before(F.lit(as_of), years))
     j = with_team(f, dim, dim_rows).drop("team_id")

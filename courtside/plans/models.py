@@ -265,8 +265,8 @@ def dim_teams_as_written(teams: DataFrame, performance: DataFrame, eastern,
     ).select(*DIM_TEAMS_COLUMNS)
 
 
-def fct_games(games: DataFrame, resolved: DataFrame, alias_rows: int) -> DataFrame:
-    """One row per team per game with outcome, expectation and impact labels.
+def fct_games(games: DataFrame, resolved: DataFrame, alias_rows: int, extra: tuple = ()) -> DataFrame:
+    """One row per team per game with outcome, expectation and impact labels (and, as ``extra``, ``neutral``).
 
     Both team ids are resolved on the game row (two broadcast lookups), then
     the row is exploded into its home and away perspectives - one scan, no
@@ -310,5 +310,5 @@ def fct_games(games: DataFrame, resolved: DataFrame, alias_rows: int) -> DataFra
         bands.outcome_band(F.col("score_diff")).alias("game_outcome_type"),
         bands.performance_vs_expectation(F.col("win_flag"), F.col("win_probability"))
         .alias("performance_vs_expectation"),
-        bands.game_impact(F.col("elo_change")).alias("game_impact"),
-    ).select(*FCT_GAMES_COLUMNS)
+        bands.game_impact(F.col("elo_change")).alias("game_impact"), "neutral",
+    ).select(*FCT_GAMES_COLUMNS, *extra)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +19,12 @@ from pyspark.sql import functions as F
 from courtside import schemas
 from courtside.operators import quality as Q
 from courtside.plans import checks as C
-from courtside.plans import exports, models
+from courtside.plans import exports, models, observed
 from courtside.plans.warehouse import dated
 from courtside.sources import api_pages, snapshots
 from courtside.sources.csv_tables import optional, read_aliases
 from courtside.sources.fixture import DEFAULT_PARAMS, FixtureParams, alias_frame
-from courtside.streaming import landing
+from courtside.streaming import landing, state
 
 log = logging.getLogger(__name__)
 
@@ -31,6 +32,8 @@ RAW_INPUTS = {"teams": schemas.RAW_TEAMS, "games": schemas.RAW_GAMES,
               "player_stats": schemas.RAW_PLAYER_STATS}
 # Declared primary keys: a load with a NULL or repeated key aborts.
 PRIMARY_KEYS = {"teams": "team_id", "games": "game_id"}
+# Columns a load must have (a reader of another layout may give fewer).
+EXPECTED_COLUMNS = {name: schema.fieldNames() for name, schema in RAW_INPUTS.items()}
 
 
 def enforce_primary_key(df: DataFrame, key: str, table: str) -> None:
@@ -60,12 +63,10 @@ def _overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 
 def _read_pages(spark: SparkSession, landing_dir: str, name: str, schema) -> DataFrame:
-    """Landed pages; of games and teams that landed more than once the latest page counts."""
-    path = f"{landing_dir.rstrip('/')}/{name}"
+    """Landed pages; of a game, team or player season that landed more than once the latest page counts."""
     if name == "games":
-        return landing.landed_games(spark, path)
-    df = api_pages.read_landed(spark, landing_dir, name, schema)
-    return df.distinct() if name == "teams" else df  # equal rows only: a changed team trips its key
+        return landing.landed_games(spark, f"{landing_dir.rstrip('/')}/{name}")
+    return state.landed(spark, landing_dir, name)
 
 
 def _read_table(spark: SparkSession, landing_dir: str, name: str, schema) -> DataFrame:
@@ -75,6 +76,15 @@ def _read_table(spark: SparkSession, landing_dir: str, name: str, schema) -> Dat
     return snapshots.read_latest(spark, landing_dir, name, schema)
 
 
+def _read_state(spark: SparkSession, landing_dir: str, name: str, schema) -> DataFrame:
+    """The keyed tables that streams of all three inputs keep."""
+    path = f"{landing_dir.rstrip('/')}/{name}"
+    df = state.current(spark, path, name)
+    if not df.inputFiles():
+        raise FileNotFoundError(f"Path does not exist: no keyed table at {path}")
+    return df
+
+
 def load_profile(games: DataFrame, teams: DataFrame | None) -> dict:
     """Completed games without a score, the range and number of dates, and the teams."""
     day = F.to_date("date")
@@ -100,7 +110,7 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
     latest pointer, ``layout="flat"`` for timestamped ``<name>_<stamp>.csv``
     files, ``layout="pages"`` for landed API JSON pages in ``<name>/``
     folders, ``layout="table"`` for a ``games`` table that the page stream
-    ingested. A missing input is skipped with a warning. The result's
+    ingested, ``layout="state"`` for keyed tables of all inputs. A missing input is skipped with a warning. The result's
     ``profile`` describes the load; tables below ``min_rows`` rows are reported.
     """
     out = out_dir.rstrip("/")
@@ -110,11 +120,14 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
     # raw layer (full refresh)
     raw = {}
     reader = {"snapshots": snapshots.read_latest, "flat": snapshots.read_latest_flat,
-              "pages": _read_pages, "table": _read_table}[layout]
+              "pages": _read_pages, "table": _read_table, "state": _read_state}[layout]
     for name, schema in RAW_INPUTS.items():
         df = optional(reader, spark, landing_dir, name, schema, what=name)
         if df is None:
             continue
+        absent = Q.missing_columns(df, EXPECTED_COLUMNS[name])
+        if absent:
+            raise Q.QualityError(f"{name}: expected columns {absent} are missing; load aborted")
         if enforce_keys and name in PRIMARY_KEYS:
             enforce_primary_key(df, PRIMARY_KEYS[name], name)
         raw[name] = _overwrite(df, f"{out}/raw/{name}")
@@ -148,22 +161,26 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
     dim = _overwrite(models.dim_teams(summary, resolved, alias_rows, params.activity_as_of,
                                       params.eastern, params.western)
                      .select("*", now), f"{out}/marts/dim_teams")
-    fct = _overwrite(models.fct_games(stg_games, resolved, alias_rows).select("*", now)
-                     .transform(dated, "game_date", "season"), f"{out}/marts/fct_games", partition_by=["season"])
+    facts, seen = observed.observed(models.fct_games(stg_games, resolved, alias_rows, extra=("neutral",))
+                                    .select("*", now).transform(dated, "game_date", "season"))
+    fct = _overwrite(facts, f"{out}/marts/fct_games", partition_by=["season"])
     dim_rows = dim.count()
-    res.row_counts.update(dim_teams=dim_rows, fct_games=fct.count())
+    counts = seen.get  # taken by the write
+    res.row_counts.update(dim_teams=dim_rows, fct_games=counts["rows"])
+    sound = {name for name, n in observed.failures(counts).items() if not n}
+    scanned = lambda check: {} if check in sound else {"fct_games": fct}
 
     # tests between marts and exports; the three per-game rules share one
     # aggregate of the fact, written once
     per_game = _overwrite(C.per_game_summary(fct), f"{out}/checks/per_game")
     found = {
         "not_null": C.not_null_report({"stg_games": stg_games, "stg_teams": stg_teams,
-                                       "dim_teams": dim, "fct_games": fct})
+                                       "dim_teams": dim} | scanned("not_null"))
         .filter(F.col("null_count") > 0),
         "unique_game_id": Q.duplicate_keys(stg_games, "game_id"),
         "unique_team_id_dim": Q.duplicate_keys(dim, "team_id"),
-        "unique_game_team_id": Q.duplicate_keys(fct, "game_team_id"),
-        "accepted_values": C.accepted_values_report({"dim_teams": dim, "fct_games": fct})
+        "unique_game_team_id": Q.duplicate_text_keys(fct, "game_team_id"),
+        "accepted_values": C.accepted_values_report({"dim_teams": dim} | scanned("accepted_values"))
         .filter(~F.col("is_accepted")),
         "relationships_team": Q.relationship_orphans(fct, "team_id", dim, "team_id", dim_rows),
         "relationships_opponent": Q.relationship_orphans(fct, "opponent_id", dim, "team_id",
@@ -171,7 +188,8 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
         "games_have_two_teams": C.two_teams_violations(per_game),
         "elo_changes_sum_to_zero": C.zero_sum_violations(per_game),
         "one_winner_per_game": C.one_winner_violations(per_game),
-        "scores_match_outcome": C.scores_match_outcome(fct),
+        "scores_match_outcome": (spark.createDataFrame([], fct.schema) if "scores_match_outcome" in sound
+                                 else C.scores_match_outcome(fct)),
     }
     for name, violations in found.items():
         n = violations.count()
@@ -188,12 +206,13 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
     # exports: timestamped CSV + latest pointer, then the summary
     export_dir = f"{out}/exports"
     reports = {
-        "team_win_rates": exports.team_win_rates(fct, dim, dim_rows),
-        "elo_trends": exports.elo_trends(fct, dim, params.as_of, dim_rows),
-        "point_diff_by_season": exports.point_diff_by_season(fct, dim, dim_rows),
+        "team_win_rates": lambda: exports.team_win_rates(fct, dim, dim_rows),
+        "elo_trends": lambda: exports.elo_trends(fct, dim, params.as_of, dim_rows, dates=exports.season_dates(fct)),
+        "point_diff_by_season": lambda: exports.point_diff_by_season(fct, dim, dim_rows),
     }
-    for name, df in reports.items():
+    for name, make in reports.items():
         try:
+            df = make()
             snapshots.write_snapshot(df, export_dir, name, stamp)
             res.exports[name] = snapshots.read_latest(spark, export_dir, name, df.schema).count()
         except Exception as e:  # noqa: BLE001  (one failing export is reported; the others go on)
@@ -221,19 +240,39 @@ def load_marts(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame,
 
 
 def report(spark: SparkSession, out_dir: str, name: str, as_of=None, grain: str | None = None,
-           params: FixtureParams = DEFAULT_PARAMS) -> DataFrame:
-    """A named report over a pipeline's marts: an export, a dashboard aggregate or a metric."""
+           params: FixtureParams = DEFAULT_PARAMS, teams: Sequence[str] | None = None,
+           seasons: Sequence[int] | None = None, conference: str = "All") -> DataFrame:
+    """A named report over a pipeline's marts: an export, a dashboard aggregate or a metric.
+
+    Teams (by name), seasons and a conference restrict every report alike; an empty or
+    missing list keeps all.
+    """
     from courtside.plans import dashboard as D
     from courtside.plans import metrics as M
     fct, dim, n = load_marts(spark, out_dir)
+    dim = D.in_list(dim if conference == "All" else dim.filter(F.col("conference") == conference), "team_name", teams)
+    fct = D.in_list(fct, "season", seasons)
+    if teams or conference != "All":
+        fct = fct.join(dim.select("team_id"), "team_id", "left_semi")
     games = lambda: D.games_filtered(fct, dim, n)
+    rates = lambda: D.win_rates(games())
     named = {
         "team_win_rates": lambda: exports.team_win_rates(fct, dim, n),
         "elo_trends": lambda: exports.elo_trends(fct, dim, as_of or params.as_of, n),
         "point_diff_by_season": lambda: exports.point_diff_by_season(fct, dim, n),
         "teams_by_conference": lambda: D.teams_by_conference(dim),
-        "win_rates": lambda: D.win_rates(games()),
+        "conference_list": lambda: D.conference_list(dim),
+        "default_teams": lambda: D.default_teams(dim),
+        "season_list": lambda: D.season_list(games()),
+        "games": lambda: games().orderBy(F.desc_nulls_last("game_date"), "team_name"),
+        "win_rates": rates,
+        "best_season": lambda: D.best_season(rates()),
+        "summary": lambda: D.rates_summary(rates()),
+        "rating_series": lambda: D.rating_series(games()),
         "season_rating_change": lambda: D.season_rating_change(games()),
+        "season_rating_pivot": lambda: D.season_rating_pivot(
+            D.season_rating_change(games()), sorted(s for s, _ in exports.season_dates(fct) if s is not None)),
+        "location_stats": lambda: D.location_stats(games()),
         "point_diff_stats": lambda: D.point_diff_stats(games()),
         "box_stats": lambda: D.box_stats(games()),
         "home_advantage": lambda: D.home_advantage_pivot(D.location_stats(games())),

@@ -4,7 +4,7 @@ Three things are written once per session to the shared checkpoint folder
 and read back: the loaded game rows (the orders-customer join, the only
 full shuffle of the input, runs once; ``raw.games`` and ``raw.elo`` are
 projections of it), the resolved alias seed, and the two marts
-(``dim_teams``, ``fct_games`` partitioned by season), which are tables as in
+(``dim_teams``, ``fct_games`` partitioned by season and bucketed by game), which are tables as in
 the reference. Staging models stay lazy (views). Reports therefore read
 Parquet with pushdown and pruning instead of re-deriving the marts, a lost
 executor costs a re-read rather than a rebuild, and the dimension's row
@@ -18,21 +18,26 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.plans import models
+from courtside.plans import exports, models
 from courtside.session import app_id
 from courtside.sources import fixture
 from courtside.sources.fixture import DEFAULT_PARAMS, FixtureParams
-from courtside.sources.tables import WrittenTable, write_and_read
+from courtside.sources.tables import WrittenTable, write_and_read, write_bucketed
 
 RATED, PLACEHOLDER = "rated", "placeholder"
+LOAD_YEAR = "load_year"  # partitions the loaded games by the year of their date
+
+
+#: Bytes of orders for each bucket of the fact (a bucket is a task of the per-game rules, and
+#: each season folder has a file a bucket).
+BUCKET_BYTES = 4 << 30
+LEAST_BUCKETS = 4
 
 
 def dated(df: DataFrame, day: str, *by: str) -> DataFrame:
-    """``df`` as it is written: days in order, so that the statistics of row groups and pages
-    prune a date window. With ``by``, a file also holds few months of a value of ``by`` (AQE
-    sizes the files); without, rows stay where they are and nothing is shuffled."""
-    if by:
-        df = df.withColumn("_month", F.trunc(day, "month")).hint("rebalance", *by, "_month")
+    """``df`` as it is written: a file holds few months of a value of ``by`` (AQE sizes the files),
+    with days in order, so that folders, files, row groups and pages prune a date window."""
+    df = df.withColumn("_month", F.trunc(day, "month")).hint("rebalance", *by, "_month")
     return df.sortWithinPartitions(*by, day).drop("_month")
 
 
@@ -58,9 +63,13 @@ class Warehouse:
         """
         return self.table("landed_games")
 
-    def raw_games(self) -> DataFrame:
-        """``raw.games`` over the loaded rows."""
-        return fixture.raw_games_from(self.landed_games())
+    def raw_games(self, start=None, end=None) -> DataFrame:
+        """``raw.games`` over the loaded rows; of a window of dates, only its years' folders."""
+        landed = self.landed_games()
+        if start is not None:
+            landed = landed.filter(F.col(LOAD_YEAR).between(start.year, end.year))
+        games = fixture.raw_games_from(landed)
+        return games if start is None else games.filter(F.col("date").between(F.lit(start), F.lit(end)))
 
     def raw_elo(self) -> DataFrame:
         """``raw.elo`` for this warehouse's rating profile."""
@@ -117,6 +126,10 @@ class Warehouse:
     def fct_games(self) -> DataFrame:
         return models.fct_games(self.stg_games(), self.resolved_aliases(), self.alias_rows)
 
+    def season_dates(self) -> list[tuple]:
+        """(season, last date) of the written fact's partitions."""
+        return self.once("season_dates", lambda: exports.season_dates(self.table("fct_games")))
+
     # ---- tables (written once per session) ---------------------------------------
     def _write(self, name: str) -> WrittenTable:
         with self._lock:
@@ -126,25 +139,30 @@ class Warehouse:
                     self._written[name] = warehouse_for(self.spark, self.sf_dir)._write(name)
                 elif name == "landed_games":
                     self._written[name] = write_and_read(
-                        dated(fixture.base_games(self.spark, self.sf_dir), "o_orderdate"),
-                        f"raw/{name}")
+                        dated(fixture.base_games(self.spark, self.sf_dir).withColumn(
+                            LOAD_YEAR, F.year("o_orderdate")), "o_orderdate", LOAD_YEAR),
+                        f"raw/{name}", partition_by=[LOAD_YEAR])
                 elif name == "aliases":
                     self._written[name] = write_and_read(
                         models.resolve_aliases(self.aliases()).coalesce(1), "seeds/aliases")
                 elif name == "fct_games":
-                    # rebalance on the partition column: AQE sizes each write task
-                    # to the advisory bytes within one season (splitting a hot
-                    # season), so each season gets a few full files instead of
-                    # one small file per input task; months stay together
-                    self._written[name] = write_and_read(
-                        dated(self.fct_games(), "game_date", "season"), f"marts/{name}",
-                        partition_by=["season"])
+                    # a folder a season, in it a file a bucket of games with its days in
+                    # order: a season filter prunes folders, a date window row groups, and
+                    # whatever groups by game needs no exchange
+                    facts = models.fct_games(self.stg_games(), self.resolved_aliases(), self.alias_rows,
+                                             extra=("neutral",))
+                    self._written[name] = write_bucketed(
+                        facts, f"marts/{name}", ["season"], "game_id", self._buckets(), "game_date")
                 elif name == "dim_teams":
                     self._written[name] = write_and_read(self.dim_teams(), f"marts/{name}")
                 else:
                     raise KeyError(name)
             return self._written[name]
 
+    def _buckets(self) -> int:
+        size = sum(n for path, n, _ in input_listing(self.spark, self.sf_dir) if "/orders.parquet" in path)
+        return max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+
     def table(self, name: str) -> DataFrame:
         return self._write(name).df
 
@@ -175,13 +193,20 @@ class Warehouse:
         return {n: self.rows(n) for n in ("dim_teams", "fct_games")}
 
 
+#: Tables that the queries of the catalogue read.
+SOURCES = ("orders", "customer", "lineitem", "nation", "region")
+
+
 def input_listing(spark: SparkSession, sf_dir: str) -> tuple:
-    """(path, bytes, modification time) of the files the marts are built from."""
+    """(path, bytes, modification time) of all files the queries read, at any depth."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     found = []
-    for table in ("orders", "customer"):
+    for table in SOURCES:
         path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{table}.parquet")
-        for f in path.getFileSystem(conf).listStatus(path):
+        store = path.getFileSystem(conf)
+        files = store.listFiles(path, True) if store.exists(path) else None
+        while files is not None and files.hasNext():
+            f = files.next()
             found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
     return tuple(sorted(found))
 

@@ -40,11 +40,11 @@ def rejected_pages(pages: DataFrame) -> DataFrame:
         F.col(CORRUPT).alias("page"), F.col("data").isNotNull().alias("partly_read"))
 
 
-def flatten_teams(pages: DataFrame) -> DataFrame:
+def flatten_teams(pages: DataFrame, keep=()) -> DataFrame:
     """7 team columns; ``id`` becomes ``team_id``."""
-    return _items(pages).select(
+    return _items(pages, keep).select(
         F.col("g.id").alias("team_id"), "g.abbreviation", "g.city", "g.conference",
-        "g.division", "g.full_name", "g.name")
+        "g.division", "g.full_name", "g.name", *keep)
 
 
 def flatten_games(pages: DataFrame, keep=()) -> DataFrame:
@@ -72,10 +72,10 @@ def flatten_games(pages: DataFrame, keep=()) -> DataFrame:
     )
 
 
-def flatten_player_stats(pages: DataFrame) -> DataFrame:
+def flatten_player_stats(pages: DataFrame, keep=()) -> DataFrame:
     """22 player season-average columns (``min`` stays a string)."""
-    return _items(pages).select(*[F.col(f"g.{f.name}").alias(f.name)
-                                  for f in schemas.API_PLAYER_STAT.fields])
+    return _items(pages, keep).select(*[F.col(f"g.{f.name}").alias(f.name)
+                                        for f in schemas.API_PLAYER_STAT.fields], *keep)
 
 
 def typed_games(flat: DataFrame, keep=()) -> DataFrame:

@@ -43,3 +43,18 @@ def write_and_read(df: DataFrame, name: str, partition_by: list[str] | None = No
     if count:
         table.rows  # noqa: B018
     return table
+
+
+def write_bucketed(df: DataFrame, name: str, partition_by: list[str], bucket_by: str, buckets: int,
+                   sort_by: str) -> WrittenTable:
+    """``df`` written under the shared folder in buckets of ``bucket_by``, as a table of the session's
+    catalogue (where Spark keeps the buckets), and read back.
+
+    Rows go to the task of their bucket first, so a folder has one file a bucket.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = "courtside_" + "".join(c if c.isalnum() else "_" for c in path.rsplit("/", 1)[-1])
+    (df.repartition(buckets, bucket_by).write.format("parquet").partitionBy(*partition_by)
+     .bucketBy(buckets, bucket_by).sortBy(sort_by).option("path", path).saveAsTable(table))
+    return WrittenTable(path, spark.table(table).select(*df.columns))
