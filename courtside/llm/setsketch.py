@@ -60,14 +60,16 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
+    """64-bit hashes of words, short ones remembered up to a bound."""
 
     LIMIT = 400_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = h
         return h
 
 
@@ -259,7 +261,9 @@ def _bands(classes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, text_hash, n_shingles, component_id.
+    """One row per row of ``docs`` (doc_id, text): doc_id, text_hash, n_shingles, component_id, row, root.
+
+    ``row`` numbers the rows, ``root`` is a number of the component (null without shingles).
 
     Defined cases: a null, empty or blank text has no shingles and is linked
     with nothing; a text of fewer than five words is one shingle; repeated
@@ -311,9 +315,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "set_key", "least_id", F.coalesce("root", "node").alias("root"))
     member = written(member, "near-members")
     least = written(member.groupBy("root").agg(F.min("least_id").alias("component_id")), "near-least")
-    found = member.join(least, "root").select("set_key", "component_id")
+    found = member.join(least, "root").select("set_key", "component_id", "root")
     return sketches.join(found, "set_key", "left").select(
-        "doc_id", "text_hash", F.col("n").alias("n_shingles"), "row",
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), "row", "root",
         F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"))
 
@@ -381,13 +385,25 @@ def op9_minhash_neardup(spark, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of ``docs``, with all its columns; rows without words stay."""
-    found = near_duplicates(docs)
-    drop = found.where((F.col("n_shingles") > 0)
-                       & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        "doc_id", "text_hash").distinct()
-    return docs.join(drop, docs["doc_id"].eqNullSafe(drop["doc_id"])
-                     & (F.xxhash64(docs["text"]) == drop["text_hash"]), "left_anti")
+    """One row of each group of ``docs``, with all its columns; rows without words stay.
+
+    Of a group the row with the smallest id stays (null ids last); of its rows with that id
+    and that text, which only other columns can tell apart, any one.
+    """
+    found = written(near_duplicates(docs).where("n_shingles > 0").select("doc_id", "text_hash", "row", "root"),
+                    "near-groups")
+    first = written(found.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("f")).select("f.row"), "near-first")
+    told = found.join(first.withColumn("stays", F.lit(True)), "row", "left").groupBy("doc_id", "text_hash").agg(
+        F.count("stays").alias("stay"), F.count(F.lit(1)).alias("rows"))
+    told = written(told.where("stay < rows"), "near-told")  # texts of which not all rows stay
+    text = F.xxhash64(docs["text"])
+    key = lambda t: docs["doc_id"].eqNullSafe(t["doc_id"]) & (text == t["text_hash"])
+    some = told.where("stay > 0").select("doc_id", "text_hash")
+    one = docs.join(some, key(some), "left_semi").select(
+        "doc_id", F.xxhash64("text").alias("h"), F.struct(*[docs[c] for c in docs.columns]).alias("doc")).groupBy(
+        F.col("doc_id").alias("i"), "h").agg(F.first("doc").alias("doc")).select("doc.*")
+    return docs.join(told, key(told), "left_anti").unionAll(one)
 
 
 SQL = r"""

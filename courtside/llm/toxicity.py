@@ -243,7 +243,9 @@ class _Scores(dict):
     def __missing__(self, word: str) -> float:
         if len(self) > 300_000:
             self.clear()
-        self[word] = x = float(self.field.bias + self.field.emission[features(word)].sum())
+        x = float(self.field.bias + self.field.emission[features(word)].sum())
+        if len(word) <= 64:
+            self[word] = x
         return x
 
 
@@ -291,7 +293,8 @@ _SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p
 def sample(docs: DataFrame, labels: DataFrame,
            bound: int = SAMPLE) -> tuple[list[str], list[int], float]:
     """At most ``bound`` labelled training rows of each class, chosen by a hash of the id (which is no input of a score),
-    and the share of toxic ones among all labelled training rows."""
+    and the share of toxic ones among all labelled training rows. Rows without an id or a label are not
+    learned from; a document labelled both ways counts once in either class, and once in the share for each label."""
     rows = labels.select("doc_id", "toxic").where(
         F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     texts, toxic = [], []
@@ -310,7 +313,8 @@ def sample(docs: DataFrame, labels: DataFrame,
 
 
 def held_out(doc_id):
-    return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4 == 2
+    """Whether a document's label is not learned from; a null id has no remainder and is not held out."""
+    return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
 def score(docs: DataFrame, field: Field, extra: list[str] | None = None) -> DataFrame:

@@ -245,18 +245,18 @@ def encode_alone(model: Pieces, chunk: bytes) -> np.ndarray:
 
 
 class Encoder:
-    """Segments texts; remembers chunks up to a bound."""
+    """Segments texts; remembers chunks up to a bound of their number and characters."""
 
-    LIMIT = 300_000
+    LIMIT, CHARS = 300_000, 8_000_000
 
     def __init__(self, model: Pieces):
-        self.model, self.seen, self.ids = model, {}, []
+        self.model, self.seen, self.ids, self.held = model, {}, [], 0
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; an empty text has none."""
         split = [CHUNKS.findall(" " + t) if t else [] for t in texts]
-        if len(self.seen) > self.LIMIT:
-            self.seen, self.ids = {}, []
+        if len(self.seen) > self.LIMIT or self.held > self.CHARS:
+            self.seen, self.ids, self.held = {}, [], 0
         seen, new = self.seen, []
         places = []
         for chunks in split:
@@ -268,6 +268,7 @@ class Encoder:
                     new.append(c)
                 row.append(k)
             places.append(row)
+        self.held += sum(map(len, new))
         raw = [c.replace(" ", MARKER).encode("utf-8", "replace") for c in new]
         short = [i for i, r in enumerate(raw) if len(r) <= SHORT]
         done: list = [None] * len(raw)

@@ -48,12 +48,18 @@ def build_dictionary(records: list[bytes]) -> bytes:
 
 
 def sample_records(pages: DataFrame) -> list[bytes]:
-    """Records of a bounded sample of pages, chosen by a hash (at most SAMPLE_BYTES bytes in all)."""
+    """Records of a bounded sample of pages, chosen by a hash (at most SAMPLE_BYTES characters in all).
+
+    A page longer than its share of the bound gives a piece of that length, from a place that
+    the hash picks anywhere in the page, so the dictionary sees what recurs in any part of pages.
+    """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn(
         "h", F.xxhash64("page_id", "html"))
     chosen = rows.select("h").orderBy("h").limit(SAMPLE_ROWS).distinct()  # hashes only are sorted
+    share = SAMPLE_BYTES // SAMPLE_ROWS
+    at = F.pmod(F.xxhash64("h"), F.greatest(F.length("html") - share, F.lit(0)) + 1).cast("int") + 1
     rows = (rows.join(F.broadcast(chosen), "h")
-            .withColumn("html", F.left("html", F.lit(SAMPLE_BYTES // SAMPLE_ROWS)))
+            .withColumn("html", F.substring("html", at, F.lit(share)))
             .limit(SAMPLE_ROWS).collect())
     return [record(r["page_id"], r["url"], r["html"].encode("utf-8", "replace"), "", "response", None)
             for r in rows]

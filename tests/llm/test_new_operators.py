@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 import tiktoken
 
-from courtside.llm import bpe, repair, whitening
+from courtside.llm import bpe, repair, setsketch, toxicity, unigram, warc, whitening
 from courtside.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -235,3 +235,64 @@ def test_bpe_query(spark, library):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
             len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
             hashlib.sha256((d.text or "").encode()).hexdigest())
+
+
+# what earlier operators promise
+
+def test_near_dedup_keeps_one_row_of_a_group_whatever_its_ids(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight nine",
+               "some other words that stand alone here and there")
+    rows = [(1, a, 1), (1, a, 2), (1, a.upper(), 3), (None, b, 4), (None, b, 5), (None, b + " ", 6), (2, c, 7), (2, c, 7),
+            (None, None, 8), (None, None, 9), (5, "", 10), (3, c, 11), (None, c, 12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, row int").repartition(3)
+    kept = sorted(((r.doc_id, r.text, r.row) for r in setsketch.near_dedup_stage(None, df, SF).collect()), key=repr)
+    groups = {a: [r for r in kept if r[1] and r[1].lower() == a], b: [r for r in kept if r[1] and r[1].strip() == b],
+              c: [r for r in kept if r[1] == c]}
+    assert [len(g) for g in groups.values()] == [1, 1, 1] and groups[c][0][0] == 2 and groups[a][0][0] == 1
+    assert [r[2] for r in kept if not r[1]] == [10, 8, 9]
+    assert setsketch.near_dedup_stage(None, df.where("1 = 0"), SF).count() == 0
+
+
+def test_held_out_labels_have_no_influence(spark, tmp_path):
+    """op4's query: scores and flags stay when the labels of held-out rows are turned over."""
+    import os
+    import shutil
+
+    from pyspark.sql import functions as F
+    folders = [str(tmp_path / x) for x in "ab"]
+    for f in folders:
+        os.makedirs(f)
+        shutil.copy(f"{SF}/documents.parquet", f)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    turned = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(
+        F.col("toxic")).cast(labels.schema["toxic"].dataType))
+    for f, t in zip(folders, (labels, turned)):
+        t.toPandas().to_parquet(f"{f}/labels.parquet")
+    rows = [{r.doc_id: r for r in QUERIES["op4_toxicity"](spark, f).collect()} for f in folders]
+    assert rows[0].keys() == rows[1].keys() and len(rows[0]) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    for i, r in rows[0].items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+        assert r.score == rows[1][i].score and r.predicted == (r.score >= 0.3) and 0 <= r.score <= 1
+    one = spark.createDataFrame([(None,), (3,)], "doc_id bigint").select(toxicity.held_out(F.col("doc_id")).alias("h"))
+    assert [r.h for r in one.collect()][0] is False
+
+
+def test_dictionary_sample_reaches_every_part_of_pages(spark):
+    html = "".join(f"<p>{i:07d}</p>" for i in range(5000))
+    df = spark.createDataFrame([(i, "u", html) for i in range(60)] + [(99, None, None)], "page_id bigint, url string, html string")
+    pieces = [warc.parse(r)["payload"] for r in warc.sample_records(df)]
+    at = [html.encode().find(p) for p in pieces if p]
+    assert all(len(p) <= warc.SAMPLE_BYTES // warc.SAMPLE_ROWS for p in pieces)
+    assert min(at) >= 0 and max(at) > len(html) // 2 and len(set(at)) > 30
+
+
+def test_caches_of_texts_without_blanks_are_bounded():
+    model = unigram.load()
+    encoder = unigram.Encoder(model)
+    encoder.CHARS = 10_000
+    for i in range(40):
+        encoder.encode([f"{i}" + "x" * 3000])
+        assert sum(map(len, encoder.seen)) <= 10_000 + 3 * 3003
+    hashes = setsketch.WordHashes()
+    hashes[b"x" * 1000]
+    assert not hashes and hashes[b"x"] and len(hashes) == 1
