@@ -18,6 +18,7 @@ from courtside import schemas as S
 from courtside.functions import dates as FD
 from courtside.functions.bands import conference_of
 from courtside.operators import quality as Q
+from courtside.operators import selection
 from courtside.operators.joins import lookup_join
 from courtside.operators.unpivot import explode_sides
 from courtside.plans import checks as C
@@ -360,6 +361,26 @@ for _name, _spec in M.METRICS.items():
                          f"metric_{_name}_{_grain}")
 
 
+_DIMS = ("team_id", "season", "game_location", "playoff")
+
+
+def _all_metrics_sql() -> str:
+    parts = []
+    for name, spec in M.METRICS.items():
+        for grain in spec.time_grains:
+            dims = ", ".join(f"CAST({d if d in spec.dimensions else 'NULL'} AS "
+                             f"{'INTEGER' if d in ('season', 'playoff') else 'VARCHAR'}) AS {d}" for d in _DIMS)
+            parts.append(f"SELECT '{name}' AS metric, '{grain}' AS grain, period_start, {dims}, "
+                         f"CAST({name} AS DOUBLE) AS value FROM ({_metric_sql(name, grain)})")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("metrics_all", _all_metrics_sql())
+def q_metrics_all(w):
+    """Every declared metric at every grain, merged from one scan's partial sums by day."""
+    return M.evaluate_all(w.table("fct_games"))
+
+
 # ---- dashboard ----------------------------------------------------------------
 
 
@@ -421,8 +442,7 @@ def q_default_teams(w):
 
 @register("games_filtered", "SELECT * FROM games_df ORDER BY game_date DESC")
 def q_games_filtered(w):
-    # the team breaks ties, so that a date's rows can be range-partitioned
-    return _games(w).orderBy(F.desc_nulls_last("game_date"), "team_name")
+    return D.games_ordered(w.table("fct_games"), w.table("dim_teams"))
 
 
 #: A dashboard selection: some teams and the three latest seasons.
@@ -525,6 +545,16 @@ def q_box_stats(w):
     return D.box_stats(_games(w))
 
 
+@register("rating_percentiles", """
+SELECT team_name, QUANTILE_CONT(elo_post, 0.1) AS p10_rating, QUANTILE_CONT(elo_post, 0.25) AS p25_rating,
+       QUANTILE_CONT(elo_post, 0.5) AS median_rating, QUANTILE_CONT(elo_post, 0.75) AS p75_rating,
+       QUANTILE_CONT(elo_post, 0.9) AS p90_rating FROM games_df GROUP BY team_name""")
+def q_rating_percentiles(w):
+    """Spread of the ratings: doubles, so windows of values are narrowed instead of counting each."""
+    return selection.percentiles(_games(w), ["team_name"], "elo_post", {
+        "p10_rating": 0.1, "p25_rating": 0.25, "median_rating": 0.5, "p75_rating": 0.75, "p90_rating": 0.9})
+
+
 @register("location_stats", "SELECT * FROM location_df")
 def q_location_stats(w):
     return D.location_stats(_games(w))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from courtside.functions import bands
 from courtside.operators import quality as Q
+from courtside.operators.exact_sum import exact_sum
 
 # ---- fixed values: declared contracts ------------------------------------
 NOT_NULL = {
@@ -58,7 +59,7 @@ def per_game_summary(fct: DataFrame) -> DataFrame:
     rules, so they cost one shuffle of the fact together (map-side combined)."""
     return fct.groupBy("game_id").agg(
         F.count(F.lit(1)).alias("team_count"),
-        F.sum("elo_change").alias("total_elo_change"),
+        exact_sum("elo_change").alias("total_elo_change"),
         F.sum("win_flag").cast("bigint").alias("total_wins"))
 
 

@@ -53,6 +53,16 @@ def games_filtered(fct: DataFrame, dim: DataFrame, dim_rows: int | None = None,
     return j.select(*GAME_COLUMNS)
 
 
+def games_ordered(fct: DataFrame, dim: DataFrame, teams: Sequence[str] | None = None,
+                  seasons: Sequence[int] | None = None) -> DataFrame:
+    """:func:`games_filtered`, latest first; the row's own key splits a (date, team) over many rows' ranges."""
+    key = "game_team_id"
+    f = in_list(fct, "season", seasons)
+    d = in_list(dim.select("team_id", "team_name", "conference"), "team_name", teams)
+    j = lookup_join(f, d, "team_id", "inner").select(*GAME_COLUMNS, key)
+    return j.orderBy(F.desc_nulls_last("game_date"), "team_name", key).drop(key)
+
+
 def season_list(games: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` latest seasons (the default season selection)."""
     return games.select("season").distinct().orderBy(F.desc_nulls_last("season")).limit(k)
