@@ -2,10 +2,10 @@
 
 A word (a match of the pattern that splits texts) is a string with one
 character for each piece: the character's code point is the piece's rank plus
-`BASE`, so the order of characters is the order of ranks. One step of the fold
-looks up what each adjacent pair of pieces merges into in a literal rank map,
-takes the least (`array_min`), and lays it over the leftmost pair that gives it
-(`overlay`). The map's keys are all pairs of pieces whose concatenation is a piece.
+`BASE`, so the order of characters is the order of ranks. What two neighbours merge
+into is looked up in a literal rank map; one step of the fold takes the least of
+these (`array_min`), lays it over the leftmost pair that gives it (`overlay`) and looks
+up the pairs that it made. The map's keys are all pairs of pieces whose concatenation is a piece.
 
 Words over `BLOCK` bytes are folded block by block, not step by step over the
 whole word: a block is merged along with the last few pieces before it, and the
@@ -20,7 +20,7 @@ words and each text's words as places among them. Distinct words of all chunks
 are grouped and folded, their ids go back to the chunks as a dictionary each, and
 a narrow pass puts the ids of texts together. Only distinct words of chunks are
 shuffled, so a frequent word is sent once a chunk; one that is in very
-many chunks is folded once for each `SALT` chunks, in a group of its own.
+many chunks is folded once for the chunks of each `SALT` tasks, in a group of its own.
 
 Decoding concatenates the pieces of ids (`decode`).
 """
@@ -39,18 +39,21 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import read, shared_folder, written
+from courtside.llm.common import read, shared_folder
 from courtside.llm.files import filesystem
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Code point of the piece of rank 0; ranks stay below the end of Unicode.
 BASE = 0x20000
 BUCKETS = 1 << 16
-DONE = "!"
 #: Bytes that are folded at once, and the pieces before them that are merged anew.
 BLOCK, AGAIN = 64, 8
 #: Characters of text in a chunk; a longer text is a chunk of its own.
 CHUNK_CHARS = 16_000_000
+#: Chunks a task may have (32 billion characters) and words a chunk may have: both and the task's
+#: number share 64 bits.
+CHUNKS, PLACES = 1 << 11, 1 << 30
+#: Tasks whose chunks' occurrences of a word are one group.
 SALT = 4096
 
 
@@ -87,22 +90,35 @@ def _let(value: Column, body) -> Column:
 
 
 def _merged(maps: Column, s: Column) -> Column:
-    """Pieces ``s`` merged by rank, leftmost first, until no two merge."""
-    def step(s: Column, _) -> Column:
-        def pair(i: Column) -> Column:
-            p = F.substring(s, i, F.lit(2))
-            return F.element_at(F.get(maps, (F.crc32(p) % BUCKETS).cast("int")), p)
+    """Pieces ``s`` merged by rank, leftmost first, until no two merge.
 
-        def put(found: Column) -> Column:
-            least = F.array_min(found)
-            return F.when(least.isNull(), F.concat(F.lit(DONE), s)).otherwise(
-                F.overlay(s, least, F.array_position(found, least).cast("int"), F.lit(2)))
+    The state holds the pieces and what each two neighbours merge into (null: nothing); a step
+    looks up only the two pairs that it changes.
+    """
+    def pair(s: Column, i: Column) -> Column:
+        p = F.substring(s, i, F.lit(2))
+        return F.element_at(F.get(maps, (F.crc32(p) % BUCKETS).cast("int")), p)
+
+    def state(s: Column, found: Column) -> Column:
+        return F.named_struct(F.lit("s"), s, F.lit("found"), found)
+
+    def step(now: Column, _) -> Column:
+        s, found = now["s"], now["found"]
 
-        return F.when((F.length(s) < 2) | s.startswith(DONE), s).otherwise(
-            _let(F.transform(F.sequence(F.lit(1), F.length(s) - 1), pair), put))
+        def put(i: Column) -> Column:
+            new = F.overlay(s, F.get(found, i - 1), i, F.lit(2))
+            left = F.when(i > 1, F.array(pair(new, i - 1))).otherwise(none)
+            right = F.when(i < F.length(new), F.array(pair(new, i))).otherwise(none)
+            return F.when(i.isNull(), now).otherwise(state(new, F.concat(
+                F.slice(found, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right,
+                F.slice(found, i + 2, F.size(found)))))
 
-    steps = F.when(F.length(s) > 0, F.sequence(F.lit(1), F.length(s))).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, s, step, lambda s: F.ltrim(s, F.lit(DONE)))
+        return _let(F.array_position(found, F.array_min(found)).cast("int"), put)
+
+    none = F.array().cast("array<string>")
+    steps = F.when(F.length(s) > 1, F.sequence(F.lit(1), F.length(s) - 1)).otherwise(F.array().cast("array<int>"))
+    pairs = state(s, F.transform(steps, lambda i: pair(s, i)))
+    return F.aggregate(steps, pairs, step, lambda now: now["s"])
 
 
 def _rank(piece: Column) -> Column:
@@ -167,6 +183,19 @@ class _Places(dict):
         return place
 
 
+def _written(df: DataFrame, name: str, by: str | None = None) -> str:
+    """``df`` written as zstd Parquet below the shared folder; its shuffle files go once it is there."""
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    folder, before = shared_folder(spark, name), spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        writer = df.write.option("compression", "zstd")
+        (writer.partitionBy(by) if by else writer).parquet(folder)
+    finally:
+        spark.conf.set(key, before)
+    return folder
+
+
 def chunks(docs: DataFrame, pattern: str) -> DataFrame:
     """Chunks of texts: row numbers, words of each, and all their words as places among the distinct ones.
 
@@ -203,16 +232,20 @@ def chunks(docs: DataFrame, pattern: str) -> DataFrame:
         if numbers:
             yield flush()
 
-    return docs.mapInArrow(run, CHUNK).withColumn("chunk", F.monotonically_increasing_id())
+    number = F.monotonically_increasing_id()  # the task's number above 33 bits of the chunk's place in it
+    place = number.bitwiseAND(F.lit((1 << 33) - 1))
+    known = F.when(place < CHUNKS, F.shiftright(number, 33) * CHUNKS + place).otherwise(
+        F.raise_error(F.lit(f"a task has over {CHUNKS} chunks of text")).cast("bigint"))
+    return docs.mapInArrow(run, CHUNK).withColumn("chunk", known)
 
 
-def dictionaries(chunked: DataFrame, ranks: Ranks) -> DataFrame:
-    """chunk, pos, pieces: each chunk's distinct words, encoded."""
-    words = chunked.select("chunk", F.posexplode("words").alias("pos", "word"))
-    # a chunk's number has its partition's above the lowest 33 bits
-    found = words.groupBy("word", F.floor(F.shiftright("chunk", 33) / SALT).alias("_salt")).agg(F.collect_list(F.struct("chunk", "pos")).alias("at"))
-    return found.select(encode_word(ranks, F.encode("word", "UTF-8")).alias("pieces"), F.explode("at").alias("at")) \
-        .select("at.chunk", "at.pos", "pieces")
+def encoded_words(chunked: DataFrame, ranks: Ranks) -> DataFrame:
+    """at, pieces: each chunk's distinct words, encoded; ``at`` holds the chunk and the word's place in it."""
+    words = chunked.select(F.posexplode("words").alias("pos", "word"), "chunk")
+    words = words.select("word", (F.col("chunk") * PLACES + F.col("pos")).alias("at"),
+                         F.floor(F.col("chunk") / (CHUNKS * SALT)).alias("_salt"))
+    found = words.groupBy("word", "_salt").agg(F.collect_list("at").alias("at"))
+    return found.select(encode_word(ranks, F.encode("word", "UTF-8")).alias("pieces"), F.explode("at").alias("at"))
 
 
 ENCODED = {
@@ -284,9 +317,13 @@ def encode_documents(docs: DataFrame, vocabulary: tuple[dict[bytes, int], str] |
     table, pattern = vocabulary or load()
     ranks = Ranks(table)
     spark = docs.sparkSession
-    chunked = written(chunks(docs.select(F.col(key).cast("bigint").alias("n"), "text"), pattern), "bpe-chunks")
-    folder = shared_folder(spark, "bpe-words")
-    dictionaries(chunked, ranks).repartition("chunk").write.partitionBy("chunk").parquet(folder)
+    texts = docs.select(F.col(key).cast("bigint").alias("n"), "text")
+    chunked = chunks(texts, pattern)
+    chunked = spark.read.schema(chunked.schema).parquet(_written(chunked, "bpe-chunks"))
+    words = encoded_words(chunked, ranks)
+    words = spark.read.schema(words.schema).parquet(_written(words, "bpe-words"))
+    words = words.select(F.floor(F.col("at") / PLACES).alias("chunk"), (F.col("at") % PLACES).cast("int").alias("pos"), "pieces")
+    folder = _written(words.repartition("chunk"), "bpe-dictionaries", by="chunk")
     pieces = [b""] * (max(table.values()) + 1)
     for k, r in table.items():
         pieces[r] = k

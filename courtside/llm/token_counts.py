@@ -61,6 +61,18 @@ class SegmentTree:
         pieces = SPLIT.findall(text)
         self._build([len(p) for p in pieces], [count[p] for p in pieces])
 
+    @classmethod
+    def restored(cls, text: str, chars: list[int], tokens: list[int], count: Counter) -> SegmentTree:
+        """A tree from the leaves of one that was kept: nothing is split or encoded."""
+        tree = cls.__new__(cls)
+        tree.count, tree.text, tree.reencoded = count, text, 0
+        tree._build(chars, tokens)
+        return tree
+
+    def runs(self) -> tuple[list[int], list[int]]:
+        """Characters and tokens of all pre-tokens in their order."""
+        return [c for x, _ in self.leaves for c in x], [t for _, x in self.leaves for t in x]
+
     def _build(self, chars: list[int], tokens: list[int]) -> None:
         self.leaves = [(chars[i:i + LEAF], tokens[i:i + LEAF]) for i in range(0, max(1, len(chars)), LEAF)]
         n = 1
@@ -189,6 +201,51 @@ def count_edited(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     return docs.select("doc_id", "text", "edits").mapInArrow(run, COUNTS)
 
 
+TREES = ("doc_id bigint, text string, chars array<int>, tokens array<int>, n_tokens bigint, n_reencoded bigint")
+
+
+def _trees(rows: DataFrame, ranks: dict[bytes, int], make) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary: a fixed size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = Counter(shared.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                out = []
+                for r in batch.slice(at, 500).to_pylist():
+                    tree = make(r, count)
+                    chars, tokens = tree.runs()
+                    out.append((r["doc_id"], tree.text, chars, tokens, tree.tokens, tree.reencoded))
+                types = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), types)],
+                                                 names=[x.split()[0] for x in TREES.split(", ")])
+
+    return rows.mapInArrow(run, TREES)
+
+
+def planted(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """A tree's leaves for each row of ``docs`` (doc_id, text), to be kept as a table and edited later.
+
+    A null text counts as empty; an empty table gives no rows; other columns are not read.
+    """
+    return _trees(docs.select("doc_id", "text"), ranks, lambda r, count: SegmentTree(r["text"] or "", count))
+
+
+def edited(trees: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """The kept ``trees`` after their ``edits`` (as of :func:`count_edited`), in the same columns.
+
+    Trees are built from their leaves: only regions that edits touch are split and encoded
+    again, however many batches came before. A row without edits stays as it is.
+    """
+    def make(r: dict, count: Counter) -> SegmentTree:
+        tree = SegmentTree.restored(r["text"] or "", r["chars"] or [], r["tokens"] or [], count)
+        for e in r["edits"] or []:
+            tree.edit(e["at"] or 0, e["drop"] or 0, e["put"] or "")
+        return tree
+
+    return _trees(trees.select("doc_id", "text", "chars", "tokens", "edits"), ranks, make)
+
+
 def derived_edits(docs: DataFrame) -> DataFrame:
     """``docs`` with three edits each, derived from the row: its beginning inserted at a place
     that its checksum gives, a stretch dropped at another, and its end replaced."""

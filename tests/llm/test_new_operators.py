@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 import tiktoken
 
-from courtside.llm import bpe, repair, setsketch, toxicity, unigram, warc, whitening
+from courtside.llm import bpe, repair, setsketch, token_counts, toxicity, unigram, warc, whitening
 from courtside.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -221,7 +221,7 @@ def test_bpe_of_awkward_texts(spark, library):
         ((None if i == 3 else i % 30, library.encode_ordinary(t or "")) for i, t in enumerate(texts)), key=key)
     assert all(r.n_tokens == len(r.ids) for r in rows)
     ranks = bpe.Ranks(bpe.load()[0])
-    back = bpe.encode_documents(df).select(bpe.decode(ranks, "ids").alias("t")).collect()
+    back = spark.createDataFrame([(r.ids,) for r in rows], "ids array<int>").select(bpe.decode(ranks, "ids").alias("t")).collect()
     assert sorted(bytes(r.t).decode() for r in back) == sorted(t or "" for t in texts)
     assert bpe.encode_documents(df.where("1 = 0")).count() == 0
 
@@ -296,3 +296,33 @@ def test_caches_of_texts_without_blanks_are_bounded():
     hashes = setsketch.WordHashes()
     hashes[b"x" * 1000]
     assert not hashes and hashes[b"x"] and len(hashes) == 1
+
+
+def test_kept_trees_take_batch_after_batch(spark, library):
+    r = random.Random(8)
+    texts = [None, "", "one two three " * 400, "a\n\nb  c" * 50, "é日 x" * 200]
+    trees = token_counts.planted(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), token_counts.load_ranks())
+    now = [t or "" for t in texts]
+    for _ in range(2):
+        edits = [[(r.randint(0, 900), r.randint(0, 30), r.choice(["", " new words", "x", "  "])) for _ in range(3)] for _ in texts]
+        batch = spark.createDataFrame(list(enumerate(edits)), "doc_id bigint, edits array<struct<at: int, drop: int, put: string>>")
+        trees = token_counts.edited(trees.join(batch, "doc_id"), token_counts.load_ranks())
+        rows = {x.doc_id: x for x in trees.collect()}
+        for i, (text, es) in enumerate(zip(now, edits)):
+            for at, drop, put in es:
+                at = min(at, len(text))
+                text = text[:at] + put + text[at + drop:]
+            now[i] = text
+            assert rows[i].text == text and sum(rows[i].tokens) == rows[i].n_tokens == len(library_of_counts(text))
+            assert "".join(text[a:b] for a, b in zip(np.cumsum([0, *rows[i].chars]), np.cumsum(rows[i].chars))) == text
+        assert rows[2].n_reencoded < 60 < len(rows[2].chars)  # of 1200 words only those around edits
+
+
+def library_of_counts(text):
+    table = token_counts.load_ranks()
+    if "counts" not in _ENCODINGS:
+        _ENCODINGS["counts"] = tiktoken.Encoding("c", pat_str=token_counts.PATTERN, mergeable_ranks=table, special_tokens={})
+    return _ENCODINGS["counts"].encode_ordinary(text)
+
+
+_ENCODINGS = {}
