@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import numbered, read, same, written
+from courtside.llm.common import numbered, read, written
 
 #: Rows of a conversation that are searched at once, and blocks that are joined at once.
 BLOCK, FAN = 256, 32

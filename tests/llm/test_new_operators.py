@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 import tiktoken
 
-from courtside.llm import bpe, repair, setsketch, token_counts, toxicity, unigram, warc, whitening
+from courtside.llm import bpe, licences, repair, setsketch, token_counts, toxicity, unigram, warc, whitening
 from courtside.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -326,3 +326,62 @@ def library_of_counts(text):
 
 
 _ENCODINGS = {}
+
+
+# licence scan: plain Python over whole documents
+
+def plain_canonical(text):
+    import regex
+    t = regex.sub(licences.COPYRIGHT_LINE, " ", (text or "").lower(), flags=regex.A)
+    some = "|".join(sorted({v.replace(" ", r"\s+") for v, _ in licences.SPELLINGS}))
+    if regex.search(some, t, flags=regex.A):
+        t = regex.sub(r"\s+", " ", t, flags=regex.A)
+        for variant, usual in licences.SPELLINGS:
+            t = t.replace(variant, usual)
+    return regex.sub(r"[^\p{L}\p{N}]+", " ", t).strip(" ")
+
+
+def plain_parts(text):
+    import regex
+    return regex.split(r"\n(?:[^\p{L}\p{N}\n]*\n)+", regex.sub(r"\r\n?", "\n", text))
+
+
+def plain_digest(canonical):
+    import regex
+    return regex.sub(licences.NOTICE, "notice: ", canonical)
+
+
+def test_licence_scan_equals_plain_digests(spark, tmp_path):
+    import regex
+    known = [(r.licence, r.text) for r in licences.known_licences(spark).collect()]
+    whole, single, several = {}, {}, {}
+    for name, text in known:
+        c = plain_canonical(text)
+        whole[c] = min(name, whole.get(c, name))
+        parts = plain_parts(text)
+        for p in parts:
+            c = plain_canonical(p)
+            if len(parts) == 1:
+                single.setdefault(plain_digest(c), set()).add(name)
+            elif any(a in c for a in licences.ANCHORS) and len(c) >= licences.PART_CHARS:
+                several.setdefault(c, set()).add(name)
+    looked = {d: set(names) for d, names in single.items() if d}
+    for c, names in several.items():
+        if len(names) == 1:
+            looked.setdefault(plain_digest(c), set()).update(f"part:{n}" for n in names)
+    looked = {d: min(names) for d, names in looked.items()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    rows = [(d.doc_id, d.text) for d in docs] + [(-1, licences.KNOWN["MIT"].upper()), (-2, "Head.\n\n" + known[0][1] + "\n\nTail")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licences.scan(df, licences.known_licences(spark)).collect()}
+    assert len(got) == len(rows) and got[-1].licence == "MIT" and got[-2].notices
+    seen = 0
+    for i, text in rows:
+        c = plain_canonical(text)
+        assert got[i].canonical_sha256 == hashlib.sha256(c.encode()).hexdigest()
+        assert got[i].licence == (whole.get(c) if c else None)
+        units = regex.split(r"\r\n?|\n", text or "") + plain_parts(text or "")
+        names = {looked.get(plain_digest(plain_canonical(u))) for u in units} - {None}
+        assert got[i].notices == sorted(names)
+        seen += bool(names)
+    assert seen > 2
