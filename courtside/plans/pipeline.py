@@ -24,6 +24,7 @@ from courtside.plans.warehouse import dated
 from courtside.sources import api_pages, snapshots
 from courtside.sources.csv_tables import optional, read_aliases
 from courtside.sources.fixture import DEFAULT_PARAMS, FixtureParams, alias_frame
+from courtside.sources.tables import replace_table
 from courtside.streaming import landing, state
 
 log = logging.getLogger(__name__)
@@ -54,14 +55,6 @@ class PipelineResult:
     failed_exports: dict = field(default_factory=dict)  # what stopped an export, by name
 
 
-def _overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
-
-
 def _read_pages(spark: SparkSession, landing_dir: str, name: str, schema) -> DataFrame:
     """Landed pages; of a game, team or player season that landed more than once the latest page counts."""
     if name == "games":
@@ -130,12 +123,12 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
             raise Q.QualityError(f"{name}: expected columns {absent} are missing; load aborted")
         if enforce_keys and name in PRIMARY_KEYS:
             enforce_primary_key(df, PRIMARY_KEYS[name], name)
-        raw[name] = _overwrite(df, f"{out}/raw/{name}")
+        raw[name] = replace_table(df, f"{out}/raw/{name}")
         res.paths[f"raw/{name}"] = f"{out}/raw/{name}"
     if layout == "pages" and "player_stats" in raw:
         pages = api_pages.read_pages(spark, f"{landing_dir.rstrip('/')}/player_stats",
                                      schemas.PLAYER_STATS_PAGE, mode="PERMISSIVE")
-        bad = _overwrite(api_pages.rejected_pages(pages), f"{out}/quarantine/player_stats")
+        bad = replace_table(api_pages.rejected_pages(pages), f"{out}/quarantine/player_stats")
         res.rejected["player_stats"] = bad.count()
         if res.rejected["player_stats"]:
             log.warning("%d player pages are no valid pages: see %s/quarantine/player_stats",
@@ -147,7 +140,7 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
     log.info("load: %s", res.profile)
     if res.profile["null_scores"]:
         log.warning("%d completed games without scores", res.profile["null_scores"])
-    elo = _overwrite(models.raw_elo(raw["games"]), f"{out}/raw/elo")
+    elo = replace_table(models.raw_elo(raw["games"]), f"{out}/raw/elo")
 
     # staging (views) and marts (tables)
     aliases = (read_aliases(spark, aliases_path) if aliases_path else
@@ -158,12 +151,12 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
     summary = models.side_summary(stg_games)
     stg_teams = models.stg_teams(summary, resolved, alias_rows, params.activity_as_of)
     now = F.current_timestamp().alias("last_updated")
-    dim = _overwrite(models.dim_teams(summary, resolved, alias_rows, params.activity_as_of,
+    dim = replace_table(models.dim_teams(summary, resolved, alias_rows, params.activity_as_of,
                                       params.eastern, params.western)
                      .select("*", now), f"{out}/marts/dim_teams")
     facts, seen = observed.observed(models.fct_games(stg_games, resolved, alias_rows, extra=("neutral",))
                                     .select("*", now).transform(dated, "game_date", "season"))
-    fct = _overwrite(facts, f"{out}/marts/fct_games", partition_by=["season"])
+    fct = replace_table(facts, f"{out}/marts/fct_games", partition_by=["season"])
     dim_rows = dim.count()
     counts = seen.get  # taken by the write
     res.row_counts.update(dim_teams=dim_rows, fct_games=counts["rows"])
@@ -172,7 +165,7 @@ def run_pipeline(spark: SparkSession, landing_dir: str, out_dir: str,
 
     # tests between marts and exports; the three per-game rules share one
     # aggregate of the fact, written once
-    per_game = _overwrite(C.per_game_summary(fct), f"{out}/checks/per_game")
+    per_game = replace_table(C.per_game_summary(fct), f"{out}/checks/per_game")
     found = {
         "not_null": C.not_null_report({"stg_games": stg_games, "stg_teams": stg_teams,
                                        "dim_teams": dim} | scanned("not_null"))

@@ -58,3 +58,26 @@ def write_bucketed(df: DataFrame, name: str, partition_by: list[str], bucket_by:
     (df.repartition(buckets, bucket_by).write.format("parquet").partitionBy(*partition_by)
      .bucketBy(buckets, bucket_by).sortBy(sort_by).option("path", path).saveAsTable(table))
     return WrittenTable(path, spark.table(table).select(*df.columns))
+
+
+def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    """``df`` written beside ``path`` and put in its place once it is whole; read back.
+
+    A run that dies while it writes leaves the old table as it was; the folders change
+    places by renaming, so a reader finds the old or the new one.
+    """
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    new, old = f"{path}__new", f"{path}__old"
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(new)
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    store = as_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(as_path(old), True)
+    if store.exists(as_path(path)) and not store.rename(as_path(path), as_path(old)):
+        raise OSError(f"{path} can't be moved aside")
+    if not store.rename(as_path(new), as_path(path)):
+        store.rename(as_path(old), as_path(path))
+        raise OSError(f"{new} can't take the place of {path}")
+    store.delete(as_path(old), True)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

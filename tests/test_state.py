@@ -221,3 +221,15 @@ def test_reports_with_a_selection(spark, scratch):
     assert report(spark, out, "win_rate", **pick).select("team_id").distinct().count() <= 2
     west = report(spark, out, "games", conference="Western")
     assert {r.conference for r in west.select("conference").distinct().collect()} <= {"Western"}
+
+
+def test_a_write_that_dies_leaves_the_old_table(spark, scratch):
+    from courtside.sources.tables import replace_table
+    path = f"{scratch}/t/games"
+    replace_table(spark.range(10).withColumn("p", F.col("id") % 2), path, ["p"])
+    broken = spark.range(20).withColumn("p", F.when(F.col("id") == 19, F.raise_error(F.lit("dead")).cast("long")).otherwise(1))
+    with pytest.raises(Exception, match="dead"):
+        replace_table(broken, path, ["p"])
+    assert spark.read.parquet(path).count() == 10
+    assert replace_table(spark.range(5).withColumn("p", F.lit(1)), path, ["p"]).count() == 5
+    assert sorted(os.listdir(f"{scratch}/t")) == ["games"]
