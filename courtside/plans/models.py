@@ -1,7 +1,7 @@
 """The transformation models: raw.elo -> stg_games -> stg_teams / fct_games / dim_teams.
 
 Each function takes and returns DataFrames; nothing is collected. Lookups
-(aliases, the team map) are joined by broadcast behind a row-count check;
+(aliases, the team map) are joined as their bytes decide;
 the game table itself is never broadcast or shuffled except by aggregation,
 which Spark pre-aggregates map-side.
 """
@@ -268,7 +268,7 @@ def dim_teams_as_written(teams: DataFrame, performance: DataFrame, eastern,
 def fct_games(games: DataFrame, resolved: DataFrame, alias_rows: int, extra: tuple = ()) -> DataFrame:
     """One row per team per game with outcome, expectation and impact labels (and, as ``extra``, ``neutral``).
 
-    Both team ids are resolved on the game row (two broadcast lookups), then
+    Both team ids are resolved on the game row (two lookups), then
     the row is exploded into its home and away perspectives - one scan, no
     shuffle anywhere in this model.
     """

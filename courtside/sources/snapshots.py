@@ -1,8 +1,8 @@
 """Timestamped snapshots with a "latest" pointer (CSV raw data and CSV exports).
 
 A snapshot is appended as a ``snapshot_ts=...`` partition of one dataset;
-after the write commits, a one-row pointer naming that partition replaces
-the previous one. Readers go through the pointer, so a half-written
+after the write commits, a one-row pointer naming that partition is added, and
+the pointer with the largest stamp counts. Readers go through the pointers, so a half-written
 snapshot is never read, and the partition filter prunes every older
 snapshot at listing time (no scan of old data to find the newest).
 """
