@@ -49,8 +49,8 @@ BUCKETS = 1 << 16
 #: Bytes that are folded at once, and the pieces before them that are merged anew.
 BLOCK, AGAIN = 64, 8
 #: Characters of text in a chunk; a longer text is a chunk of its own.
-CHUNK_CHARS = 16_000_000
-#: Chunks a task may have (32 billion characters) and words a chunk may have: both and the task's
+CHUNK_CHARS = 32_000_000
+#: Chunks a task may have (64 billion characters) and words a chunk may have: both and the task's
 #: number share 64 bits.
 CHUNKS, PLACES = 1 << 11, 1 << 30
 #: Tasks whose chunks' occurrences of a word are one group.
@@ -175,6 +175,15 @@ def decode(ranks: Ranks, ids: Column) -> Column:
 CHUNK = "docs array<bigint>, sizes array<int>, codes binary, words array<string>"
 
 
+def _planes(codes: np.ndarray) -> bytes:
+    """The first bytes of all codes, then the second ones, ...: they pack better than whole codes."""
+    return np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unplanes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+
+
 class _Places(dict):
     """Places of words in the order in which they come."""
 
@@ -208,7 +217,7 @@ def chunks(docs: DataFrame, pattern: str) -> DataFrame:
         def flush() -> pa.RecordBatch:
             nonlocal places, held
             sizes = [len(c) for c in codes]
-            packed = zstandard.ZstdCompressor(level=3).compress(np.concatenate(codes).tobytes())
+            packed = zstandard.ZstdCompressor(level=3).compress(_planes(np.concatenate(codes)))
             row = pa.RecordBatch.from_arrays(
                 [pa.array([numbers], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
                  pa.array([packed], pa.binary()), pa.array([list(places)], pa.list_(pa.string()))],
@@ -240,12 +249,12 @@ def chunks(docs: DataFrame, pattern: str) -> DataFrame:
 
 
 def encoded_words(chunked: DataFrame, ranks: Ranks) -> DataFrame:
-    """at, pieces: each chunk's distinct words, encoded; ``at`` holds the chunk and the word's place in it."""
+    """pieces, at: words, encoded, and where they are; each of ``at`` holds a chunk and the word's place in it."""
     words = chunked.select(F.posexplode("words").alias("pos", "word"), "chunk")
     words = words.select("word", (F.col("chunk") * PLACES + F.col("pos")).alias("at"),
                          F.floor(F.col("chunk") / (CHUNKS * SALT)).alias("_salt"))
     found = words.groupBy("word", "_salt").agg(F.collect_list("at").alias("at"))
-    return found.select(encode_word(ranks, F.encode("word", "UTF-8")).alias("pieces"), F.explode("at").alias("at"))
+    return found.select(encode_word(ranks, F.encode("word", "UTF-8")).alias("pieces"), "at")
 
 
 ENCODED = {
@@ -281,7 +290,7 @@ def _assemble(chunked: DataFrame, folder: str, pieces: list[bytes], out: str) ->
                 if len(words) != row["n_words"] or any(w is None for w in words):
                     raise RuntimeError(f"chunk {row['chunk']}: its dictionary is not whole")
                 count = np.array([len(w) for w in words] or [0], np.int64)
-                codes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["codes"]), np.uint32)
+                codes = _unplanes(zstandard.ZstdDecompressor().decompress(row["codes"]))
                 ends = np.cumsum(row["sizes"])
                 if out == "digests":
                     text = [",".join(map(str, w.tolist())).encode() for w in words]
@@ -322,7 +331,8 @@ def encode_documents(docs: DataFrame, vocabulary: tuple[dict[bytes, int], str] |
     chunked = spark.read.schema(chunked.schema).parquet(_written(chunked, "bpe-chunks"))
     words = encoded_words(chunked, ranks)
     words = spark.read.schema(words.schema).parquet(_written(words, "bpe-words"))
-    words = words.select(F.floor(F.col("at") / PLACES).alias("chunk"), (F.col("at") % PLACES).cast("int").alias("pos"), "pieces")
+    words = words.select("pieces", F.explode("at").alias("at")).select(
+        F.shiftright("at", 30).alias("chunk"), (F.col("at") % PLACES).cast("int").alias("pos"), "pieces")
     folder = _written(words.repartition("chunk"), "bpe-dictionaries", by="chunk")
     pieces = [b""] * (max(table.values()) + 1)
     for k, r in table.items():
