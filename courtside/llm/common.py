@@ -34,6 +34,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return write_and_read(df, f"llm/{name}").df
 
 
+def written_alone(df: DataFrame, name: str) -> DataFrame:
+    """`written`, whose shuffle files go once the table is there."""
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below spark.checkpoint.dir for files that tasks write themselves."""
     return scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex[:6]}")

@@ -1,19 +1,28 @@
 """Interpolated modified Kneser-Ney language model of any order from 2, counted in Spark.
 
+Vocabulary. Each task sends the distinct word hashes of its training texts and
+their counts to the shards, ranges of hashes. A shard ranks its words by falling count
+and writes them as a sorted array; a word's id is its rank times the number of
+shards plus its shard, so frequent words have small ids and pack well.
+
 Counting. Each task packs the n-grams of its training texts (each text after
-order - 1 start tokens) into blocks, one for each shard of the key space: a
-bigram's 64-bit key is a mix of its words' hashes, a longer one's of its
+order - 1 start tokens) as ids into blocks, one for each shard of the key space: a
+bigram's 64-bit key is a mix of its words' ids, a longer one's of its
 prefix's key and its last word. Bigrams are dealt by their own key, so a
 hot word's are spread over all shards, longer ones by their prefix, so all that
 follows one context meets. A shard's blocks are merged and written as a sorted
 array of keys and counts below spark.checkpoint.dir; from it follow the blocks
-of the next shorter n-grams: in how many n-grams each is the suffix (its
-continuation count, which takes the place of its count below the highest
+of the next shorter n-grams, down to single words: in how many n-grams each is the
+suffix (its continuation count, which takes the place of its count below the highest
 order), and as a context the sum of the counts that follow and how many are 1,
 2, 3 and more. Of contexts followed by one n-gram of count 1, all but those of
 a start token, nothing is kept: every known n-gram is such a context unless
 other figures are stored, but for those that end a text, which no token follows.
 
+Disk. Blocks of shorter n-grams are written before they are merged, and the shuffle
+files of each write go once it is there. They are shuffled and merged in `PASSES` parts
+of the shards, so the shuffle files of one part only lie beside them at a time.
+
 Model. With the discounts D1, D2, D3+ of the count-of-counts n1..n4 of each
 order, h the words before w and h' those without the first,
 
@@ -37,21 +46,29 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import read, shared_folder, written
+from courtside.llm.common import read, shared_folder, written_alone
 from courtside.llm.files import filesystem, memory_map
-from courtside.llm.setsketch import WordHashes
+from courtside.llm.setsketch import scramble
 
 START, END = b"\x20s", b"\x20e"   # no word holds a blank
 #: Tokens a task gathers before it packs them (bounds a worker's memory).
-GATHER = 2_000_000
-#: Bytes of documents (as Spark's files have them) for each shard of n-grams.
-SHARD_BYTES = 8 << 20
+GATHER = 3_000_000
+#: Characters of texts that are split at once.
+SPLIT = 3_000_000
+#: Bytes of texts for each shard of n-grams.
+SHARD_BYTES = 24 << 20
+#: Parts in which blocks of shorter n-grams are shuffled and merged.
+PASSES = 3
 #: Words of the registered model's longest n-grams.
 ORDER = 3
+#: Stands for every word that the training texts don't have; far from any id, as are its multiples.
+UNKNOWN = np.uint64(0x9FB21C651E98DF25)
 
 P, Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd, so that products lose nothing
 S32 = np.uint64(32)
@@ -67,20 +84,56 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
 
 
+HASHES = np.array([xxhash.xxh3_64_intdigest(x) for x in (START, END)], np.uint64)
+
+
+def coded(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`tokens` of all texts after order - 1 start tokens each: hashes, the run of places among them, tokens of each.
+
+    START is at place 0, END at 1.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten()
+    real = np.concatenate([[0], np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False) > 0)])
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    sizes = np.diff(real[ends], prepend=0)  # blanks at either end of a text leave empty pieces
+    words = words.filter(pc.greater(pc.binary_length(words), 0)).dictionary_encode()
+    distinct = words.dictionary.cast(pa.binary()).to_pylist()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+    place = words.indices.to_numpy(zero_copy_only=False)
+    starts = np.cumsum(sizes + order) - sizes - 1  # a text's first token
+    run = np.zeros(len(place) + order * len(sizes), np.int32)
+    run[starts + sizes] = 1
+    run[np.arange(len(place)) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)] = place + 2
+    return np.concatenate([HASHES, hashes]), run, sizes + 1
+
+
+def slices(texts: pa.Array, bound: int = SPLIT) -> Iterator[pa.Array]:
+    """Consecutive texts of about ``bound`` bytes, a longer text by itself."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    part = (np.cumsum(sizes) - sizes) // bound
+    cut = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+    for a, b in zip(cut, cut[1:]):
+        if b > a:
+            yield texts.slice(a, b - a)
+
+
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     """Shards are ranges of keys."""
     return ((keys >> S32) * np.uint64(shards) >> S32).astype(np.int64)
 
 
 def gram_keys(words: list[np.ndarray]) -> np.ndarray:
-    """Keys of n-grams given as a column for each place; of single words their hashes."""
-    key = words[0]
+    """Keys of n-grams given as a column of ids for each place; of single words their ids."""
+    key = words[0].astype(np.uint64)
     for w in words[1:]:
-        key = pair_keys(key, w)
+        key = pair_keys(key, w.astype(np.uint64))
     return key
 
 
-def gram_shards(prefix: np.ndarray, keys: np.ndarray, level: int, shards: int) -> np.ndarray:
+def gram_shards(prefix: np.ndarray | None, keys: np.ndarray, level: int, shards: int) -> np.ndarray:
+    if level == 1:
+        return (keys % np.uint64(shards)).astype(np.int64)
     return shard_of(keys if level == 2 else prefix, shards)
 
 
@@ -89,15 +142,11 @@ def _starts(key: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
 
 
-def _merge(words: list[np.ndarray], values: list[np.ndarray]):
-    """Sorted keys of the distinct n-grams, their words and the sums of their values."""
-    keys = gram_keys(words)
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = _starts(keys)
-    at = order[first]
-    return keys[first], [w[at] for w in words], [
-        np.add.reduceat(v[order], first) if len(first) else v for v in values]
+def _sums(key: np.ndarray, *values: np.ndarray):
+    """Where each distinct key is and the sums of each of ``values`` by key."""
+    order = np.argsort(key)
+    first = _starts(key[order])
+    return order[first], [np.add.reduceat(v[order], first, dtype=np.int64) if len(first) else v for v in values]
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -110,197 +159,351 @@ def _unplanes(raw: bytes, kind: str, n: int, at: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel()
 
 
-def _pack(words: list[np.ndarray], values: list[np.ndarray]) -> tuple[int, int, str, bytes]:
-    """Rows, different words, types and packed columns of a block: the words as ids, in their order."""
-    known, ids = np.unique(np.concatenate(words), return_inverse=True)
-    ids = ids.astype(np.min_scalar_type(len(known))).reshape(len(words), -1)
-    order = np.lexsort(ids[::-1])
-    columns = [*[i[order] for i in ids], *[v[order].astype(np.min_scalar_type(int(v.max()))) for v in values]]
-    raw = known.tobytes() + b"".join(map(_planes, columns))
-    return (len(order), len(known), "".join(c.dtype.char for c in columns),
-            zstandard.ZstdCompressor(level=1).compress(raw))
+def _pack(columns: list[np.ndarray]) -> tuple[int, str, bytes]:
+    """Rows, types and packed columns of a block; the first column rises and is kept as its steps."""
+    columns = [c.astype(np.min_scalar_type(int(c.max()))) for c in columns]
+    columns[0] = np.diff(columns[0], prepend=columns[0].dtype.type(0))
+    return (len(columns[0]), "".join(c.dtype.char for c in columns),
+            zstandard.ZstdCompressor(level=1).compress(b"".join(map(_planes, columns))))
 
 
-def _unpack(n: int, known: int, kinds: str, data: bytes, level: int):
-    """Words and values (of type int64) of a block."""
+def _unpack(n: int, kinds: str, data: bytes) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(data)
-    words, at, columns = np.frombuffer(raw, np.uint64, known), 8 * known, []
+    columns, at = [], 0
     for kind in kinds:
         columns.append(_unplanes(raw, kind, n, at))
         at += n * np.dtype(kind).itemsize
-    return [words[c] for c in columns[:level]], [c.astype(np.int64) for c in columns[level:]]
+    return [np.cumsum(columns[0], dtype=columns[0].dtype), *columns[1:]]
 
 
-BLOCK = ("shard int, n bigint, known bigint, kinds string, data binary, "
-         "file string, level int, sizes array<bigint>")
-WORDS = "word bigint, count bigint, as_context bigint, n1 bigint, n2 bigint, n3 bigint, follows bigint"
-MERGED = WORDS + ", shard int, file string, level int, sizes array<bigint>"
+BLOCK = "shard int, n bigint, kinds string, data binary, file string, level int, sizes array<bigint>"
 
 
-def _rows(schema: str, n: int, /, **columns) -> pa.RecordBatch:
-    """A batch of the columns of ``schema``; those not given are null."""
+def _rows(n: int, /, **columns) -> pa.RecordBatch:
+    """A batch of the columns of `BLOCK`; those not given are null."""
     kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(),
              "array<bigint>": pa.list_(pa.int64())}
-    fields = [f.split() for f in schema.split(", ")]
+    fields = [f.split() for f in BLOCK.split(", ")]
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f], kinds[k]) if f in columns else pa.nulls(n, kinds[k]) for f, k in fields],
         names=[f for f, _ in fields])
 
 
-def _blocks(words: list[np.ndarray], values: list[np.ndarray], shards: int) -> Iterator[pa.RecordBatch]:
-    """The distinct n-grams of ``words`` and the sums of their values, a block for each shard."""
-    keys, words, values = _merge(words, values)
-    if not len(keys):
-        return
-    shard = gram_shards(gram_keys(words[:-1]), keys, len(words), shards)
-    order = np.argsort(shard, kind="stable")
+def _blocks(shard: np.ndarray, columns: list[np.ndarray], shards: int) -> Iterator[pa.RecordBatch]:
+    """A block for each shard of the rows of ``columns``, whose first column rises."""
+    order = np.argsort(shard.astype(np.min_scalar_type(shards)), kind="stable")
     cut = np.searchsorted(shard[order], np.arange(shards + 1))
     found = []
-    for s in range(shards):
-        if cut[s + 1] > cut[s]:
-            own = order[cut[s]:cut[s + 1]]
-            found.append((s, *_pack([w[own] for w in words], [v[own] for v in values])))
-    yield _rows(BLOCK, len(found), **{c: [f[i] for f in found]
-                                      for i, c in enumerate(("shard", "n", "known", "kinds", "data"))})
-
-
-def gram_blocks(texts: DataFrame, shards: int, order: int) -> DataFrame:
+    for s in np.flatnonzero(np.diff(cut)).tolist():
+        own = order[cut[s]:cut[s + 1]]
+        found.append((s, *_pack([c[own] for c in columns])))
+    if found:
+        yield _rows(len(found), **{c: [f[i] for f in found] for i, c in enumerate(("shard", "n", "kinds", "data"))})
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted distinct hashes and the run of places among them, for about `GATHER` tokens at a time."""
+    held, n = [], 0
+
+    def whole():
+        known, place = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+        at = np.cumsum([0, *[len(h) for h, _ in held]])
+        return known, np.concatenate([place[a + run] for a, (_, run) in zip(at, held)])
+
+    for batch in batches:
+        for texts in slices(batch.column(0)):
+            hashes, run, _ = coded(texts, order)
+            held.append((hashes, run))
+            n += len(run)
+            if n >= GATHER:
+                yield whole()
+                held, n = [], 0
+    if held:
+        yield whole()
+
+
+def word_blocks(texts: DataFrame, shards: int) -> DataFrame:
+    """Hashes and counts of distinct tokens; the start token has count 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        start = np.uint64(hashes[START])
-        before = np.full(order - 1, start)
-        ws, held = [], 0
-
-        def flush():
-            nonlocal held
-            run = np.concatenate(ws)
-            ws.clear()
-            held = 0
-            whole = np.flatnonzero(run[order - 1:] != start)
-            yield from _blocks([run[whole + i] for i in range(order)], [np.ones(len(whole), np.int64)], shards)
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                for t in batch.column(0).slice(at, 256).to_pylist():
-                    words = tokens(t)
-                    ws += [before, np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))]
-                    held += len(words)
-                    if held >= GATHER:
-                        yield from flush()
-        if held:
-            yield from flush()
+        for known, places in _gathered(batches, 2):
+            counts = np.bincount(places, minlength=len(known))
+            counts[known == HASHES[0]] = 0
+            yield from _blocks(shard_of(known, shards), [known, counts], shards)
 
     return texts.mapInArrow(run, BLOCK)
 
 
-def _sums(key: np.ndarray, *values: np.ndarray):
-    """Where each distinct key is and the sums of each of ``values`` by key."""
-    order = np.argsort(key, kind="stable")
-    first = _starts(key[order])
-    return order[first], [np.add.reduceat(v[order], first) if len(first) else v for v in values]
+def _narrow(x: np.ndarray) -> list[np.ndarray]:
+    """Values below 255 as bytes, the places of others and these apart."""
+    large = np.flatnonzero(x >= 255)
+    return [np.minimum(x, 255).astype(np.uint8), large, x[large].astype(np.int64)]
 
 
-def _write_grams(folder: str, name: str, keys: np.ndarray, counts: np.ndarray, contexts: list[np.ndarray]) -> list[int]:
-    """Write a shard as `Grams` reads it: counts over 254 and contexts' figures apart from the rest."""
-    large = np.flatnonzero(counts >= 255)
-    stored = np.flatnonzero(contexts[0] > 0) if contexts else np.empty(0, np.int64)
-    figures = np.column_stack([c[stored] for c in contexts]) if contexts else np.empty((0, 4), np.int64)
-    figures = figures.astype(np.min_scalar_type(int(figures.max())) if figures.size else np.uint8)
+def _flags(at: np.ndarray, n: int) -> list[np.ndarray]:
+    """A bit for each of ``n`` places, and how many are set before each 64 of them."""
+    bits = np.zeros((n >> 6) + 1 << 6, bool)
+    bits[at] = True
+    words = np.packbits(bits, bitorder="little").view(np.uint64)
+    return [words, np.cumsum(np.bitwise_count(words), dtype=np.uint32) - np.bitwise_count(words)]
+
+
+def _write(folder: str, name: str, parts: list[np.ndarray]) -> list[int]:
+    """Write arrays one after the other, each from a multiple of 8 bytes; their lengths."""
     store, path = filesystem(folder)
     store.create_dir(path, recursive=True)
     with store.open_output_stream(f"{path}/{name}") as out:
-        for x in (keys, large, counts[large], figures, stored.astype(np.uint32),
-                  np.minimum(counts, 255).astype(np.uint8)):
+        for x in parts:
             for at in range(0, len(x), 1 << 20):
                 out.write(x[at:at + (1 << 20)].tobytes())
-    return [len(keys), len(large), len(stored), figures.itemsize]
+            out.write(bytes(-x.nbytes % 8))
+    return [len(x) for x in parts]
+
+
+class Parts:
+    """A memory-mapped file of `_write`."""
+
+    def __init__(self, folder: str, name: str, sizes: list[int]):
+        self.raw, self.at, self.sizes = memory_map(folder, name, np.uint8), 0, list(sizes)
+
+    def take(self, kind) -> np.ndarray:
+        size = np.dtype(kind).itemsize * self.sizes.pop(0)
+        part = self.raw[self.at:self.at + size].view(kind)
+        self.at += size + -size % 8
+        return part
+
+
+class Narrow:
+    def __init__(self, parts: Parts):
+        self.small, self.large, self.values = parts.take(np.uint8), parts.take(np.int64), parts.take(np.int64)
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        out = self.small[at].astype(np.int64)
+        large = np.flatnonzero(out == 255)
+        if len(large):
+            out[large] = self.values[np.searchsorted(self.large, at[large])]
+        return out
+
+
+class Flags:
+    def __init__(self, parts: Parts):
+        self.words, self.before = parts.take(np.uint64), parts.take(np.uint32)
+
+    def places(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``at`` are set, and their places among all that are."""
+        word, bit = self.words[at >> 6], (at & 63).astype(np.uint64)
+        own = np.flatnonzero(word >> bit & np.uint64(1))
+        low = np.bitwise_count(word[own] & ((np.uint64(1) << bit[own]) - np.uint64(1)))
+        return own, self.before[at[own] >> 6].astype(np.int64) + low
+
+
+def _file(kind: str, shard: int, level: int, folder: str, parts: list[np.ndarray], figures: list[int]) -> pa.RecordBatch:
+    name = f"{kind}-{shard}-{uuid.uuid4().hex}"
+    sizes = _write(folder, name, parts)
+    return _rows(1, shard=[shard], file=[name], level=[level], sizes=[[*figures, *sizes]])
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+    """The columns of all blocks, one after the other."""
+    blocks = [_unpack(r["n"], r["kinds"], r["data"]) for b in batches
+              for r in b.select(["n", "kinds", "data"]).to_pylist()]
+    return [np.concatenate([b[i] for b in blocks]) for i in range(len(blocks[0]))]
+
+
+def write_vocabulary(blocks: DataFrame, folder: str) -> DataFrame:
+    """Write each shard's words: sorted hashes, their ranks by falling count, counts by rank.
+
+    Figures: the start token's rank (-1 elsewhere), tokens, distinct tokens.
+    """
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = _merged(batches)
+        at, (counts,) = _sums(hashes, counts)
+        hashes = hashes[at].astype(np.uint64)
+        by = np.argsort(-counts, kind="stable")
+        ranks = np.empty(len(by), np.uint32)
+        ranks[by] = np.arange(len(by))
+        start = ranks[hashes == HASHES[0]].tolist()
+        yield _file("words", key[0].as_py(), 0, folder, [hashes, ranks, *_narrow(counts[by])],
+                    [*(start or [-1]), int(counts.sum()), int((counts > 0).sum())])
+
+    return blocks.groupBy("shard").applyInArrow(run, BLOCK)
+
+
+class Words:
+    """Memory-mapped shards of the vocabulary."""
+
+    def __init__(self, folder: str, files: list[tuple[str, int, list[int]]], shards: int):
+        self.shards, self.files = shards, {}
+        for name, shard, sizes in files:
+            parts = Parts(folder, name, sizes[3:])
+            self.files[shard] = parts.take(np.uint64), parts.take(np.uint32), Narrow(parts)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of sorted distinct hashes."""
+        ids, counts = np.full(len(hashes), UNKNOWN), np.zeros(len(hashes), np.int64)
+        cut = np.searchsorted(shard_of(hashes, self.shards), np.arange(self.shards + 1))
+        for s, (keys, ranks, count) in self.files.items():
+            wanted = hashes[cut[s]:cut[s + 1]]
+            if len(wanted):
+                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                own = np.flatnonzero(keys[at] == wanted)
+                rank = ranks[at[own]].astype(np.int64)
+                ids[cut[s] + own] = rank * self.shards + s
+                counts[cut[s] + own] = count[rank]
+        return ids, counts
+
+
+def _distinct(columns: list[np.ndarray], bits: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of ``columns`` of ``bits`` bits in rising order, and how often each is there."""
+    code, width, tables = columns[0].astype(np.uint64), bits, []
+    for c in columns[1:]:
+        if width + bits > 64:  # places among the distinct prefixes take fewer bits
+            table, code = np.unique(code, return_inverse=True)
+            code, width = code.astype(np.uint64), len(table).bit_length()
+        else:
+            table = None
+        tables.append(table)
+        code = code << np.uint64(bits) | c.astype(np.uint64)
+        width += bits
+    code = np.sort(code)
+    first = _starts(code)
+    counts = np.diff(first, append=len(code))
+    code, out = code[first], []
+    for table in reversed(tables):
+        out.append((code & np.uint64((1 << bits) - 1)).astype(np.int64))
+        code = code >> np.uint64(bits)
+        if table is not None:
+            code = table[code]
+    return [code.astype(np.int64), *reversed(out)], counts
+
+
+def gram_blocks(texts: DataFrame, vocabulary: tuple, shards: int, order: int) -> DataFrame:
+    """The distinct n-grams of the texts, as ids, and their counts."""
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)  # names and sizes of the files only
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Words(*shared.value)
+        for known, places in _gathered(batches, order):
+            ids = vocabulary.find(known)[0]
+            by = np.argsort(ids)
+            place = np.empty(len(by), np.int64)
+            place[by] = np.arange(len(by))
+            ids, start, places = ids[by], place[np.searchsorted(known, HASHES[0])], place[places]
+            whole = np.flatnonzero(places[order - 1:] != start)
+            words, counts = _distinct([places[whole + i] for i in range(order)], len(ids).bit_length())
+            words = [ids[w] for w in words]
+            prefix = gram_keys(words[:-1])
+            shard = gram_shards(prefix, pair_keys(prefix, words[-1]), order, shards)
+            del prefix, places
+            yield from _blocks(shard, [*words, counts], shards)
+
+    return texts.mapInArrow(run, BLOCK)
+
+
+def _write_grams(folder: str, shard: int, level: int, keys: np.ndarray, counts: np.ndarray,
+                 contexts: list[np.ndarray]) -> pa.RecordBatch:
+    """Write a shard as `Grams` reads it: sorted mixed keys without the bits that their bucket tells,
+    counts other than 1 and contexts' figures apart from the rest.
+
+    Figures: bits of a bucket, most keys of one, then how many counts are 1, 2, 3, 4.
+    """
+    mixed = scramble(keys)
+    order = np.argsort(mixed)
+    mixed, counts, contexts = mixed[order], counts[order], [c[order] for c in contexts]
+    n, bits = len(mixed), max(0, (len(mixed) >> 3).bit_length() - 1)
+    ends = np.searchsorted(mixed, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else []
+    ends = np.concatenate([[0], ends, [n]]).astype(np.uint64)
+    rest = mixed & np.uint64((1 << 64 - bits) - 1)
+    other = np.flatnonzero(counts != 1)
+    stored = np.flatnonzero(contexts[0] > 0) if contexts else np.empty(0, np.int64)
+    parts = [ends.astype(np.uint32) if n >> 32 == 0 else ends, rest.astype(np.uint32),
+             (rest >> S32).astype(np.uint16 if bits >= 16 else np.uint32), *_flags(other, n), *_narrow(counts[other]),
+             *_flags(stored, n)]
+    for c in contexts or [stored] * 4:
+        parts += _narrow(c[stored])
+    return _file("grams", shard, level, folder, parts,
+                 [bits, int(np.diff(ends).max()), *[int((counts == i).sum()) for i in (1, 2, 3, 4)]])
 
 
 class Grams:
     """A memory-mapped shard of n-grams."""
 
     def __init__(self, folder: str, name: str, sizes: list[int]):
-        raw, at = memory_map(folder, name, np.uint8), 0
-        n, large, stored, size = sizes[:4]
-
-        def part(kind, length):
-            nonlocal at
-            out = raw[at:at + np.dtype(kind).itemsize * length].view(kind)
-            at += out.nbytes
-            return out
-
-        self.keys, self.large, self.values = part(np.uint64, n), part(np.int64, large), part(np.int64, large)
-        self.figures = part(f"u{size}", 4 * stored).reshape(-1, 4)
-        self.stored, self.counts = part(np.uint32, stored), part(np.uint8, n)
-
-    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of sorted keys, and as contexts their sum and numbers of counts 1, 2, 3 and more."""
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        hit = self.keys[at] == wanted
-        counts = np.where(hit, self.counts[at], 0).astype(np.int64)
-        large = np.flatnonzero(counts == 255)
-        if len(large):
-            counts[large] = self.values[np.searchsorted(self.large, at[large])]
-        contexts = hit[:, None] * np.array([1, 1, 0, 0])
-        if len(self.stored):
-            place = np.minimum(np.searchsorted(self.stored, at), len(self.stored) - 1)
-            own = np.flatnonzero(hit & (self.stored[place] == at))
-            contexts[own] = self.figures[place[own]]
+        self.bits, self.most = sizes[:2]
+        parts = Parts(folder, name, sizes[6:])
+        self.ends = parts.take(np.uint32 if sizes[7] >> 32 == 0 else np.uint64)
+        self.low, self.high = parts.take(np.uint32), parts.take(np.uint16 if self.bits >= 16 else np.uint32)
+        self.other, self.counts = Flags(parts), Narrow(parts)
+        self.stored, self.figures = Flags(parts), [Narrow(parts) for _ in range(4)]
+
+    def _rest(self, at: np.ndarray) -> np.ndarray:
+        return self.high[at].astype(np.uint64) << S32 | self.low[at]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of keys, and as contexts their sum and numbers of counts 1, 2, 3 and more."""
+        wanted = scramble(keys)
+        bucket = (wanted >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(keys), np.int64)
+        wanted &= np.uint64((1 << 64 - self.bits) - 1)
+        low, high = self.ends[bucket].astype(np.int64), self.ends[bucket + 1].astype(np.int64)
+        last = high - 1
+        for _ in range(self.most.bit_length()):
+            half = low + high >> 1
+            less = (low < high) & (self._rest(np.minimum(half, len(self.low) - 1)) < wanted)
+            low, high = np.where(less, half + 1, low), np.where(less, high, half)
+        hit = np.flatnonzero(low <= last)
+        hit = hit[self._rest(low[hit]) == wanted[hit]]
+        at = low[hit]
+        found, figures = np.ones(len(hit), np.int64), np.tile([1, 1, 0, 0], (len(hit), 1))
+        own, place = self.other.places(at)
+        found[own] = self.counts[place]
+        own, place = self.stored.places(at)
+        for i, f in enumerate(self.figures):
+            figures[own, i] = f[place]
+        counts, contexts = np.zeros(len(keys), np.int64), np.zeros((len(keys), 4), np.int64)
+        counts[hit], contexts[hit] = found, figures
         return counts, contexts
 
 
-def merge_shards(blocks: DataFrame, folder: str, level: int, order: int, shards: int) -> DataFrame:
-    """Write each shard's sorted n-grams of ``level`` words; blocks of the n-grams one word shorter.
+def merge_shards(blocks: DataFrame, folder: str, level: int, order: int, shards: int, start: int) -> DataFrame:
+    """Write each shard's sorted n-grams of ``level`` words; their files' rows and blocks of those one word shorter.
 
-    At level 2 rows of what follows for single words. Rows that name files go along.
+    Of single words, the figures by rank: in how many bigrams each is the last, and as contexts.
     """
-    out_schema = BLOCK if level > 2 else MERGED
-
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, parts = key[0].as_py(), []
-        for batch in batches:
-            for r in batch.to_pylist():
-                if r["file"] is not None:
-                    yield _rows(out_schema, 1, **{c: [r[c]] for c in ("shard", "file", "level", "sizes")})
-                else:
-                    parts.append(_unpack(r["n"], r["known"], r["kinds"], r["data"], level))
-        if not parts:
+        shard, columns = key[0].as_py(), _merged(batches)
+        words, values = columns[:level], columns[level:]
+        del columns
+        keys = gram_keys(words)
+        at, values = _sums(keys, *values)
+        keys, words = keys[at], [w[at] for w in words]
+        del at
+        c, contexts = values[0], values[1:]  # the highest order has counts only
+        if level == 1:
+            place = (keys // np.uint64(shards)).astype(np.int64)
+            figures = [np.zeros(int(place.max()) + 1, np.int64) for _ in values]
+            for f, v in zip(figures, values):
+                f[place] = v
+            yield _file("figures", shard, 1, folder, [x for f in figures for x in _narrow(f)],
+                        [int(c.sum()), int((c >= 3).sum()), *[int((c == i).sum()) for i in (1, 2, 3, 4)]])
             return
-        words = [np.concatenate([p[0][i] for p in parts]) for i in range(level)]
-        values = [np.concatenate([p[1][i] for p in parts]) for i in range(len(parts[0][1]))]
-        parts.clear()
-        keys, words, values = _merge(words, values)
-        # the highest order has counts only, the others continuation counts, counts and figures as contexts
-        c, raw, contexts = values[0], values[0 if level == order else 1], values[2:]
-        name = f"grams-{level}-{shard}-{uuid.uuid4().hex}"
-        sizes = _write_grams(folder, name, keys, c, contexts)
-        coc = [int((c == i).sum()) for i in (1, 2, 3, 4)]
-        yield _rows(out_schema, 1, shard=[shard], file=[name], level=[level], sizes=[[*sizes, *coc]])
+        yield _write_grams(folder, shard, level, keys, c, contexts)
         del keys, values, contexts
         seen = np.flatnonzero(c)  # the others are contexts only, of start tokens
-        words, c, raw = [w[seen] for w in words], c[seen], raw[seen]
-        one = np.ones(len(c), np.int64)
-        before, figures = _sums(gram_keys(words[:-1]), c, *[x.astype(np.int64) for x in (c == 1, c == 2, c >= 3)])
+        words, c = [w[seen] for w in words], c[seen]
+        before, figures = _sums(gram_keys(words[:-1]), c, *[x.astype(np.uint8) for x in (c == 1, c == 2, c >= 3)])
         if level > 2:
-            told = (figures[0] > 1) | (words[0][before] == np.uint64(WordHashes()[START]))
+            told = (figures[0] > 1) | (words[0][before] == start)
             before, figures = before[told], [f[told] for f in figures]
-            zero_c, zero_s = np.zeros(len(before), np.int64), np.zeros(len(c), np.int64)
-            yield from _blocks(
-                [np.concatenate([a, b[before]]) for a, b in zip(words[1:], words[:-1])],
-                [np.concatenate(x) for x in ((one, zero_c), (raw, zero_c), *[(zero_s, f) for f in figures])],
-                shards)
-            return
-        last, (count, follows) = _sums(words[1], raw, one)
-        zero_v, zero_w = np.zeros(len(before), np.int64), np.zeros(len(last), np.int64)
-        columns = [np.concatenate(x) for x in (
-            (words[0][before].view(np.int64), words[1][last].view(np.int64)), (zero_v, count),
-            *[(f, zero_w) for f in figures], (zero_v, follows))]
-        names = [f.split()[0] for f in WORDS.split(", ")]
-        for at in range(0, len(columns[0]), 200_000):
-            part = [x[at:at + 200_000] for x in columns]
-            yield _rows(out_schema, len(part[0]), **dict(zip(names, part)))
+        contexts = [w[before] for w in words[:-1]]
+        last, (count,) = _sums(gram_keys(words[1:]), np.ones(len(c), np.uint8))
+        words = [np.concatenate([w[last], x]) for w, x in zip(words[1:], contexts)]
+        values = [np.concatenate([count, np.zeros(len(before), np.int64)]),
+                  *[np.concatenate([np.zeros(len(last), np.int64), f]) for f in figures]]
+        by = np.lexsort(words[::-1])
+        words, values = [w[by] for w in words], [v[by] for v in values]
+        prefix = gram_keys(words[:-1]) if level > 2 else None
+        yield from _blocks(gram_shards(prefix, gram_keys(words), level - 1, shards), [*words, *values], shards)
 
-    return blocks.groupBy("shard").applyInArrow(run, out_schema)
+    return blocks.groupBy("shard").applyInArrow(run, BLOCK)
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -313,12 +516,15 @@ def discounts(n: list[int]) -> np.ndarray:
     return np.array([0.0, *[min(max(x, 0.05), i + 0.95) for i, x in enumerate(d)]])
 
 
+File = tuple[str, int, list[int]]   # name, shard, sizes
+
+
 @dataclass
 class Model:
     folder: str
     order: int
-    grams: list[tuple[str, int, int, list[int]]]  # file, level, shard, sizes
-    words: list[tuple[str, int, int]]   # file, shard, length
+    words: list[File]
+    grams: dict[int, list[File]]        # by level, from 1
     shards: int
     gram_discounts: dict[int, np.ndarray]  # by level
     word_discount: np.ndarray
@@ -328,57 +534,36 @@ class Model:
     word_mass: float                    # g0, before division
 
 
-def write_words(words: DataFrame, folder: str, shards: int) -> DataFrame:
-    """Write words as sorted arrays, a range of hashes for each file; their manifest."""
-    stats = ("count", "as_context", "n1", "n2", "n3", "follows")
-
-    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(list(batches))
-        word = t.column("word").to_numpy().view(np.uint64)
-        order = np.argsort(word, kind="stable")
-        store, path = filesystem(folder)
-        store.create_dir(path, recursive=True)
-        name = f"words-{key[0].as_py()}-{uuid.uuid4().hex}"
-        with store.open_output_stream(f"{path}/{name}.keys") as out:
-            out.write(word[order].tobytes())
-        with store.open_output_stream(f"{path}/{name}.stats") as out:
-            out.write(np.column_stack([t.column(c).to_numpy()[order] for c in stats])
-                      .astype(np.int64).tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([name]), pa.array([key[0].as_py()], pa.int32()), pa.array([len(order)], pa.int64())],
-            names=["file", "shard", "n"])
-
-    high = F.shiftrightunsigned("word", 32)
-    shard = F.shiftrightunsigned(high * F.lit(shards), 32).cast("int")  # as shard_of
-    return words.withColumn("shard", shard).groupBy("shard").applyInArrow(
-        run, "file string, shard int, n bigint")
-
-
 def train(texts: DataFrame, shards: int, order: int = 2) -> Model:
     """Count ``texts`` (one column) and write the model; the sizes and discounts come back."""
     if order < 2:
         raise ValueError(f"order {order}: the shortest n-grams are bigrams")
-    spark = texts.sparkSession
-    folder = shared_folder(spark, "ngrams")
-    merged = gram_blocks(texts, shards, order)
-    for level in range(order, 1, -1):
-        merged = merge_shards(merged, folder, level, order, shards)
-    out = written(merged, "ngram-shards")
-    files = out.where(F.col("file").isNotNull()).select("file", "level", "shard", "sizes").collect()  # a row a file
-    words = written(out.where(F.col("word").isNotNull()).groupBy("word").agg(
-        *[F.sum(c).alias(c) for c in ("count", "as_context", "n1", "n2", "n3", "follows")]), "ngram-words")
-    follow = F.col("follows")
-    total = words.agg(F.sum("count"), F.count(F.when(F.col("count") > 0, 1)), F.sum("follows"),
-                      *[F.count(F.when(follow == i, 1)) for i in (1, 2, 3, 4)],
-                      F.count(F.when(follow >= 3, 1))).first()
-    gram_d = {k: discounts([sum(f["sizes"][i] for f in files if f["level"] == k) for i in (4, 5, 6, 7)])
-              for k in range(2, order + 1)}
-    word_d = discounts([total[3], total[4], total[5], total[6]])
-    mass = word_d[1] * total[3] + word_d[2] * total[4] + word_d[3] * total[7]
-    named = written(write_words(words, folder, shards), "ngram-files").collect()       # a row a file
-    return Model(folder, order, [(f["file"], f["level"], f["shard"], f["sizes"]) for f in files],
-                 [(r["file"], r["shard"], r["n"]) for r in named], shards, gram_d, word_d, total[0] or 0,
-                 total[1] or 0, total[2] or 0, float(mass))
+    folder = shared_folder(texts.sparkSession, "ngrams")
+
+    def files(rows: DataFrame) -> list[File]:
+        return [(r["file"], r["shard"], r["sizes"])
+                for r in rows.where(F.col("file").isNotNull()).select("file", "shard", "sizes").collect()]
+
+    words = files(written_alone(write_vocabulary(word_blocks(texts, shards), folder), "ngram-words"))
+    start = max([sizes[0] * shards + s for _, s, sizes in words if sizes[0] >= 0], default=-1)
+    blocks, grams = gram_blocks(texts, (folder, words, shards), shards, order), {}
+    for level in range(order, 0, -1):
+        # blocks of the longest n-grams come from the texts, which are read once; others are written
+        passes = min(shards, PASSES) if 1 < level < order else 1
+        merged = None
+        for p in range(passes):
+            own = blocks if passes == 1 else blocks.where(F.col("shard") % passes == p)
+            part = written_alone(merge_shards(own, folder, level, order, shards, start), f"ngrams-{level}")
+            merged = part if merged is None else merged.union(part)
+        grams[level] = files(merged)
+        blocks = merged.where(F.col("file").isNull())
+    totals = {k: np.sum([[0] * 6, *[sizes[:6] for _, _, sizes in f]], axis=0).tolist() for k, f in grams.items()}
+    follows, more, *coc = totals[1]
+    word_d = discounts(coc)
+    mass = word_d[1] * coc[0] + word_d[2] * coc[1] + word_d[3] * more
+    return Model(folder, order, words, grams, shards, {k: discounts(totals[k][2:]) for k in range(2, order + 1)},
+                 word_d, sum(sizes[1] for _, _, sizes in words), sum(sizes[2] for _, _, sizes in words), follows,
+                 float(mass))
 
 
 class Lookup:
@@ -386,70 +571,71 @@ class Lookup:
 
     def __init__(self, model: Model):
         self.m = model
-        self.grams = {(k, s): Grams(model.folder, f, sizes) for f, k, s, sizes in model.grams}
-        self.words = {s: (memory_map(model.folder, f + ".keys", np.uint64),
-                          memory_map(model.folder, f + ".stats", np.int64).reshape(-1, 6))
-                      for f, s, _ in model.words}
-
-    @staticmethod
-    def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return at, keys[at] == wanted
+        self.words = Words(model.folder, model.words, model.shards)
+        self.figures = {}
+        for name, s, sizes in model.grams[1]:
+            parts = Parts(model.folder, name, sizes[6:])
+            self.figures[s] = [Narrow(parts) for _ in range(5)]
+        self.grams = {(k, s): Grams(model.folder, name, sizes)
+                      for k in range(2, model.order + 1) for name, s, sizes in model.grams[k]}
 
     def gram_counts(self, level: int, prefix: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts of n-grams and their figures as contexts, as `Grams.find` gives them."""
-        keys, at, place = np.unique(keys, return_index=True, return_inverse=True)
-        shard = gram_shards(prefix[at], keys, level, self.m.shards)
-        order = np.argsort(shard, kind="stable")
+        shard = gram_shards(prefix, keys, level, self.m.shards)
+        order = np.argsort(shard.astype(np.min_scalar_type(self.m.shards)), kind="stable")
         cut = np.searchsorted(shard[order], np.arange(self.m.shards + 1))
         counts, contexts = np.zeros(len(keys), np.int64), np.zeros((len(keys), 4), np.int64)
-        for s in np.unique(shard).tolist():
+        for s in np.flatnonzero(np.diff(cut)).tolist():
             if grams := self.grams.get((level, s)):
                 own = order[cut[s]:cut[s + 1]]
                 counts[own], contexts[own] = grams.find(keys[own])
-        return counts[place], contexts[place]
-
-    def word_stats(self, wanted: np.ndarray) -> np.ndarray:
-        """count, as_context, n1, n2, n3, follows of sorted distinct words."""
-        out = np.zeros((len(wanted), 6), np.int64)
-        cut = np.searchsorted(shard_of(wanted, self.m.shards), np.arange(self.m.shards + 1))
-        for s, (keys, stats) in self.words.items():
-            a, b = cut[s], cut[s + 1]
-            if b > a and len(keys):
-                at, hit = self._find(keys, wanted[a:b])
-                out[a:b][hit] = stats[at[hit]]
+        return counts, contexts
+
+    def word_figures(self, ids: np.ndarray) -> np.ndarray:
+        """In how many bigrams each id is the last, and its figures as a context."""
+        out = np.zeros((len(ids), 5), np.int64)
+        shard = np.where(ids == UNKNOWN, self.m.shards, ids % np.uint64(self.m.shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        cut = np.searchsorted(shard[order], np.arange(self.m.shards + 1))
+        for s in np.flatnonzero(np.diff(cut)).tolist():
+            if figures := self.figures.get(s):
+                own = order[cut[s]:cut[s + 1]]
+                place = (ids[own] // np.uint64(self.m.shards)).astype(np.int64)
+                for i, f in enumerate(figures):
+                    out[own, i] = f[place]
         return out
 
-    def score(self, texts: list[str | None], hashes: WordHashes):
+    def score(self, texts: pa.Array):
         """n_tokens, n_known, base_score and score of each text."""
-        split = [tokens(t) for t in texts]
-        sizes = np.array([len(s) for s in split])
-        w = np.fromiter((hashes[x] for s in split for x in s), np.uint64, int(sizes.sum()))
-        first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         m = self.m
-        inside = np.arange(len(w)) - np.repeat(first, sizes)  # a token's place in its text
-        back = [w]  # the words 0, 1, ... before each token
-        for i in range(1, m.order):
-            back.append(np.where(inside < i, np.uint64(hashes[START]), np.roll(w, i)))
-        both, place = np.unique(np.concatenate(back[:2]), return_inverse=True)
-        stats = self.word_stats(both)
-        pw, pv = place[:len(w)], place[len(w):]
-        count, follow = stats[pw, 0], stats[pw, 5]
+        hashes, run, sizes = coded(texts, m.order)
+        by = np.argsort(hashes)
+        ids, counts = np.empty(len(hashes), np.uint64), np.empty(len(hashes), np.int64)
+        ids[by], counts[by] = self.words.find(hashes[by])
+        figures = self.word_figures(ids)
+        first = np.cumsum(sizes) - sizes
+        at = np.arange(len(run) - (m.order - 1) * len(sizes)) + np.repeat(
+            (m.order - 1) * np.arange(1, len(sizes) + 1), sizes)  # tokens' places in the run
+        w = run[at]
+        back = [ids[run[at - i]] for i in range(m.order)]  # the words 0, 1, ... before each token
         vocabulary = m.distinct + 1
-        p = (np.maximum(follow - m.word_discount[np.minimum(follow, 3)], 0) / max(1, m.follow_total)
-             + (m.word_mass / m.follow_total if m.follow_total else 1.0) / vocabulary)
-        contexts = stats[pv, 1:5]
+        follow = figures[:, 0]
+        p = ((np.maximum(follow - m.word_discount[np.minimum(follow, 3)], 0) / max(1, m.follow_total)
+              + (m.word_mass / m.follow_total if m.follow_total else 1.0) / vocabulary))[w]
+        contexts = figures[run[at - 1], 1:]
         for level in range(2, m.order + 1):
             prefix = gram_keys(back[level - 1:0:-1])
-            if level > 2:
-                contexts = self.gram_counts(level - 1, gram_keys(back[level - 1:1:-1]), prefix)[1]
-            c = self.gram_counts(level, prefix, pair_keys(prefix, w))[0]
+            c, figures_of = self.gram_counts(level, prefix, pair_keys(prefix, back[0]))
             d, total = m.gram_discounts[level], np.maximum(contexts[:, 0], 1)
             p = np.where(contexts[:, 0] > 0, np.maximum(c - d[np.minimum(c, 3)], 0) / total
                          + contexts[:, 1:] @ d[1:] / total * p, p)
-        base = np.log10((count + 1) / (m.train_tokens + vocabulary))
-        return (sizes, np.add.reduceat((count > 0).astype(np.int64), first),
-                np.add.reduceat(base, first), np.add.reduceat(np.log10(p), first))
+            if level < m.order:  # the n-gram that ends before a token is its next longer context
+                start = [ids[:1]] * level
+                contexts = np.roll(figures_of, 1, axis=0)
+                contexts[first] = self.gram_counts(level, gram_keys(start[1:]), gram_keys(start))[1]
+        base = np.log10((counts + 1) / (m.train_tokens + vocabulary))
+        return (sizes, np.add.reduceat((counts > 0).astype(np.int64)[w], first),
+                np.add.reduceat(base[w], first), np.add.reduceat(np.log10(p), first))
 
 
 SCORES = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -465,20 +651,16 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # names and sizes of the files only
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, hashes = Lookup(shared.value), WordHashes()
+        lookup = Lookup(shared.value)
         for batch in batches:
-            at, texts = 0, batch.column(1).to_pylist()
-            while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and (end == at or size < 3_000_000):
-                    size += len(texts[end] or "")
-                    end += 1
-                n, known, base, score = lookup.score(texts[at:end], hashes)
+            at = 0
+            for texts in slices(batch.column(1)):
+                n, known, base, score = lookup.score(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, end - at), pa.array(n.astype(np.int64)), pa.array(known),
+                    [batch.column(0).slice(at, len(texts)), pa.array(n.astype(np.int64)), pa.array(known),
                      pa.array(base), pa.array(score)],
                     names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
-                at = end
+                at += len(texts)
 
     return docs.select("doc_id", "text").mapInArrow(run, SCORES)
 

@@ -1,12 +1,15 @@
 """The corpus operators against brute force, on hand rows with every awkward case."""
 
 import math
+import os
 import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 
 import corpus_pipeline
 from courtside.llm import (decontaminate, exact_dedup, kneser_ney, licences, setsketch, sharding,
@@ -392,6 +395,42 @@ def test_kneser_ney_order(spark, docs, none, order, texts):
     assert kneser_ney.score_documents(docs, kneser_ney.train(none.select("text"), 4, order)).count() == len(TEXTS)
 
 
+def test_kneser_ney_coded():
+    r = random.Random(3)
+    parts = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\xa0", "a", "B", "É", "İ", "z9", "\x00"]
+    texts = [None, "", " "] + ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(500)]
+    for column in (pa.array(texts), pa.array(["x", *texts]).slice(1)):
+        hashes, run, sizes = kneser_ney.coded(column, 3)
+        words = [w for t in texts for w in [kneser_ney.START] * 2 + kneser_ney.tokens(t)]
+        assert hashes[run].tolist() == [xxhash.xxh3_64_intdigest(w) for w in words]
+        assert sizes.tolist() == [len(kneser_ney.tokens(t)) for t in texts]
+        assert [t for part in kneser_ney.slices(column, 7) for t in part.to_pylist()] == texts
+
+
+def test_kneser_ney_disk(spark):
+    """A model's files take less than a 64-bit key for each n-gram; no shuffle files stay behind."""
+    r = random.Random(5)
+    ids = [r.randrange(2000) for _ in range(700_000)]
+    texts = [" ".join(map(str, ids[i:i + 1000])) for i in range(0, len(ids), 1000)]
+    start = [kneser_ney.START] * 2
+    run = [[*start, *kneser_ney.tokens(t)] for t in texts]
+    known = [{tuple(s[i:i + k]) for s in run for i in range(3 - k, len(s) - k + 1)} for k in (1, 2, 3)]
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        sizes = 0
+        while files.hasNext():
+            f = files.next()
+            sizes += f.length() if f.getName().startswith("shuffle_") else 0
+        return sizes
+    before = shuffled()
+    model = kneser_ney.train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(2), 1, 3)
+    assert shuffled() <= before
+    folder = model.folder.removeprefix("file:")
+    size = sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder))
+    assert size < 8 * (len(known[2]) + len(known[1])) + 24 * len(known[0])
+
+
 def test_kneser_ney_registered_order(spark):
     got = {r.doc_id: r.score for r in QUERIES["op8_kneser_ney"](spark, SF).collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet")
