@@ -261,7 +261,8 @@ def report(spark: SparkSession, out_dir: str, name: str, as_of=None, grain: str
         "win_rates": rates,
         "best_season": lambda: D.best_season(rates()),
         "summary": lambda: D.rates_summary(rates()),
-        "rating_series": lambda: D.rating_series(games()),
+        "rating_series": lambda: D.rating_series(
+            D.games_filtered(fct, dim, n, extra=(D.ROW_KEY,)), fct.count()),
         "season_rating_change": lambda: D.season_rating_change(games()),
         "season_rating_pivot": lambda: D.season_rating_pivot(
             D.season_rating_change(games()), sorted(s for s, _ in exports.season_dates(fct) if s is not None)),

@@ -1,6 +1,7 @@
 """Exact percentiles of wide domains, order-free sums, ties over many tasks, merged metrics."""
 
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -81,6 +82,25 @@ def test_a_hot_date_and_team_is_sorted_by_many_tasks(spark):
     assert [r.game_date for r in ordered] == sorted((r.game_date for r in ordered), reverse=True)
 
 
+def test_rating_series_sorts_bounded_rows_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr(D, "SORT_ROWS", 2_000)
+    day = dt.date(2001, 1, 1)
+    games = spark.range(20_000).select(
+        F.concat(F.lit("g"), "id").alias("game_team_id"), F.when(F.col("id") % 10 > 0, "A").alias("team_name"),
+        F.when(F.col("id") % 10 > 1, F.lit(day)).when(F.col("id") % 100 > 1, F.date_add(F.lit(day), F.col("id").cast("int") % 50))
+        .alias("game_date"), F.when(F.col("id") % 7 > 0, (F.col("id") % 3).cast("double")).alias("elo_post"))
+    series = D.rating_series(games, 20_000)
+    assert series.columns == ["team_name", "game_date", "elo_post"]
+    sizes = [r["count"] for r in series.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 2 * 2_000
+    high = (dt.date.max, math.inf)
+    got = [tuple(r) for r in series.collect()]
+    want = [tuple(r)[1:] for r in games.collect()]
+    by = lambda r: (r[0] is None, r[0] or "", r[1] or high[0], -high[1] if r[2] is None else r[2])
+    assert got == sorted(want, key=by)
+    assert D.rating_series(games.where("1 = 0"), 0).collect() == []
+
+
 @pytest.mark.parametrize("name", sorted(M.PARTS))
 def test_parts_are_the_declared_measure(name):
     parts, measure = M.PARTS[name]
