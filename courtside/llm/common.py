@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import string
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from courtside.sources.tables import write_and_read
 
 #: Broadcast at most this many bytes of a lookup; larger lookups go in blocks or by shuffle.
 BROADCAST_BYTES = 32 << 20
+#: Rows go to Python in Arrow batches of about this many bytes.
+BATCH_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,6 +49,24 @@ def written_alone(df: DataFrame, name: str) -> DataFrame:
         spark.conf.set(key, before)
 
 
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+             schema: str) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, its rows handed over in batches of about ``BATCH_BYTES``.
+
+    Spark fills a batch up to 64 MB or 10,000 rows, and each task has it several times over:
+    in the executor's buffers, as they grow, and in Python, beside the next one. The session's
+    bound is read when the rows are computed, long after this returns, so it stays lowered.
+    """
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
+def keys_to_join(keys: DataFrame) -> DataFrame:
+    """``keys`` (a written table of a few numbers a row), to be broadcast if it is small."""
+    return F.broadcast(keys) if keys.count() * 32 <= BROADCAST_BYTES else keys
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below spark.checkpoint.dir for files that tasks write themselves."""
     return scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex[:6]}")

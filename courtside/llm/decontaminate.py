@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import BROADCAST_BYTES, fold, read, same, written
+from courtside.llm.common import BROADCAST_BYTES, fold, keys_to_join, read, same, written
 
 WINDOW = 13
 NOT_A_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -162,7 +162,8 @@ def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
 def decontaminate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
     found = contamination(docs, read(spark, sf_dir, "benchmark"))
-    bad = found.where(is_contaminated()).select("doc_id", "text_hash").distinct()
+    bad = written(found.where(is_contaminated()).select("doc_id", "text_hash").distinct(), "bench-bad")
+    bad = keys_to_join(bad)  # else Spark, which can't tell how few they are, shuffles all texts
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"])
                      & (F.xxhash64(docs["text"]) == bad["text_hash"]), "left_anti")
 

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import BROADCAST_BYTES, read, same, written
+from courtside.llm.common import in_arrow, keys_to_join, read, same, written
 from courtside.llm.components import components
 
 SHINGLE, NUM, DEN = 5, 75, 100
@@ -210,11 +210,10 @@ class _Linker:
         keys = classes.join(wanted, "node", "left_semi").select("node", "doc_id", "text_hash")
         keys = written(keys, "near-wanted")
         n = keys.count()
-        if n * 32 <= BROADCAST_BYTES:
-            keys = F.broadcast(keys)
+        keys = keys_to_join(keys)
         texts = rows.join(keys, same(rows, keys, ["doc_id", "text_hash"])).select("node", "text")
         # repeated rows give a class's text more than once: any one will do
-        self.sets = written(texts.mapInArrow(_sets, "node bigint, shingles array<bigint>, bits array<bigint>"),
+        self.sets = written(in_arrow(texts, _sets, "node bigint, shingles array<bigint>, bits array<bigint>"),
                             "near-sets")
         if self.sets.count() > n:
             self.sets = written(self.sets.dropDuplicates(["node"]), "near-sets")
@@ -242,8 +241,7 @@ class _Linker:
         sized = pairs.join(a, "a").join(b, "b").where(
             F.least("n_a", "n_b") * DEN >= F.greatest("n_a", "n_b") * NUM)
         likely = written(
-            sized.select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
-            .mapInArrow(_likely, "a bigint, b bigint, n_a bigint, n_b bigint, estimate double"),
+            in_arrow(sized.select("a", "b", "n_a", "n_b", "regs_a", "regs_b"), _likely, "a bigint, b bigint, n_a bigint, n_b bigint, estimate double"),
             "near-likely")
         sets = self.sets.select("node", "shingles")
         sa, sb = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
@@ -272,8 +270,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component are); an empty table gives no rows; other columns are not read.
     """
     docs = docs.select("doc_id", "text")
-    sketches = written(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-                       .mapInArrow(_sketch, SKETCH)
+    sketches = written(in_arrow(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"),
+                                _sketch, SKETCH)
                        .withColumn("row", F.monotonically_increasing_id()), "near-sketches")
     full = sketches.where(F.col("set_key").isNotNull())
     classes = written(full.groupBy("set_key").agg(
@@ -396,7 +394,8 @@ def near_dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("f")).select("f.row"), "near-first")
     told = found.join(first.withColumn("stays", F.lit(True)), "row", "left").groupBy("doc_id", "text_hash").agg(
         F.count("stays").alias("stay"), F.count(F.lit(1)).alias("rows"))
-    told = written(told.where("stay < rows"), "near-told")  # texts of which not all rows stay
+    # texts of which not all rows stay
+    told = keys_to_join(written(told.where("stay < rows"), "near-told"))
     text = F.xxhash64(docs["text"])
     key = lambda t: docs["doc_id"].eqNullSafe(t["doc_id"]) & (text == t["text_hash"])
     some = told.where("stay > 0").select("doc_id", "text_hash")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import read
+from courtside.llm.common import in_arrow, read
 
 #: At most this many labelled training rows of each class are fitted on.
 SAMPLE = 700
@@ -345,7 +345,7 @@ def score(docs: DataFrame, field: Field, extra: list[str] | None = None) -> Data
     given = docs.select(F.col("text").alias("t"),
                         F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(extra)]).alias("c"))
     schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(fields))
-    out = given.mapInArrow(run, f"{schema}, toxic_score double, toxic_spans {SPANS}")
+    out = in_arrow(given, run, f"{schema}, toxic_score double, toxic_spans {SPANS}")
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(extra)], "toxic_score",
                       "toxic_spans")
 

@@ -22,20 +22,23 @@ are used as they are.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import read
+from courtside.llm.common import in_arrow, read
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 UNKNOWN = 10.0
 SHORT = 40
+#: So many chunks go through the trie together (bounds a worker's memory).
+TOGETHER = 8000
 CHUNKS = re.compile(" *[^ ]+| +$")
 
 
@@ -51,7 +54,6 @@ class Pieces:
     byte_id: np.ndarray    # id of each byte piece
     unknown: float
     longest: int
-    kind: dict = field(default_factory=dict)
 
 
 def build_trie(keys: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -211,11 +213,9 @@ def _offer(best, back, used, frm, to, who, score, ids, size) -> None:
 
 def encode_alone(model: Pieces, chunk: bytes) -> np.ndarray:
     """The best segmentation of one chunk, place by place (for long chunks)."""
-    base, check, piece, score = (x.tolist() for x in (model.base, model.check, model.piece, model.score)) \
-        if "lists" not in model.kind else model.kind["lists"]
-    model.kind["lists"] = (base, check, piece, score)
+    base, check, piece, score = map(memoryview, (model.base, model.check, model.piece, model.score))
     n = len(chunk)
-    best, back, used = [-np.inf] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+    best, back, used = (array(kind, [x]) * (n + 1) for kind, x in (("d", -np.inf), ("i", 0), ("i", -1)))
     best[0] = 0.0
     for i in range(n):
         c = chunk[i]
@@ -244,44 +244,68 @@ def encode_alone(model: Pieces, chunk: bytes) -> np.ndarray:
     return np.array(ids[::-1], np.int32)
 
 
+class _Places(dict):
+    """Numbers of chunks in the order they were first met; ``new``: those not yet encoded."""
+
+    def __init__(self):
+        self.new = []
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = k = len(self)
+        self.new.append(chunk)
+        return k
+
+
 class Encoder:
-    """Segments texts; remembers chunks up to a bound of their number and characters."""
+    """Segments texts; remembers chunks up to a bound of their number and characters.
+
+    The ids of remembered chunks lie end to end in one array: an array object
+    for each chunk would take many times the bytes of its few ids.
+    """
 
     LIMIT, CHARS = 300_000, 8_000_000
 
     def __init__(self, model: Pieces):
-        self.model, self.seen, self.ids, self.held = model, {}, [], 0
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.seen, self.held = _Places(), 0
+        self.ids, self.starts = array("i"), array("q", [0])  # chunk k: ids[starts[k]:starts[k + 1]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; an empty text has none."""
-        split = [CHUNKS.findall(" " + t) if t else [] for t in texts]
         if len(self.seen) > self.LIMIT or self.held > self.CHARS:
-            self.seen, self.ids, self.held = {}, [], 0
-        seen, new = self.seen, []
-        places = []
-        for chunks in split:
-            row = []
-            for c in chunks:
-                k = seen.get(c)
-                if k is None:
-                    k = seen[c] = len(seen)
-                    new.append(c)
-                row.append(k)
-            places.append(row)
+            self._forget()
+        row, ends = array("q"), []  # the chunks of all texts, and where each text's end
+        for t in texts:
+            if t:
+                row.extend(map(self.seen.__getitem__, CHUNKS.findall(" " + t)))
+            ends.append(len(row))
+        self._remember(self.seen.new)
+        self.seen.new = []
+        k = np.frombuffer(row, np.int64)
+        starts, ids = np.frombuffer(self.starts, np.int64), np.frombuffer(self.ids, np.int32)
+        at = np.concatenate([[0], np.cumsum(starts[k + 1] - starts[k])])
+        # the ids of chunk k from its start on, at the place where its turn comes
+        flat = ids[np.arange(at[-1]) + np.repeat(starts[k] - at[:-1], np.diff(at))]
+        return np.split(flat, at[ends[:-1]]) if texts else []
+
+    def _remember(self, new: list[str]) -> None:
+        """Add the ids of the chunks ``new``."""
         self.held += sum(map(len, new))
         raw = [c.replace(" ", MARKER).encode("utf-8", "replace") for c in new]
         short = [i for i, r in enumerate(raw) if len(r) <= SHORT]
         done: list = [None] * len(raw)
-        for at in range(0, len(short), 20_000):
-            part = sorted(short[at:at + 20_000], key=lambda i: len(raw[i]))
+        for at in range(0, len(short), TOGETHER):
+            part = sorted(short[at:at + TOGETHER], key=lambda i: len(raw[i]))
             for ids, i in zip(encode_together(self.model, [raw[i] for i in part]), part):
                 done[i] = ids
         for i, r in enumerate(raw):
             if done[i] is None:
                 done[i] = encode_alone(self.model, r)
-        self.ids += done
-        none = np.empty(0, np.int32)
-        return [np.concatenate([self.ids[k] for k in row]) if row else none for row in places]
+            self.ids.frombytes(done[i].tobytes())
+            self.starts.append(len(self.ids))
 
 
 def decode(model: Pieces, ids) -> str:
@@ -323,8 +347,8 @@ def encode_documents(docs: DataFrame, model: Pieces) -> DataFrame:
                      pa.array([decode(m, i.tolist()) == t for i, t in zip(ids, texts)])],
                     names=["doc_id", "ids", "n_ids", "n_bytes", "round_trip"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, ids array<int>, n_ids bigint, n_bytes bigint, round_trip boolean")
+    return in_arrow(
+        docs.select("doc_id", "text"), run, "doc_id bigint, ids array<int>, n_ids bigint, n_bytes bigint, round_trip boolean")
 
 
 def op2_sentencepiece(spark, sf_dir: str) -> DataFrame:

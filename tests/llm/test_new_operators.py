@@ -385,3 +385,55 @@ def test_licence_scan_equals_plain_digests(spark, tmp_path):
         assert got[i].notices == sorted(names)
         seen += bool(names)
     assert seen > 2
+
+
+def test_remembered_chunks_take_little_memory():
+    import tracemalloc
+
+    model = unigram.load()
+    texts = [" ".join(f"w{i * 100 + k:06d}" for k in range(100)) for i in range(200)] + ["", "é" * 60, ""]
+    encoder, short = unigram.Encoder(model), unigram.Encoder(model)
+    tracemalloc.start()
+    got = encoder.encode(texts)
+    want = [x.tolist() for x in got]
+    del got
+    before = tracemalloc.get_traced_memory()[0]
+    encoder.seen = encoder.ids = encoder.starts = None
+    held = before - tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 240 * 20_000
+    short.LIMIT = 50
+    assert [short.encode([t])[0].tolist() for t in texts] == want
+    assert short.encode([]) == [] and len(short.seen) <= 150
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["rows", "bytes"])
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    texts = spark.range(0, 64, 1, 1).selectExpr("id AS doc_id", "repeat('ab ', 100000) AS text")
+    empty = toxicity.fit([], [])
+    for call in (lambda: unigram.encode_documents(texts, unigram.load()), lambda: toxicity.score(texts, empty)):
+        call()
+        seen = texts.mapInArrow(sizes, "rows bigint, bytes bigint").collect()
+        assert sum(r.rows for r in seen) == 64 and max(r.bytes for r in seen) < 5 << 20
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+def test_few_rows_to_drop_move_no_texts(spark):
+    from courtside.llm import decontaminate
+
+    docs, key = spark.read.parquet(f"{SF}/documents.parquet"), "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, -1)
+        for stage in (decontaminate.decontaminate_stage, setsketch.near_dedup_stage):
+            left = stage(spark, docs, SF)
+            plan = left._jdf.queryExecution().executedPlan().toString()
+            assert "LeftAnti" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set(key, before)
