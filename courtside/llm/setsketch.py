@@ -241,7 +241,8 @@ class _Linker:
         sized = pairs.join(a, "a").join(b, "b").where(
             F.least("n_a", "n_b") * DEN >= F.greatest("n_a", "n_b") * NUM)
         likely = written(
-            in_arrow(sized.select("a", "b", "n_a", "n_b", "regs_a", "regs_b"), _likely, "a bigint, b bigint, n_a bigint, n_b bigint, estimate double"),
+            in_arrow(sized.select("a", "b", "n_a", "n_b", "regs_a", "regs_b"), _likely,
+                     "a bigint, b bigint, n_a bigint, n_b bigint, estimate double"),
             "near-likely")
         sets = self.sets.select("node", "shingles")
         sa, sb = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")

@@ -542,7 +542,7 @@ def test_query_matches_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     rel = con.sql(SQL[name])
