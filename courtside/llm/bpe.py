@@ -28,12 +28,15 @@ Decoding concatenates the pieces of ids (`decode`).
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -55,6 +58,8 @@ CHUNK_CHARS = 32_000_000
 CHUNKS, PLACES = 1 << 11, 1 << 30
 #: Tasks whose chunks' occurrences of a word are one group.
 SALT = 4096
+#: Words whose bytes are put together at once for the digests.
+WORDS = 1 << 20
 
 
 def load(name: str = VOCABULARY) -> tuple[dict[bytes, int], str]:
@@ -184,12 +189,11 @@ def _unplanes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
 
 
-class _Places(dict):
+def _places() -> defaultdict[str, int]:
     """Places of words in the order in which they come."""
-
-    def __missing__(self, word: str) -> int:
-        place = self[word] = len(self)
-        return place
+    places: defaultdict[str, int] = defaultdict()
+    places.default_factory = places.__len__
+    return places
 
 
 def _written(df: DataFrame, name: str, by: str | None = None) -> str:
@@ -212,17 +216,18 @@ def chunks(docs: DataFrame, pattern: str) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = regex.compile(pattern).findall
-        places, numbers, codes, held = _Places(), [], [], 0
+        places, numbers, codes, held = _places(), [], [], 0
 
         def flush() -> pa.RecordBatch:
             nonlocal places, held
             sizes = [len(c) for c in codes]
             packed = zstandard.ZstdCompressor(level=3).compress(_planes(np.concatenate(codes)))
+            words = pa.array(list(places), pa.string())
             row = pa.RecordBatch.from_arrays(
                 [pa.array([numbers], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
-                 pa.array([packed], pa.binary()), pa.array([list(places)], pa.list_(pa.string()))],
+                 pa.array([packed], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)],
                 names=["docs", "sizes", "codes", "words"])
-            places, held = _Places(), 0
+            places, held = _places(), 0
             numbers.clear()
             codes.clear()
             return row
@@ -263,50 +268,75 @@ ENCODED = {
 }
 
 
+def _joined(tokens: pa.LargeBinaryArray, ids: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """For each word, whose ids end at ``ends`` in ``ids``, the values of its ids in ``tokens``, one after the other."""
+    flat = tokens.take(pa.array(ids))
+    cuts = np.frombuffer(flat.buffers()[1], np.int64)[ends]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(cuts), flat.buffers()[2]])
+
+
+def _hashed(parts: pa.LargeBinaryArray, codes: np.ndarray, ends: np.ndarray, skip: int) -> list[str]:
+    """SHA-256 of each text: the parts that its codes name, joined, without the first ``skip`` bytes."""
+    hashes = [hashlib.sha256() for _ in ends[1:]]
+    for low in range(int(ends[0]), int(ends[-1]), WORDS):
+        high = min(low + WORDS, int(ends[-1]))
+        taken = parts.take(pa.array(codes[low:high]))
+        cuts, data = np.frombuffer(taken.buffers()[1], np.int64), memoryview(taken.buffers()[2])
+        first, last = np.searchsorted(ends, low, "right") - 1, np.searchsorted(ends, high, "left")
+        for i in range(first, last):
+            begins = ends[i] >= low
+            begin, end = cuts[max(ends[i], low) - low], cuts[min(ends[i + 1], high) - low]
+            if end > begin:
+                hashes[i].update(data[begin + skip * begins:end])
+    return [h.hexdigest() for h in hashes]
+
+
 def _assemble(chunked: DataFrame, folder: str, pieces: list[bytes], out: str) -> DataFrame:
     """Ids of the texts of each chunk, whose dictionary lies below ``folder``."""
     shared = chunked.sparkSession.sparkContext.broadcast(pieces)  # a vocabulary: a fixed size
 
-    def dictionary(chunk: int) -> list[np.ndarray]:
+    def dictionary(chunk: int, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a chunk's words, one word after the other, and where each word begins and the last one ends."""
         import pyarrow.parquet as pq
 
+        if not n_words:
+            return np.empty(0, np.int32), np.zeros(1, np.int64)
         store, path = filesystem(folder)
         t = pq.read_table(f"{path}/chunk={chunk}", filesystem=store, columns=["pos", "pieces"], partitioning=None)
-        found: list = [None] * t.num_rows
-        for part in t.to_batches():
-            strings = part.column(1).to_pylist()
-            flat = np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32) - np.uint32(BASE)
-            cuts = np.cumsum([len(s) for s in strings])[:-1]
-            for pos, ids in zip(part.column(0).to_pylist(), np.split(flat.astype(np.int32), cuts)):
-                found[pos] = ids
-        return found
+        pos = t.column("pos").to_numpy()
+        order = np.argsort(pos, kind="stable")
+        if not np.array_equal(pos[order], np.arange(n_words)) or t.column("pieces").null_count:
+            raise RuntimeError(f"chunk {chunk}: its dictionary is not whole")
+        strings = t.column("pieces").cast(pa.large_string()).combine_chunks().take(pa.array(order))
+        cuts = np.frombuffer(strings.buffers()[1], np.int64)
+        flat = str(memoryview(strings.buffers()[2])[cuts[0]:cuts[n_words]], "utf-8")
+        ids = (np.frombuffer(flat.encode("utf-32-le"), np.uint32) - np.uint32(BASE)).astype(np.int32)
+        return ids, np.concatenate([[0], np.cumsum(pc.utf8_length(strings).to_numpy(), dtype=np.int64)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
+        if out == "digests":
+            decimals = pa.array([b",%d" % i for i in range(len(shared.value))], pa.large_binary())
+            decoded = pa.array(shared.value, pa.large_binary())
         for batch in batches:
             for row in batch.to_pylist():
-                words = dictionary(row["chunk"]) if row["n_words"] else []
-                if len(words) != row["n_words"] or any(w is None for w in words):
-                    raise RuntimeError(f"chunk {row['chunk']}: its dictionary is not whole")
-                count = np.array([len(w) for w in words] or [0], np.int64)
+                ids, words = dictionary(row["chunk"], row["n_words"])
                 codes = _unplanes(zstandard.ZstdDecompressor().decompress(row["codes"]))
-                ends = np.cumsum(row["sizes"])
+                numbers, ends = row["docs"], np.concatenate([[0], np.cumsum(row["sizes"], dtype=np.int64)])
                 if out == "digests":
-                    text = [",".join(map(str, w.tolist())).encode() for w in words]
-                    decoded = [b"".join([shared.value[i] for i in w.tolist()]) for w in words]
-                for at in range(0, len(ends), 500):
-                    of = [codes[e - n:e] for e, n in zip(ends[at:at + 500], row["sizes"][at:at + 500])]
-                    columns = [pa.array(row["docs"][at:at + 500], pa.int64()),
-                               pa.array([int(count[c].sum()) for c in of], pa.int64())]
+                    written = [(_joined(decimals, ids, words), 1), (_joined(decoded, ids, words), 0)]
+                else:
+                    lists = pa.LargeListArray.from_arrays(pa.array(words), pa.array(ids))
+                count = np.diff(words)
+                for at in range(0, len(numbers), 500):
+                    of = ends[at:at + 501]
+                    tokens = np.concatenate([[0], np.cumsum(count[codes[of[0]:of[-1]]])])[of - of[0]]
+                    columns = [pa.array(numbers[at:at + 500], pa.int64()), pa.array(np.diff(tokens), pa.int64())]
                     if out == "digests":
-                        for parts, between in ((text, b","), (decoded, b"")):
-                            columns.append(pa.array([hashlib.sha256(between.join([parts[i] for i in c.tolist()])).hexdigest()
-                                                     for c in of], pa.string()))
+                        columns += [pa.array(_hashed(parts, codes, of, skip), pa.string()) for parts, skip in written]
                         names = ["n", "n_tokens", "ids_sha256", "decoded_sha256"]
                     else:
-                        columns.append(pa.array([np.concatenate([words[i] for i in c.tolist()]) if len(c) else
-                                                 np.empty(0, np.int32) for c in of], pa.list_(pa.int32())))
+                        taken = lists.take(pa.array(codes[of[0]:of[-1]])).flatten()
+                        columns.append(pa.ListArray.from_arrays(pa.array(tokens, pa.int32()), taken))
                         names = ["n", "n_tokens", "ids"]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -331,9 +361,9 @@ def encode_documents(docs: DataFrame, vocabulary: tuple[dict[bytes, int], str] |
     chunked = spark.read.schema(chunked.schema).parquet(_written(chunked, "bpe-chunks"))
     words = encoded_words(chunked, ranks)
     words = spark.read.schema(words.schema).parquet(_written(words, "bpe-words"))
-    words = words.select("pieces", F.explode("at").alias("at")).select(
+    words = words.select("pieces", F.explode("at").alias("at")).repartition(F.shiftright("at", 30)).select(
         F.shiftright("at", 30).alias("chunk"), (F.col("at") % PLACES).cast("int").alias("pos"), "pieces")
-    folder = _written(words.repartition("chunk"), "bpe-dictionaries", by="chunk")
+    folder = _written(words.sortWithinPartitions("chunk", "pos"), "bpe-dictionaries", by="chunk")
     pieces = [b""] * (max(table.values()) + 1)
     for k, r in table.items():
         pieces[r] = k

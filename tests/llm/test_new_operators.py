@@ -4,12 +4,15 @@ import hashlib
 import itertools
 import math
 import random
+import time
 import zlib
 from fractions import Fraction
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 
 from courtside.llm import bpe, licences, repair, setsketch, token_counts, toxicity, unigram, warc, whitening
@@ -237,6 +240,49 @@ def test_bpe_query(spark, library):
             hashlib.sha256((d.text or "").encode()).hexdigest())
 
 
+def test_bpe_digests_are_joined_in_blocks(library, monkeypatch):
+    """Digests by word of texts with empty ones among them, whatever block a word is in, for less than splitting costs."""
+    r = random.Random(5)
+    some = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(1, 9))) for _ in range(20_000)]
+    texts = ["", "", *["  ".join(r.choice(some) for _ in range(n)) for n in [1, 0, 700] * 300], "x", "", ""]
+    table, pattern = bpe.load()
+    pieces = [b""] * (max(table.values()) + 1)
+    for k, i in table.items():
+        pieces[i] = k
+    split = regex.compile(pattern).findall
+    began = time.process_time()
+    words = [split(t) for t in texts]
+    splitting = time.process_time() - began
+    places = bpe._places()
+    codes = np.array([places[w] for t in words for w in t], np.uint32)
+    encoded = [library.encode_ordinary(w) for w in places]
+    ids, cuts = np.array([i for w in encoded for i in w], np.int32), np.cumsum([0, *map(len, encoded)])
+    ends = np.cumsum([0, *map(len, words)])
+    decimals = pa.array([b",%d" % i for i in range(len(pieces))], pa.large_binary())
+    began = time.process_time()
+    parts = [(bpe._joined(decimals, ids, cuts), 1), (bpe._joined(pa.array(pieces, pa.large_binary()), ids, cuts), 0)]
+    got = [bpe._hashed(p, codes, ends, skip) for p, skip in parts]
+    assert time.process_time() - began < splitting
+    assert got == [[hashlib.sha256(x).hexdigest() for x in column] for column in (
+        [",".join(map(str, library.encode_ordinary(t))).encode() for t in texts], [t.encode() for t in texts])]
+    monkeypatch.setattr(bpe, "WORDS", 97)
+    assert got == [bpe._hashed(p, codes, ends, skip) for p, skip in parts]
+    low = np.searchsorted(ends, 5000)  # some texts of a chunk
+    assert got[0][low:] == bpe._hashed(parts[0][0], codes, ends[low:], 1)
+
+
+def test_bpe_dictionary_with_a_gap_is_refused(spark):
+    ranks, pattern = bpe.load()
+    docs = spark.createDataFrame([(1, "one two three")], "n bigint, text string")
+    chunked = bpe.chunks(docs, pattern)
+    words = bpe.encoded_words(chunked, bpe.Ranks(ranks)).selectExpr("explode(at) at", "pieces").selectExpr(
+        "shiftright(at, 30) chunk", f"cast(at % {bpe.PLACES} as int) pos", "pieces")
+    twice = words.selectExpr("chunk", "least(pos, 1) pos", "pieces")  # as many rows, but one place twice
+    folder = bpe._written(twice, "bpe-gap", by="chunk")
+    with pytest.raises(Exception, match="not whole"):
+        bpe._assemble(chunked, folder, [b""] * (max(ranks.values()) + 1), "digests").collect()
+
+
 # what earlier operators promise
 
 def test_near_dedup_keeps_one_row_of_a_group_whatever_its_ids(spark):
